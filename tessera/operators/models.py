@@ -135,6 +135,18 @@ def bisecting_hierarchy(df: DataFrame, features_col: str, k: int, seed: int = 42
 # Forecasting models
 # --------------------------------------------------------------------------
 
+def size_partitions(df: DataFrame, rows_per_partition: int = 200_000) -> DataFrame:
+    """Partition an iterative learner's input by its size: every boosting
+    round is a job over all partitions, so tiny inputs get one partition and
+    large ones spread over ceil(rows / rows_per_partition)."""
+    n = df.count()
+    parts = max(1, -(-n // rows_per_partition))
+    have = df.rdd.getNumPartitions()
+    if parts < have:
+        return df.coalesce(parts)
+    return df.repartition(parts) if parts > have else df
+
+
 def gbt_model(features_col: str = "features", label_col: str = "log_target", max_iter: int = 350,
               seed: int = 42) -> GBTRegressor:
     """Boosted trees on the log1p target (depth 4 ~ 15 leaves)."""
@@ -148,7 +160,7 @@ def fit_gbt_forecast(train: DataFrame, scored: list[DataFrame], numeric: list[st
     """M16 + M21: fit on ``train`` (log1p target), score others, clip at 0."""
     train = train.withColumn("log_target", X.log_target(target))
     _, _, frames = design_matrix(train, scored, numeric, category)
-    fitted = frames[0].cache()
+    fitted = size_partitions(frames[0]).cache()
     model = gbt_model(max_iter=max_iter, seed=seed).fit(fitted)
     out = [model.transform(f).withColumn("prediction", X.inverse_log_target("log_pred")) for f in frames[1:]]
     return model, out

@@ -454,5 +454,41 @@ SQL_BODIES["missingness_all"] = " UNION ALL ".join(
     for c in _CLEAN_COLS)
 
 
+_EMB = """,
+emb AS (
+  SELECT vec_id, label, CAST(unnest(embedding) AS DOUBLE) AS v, generate_subscripts(embedding, 1) AS i
+  FROM embeddings WHERE label IS NOT NULL
+)"""
+
+SQL_BODIES["inertia_by_label"] = _EMB + """,
+cent AS (SELECT label, i, avg(v) AS c FROM emb GROUP BY label, i)
+SELECT round(sum((e.v - c.c) * (e.v - c.c)), 6) AS inertia,
+       CAST(count(DISTINCT e.vec_id) AS BIGINT) AS n_points, CAST(count(DISTINCT e.label) AS BIGINT) AS n_clusters
+FROM emb e JOIN cent c USING (label, i)"""
+
+SQL_BODIES["silhouette_sq"] = _EMB + """,
+norms AS (SELECT vec_id, label, sum(v * v) AS xx FROM emb GROUP BY vec_id, label),
+cs AS (SELECT label, i, sum(v) AS s FROM emb GROUP BY label, i),
+cn AS (SELECT label, count(*) AS n, sum(xx) AS q FROM norms GROUP BY label),
+dots AS (SELECT e.vec_id, cs.label AS cl, sum(e.v * cs.s) AS dot FROM emb e JOIN cs USING (i) GROUP BY e.vec_id, cs.label),
+dd AS (
+  SELECT nm.vec_id, nm.label, d.cl, cn.n * nm.xx - 2 * d.dot + cn.q AS dsum, cn.n AS nc
+  FROM norms nm JOIN dots d USING (vec_id) JOIN cn ON cn.label = d.cl
+),
+per AS (
+  SELECT vec_id, max(CASE WHEN cl = label AND nc > 1 THEN dsum / (nc - 1) END) AS a,
+         min(CASE WHEN cl <> label THEN dsum / nc END) AS b
+  FROM dd GROUP BY vec_id
+)
+SELECT round(avg(CASE WHEN a IS NULL THEN 0.0 ELSE (b - a) / greatest(a, b) END), 6) AS silhouette_sq,
+       CAST(count(*) AS BIGINT) AS n_points
+FROM per"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {k: "WITH " + CUBE_CTES.strip() + "\n" + v.strip() for k, v in SQL_BODIES.items()}
+    out = {}
+    for k, v in SQL_BODIES.items():
+        body = v.strip()
+        sep = "" if body.startswith(",") else "\n"
+        out[k] = "WITH " + CUBE_CTES.strip() + sep + body
+    return out

@@ -18,8 +18,9 @@ def metric_columns(y: str | Column, pred: str | Column, clip: bool = True) -> li
         F.count(yv).cast("bigint").alias("n"),
         F.avg(F.abs(e)).alias("mae"),
         F.sqrt(F.avg(e * e)).alias("rmse"),
-        (F.lit(1.0) - F.sum(e * e) / (F.var_pop(yv) * F.count(yv))).alias("r2"),
-        (F.lit(100.0) * F.sum(F.abs(e)) / F.sum(yv)).alias("wape_pct"),
+        # undefined (NULL) when y is constant / sums to zero, never a division error
+        (F.lit(1.0) - F.try_divide(F.sum(e * e), F.var_pop(yv) * F.count(yv))).alias("r2"),
+        F.try_divide(F.lit(100.0) * F.sum(F.abs(e)), F.sum(yv)).alias("wape_pct"),
     ]
 
 

@@ -211,8 +211,8 @@ def _iso(c: str, alias: str | None = None) -> str:
 def _metrics(y: str, p: str) -> str:
     e = f"({y} - greatest({p}, 0.0))"
     return (f"CAST(count({y}) AS BIGINT) AS n, avg(abs({e})) AS mae, sqrt(avg({e} * {e})) AS rmse, "
-            f"1 - sum({e} * {e}) / (var_pop({y}) * count({y})) AS r2, "
-            f"100.0 * sum(abs({e})) / sum({y}) AS wape_pct")
+            f"1 - sum({e} * {e}) / nullif(var_pop({y}) * count({y}), 0) AS r2, "
+            f"100.0 * sum(abs({e})) / nullif(sum({y}), 0) AS wape_pct")
 
 
 _KEYS = "grain, year, month, geo, sex, band"
@@ -422,11 +422,11 @@ FROM test_rows ORDER BY abs(a - prediction) DESC, geo || '|' || CAST(start_date
 SELECT n, round(mae, 6) AS mae, round(rmse, 6) AS rmse, round(r2, 6) AS r2, round(wape_pct, 6) AS wape_pct
 FROM (SELECT {_metrics('a', 'lag1_a')} FROM test_rows)""",
     "baseline_vs_mean": f"""
-SELECT round(m.mae, 6) AS mean3_mae, round(b.mae, 6) AS persistence_mae, round(100.0 * (b.mae - m.mae) / b.mae, 6) AS mae_improvement_pct
+SELECT round(m.mae, 6) AS mean3_mae, round(b.mae, 6) AS persistence_mae, round(100.0 * (b.mae - m.mae) / nullif(b.mae, 0), 6) AS mae_improvement_pct
 FROM (SELECT {_metrics('a', 'rolling3_a')} FROM test_rows) m, (SELECT {_metrics('a', 'lag1_a')} FROM test_rows) b""",
     "model_comparison": f"""
 SELECT mm.model, mm.n, round(mm.mae, 6) AS mae, round(mm.rmse, 6) AS rmse, round(mm.r2, 6) AS r2,
-       round(mm.wape_pct, 6) AS wape_pct, round(100.0 * (b.mae - mm.mae) / b.mae, 6) AS mae_improvement_pct
+       round(mm.wape_pct, 6) AS wape_pct, round(100.0 * (b.mae - mm.mae) / nullif(b.mae, 0), 6) AS mae_improvement_pct
 FROM (
   SELECT 'persistence' AS model, {_metrics('a', 'lag1_a')} FROM test_rows
   UNION ALL SELECT 'mean3', {_metrics('a', 'rolling3_a')} FROM test_rows
@@ -485,10 +485,37 @@ SELECT round(avg(CASE WHEN a IS NULL THEN 0.0 ELSE (b - a) / greatest(a, b) END)
 FROM per"""
 
 
+def _positive_zero(sql: str) -> str:
+    """Wrap every round(...) as (0.0 + round(...)): DuckDB keeps the sign of a
+    rounded-away negative (-0.0) while Spark's decimal rounding yields 0.0."""
+    out, i, key = [], 0, "round("
+    while True:
+        j = sql.find(key, i)
+        if j < 0 or (j > 0 and (sql[j - 1].isalnum() or sql[j - 1] == "_")):
+            if j < 0:
+                out.append(sql[i:])
+                return "".join(out)
+            out.append(sql[i:j + len(key)])
+            i = j + len(key)
+            continue
+        depth, k = 0, j + len(key) - 1
+        while True:
+            if sql[k] == "(":
+                depth += 1
+            elif sql[k] == ")":
+                depth -= 1
+                if depth == 0:
+                    break
+            k += 1
+        inner = sql[j + len(key):k]
+        out.append(sql[i:j] + "(0.0 + round(" + _positive_zero(inner) + "))")
+        i = k + 1
+
+
 def oracle_sql() -> dict[str, str]:
     out = {}
     for k, v in SQL_BODIES.items():
-        body = v.strip()
+        body = _positive_zero(v.strip())
         sep = "" if body.startswith(",") else "\n"
         out[k] = "WITH " + CUBE_CTES.strip() + sep + body
     return out

@@ -152,6 +152,6 @@ def band_ordinal(band: str | Column = "band") -> Column:
 def band_dimension(spark) -> DataFrame:
     """Ordered domain of the exclusive bands (band, ordinal): the fixed
     contract values as a tiny dimension for reindexing (J2)."""
-    return spark.createDataFrame(
-        [(label, i) for i, (label, _, _) in enumerate(K.EXCLUSIVE_BANDS)], "band string, ordinal int"
-    )
+    rows = F.array(*[F.struct(F.lit(label).alias("band"), F.lit(i).alias("ordinal"))
+                     for i, (label, _, _) in enumerate(K.EXCLUSIVE_BANDS)])
+    return spark.range(1).select(F.inline(rows))

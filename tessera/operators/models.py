@@ -175,7 +175,8 @@ def fit_residual_linear(train: DataFrame, scored: list[DataFrame], numeric: list
     _, _, frames = design_matrix(train, scored, numeric, category)
     lr = LinearRegression(featuresCol="features", labelCol="resid", predictionCol="resid_pred",
                           loss="huber", epsilon=1.35, regParam=reg, elasticNetParam=0.0, maxIter=200)
-    model = lr.fit(frames[0])
+    fitted = size_partitions(frames[0]).cache()  # every L-BFGS step is a pass over it
+    model = lr.fit(fitted)
     out = [model.transform(f).withColumn("prediction", X.residual_reconstruct(base, "resid_pred"))
            for f in frames[1:]]
     return model, out

@@ -43,21 +43,19 @@ def value_counts(df: DataFrame, column: str, dropna: bool = True) -> DataFrame:
 
 
 def duplicate_audit(raw: DataFrame, key_cols=K.SOURCE_KEY_HEADER) -> DataFrame:
-    """A4 + A5: exact duplicate rows and duplicate grain keys.
+    """A4 + A5: exact duplicate rows and duplicate grain keys, one scan.
 
-    Key duplicates are counted as sum(n-1) over groupBy(keys): groupBy keeps
+    Rows are first grouped on every column (exact copies collapse, partial
+    aggregation before the shuffle); the much smaller result is regrouped on
+    the keys. Key duplicates are sum(n-1) over groupBy(keys): groupBy keeps
     null keys as a group, unlike count_distinct(k1, k2, ...) which drops them.
     """
-    cols = [F.col(f"`{c}`") for c in raw.columns]
-    exact = raw.groupBy(*cols).agg(F.count(F.lit(1)).alias("n"))
-    keys = raw.groupBy(*[F.col(f"`{c}`") for c in key_cols]).agg(F.count(F.lit(1)).alias("n"))
-    e = exact.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("bigint").alias("exact_duplicates"))
-    k = keys.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("bigint").alias("key_duplicates"))
-    # two one-row aggregates side by side: a union + max keeps it join-free
-    return (
-        e.select("exact_duplicates", F.lit(None).cast("bigint").alias("key_duplicates"))
-        .unionByName(k.select(F.lit(None).cast("bigint").alias("exact_duplicates"), "key_duplicates"))
-        .agg(F.max("exact_duplicates").alias("exact_duplicates"), F.max("key_duplicates").alias("key_duplicates"))
+    exact = raw.groupBy(*[F.col(f"`{c}`") for c in raw.columns]).agg(F.count(F.lit(1)).alias("n"))
+    keys = exact.groupBy(*[F.col(f"`{c}`") for c in key_cols]).agg(
+        F.sum(F.col("n") - 1).alias("exact_dup"), F.sum("n").alias("n"))
+    return keys.agg(
+        F.coalesce(F.sum("exact_dup"), F.lit(0)).cast("bigint").alias("exact_duplicates"),
+        F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("bigint").alias("key_duplicates"),
     )
 
 

@@ -81,15 +81,27 @@ def q_silhouette_sq(spark, d):
 # Profile clustering (rows-only)
 # --------------------------------------------------------------------------
 
+_MATRIX: dict = {}
+
+
 def _profile_matrix(spark, d) -> DataFrame:
-    """52x7-style matrix: standardized (population std) profile as a vector."""
+    """52x7-style matrix: standardized (population std) profile as a vector,
+    built once per application and kept on shared storage."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _MATRIX:
+        _MATRIX[key] = _build_profile_matrix(spark, d)
+    return _MATRIX[key]
+
+
+def _build_profile_matrix(spark, d) -> DataFrame:
     prof = _profile(spark, d)
     nulls = prof.agg(*[F.sum(F.col(f).isNull().cast("int")).alias(f) for f in PR.PROFILE_FEATURES]).first()
     if any(nulls):
         raise ValueError(f"profile has missing values: {nulls.asDict()}")
     scaler = M.PopulationScaler(PR.PROFILE_FEATURES).fit(prof)
     z = scaler.transform(prof)
-    return VectorAssembler(inputCols=scaler.output_cols(), outputCol="features").transform(z).cache()
+    X = VectorAssembler(inputCols=scaler.output_cols(), outputCol="features").transform(z)
+    return M.size_partitions(X).checkpoint(eager=True).cache()
 
 
 def q_kmeans_sweep(spark, d):

@@ -9,16 +9,19 @@ Scale design
 ------------
 * Only the eight needed columns are read from the four tables (column pruning
   reaches the parquet scans).
-* ``nation`` is broadcast only after a row-count check; ``customer`` and
-  ``orders`` join on their keys with shuffle joins the planner/AQE choose.
+* ``nation`` is broadcast only after a row-count check; the fact-to-fact
+  joins (orders-customer, lineitem-orders) are sort-merge joins on their keys
+  (AQE splits skewed partitions).
 * The joined rows are aggregated to a *fine* table whose key domain is fixed
   (nation x nested flag x line status x band pair x month), with map-side
   partial aggregation, before anything is expanded. Every later step works on
   that bounded table, so the cost of the cube beyond the one big scan+join is
-  independent of the input size. The fine table is checkpointed to shared
-  storage so a lost executor never forces a rescan of the fact table.
-* Cells are produced by exploding memberships (geo, sex, band, period) of the
-  fine rows and summing; the dense grid comes from one aggregated bounds row
+  independent of the input size. The fine table is written once to shared
+  storage (``spark.checkpoint.dir``) so a lost executor never forces a rescan
+  of the fact tables.
+* Cells are produced by exploding the overlapping memberships (geo, sex,
+  band) of the fine rows, summing to month cells and rolling months up to
+  years and the total with one grouping-sets aggregate; the dense grid comes from one aggregated bounds row
   exploded over the domains, with no cartesian join.
 """
 
@@ -63,8 +66,12 @@ def base_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("n_name").alias("geo_name"),
         ((F.col("n_name") == K.NESTED_PARENT) & (F.col("c_mktsegment") == K.NESTED_SEGMENT)).alias("nested"),
     )
-    ords = orders.join(cust, orders.o_custkey == cust.c_custkey).select("o_orderkey", "geo_name", "nested")
-    li = lineitem.join(ords, lineitem.l_orderkey == ords.o_orderkey)
+    # fact-to-fact joins grow with the data: pin them to sort-merge (spills,
+    # AQE splits skewed partitions) instead of trusting a compressed-file-size
+    # estimate that can make the planner broadcast a fact table
+    ords = orders.join(cust.hint("merge"), orders.o_custkey == cust.c_custkey).select(
+        "o_orderkey", "geo_name", "nested")
+    li = lineitem.join(ords.hint("merge"), lineitem.l_orderkey == ords.o_orderkey)
     q = F.col("l_quantity").cast("int")
     a = F.col("l_returnflag") == K.RETURNFLAG_A
     b = F.col("l_discount") >= K.DISCOUNT_B_MIN
@@ -103,22 +110,31 @@ def _non_null(arr: Column) -> Column:
 
 
 def cube_cells(fine: DataFrame) -> DataFrame:
-    """Sum fine rows into every cube cell they belong to (present cells only)."""
-    period = F.array(
-        F.struct(F.lit(K.GRAIN_MONTH).alias("grain"), F.col("m").alias("pkey")),
-        F.struct(F.lit(K.GRAIN_YEAR).alias("grain"), F.trunc("m", "year").alias("pkey")),
-        F.struct(F.lit(K.GRAIN_TOTAL).alias("grain"), F.lit(None).cast("date").alias("pkey")),
-    )
-    exploded = (
+    """Sum fine rows into every cube cell they belong to (present cells only).
+
+    Geography, sex and band memberships overlap, so they are exploded (at most
+    3 x 2 x 3 copies of a bounded fine row) and summed to month-level cells;
+    the time grains are a true hierarchy and come from one grouping-sets
+    rollup (month, year, total) of those cells.
+    """
+    monthly = (
         fine.withColumn("geo", F.explode(_non_null(F.array(
             F.col("geo_name"), F.lit(K.GEO_ALL), F.when(F.col("nested"), F.lit(K.GEO_NESTED))))))
         .withColumn("sex", F.explode(F.array(F.lit(K.SEX_ALL), F.col("ls"))))
         .withColumn("band", F.explode(_non_null(F.array(F.lit(K.BAND_ALL), F.col("xband"), F.col("aband")))))
-        .withColumn("p", F.explode(period))
-        .select(F.col("p.grain").alias("grain"), F.col("p.pkey").alias("pkey"), "geo", "sex", "band", *COUNT_COLS)
+        .groupBy("geo", "sex", "band", F.trunc("m", "year").alias("y"), "m")
+        .agg(*[F.sum(c).alias(c) for c in COUNT_COLS])
     )
-    return exploded.groupBy("grain", "pkey", "geo", "sex", "band").agg(
-        *[F.sum(c).cast("bigint").alias(c) for c in COUNT_COLS]
+    keys = [F.col(k) for k in ("geo", "sex", "band", "y", "m")]
+    rolled = monthly.groupingSets(
+        [keys, keys[:4], keys[:3]], *keys
+    ).agg(F.grouping_id().alias("__gid"), *[F.sum(c).cast("bigint").alias(c) for c in COUNT_COLS])
+    gid = F.col("__gid")
+    return rolled.select(
+        F.when(gid == 0, F.lit(K.GRAIN_MONTH)).when(gid == 1, F.lit(K.GRAIN_YEAR))
+        .otherwise(F.lit(K.GRAIN_TOTAL)).alias("grain"),
+        F.when(gid == 0, F.col("m")).when(gid == 1, F.col("y")).alias("pkey"),
+        "geo", "sex", "band", *COUNT_COLS,
     )
 
 

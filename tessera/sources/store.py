@@ -36,13 +36,16 @@ def materialize(spark: SparkSession, sf_dir: str) -> dict[str, str]:
             return _CACHE[key]
         tag = hashlib.sha1("|".join(key).encode()).hexdigest()[:16]
         root = scratch_path(spark, f"cube-{tag}")
-        fine = fine_table(spark, sf_dir).checkpoint(eager=True)
-        text_path, clean_path = f"{root}/text", f"{root}/clean"
+        # one pass over the fact tables, written to shared storage: later steps
+        # (and any retry after an executor loss) read this bounded table
+        fine_path, text_path, clean_path = f"{root}/fine", f"{root}/text", f"{root}/clean"
+        fine_table(spark, sf_dir).write.mode("overwrite").parquet(fine_path)
+        fine = spark.read.parquet(fine_path)
         (render_text(typed_cube(spark, sf_dir, fine))
          .write.mode("overwrite").option("header", True).csv(text_path))
         (clean(read_text_table(spark, text_path))
          .write.mode("overwrite").partitionBy("grain").parquet(clean_path))
-        paths = {"text": text_path, "clean": clean_path}
+        paths = {"fine": fine_path, "text": text_path, "clean": clean_path}
         _CACHE[key] = paths
         return paths
 

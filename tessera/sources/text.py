@@ -24,9 +24,8 @@ def text_schema(header: list[str] = K.SOURCE_HEADER) -> T.StructType:
 
 def _nullify(df: DataFrame) -> DataFrame:
     """pandas-compatible missing tokens ('NA', 'null', ...) -> NULL."""
-    tokens = F.array(*[F.lit(t) for t in K.NA_TOKENS])
     return df.select(*[
-        F.when(F.array_contains(tokens, F.col(f"`{c}`")), F.lit(None).cast("string"))
+        F.when(F.col(f"`{c}`").isin(K.NA_TOKENS), F.lit(None).cast("string"))
         .otherwise(F.col(f"`{c}`")).alias(c)
         for c in df.columns
     ])

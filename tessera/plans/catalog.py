@@ -504,3 +504,100 @@ def q_one_hot(spark, d):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name[2:]: fn for name, fn in list(globals().items()) if name.startswith("q_") and callable(fn)
 }
+
+
+# --------------------------------------------------------------------------
+# Report tables (V16, V17) and recommendation rules
+# --------------------------------------------------------------------------
+
+SLICES = [
+    # name, grain, geo filter, sex, band filter
+    ("national_monthly", K.GRAIN_MONTH, [K.GEO_ALL], [K.SEX_ALL], [K.BAND_ALL]),
+    ("geo_totals", K.GRAIN_TOTAL, None, [K.SEX_ALL], [K.BAND_ALL]),
+    ("national_bands", K.GRAIN_TOTAL, [K.GEO_ALL], [K.SEX_ALL], K.EXCLUSIVE_BAND_LABELS),
+    ("national_sex_bands", K.GRAIN_TOTAL, [K.GEO_ALL], K.SEX_PARTS, K.EXCLUSIVE_BAND_LABELS),
+    ("geo_monthly_panel", K.GRAIN_MONTH, None, [K.SEX_ALL], [K.BAND_ALL]),
+]
+
+
+def q_slice_contract(spark, d):
+    """Every named slice with its row count, from ONE pass (each row is
+    tagged with the slices it belongs to; no per-slice scans)."""
+    c = _clean(spark, d)
+    dom = ~F.col("geo").isin(K.GEO_EXCLUDED)
+    tags = []
+    for name, grain, geos, sexes, bands in SLICES:
+        cond = (F.col("grain") == grain) & F.col("sex").isin(sexes) & F.col("band").isin(bands)
+        cond = cond & (F.col("geo").isin(geos) if geos else dom)
+        tags.append(F.when(cond, F.lit(name)))
+    t = c.select(F.explode(F.filter(F.array(*tags), lambda x: x.isNotNull())).alias("slice"))
+    return t.groupBy("slice").agg(F.count(F.lit(1)).cast("bigint").alias("rows"))
+
+
+def q_quality_outcomes(spark, d):
+    """Audit counters unpivoted to (test, result, passed)."""
+    r = Q.rule_audit(_clean(spark, d))
+    cols = r.columns
+    long = r.unpivot([], cols, "test", "result")
+    return long.select("test", F.col("result").cast("bigint").alias("result"),
+                       (F.col("result") == 0).alias("passed"))
+
+
+def q_suppression_bounds(spark, d):
+    """Lower / midpoint / upper scenario sums treating each suppressed
+    cell as 1, 5 or 9, per geography for the monthly panel measure."""
+    c = _clean(spark, d)
+    p = S.in_domain(S.grain_slice(c, K.GRAIN_MONTH, sex=K.SEX_ALL, band=K.BAND_ALL))
+    sup = F.col(f"{MEASURE}_suppressed")
+    v = F.col(MEASURE)
+    return p.groupBy("geo").agg(
+        F.sum(F.coalesce(v, F.when(sup, F.lit(float(K.SUPPRESS_LO))))).alias("lower"),
+        F.sum(F.coalesce(v, F.when(sup, F.lit(K.MIDPOINT)))).alias("mid"),
+        F.sum(F.coalesce(v, F.when(sup, F.lit(float(K.SUPPRESS_HI))))).alias("upper"),
+        F.sum(sup.cast("int")).cast("bigint").alias("suppressed_cells"),
+    )
+
+
+def q_wape_monitor(spark, d):
+    """Rolling two-month WAPE of the mean-of-3 forecast against
+    persistence; suspend when it exceeds the baseline by 5 points.
+    Monthly error sums first (one row per month), then the window runs over
+    that bounded monthly table."""
+    from pyspark.sql import Window
+
+    t = _test_rows(spark, d)
+    m = t.groupBy("start_date").agg(
+        F.sum(F.abs(F.col(MEASURE) - F.col("prediction"))).alias("err"),
+        F.sum(F.abs(F.col(MEASURE) - X.clip_prediction(F.col(f"lag1_{MEASURE}")))).alias("base_err"),
+        F.sum(MEASURE).alias("actual"),
+    )
+    w = Window.orderBy("start_date").rowsBetween(-1, 0)  # one row per month
+    r = m.select(
+        "start_date",
+        F.try_divide(F.lit(100.0) * F.sum("err").over(w), F.sum("actual").over(w)).alias("wape_2m"),
+        F.try_divide(F.lit(100.0) * F.sum("base_err").over(w), F.sum("actual").over(w)).alias("base_wape_2m"),
+    )
+    return r.select(_iso("start_date"), _r("wape_2m").alias("wape_2m"), _r("base_wape_2m").alias("base_wape_2m"),
+                    (F.col("wape_2m") > F.col("base_wape_2m") + 5).alias("suspend"))
+
+
+def q_conformal_band(spark, d):
+    """Blocked conformal half-width = 90th percentile of the absolute
+    mean-of-3 residual on the validation block; coverage on the test rows."""
+    p = P.tag_three_way(_panel(spark, d))
+    resid = F.abs(F.col(MEASURE) - X.clip_prediction(F.col(f"rolling3_{MEASURE}")))
+    v = p.filter(F.col("split") == "validation").agg(F.percentile(resid, 0.9).alias("q"))
+    # the half-width is one fitted number, applied to the test rows as a literal
+    q = v.first()["q"]
+    t = p.filter(F.col("split") == "test")
+    return t.agg(
+        F.lit(q).cast("double").alias("half_width"),
+        F.count(F.lit(1)).cast("bigint").alias("test_rows"),
+        F.avg((resid <= F.lit(q)).cast("double")).alias("coverage"),
+    ).select(_r("half_width").alias("half_width"), "test_rows", _r("coverage").alias("coverage"))
+
+
+QUERIES.update({
+    name[2:]: fn for name, fn in list(globals().items())
+    if name.startswith("q_") and callable(fn) and name[2:] not in QUERIES
+})

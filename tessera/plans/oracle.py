@@ -454,6 +454,56 @@ SQL_BODIES["missingness_all"] = " UNION ALL ".join(
     for c in _CLEAN_COLS)
 
 
+def _slice_cond(grain, geos, sexes, bands):
+    geo = f"geo IN ({_list(geos)})" if geos else f"geo NOT IN ({_list(K.GEO_EXCLUDED)})"
+    return f"grain = {_q(grain)} AND {geo} AND sex IN ({_list(sexes)}) AND band IN ({_list(bands)})"
+
+
+_SLICES = [
+    ("national_monthly", K.GRAIN_MONTH, [K.GEO_ALL], [K.SEX_ALL], [K.BAND_ALL]),
+    ("geo_totals", K.GRAIN_TOTAL, None, [K.SEX_ALL], [K.BAND_ALL]),
+    ("national_bands", K.GRAIN_TOTAL, [K.GEO_ALL], [K.SEX_ALL], K.EXCLUSIVE_BAND_LABELS),
+    ("national_sex_bands", K.GRAIN_TOTAL, [K.GEO_ALL], K.SEX_PARTS, K.EXCLUSIVE_BAND_LABELS),
+    ("geo_monthly_panel", K.GRAIN_MONTH, None, [K.SEX_ALL], [K.BAND_ALL]),
+]
+SQL_BODIES["slice_contract"] = " UNION ALL ".join(
+    f"SELECT {_q(n)} AS slice, CAST(count(*) AS BIGINT) AS rows FROM clean WHERE {_slice_cond(g, ge, se, b)}"
+    for n, g, ge, se, b in _SLICES)
+
+_RULES = ["negative_counts", "a_gt_total", "b_gt_total", "c_gt_total", "overlap_gt_a", "overlap_gt_b",
+          "union_lt_components", "invalid_dates"]
+SQL_BODIES["quality_outcomes"] = (
+    "SELECT test, CAST(result AS BIGINT) AS result, result = 0 AS passed FROM ("
+    + SQL_BODIES["rule_audit"].strip() + ") UNPIVOT (result FOR test IN (" + ", ".join(_RULES) + "))")
+
+SQL_BODIES["suppression_bounds"] = f"""
+SELECT geo,
+       sum(coalesce(a, CASE WHEN a_suppressed THEN {float(K.SUPPRESS_LO)} END)) AS lower,
+       sum(coalesce(a, CASE WHEN a_suppressed THEN {K.MIDPOINT} END)) AS mid,
+       sum(coalesce(a, CASE WHEN a_suppressed THEN {float(K.SUPPRESS_HI)} END)) AS upper,
+       CAST(sum(CAST(a_suppressed AS INTEGER)) AS BIGINT) AS suppressed_cells
+FROM dom WHERE grain = {_q(K.GRAIN_MONTH)} AND sex = {_q(K.SEX_ALL)} AND band = {_q(K.BAND_ALL)}
+GROUP BY geo"""
+
+SQL_BODIES["wape_monitor"] = """
+SELECT CAST(start_date AS VARCHAR) AS start_date, round(w, 6) AS wape_2m, round(bw, 6) AS base_wape_2m,
+       w > bw + 5 AS suspend
+FROM (
+  SELECT start_date,
+         100.0 * sum(err) OVER w2 / nullif(sum(actual) OVER w2, 0) AS w,
+         100.0 * sum(base_err) OVER w2 / nullif(sum(actual) OVER w2, 0) AS bw
+  FROM (SELECT start_date, sum(abs(a - prediction)) AS err, sum(abs(a - greatest(lag1_a, 0.0))) AS base_err,
+               sum(a) AS actual FROM test_rows GROUP BY start_date)
+  WINDOW w2 AS (ORDER BY start_date ROWS BETWEEN 1 PRECEDING AND CURRENT ROW))"""
+
+SQL_BODIES["conformal_band"] = f"""
+SELECT round(q, 6) AS half_width, CAST(count(*) AS BIGINT) AS test_rows,
+       round(avg(CASE WHEN abs(a - greatest(rolling3_a, 0.0)) <= q THEN 1.0 ELSE 0.0 END), 6) AS coverage
+FROM panel, (SELECT quantile_cont(abs(a - greatest(rolling3_a, 0.0)), 0.9) AS q FROM panel
+             WHERE start_date BETWEEN DATE '{K.VALID_START}' AND DATE '{K.VALID_END}')
+WHERE start_date BETWEEN DATE '{K.TEST_START}' AND DATE '{K.TEST_END}'
+GROUP BY q"""
+
 _EMB = """,
 emb AS (
   SELECT vec_id, label, CAST(unnest(embedding) AS DOUBLE) AS v, generate_subscripts(embedding, 1) AS i

@@ -1,0 +1,236 @@
+"""Residual network trained data-parallel on Spark.
+
+Architecture and loss follow the reference network: ReLU 32 -> ReLU 16 ->
+linear 1 with a zero-initialised output (so the untrained model *is* the
+persistence forecast), Huber loss on the log residual, L2 on kernels and
+dropout when regularised, Adam with plateau halving and early stopping.
+
+Execution: one Spark job per epoch. The current weights and Adam moments are
+shipped to every partition; each partition runs shuffled mini-batch Adam over
+its own rows (``mapInPandas``, numpy) and reports its updated state, which is
+averaged across partitions weighted by row count (synchronous local-SGD /
+parameter averaging) with a distributed vector aggregate. With one partition
+this is exactly mini-batch Adam. The same job scores the validation rows with
+the weights the epoch started from, so validation loss for epoch e arrives
+with job e+1 (one final job closes the last epoch). Only the model state
+(a few thousand doubles) and per-epoch losses reach the driver.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass, field
+
+import numpy as np
+import pandas as pd
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+HIDDEN = (32, 16)
+DROPOUT = (0.20, 0.15)
+
+
+@dataclass
+class NetConfig:
+    regularized: bool = True
+    l2: float = 1e-3
+    huber_delta: float = 0.3
+    lr: float = 1e-3
+    batch_size: int = 64
+    max_epochs: int = 250
+    es_patience: int = 20
+    es_min_delta: float = 1e-5
+    lr_patience: int = 10
+    lr_factor: float = 0.5
+    lr_min: float = 1e-5
+    lr_min_delta: float = 1e-4
+    early_stopping: bool = True
+    seed: int = 42
+    history: list = field(default_factory=list)
+
+
+def _shapes(n_in: int):
+    dims = [n_in, *HIDDEN, 1]
+    return [(dims[i], dims[i + 1]) for i in range(len(dims) - 1)]
+
+
+def init_weights(n_in: int, seed: int) -> np.ndarray:
+    """Glorot-uniform hidden kernels, zero biases, zero output layer."""
+    rng = np.random.default_rng(seed)
+    parts = []
+    shapes = _shapes(n_in)
+    for i, (a, b) in enumerate(shapes):
+        if i < len(shapes) - 1:
+            lim = np.sqrt(6.0 / (a + b))
+            parts.append(rng.uniform(-lim, lim, size=(a, b)).ravel())
+        else:
+            parts.append(np.zeros(a * b))
+        parts.append(np.zeros(b))
+    return np.concatenate(parts)
+
+
+def n_parameters(n_in: int) -> int:
+    return sum(a * b + b for a, b in _shapes(n_in))
+
+
+def _unpack(w: np.ndarray, n_in: int):
+    out, k = [], 0
+    for a, b in _shapes(n_in):
+        out.append(w[k:k + a * b].reshape(a, b))
+        k += a * b
+        out.append(w[k:k + b])
+        k += b
+    return out
+
+
+def _forward_backward(w, X, y, cfg: NetConfig, rng, train: bool):
+    """Huber + L2 loss and its gradient for one batch (numpy)."""
+    n_in = X.shape[1]
+    W1, b1, W2, b2, W3, b3 = _unpack(w, n_in)
+    drop = DROPOUT if (cfg.regularized and train) else (0.0, 0.0)
+    h1 = np.maximum(X @ W1 + b1, 0.0)
+    m1 = (rng.random(h1.shape) >= drop[0]) / (1 - drop[0]) if drop[0] else 1.0
+    h1d = h1 * m1
+    h2 = np.maximum(h1d @ W2 + b2, 0.0)
+    m2 = (rng.random(h2.shape) >= drop[1]) / (1 - drop[1]) if drop[1] else 1.0
+    h2d = h2 * m2
+    p = (h2d @ W3 + b3).ravel()
+    r = p - y
+    d = cfg.huber_delta
+    absr = np.abs(r)
+    loss = np.where(absr <= d, 0.5 * r * r, d * (absr - 0.5 * d)).mean()
+    l2 = cfg.l2 if cfg.regularized else 0.0
+    reg = l2 * ((W1 ** 2).sum() + (W2 ** 2).sum() + (W3 ** 2).sum())
+    if not train:
+        return loss + reg, None
+    g = (np.clip(r, -d, d) / len(y))[:, None]
+    gW3 = h2d.T @ g + 2 * l2 * W3
+    gb3 = g.sum(0)
+    g2 = (g @ W3.T) * m2 * (h2 > 0)
+    gW2 = h1d.T @ g2 + 2 * l2 * W2
+    gb2 = g2.sum(0)
+    g1 = (g2 @ W2.T) * m1 * (h1 > 0)
+    gW1 = X.T @ g1 + 2 * l2 * W1
+    gb1 = g1.sum(0)
+    grad = np.concatenate([gW1.ravel(), gb1, gW2.ravel(), gb2, gW3.ravel(), gb3])
+    return loss + reg, grad
+
+
+def _epoch_fn(w0, m0, v0, t0, lr, epoch, cfg: NetConfig):
+    b1, b2, eps = 0.9, 0.999, 1e-7
+
+    def run(batches):
+        pdf = pd.concat(list(batches), ignore_index=True)
+        if pdf.empty:
+            return
+        X = np.stack(pdf["x"].to_numpy()) if len(pdf) else np.zeros((0, 1))
+        y = pdf["y"].to_numpy(dtype=float)
+        val = pdf["is_val"].to_numpy(dtype=bool)
+        from pyspark import TaskContext
+
+        ctx = TaskContext.get()
+        rng = np.random.default_rng([cfg.seed, epoch, ctx.partitionId() if ctx else 0])
+        val_loss, n_val = 0.0, int(val.sum())
+        if n_val:
+            val_loss = _forward_backward(w0, X[val], y[val], cfg, rng, train=False)[0] * n_val
+        Xf, yf = X[~val], y[~val]
+        w, m, v, t = w0.copy(), m0.copy(), v0.copy(), t0
+        fit_loss, steps = 0.0, 0
+        order = rng.permutation(len(yf))
+        for s in range(0, len(yf), cfg.batch_size):
+            idx = order[s:s + cfg.batch_size]
+            loss, g = _forward_backward(w, Xf[idx], yf[idx], cfg, rng, train=True)
+            t += 1
+            m = b1 * m + (1 - b1) * g
+            v = b2 * v + (1 - b2) * g * g
+            mh, vh = m / (1 - b1 ** t), v / (1 - b2 ** t)
+            w = w - lr * mh / (np.sqrt(vh) + eps)
+            fit_loss += loss * len(idx)
+            steps += 1
+        yield pd.DataFrame({
+            "w": [w.tolist()], "m": [m.tolist()], "v": [v.tolist()], "n_fit": [len(yf)],
+            "fit_loss": [fit_loss], "n_val": [n_val], "val_loss": [val_loss], "steps": [steps],
+        })
+
+    return run
+
+
+_OUT = ("w array<double>, m array<double>, v array<double>, n_fit long, fit_loss double, "
+        "n_val long, val_loss double, steps long")
+
+
+def _scaled(col: str, weight: str):
+    return array_to_vector(F.transform(F.col(col), lambda x: x * F.col(weight).cast("double")))
+
+
+def train(fit: DataFrame, valid: DataFrame, features: str, label: str, cfg: NetConfig):
+    """Returns (best weights, history rows [(epoch, train_loss, val_loss, lr)],
+    best_epoch, stop_epoch)."""
+    data = (fit.select(vector_to_array(features).alias("x"), F.col(label).cast("double").alias("y"),
+                       F.lit(False).alias("is_val"))
+            .unionByName(valid.select(vector_to_array(features).alias("x"), F.col(label).cast("double").alias("y"),
+                                      F.lit(True).alias("is_val"))))
+    from tessera.operators.models import size_partitions
+    from tessera.session import ship_package
+
+    ship_package(fit.sparkSession)
+    data = size_partitions(data).cache()
+    n_in = len(data.select("x").first()["x"])
+    w = init_weights(n_in, cfg.seed)
+    m, v, t, lr = np.zeros_like(w), np.zeros_like(w), 0, cfg.lr
+    best, best_w, best_ep, es_wait, lr_wait, lr_best = np.inf, w.copy(), 0, 0, 0, np.inf
+    history, pending_train, stop_ep = [], None, 0
+    for epoch in range(1, cfg.max_epochs + 2):
+        last = epoch == cfg.max_epochs + 1
+        fn = _epoch_fn(w, m, v, t, lr if not last else 0.0, epoch, cfg)
+        parts = data.mapInPandas(fn, _OUT)
+        agg = parts.agg(
+            Summarizer.sum(_scaled("w", "n_fit")).alias("w"), Summarizer.sum(_scaled("m", "n_fit")).alias("m"),
+            Summarizer.sum(_scaled("v", "n_fit")).alias("v"), F.sum("n_fit").alias("n_fit"),
+            F.sum("fit_loss").alias("fit_loss"), F.sum("n_val").alias("n_val"), F.sum("val_loss").alias("val_loss"),
+            F.max("steps").alias("steps"),
+        ).first()
+        val_loss = agg["val_loss"] / max(agg["n_val"], 1)
+        if pending_train is not None:  # close the previous epoch with its validation loss
+            ep, tr_loss, ep_lr, ep_w = pending_train
+            history.append((ep, tr_loss, val_loss, ep_lr))
+            if val_loss < best - cfg.es_min_delta:
+                best, best_w, best_ep, es_wait = val_loss, ep_w, ep, 0
+            else:
+                es_wait += 1
+            if val_loss < lr_best - cfg.lr_min_delta:
+                lr_best, lr_wait = val_loss, 0
+            else:
+                lr_wait += 1
+                if lr_wait >= cfg.lr_patience:
+                    lr, lr_wait = max(lr * cfg.lr_factor, cfg.lr_min), 0
+            stop_ep = ep
+            if cfg.early_stopping and es_wait >= cfg.es_patience:
+                break
+        if last:
+            break
+        n = max(agg["n_fit"], 1)
+        w = agg["w"].toArray() / n
+        m, v = agg["m"].toArray() / n, agg["v"].toArray() / n
+        t += int(agg["steps"])
+        pending_train = (epoch, agg["fit_loss"] / n, lr, w.copy())
+    final_w = best_w if cfg.early_stopping else w
+    data.unpersist()
+    return final_w, history, best_ep, stop_ep
+
+
+def predict(df: DataFrame, features: str, weights: np.ndarray, out: str = "resid_pred") -> DataFrame:
+    """Score rows with fixed weights (numpy inside a Pandas UDF, no dropout)."""
+    from tessera.session import ship_package
+
+    ship_package(df.sparkSession)
+    @F.pandas_udf("double")
+    def score(x: pd.Series) -> pd.Series:
+        X = np.stack(x.to_numpy())
+        W1, b1, W2, b2, W3, b3 = _unpack(weights, X.shape[1])
+        h = np.maximum(X @ W1 + b1, 0.0)
+        h = np.maximum(h @ W2 + b2, 0.0)
+        return pd.Series((h @ W3 + b3).ravel())
+
+    return df.withColumn(out, score(vector_to_array(features)))

@@ -212,3 +212,61 @@ def q_gbt_metrics(spark, d):
 MODEL_QUERIES = {
     name[2:]: fn for name, fn in list(globals().items()) if name.startswith("q_") and callable(fn)
 }
+
+
+# --------------------------------------------------------------------------
+# Residual network (M18b-M20), data-parallel training
+# --------------------------------------------------------------------------
+
+_NET: dict = {}
+
+
+def _net_runs(spark, d) -> dict:
+    """Regularized and unregularized residual networks, trained once per app."""
+    from tessera.functions import features as X
+    from tessera.operators import network as N
+
+    key = (spark.sparkContext.applicationId, d)
+    if key in _NET:
+        return _NET[key]
+    clean = load_clean(spark, d)
+    p = P.tag_three_way(P.lag_panel(clean, MEASURE)).withColumn(
+        "resid", X.residual_target(MEASURE, f"lag1_{MEASURE}")).cache()
+    fit, val, test = (p.filter(F.col("split") == s) for s in ("fit", "validation", "test"))
+    _, _, (xf, xv, xt) = M.design_matrix(fit, [val, test], P.numeric_features(MEASURE), "geo")
+    reg_w, reg_hist, best_ep, stop_ep = N.train(xf, xv, "features", "resid", N.NetConfig(regularized=True))
+    un_w, un_hist, un_best, _ = N.train(xf, xv, "features", "resid",
+                                        N.NetConfig(regularized=False, max_epochs=160, early_stopping=False))
+    scored = N.predict(xt, "features", reg_w).withColumn(
+        "prediction", X.residual_reconstruct(f"lag1_{MEASURE}", "resid_pred"))
+    n_in = len(xf.select(vector_to_array("features").alias("x")).first()["x"])
+    _NET[key] = {"scored": scored.checkpoint(eager=True), "reg_hist": reg_hist, "un_hist": un_hist,
+                 "best_epoch": best_ep, "stop_epoch": stop_ep, "un_best": un_best,
+                 "parameters": N.n_parameters(n_in)}
+    return _NET[key]
+
+
+def q_residual_mlp(spark, d):
+    return _scored_frame(_net_runs(spark, d)["scored"])
+
+
+def q_mlp_history(spark, d):
+    r = _net_runs(spark, d)
+    rows = [("regularized", *h) for h in r["reg_hist"]] + [("unregularized", *h) for h in r["un_hist"]]
+    return spark.createDataFrame(rows, "model string, epoch int, train_loss double, val_loss double, lr double")
+
+
+def q_overfit_gap(spark, d):
+    r = _net_runs(spark, d)
+    last = r["un_hist"][-1]
+    return spark.createDataFrame(
+        [(r["parameters"], r["best_epoch"], r["stop_epoch"], min(h[2] for h in r["reg_hist"]),
+          r["un_best"], last[1], last[2], last[2] - last[1])],
+        "parameters int, best_epoch int, stop_epoch int, best_val_loss double, unreg_best_epoch int, "
+        "unreg_final_train_loss double, unreg_final_val_loss double, unreg_gap double")
+
+
+MODEL_QUERIES.update({
+    name[2:]: fn for name, fn in list(globals().items())
+    if name.startswith("q_") and callable(fn) and name[2:] not in MODEL_QUERIES
+})

@@ -66,3 +66,32 @@ def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     """
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tessera`` importable in Python workers (Pandas UDFs,
+    mapInPandas): zip the package once per application and register it with
+    ``addPyFile`` so Spark distributes it to every executor."""
+    import io
+    import zipfile
+
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
+        for root, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    zf.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    out = tempfile.mkdtemp(prefix="tessera-pkg-")
+    path = os.path.join(out, f"tessera-{uuid.uuid4().hex[:8]}.zip")
+    with open(path, "wb") as fh:
+        fh.write(buf.getvalue())
+    spark.sparkContext.addPyFile(path)
+    _SHIPPED.add(app)

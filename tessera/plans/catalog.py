@@ -597,6 +597,17 @@ def q_conformal_band(spark, d):
     ).select(_r("half_width").alias("half_width"), "test_rows", _r("coverage").alias("coverage"))
 
 
+def q_input_checksum(spark, d):
+    """Per-file checksum of the text extract (rows-only: file layout is
+    the writer's choice)."""
+    from tessera.sources.store import materialize
+    from tessera.sources.text import input_checksums
+
+    text = materialize(spark, d)["text"]
+    return input_checksums(spark, text + "/*.csv").select(
+        F.regexp_extract("path", r"([^/]+)$", 1).alias("file"), "length", "sha256")
+
+
 QUERIES.update({
     name[2:]: fn for name, fn in list(globals().items())
     if name.startswith("q_") and callable(fn) and name[2:] not in QUERIES

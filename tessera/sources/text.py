@@ -74,3 +74,10 @@ def source_profile(df: DataFrame) -> DataFrame:
         F.round(F.sum("s") / F.lit(1024.0 ** 2), 2).alias("source_mb"),
         F.count(F.lit(1)).cast("bigint").alias("source_files"),
     )
+
+
+def input_checksums(spark: SparkSession, path: str) -> DataFrame:
+    """SHA-256 and size of every file of a source, one task per file
+    (``binaryFile`` source; nothing passes through the driver)."""
+    return spark.read.format("binaryFile").load(path).select(
+        F.col("path"), F.col("length").cast("bigint").alias("length"), F.sha2(F.col("content"), 256).alias("sha256"))

@@ -88,19 +88,37 @@ def vector_size(df: DataFrame, col: str = "features") -> int:
 # Clustering of the profile matrix
 # --------------------------------------------------------------------------
 
+def parallel_fits(fns, max_workers: int = 8) -> list:
+    """Run independent fits as concurrent Spark jobs from driver threads
+    (each fit is a sequence of small jobs; threads keep every core busy)."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    fns = list(fns)
+    if len(fns) <= 1:
+        return [f() for f in fns]
+    with ThreadPoolExecutor(max_workers=min(max_workers, len(fns))) as pool:
+        return [f.result() for f in [pool.submit(fn) for fn in fns]]
+
+
 def kmeans_sweep(df: DataFrame, features_col: str, ks=range(2, 9), restarts: int = 5, seed: int = 42):
     """M9: for each k keep the restart with the lowest training cost.
+    All (k, restart) fits run concurrently.
 
     Returns (rows, best_models) where rows = [(k, inertia, seed_used)].
     """
+    grid = [(k, seed + r) for k in ks for r in range(restarts)]
+    fitted = parallel_fits(
+        lambda k=k, s=s: KMeans(k=k, seed=s, featuresCol=features_col, maxIter=300, tol=1e-6).fit(df)
+        for k, s in grid)
     rows, models = [], {}
     for k in ks:
         best = None
-        for r in range(restarts):
-            m = KMeans(k=k, seed=seed + r, featuresCol=features_col, maxIter=300, tol=1e-6).fit(df)
+        for (kk, s), m in zip(grid, fitted):
+            if kk != k:
+                continue
             cost = m.summary.trainingCost
             if best is None or cost < best[0]:
-                best = (cost, m, seed + r)
+                best = (cost, m, s)
         rows.append((k, float(best[0]), best[2]))
         models[k] = best[1]
     return rows, models

@@ -86,7 +86,13 @@ def run_analysis(spark: SparkSession, sf_dir: str, out: str, with_models: bool =
         **audit,
     }
 
-    # ---- descriptive slices
+    # ---- descriptive slices (R2: every slice fed to an aggregate holds one
+    # level per dimension; checked on the national and geography slices)
+    from tessera import contract as K
+    from tessera.operators.slices import assert_single_level, grain_slice
+
+    assert_single_level(grain_slice(clean, K.GRAIN_MONTH, geo=K.GEO_ALL, sex=K.SEX_ALL, band=K.BAND_ALL))
+    assert_single_level(grain_slice(clean, K.GRAIN_TOTAL, sex=K.SEX_ALL, band=K.BAND_ALL), ("grain", "sex", "band"))
     iqr = _row(C.q_iqr_bounds(spark, sf_dir))
     flags = C.q_iqr_flags(spark, sf_dir).filter("iqr_flag")
     nat = _row(C.q_national_totals(spark, sf_dir))

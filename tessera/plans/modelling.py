@@ -199,7 +199,9 @@ def q_gbt_cv(spark, d):
     out = sizes.join(model.select("fold", *[F.col(c).alias("model_" + c) for c in ["mae", "rmse", "r2", "wape_pct"]]),
                      "fold").join(base.select("fold", *[F.col(c).alias("baseline_" + c)
                                                         for c in ["mae", "rmse", "r2", "wape_pct"]]), "fold")
-    return out
+    # Fold winner on MAE
+    return out.withColumn("winner", F.when(F.col("model_mae") < F.col("baseline_mae"), F.lit("model"))
+                          .otherwise(F.lit("baseline")))
 
 
 def q_residual_linear(spark, d):

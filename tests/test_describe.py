@@ -106,3 +106,13 @@ def test_clip_prediction(spark):
     r = spark.range(1).select(X.residual_reconstruct(F.lit(9.0), F.lit(0.0)).alias("v")).first()
     assert r.v == pytest.approx(9.0)
     assert math.isclose(spark.range(1).select(X.month_sin(F.lit(3))).first()[0], 1.0)
+
+
+def test_single_level_guard(spark):
+    from tessera.operators.slices import assert_single_level
+
+    ok = spark.createDataFrame([("By Total", "G", "All", "All Bands")], "grain string, geo string, sex string, band string")
+    assert_single_level(ok)
+    bad = ok.union(spark.createDataFrame([("By Total", "G", "F", "All Bands")], ok.schema))
+    with pytest.raises(ValueError, match="sex"):
+        assert_single_level(bad)

@@ -116,3 +116,29 @@ def test_single_level_guard(spark):
     bad = ok.union(spark.createDataFrame([("By Total", "G", "F", "All Bands")], ok.schema))
     with pytest.raises(ValueError, match="sex"):
         assert_single_level(bad)
+
+
+def test_profile_rowwise_sum_and_min_count(spark):
+    """Yearly row-wise sum skips a null year; the senior sum needs all 3 bands."""
+    from tessera.operators.profile import geo_profile
+
+    def row(grain, year, sex, band, a, total=100.0, b=10.0, ov=5.0, c=3.0):
+        return (grain, year, "G1", sex, band, a, total, b, ov, c)
+
+    rows = [
+        row("By Total", None, "All", "All Bands", 40.0),
+        row("By Total", None, "F", "All Bands", 10.0),
+        row("By Total", None, "O", "All Bands", 30.0),
+        row("By Total", None, "All", "35-39", 5.0),
+        row("By Total", None, "All", "40-44", None),
+        row("By Total", None, "All", "45-50", 7.0),
+        row("By Year", 1995, "All", "All Bands", None),
+        row("By Year", 1996, "All", "All Bands", 6.0),
+        row("By Year", 1997, "All", "All Bands", 2.0),
+    ]
+    df = spark.createDataFrame(rows, "grain string, year int, geo string, sex string, band string, a double, "
+                                     "total double, b double, overlap double, c double")
+    p = geo_profile(df).first()
+    assert p.a_pct_total == 40.0 and p.f_a_pct == 25.0
+    assert p.senior_a_pct is None  # one of three senior bands missing
+    assert p.year_mid_pct == pytest.approx(100 * 6 / 8)  # null year counts as 0

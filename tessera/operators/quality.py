@@ -72,7 +72,7 @@ def missingness(clean: DataFrame, columns=K.MEASURES) -> DataFrame:
     ).select(
         "field",
         F.col("missing_count").cast("bigint").alias("missing_count"),
-        (F.lit(100.0) * F.col("missing_count") / F.col("__n")).alias("missing_percent"),
+        F.try_divide(F.lit(100.0) * F.col("missing_count"), F.col("__n")).alias("missing_percent"),
     )
 
 

@@ -67,7 +67,8 @@ def silhouette_sq_frame(df: DataFrame, features: str = "features", label: str =
     others = [F.when(lab != key, dsum / F.lit(float(n))) for key, (dsum, n) in mean_d.items()]
     a = own
     b = F.least(*others) if len(others) > 1 else others[0]
-    s = F.when(a.isNull(), F.lit(0.0)).otherwise((b - a) / F.greatest(a, b))
+    top = F.greatest(a, b)
+    s = F.when(a.isNull() | (top <= 0), F.lit(0.0)).otherwise((b - a) / top)
     return df.select(s.alias("__s")).agg(F.avg("__s").alias("silhouette_sq"),
                                          F.count(F.lit(1)).cast("bigint").alias("n_points"))
 

@@ -530,7 +530,7 @@ per AS (
          min(CASE WHEN cl <> label THEN dsum / nc END) AS b
   FROM dd GROUP BY vec_id
 )
-SELECT round(avg(CASE WHEN a IS NULL THEN 0.0 ELSE (b - a) / greatest(a, b) END), 6) AS silhouette_sq,
+SELECT round(avg(CASE WHEN a IS NULL OR greatest(a, b) <= 0 THEN 0.0 ELSE (b - a) / greatest(a, b) END), 6) AS silhouette_sq,
        CAST(count(*) AS BIGINT) AS n_points
 FROM per"""
 

@@ -50,8 +50,18 @@ def _band_case(q: Column, bands) -> Column:
     return expr
 
 
+FLAG_A, FLAG_B, FLAG_C = 1, 2, 4  # bit mask of the three base predicates
+
+
 def base_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per lineitem with its geography, status, band pair and flags."""
+    """One compact row per lineitem: nation key, nested flag, status, quantity,
+    ship date and a 3-bit predicate mask.
+
+    Everything derivable from lineitem alone is computed *before* the joins,
+    so the two fact-table shuffles carry ints and a date instead of three
+    doubles, two strings and a timestamp; the nation name (a string) joins
+    only after aggregation, on the bounded fine table.
+    """
     nation = read_table(spark, sf_dir, "nation", "n_nationkey", "n_name")
     customer = read_table(spark, sf_dir, "customer", "c_custkey", "c_nationkey", "c_mktsegment")
     orders = read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey")
@@ -59,50 +69,51 @@ def base_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark, sf_dir, "lineitem",
         "l_orderkey", "l_shipdate", "l_linestatus", "l_quantity", "l_returnflag", "l_discount", "l_tax",
     )
-    cust = customer.join(
-        bounded_broadcast(nation, 10_000), customer.c_nationkey == nation.n_nationkey
-    ).select(
+    nested_keys = bounded_broadcast(
+        nation.filter(F.col("n_name") == K.NESTED_PARENT).select(F.col("n_nationkey").alias("__nk")), 10_000)
+    cust = customer.join(nested_keys, customer.c_nationkey == nested_keys["__nk"], "left").select(
         "c_custkey",
-        F.col("n_name").alias("geo_name"),
-        ((F.col("n_name") == K.NESTED_PARENT) & (F.col("c_mktsegment") == K.NESTED_SEGMENT)).alias("nested"),
+        F.col("c_nationkey").alias("nk"),
+        (F.col("__nk").isNotNull() & (F.col("c_mktsegment") == K.NESTED_SEGMENT)).alias("nested"),
+    )
+    li = lineitem.select(
+        "l_orderkey",
+        F.to_date("l_shipdate").alias("d"),
+        F.col("l_linestatus").alias("ls"),
+        F.col("l_quantity").cast("int").alias("q"),
+        (F.when(F.col("l_returnflag") == K.RETURNFLAG_A, FLAG_A).otherwise(0)
+         + F.when(F.col("l_discount") >= K.DISCOUNT_B_MIN, FLAG_B).otherwise(0)
+         + F.when(F.col("l_tax") >= K.TAX_C_MIN, FLAG_C).otherwise(0)).cast("tinyint").alias("flags"),
     )
     # fact-to-fact joins grow with the data: pin them to sort-merge (spills,
     # AQE splits skewed partitions) instead of trusting a compressed-file-size
     # estimate that can make the planner broadcast a fact table
-    ords = orders.join(cust.hint("merge"), orders.o_custkey == cust.c_custkey).select(
-        "o_orderkey", "geo_name", "nested")
-    li = lineitem.join(ords.hint("merge"), lineitem.l_orderkey == ords.o_orderkey)
-    q = F.col("l_quantity").cast("int")
-    a = F.col("l_returnflag") == K.RETURNFLAG_A
-    b = F.col("l_discount") >= K.DISCOUNT_B_MIN
-    c = F.col("l_tax") >= K.TAX_C_MIN
-    return li.select(
-        "geo_name",
-        "nested",
-        F.col("l_linestatus").alias("ls"),
-        _band_case(q, K.EXCLUSIVE_BANDS).alias("xband"),
-        _band_case(q, K.OVERLAP_BANDS).alias("aband"),
-        F.to_date("l_shipdate").alias("d"),
-        a.cast("int").alias("fa"),
-        b.cast("int").alias("fb"),
-        (a & b).cast("int").alias("fo"),
-        c.cast("int").alias("fc"),
-        (a | b | c).cast("int").alias("fu"),
-    )
+    ords = orders.join(cust.hint("merge"), orders.o_custkey == cust.c_custkey).select("o_orderkey", "nk", "nested")
+    return li.join(ords.hint("merge"), li.l_orderkey == ords.o_orderkey).select(
+        "nk", "nested", "ls", "q", "d", "flags")
 
 
 def fine_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Aggregate the fact rows to the bounded fine key (partial agg before shuffle)."""
-    rows = base_rows(spark, sf_dir).withColumn("m", F.trunc("d", "month"))
-    return rows.groupBy("geo_name", "nested", "ls", "xband", "aband", "m").agg(
+    """Aggregate the fact rows to the bounded fine key (partial agg before
+    shuffle), then attach nation names and band labels to that small table."""
+    rows = base_rows(spark, sf_dir)
+    fl = F.col("flags")
+    fa, fb, fc = ((fl.bitwiseAND(bit) != 0) for bit in (FLAG_A, FLAG_B, FLAG_C))
+    q = F.col("q")
+    agg = rows.groupBy("nk", "nested", "ls", _band_case(q, K.EXCLUSIVE_BANDS).alias("xband"),
+                       _band_case(q, K.OVERLAP_BANDS).alias("aband"), F.trunc("d", "month").alias("m")).agg(
         F.count(F.lit(1)).alias("total"),
-        F.sum("fa").cast("bigint").alias("a"),
-        F.sum("fb").cast("bigint").alias("b"),
-        F.sum("fo").cast("bigint").alias("overlap"),
-        F.sum("fc").cast("bigint").alias("c"),
-        F.sum("fu").cast("bigint").alias("union_cnt"),
+        F.sum(fa.cast("int")).cast("bigint").alias("a"),
+        F.sum(fb.cast("int")).cast("bigint").alias("b"),
+        F.sum((fa & fb).cast("int")).cast("bigint").alias("overlap"),
+        F.sum(fc.cast("int")).cast("bigint").alias("c"),
+        F.sum((fa | fb | fc).cast("int")).cast("bigint").alias("union_cnt"),
         F.max("d").alias("max_d"),
     )
+    names = read_table(spark, sf_dir, "nation", "n_nationkey", "n_name")
+    return agg.join(names, agg.nk == names.n_nationkey).select(
+        F.col("n_name").alias("geo_name"), "nested", "ls", "xband", "aband", "m",
+        *COUNT_COLS, "max_d")
 
 
 def _non_null(arr: Column) -> Column:

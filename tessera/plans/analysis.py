@@ -172,7 +172,13 @@ def run_analysis(spark: SparkSession, sf_dir: str, out: str, with_models: bool =
 
     write_summary(spark, summary, f"{out}/summary_pre_residual")
 
-    # ---- stage 2: residual model block appended to the summary
+    if with_models:
+        cv = ML.q_gbt_cv(spark, sf_dir)
+        write_table(cv, t("supervised_cv_metrics"), ["fold"])
+        summary["supervised"]["cv"] = [{k: (_num(v) if isinstance(v, float) else v) for k, v in r.items()}
+                                       for r in _rows(cv.orderBy("fold"))]
+
+    # ---- stage 2: residual models appended to the summary
     if with_models:
         model, (res,) = M.fit_residual_linear(train, [test], P.numeric_features(C.MEASURE), "geo", C.MEASURE,
                                               f"lag1_{C.MEASURE}")
@@ -182,6 +188,31 @@ def run_analysis(spark: SparkSession, sf_dir: str, out: str, with_models: bool =
             "parameters": len(model.coefficients) + 1,
             "test_metrics": {k: _num(rm[k]) for k in ("mae", "rmse", "r2", "wape_pct")},
         }
+        net = ML._net_runs(spark, sf_dir)
+        deep = net["scored"].withColumn("absolute_error", F.abs(F.col(C.MEASURE) - F.col("prediction")))
+        write_table(deep.select("geo", "start_date", C.MEASURE, f"lag1_{C.MEASURE}", "prediction",
+                                "absolute_error"), t("deep_test_predictions"), ["geo", "start_date"])
+        write_table(deep.select("geo", "start_date", C.MEASURE, f"lag1_{C.MEASURE}"), t("deep_test_meta"),
+                    ["geo", "start_date"])
+        write_table(ML.q_mlp_history(spark, sf_dir), t("network_loss_history"), ["model", "epoch"])
+        dm = _row(E.regression_metrics(deep, C.MEASURE, "prediction"))
+        gap = _row(ML.q_overfit_gap(spark, sf_dir))
+        worst_deep = deep.orderBy(F.desc("absolute_error"), "geo", "start_date").limit(8).select(
+            "geo", fmt.short_month_label("start_date").alias("month"), F.round(C.MEASURE, 1).alias("actual"),
+            F.round("prediction", 1).alias("pred"), F.round("absolute_error", 1).alias("abs_error"))
+        summary["deep_learning"] = {
+            "architecture": "32-16-1 ReLU, residual to persistence, data-parallel Adam",
+            "parameters": gap["parameters"], "best_epoch": gap["best_epoch"], "stopped_epoch": gap["stop_epoch"],
+            "best_val_loss": _num(gap["best_val_loss"], 5),
+            "unregularized": {"best_epoch": gap["unreg_best_epoch"],
+                              "final_train_loss": _num(gap["unreg_final_train_loss"], 5),
+                              "final_val_loss": _num(gap["unreg_final_val_loss"], 5),
+                              "gap": _num(gap["unreg_gap"], 5)},
+            "test_metrics": {k: _num(dm[k]) for k in ("mae", "rmse", "r2", "wape_pct")},
+            "mae_change_vs_persistence_pct": _num(100 * (base["mae"] - dm["mae"]) / base["mae"], 2)
+            if base["mae"] else None,
+            "worst_cases": _rows(worst_deep),
+        }
     write_summary(spark, summary, f"{out}/summary")
     summary["_paths"] = paths
     return summary

@@ -14,9 +14,14 @@ from tessera.functions import features as X
 from tessera.operators.slices import complete_periods, grain_slice, in_domain
 
 
+def _covariates(measure: str, covariates) -> list[str]:
+    """Covariates other than the target (the target's lag1 is already a feature)."""
+    return [c for c in covariates if c != measure]
+
+
 def lag_columns(measure: str = "a", covariates=("total", "b")) -> list[str]:
     return [f"lag1_{measure}", f"lag2_{measure}", f"lag3_{measure}", f"rolling3_{measure}",
-            *[f"lag1_{c}" for c in covariates]]
+            *[f"lag1_{c}" for c in _covariates(measure, covariates)]]
 
 
 NUMERIC_FEATURES_SUFFIX = ["month_sin", "month_cos", "time_index"]
@@ -35,6 +40,7 @@ def monthly_panel(clean: DataFrame, measure: str = "a", covariates=("total", "b"
     ``gap_audit``). ``rolling3`` is the mean of the previous three rows and is
     null unless all three exist.
     """
+    covariates = _covariates(measure, covariates)
     cols = [measure, *covariates]
     p = complete_periods(in_domain(grain_slice(clean, K.GRAIN_MONTH, sex=K.SEX_ALL, band=K.BAND_ALL)))
     p = p.select("geo", "start_date", "month", *cols,

@@ -26,6 +26,7 @@ from tessera.sources.cube import read_table
 from tessera.sources.store import load_clean
 
 MAX_LITERAL_CLUSTERS = 256
+_MEMO_LOCK = __import__("threading").RLock()  # per-application memo caches below
 
 
 def _embeddings(spark: SparkSession, d: str) -> DataFrame:
@@ -89,9 +90,10 @@ def _profile_matrix(spark, d) -> DataFrame:
     """52x7-style matrix: standardized (population std) profile as a vector,
     built once per application and kept on shared storage."""
     key = (spark.sparkContext.applicationId, d)
-    if key not in _MATRIX:
-        _MATRIX[key] = _build_profile_matrix(spark, d)
-    return _MATRIX[key]
+    with _MEMO_LOCK:
+        if key not in _MATRIX:
+            _MATRIX[key] = _build_profile_matrix(spark, d)
+        return _MATRIX[key]
 
 
 def _build_profile_matrix(spark, d) -> DataFrame:
@@ -110,19 +112,24 @@ _SWEEP: dict = {}
 
 def q_kmeans_sweep(spark, d):
     key = (spark.sparkContext.applicationId, d)
-    if key not in _SWEEP:
-        X = _profile_matrix(spark, d)
-        rows, models = M.kmeans_sweep(X, "features", range(2, 9), restarts=5)
-        out = []
-        for k, cost, seed in rows:
-            pred = models[k].transform(X)
-            sil = C.silhouette_sq(pred.withColumn("prediction", F.col("prediction").cast("int")), "features",
-                                  "prediction")
-            out.append((k, cost, float(sil), seed))
-        _SWEEP[key] = out
+    with _MEMO_LOCK:
+        if key not in _SWEEP:
+            _SWEEP[key] = _sweep_rows(spark, d)
     return spark.createDataFrame(_SWEEP[key], "k int, inertia double, silhouette_sq double, seed int")
 
 
+def _sweep_rows(spark, d) -> list:
+    X = _profile_matrix(spark, d)
+    rows, models = M.kmeans_sweep(X, "features", range(2, 9), restarts=5)
+    out = []
+    for k, cost, seed in rows:
+        pred = models[k].transform(X)
+        sil = C.silhouette_sq(pred.withColumn("prediction", F.col("prediction").cast("int")), "features",
+                              "prediction")
+        out.append((k, cost, float(sil), seed))
+    return out
+
+
 def q_kmeans_final(spark, d):
     X = _profile_matrix(spark, d)
     sweep = q_kmeans_sweep(spark, d).orderBy(F.desc("silhouette_sq"), "k").first()
@@ -167,12 +174,14 @@ _GBT_TEST: dict = {}
 def _gbt_test(spark, d) -> DataFrame:
     """Boosted-tree predictions on the test rows, fitted once per application."""
     key = (spark.sparkContext.applicationId, d)
-    if key not in _GBT_TEST:
-        p = _split_panel(spark, d)
-        _, (test,) = M.fit_gbt_forecast(p.filter(F.col("split") == "train"), [p.filter(F.col("split") == "test")],
-                                        P.numeric_features(MEASURE), "geo", MEASURE)
-        _GBT_TEST[key] = test.checkpoint(eager=True)
-    return _GBT_TEST[key]
+    with _MEMO_LOCK:
+        if key not in _GBT_TEST:
+            p = _split_panel(spark, d)
+            _, (test,) = M.fit_gbt_forecast(p.filter(F.col("split") == "train"),
+                                            [p.filter(F.col("split") == "test")],
+                                            P.numeric_features(MEASURE), "geo", MEASURE)
+            _GBT_TEST[key] = test.checkpoint(eager=True)
+        return _GBT_TEST[key]
 
 
 def q_gbt_forecast(spark, d):
@@ -235,12 +244,17 @@ _NET: dict = {}
 
 def _net_runs(spark, d) -> dict:
     """Regularized and unregularized residual networks, trained once per app."""
+    key = (spark.sparkContext.applicationId, d)
+    with _MEMO_LOCK:
+        if key not in _NET:
+            _NET[key] = _train_nets(spark, d)
+        return _NET[key]
+
+
+def _train_nets(spark, d) -> dict:
     from tessera.functions import features as X
     from tessera.operators import network as N
 
-    key = (spark.sparkContext.applicationId, d)
-    if key in _NET:
-        return _NET[key]
     clean = load_clean(spark, d)
     p = P.tag_three_way(P.lag_panel(clean, MEASURE)).withColumn(
         "resid", X.residual_target(MEASURE, f"lag1_{MEASURE}")).cache()
@@ -254,10 +268,8 @@ def _net_runs(spark, d) -> dict:
     scored = N.predict(xt, "features", reg_w).withColumn(
         "prediction", X.residual_reconstruct(f"lag1_{MEASURE}", "resid_pred"))
     n_in = len(xf.select(vector_to_array("features").alias("x")).first()["x"])
-    _NET[key] = {"scored": scored.checkpoint(eager=True), "reg_hist": reg_hist, "un_hist": un_hist,
-                 "best_epoch": best_ep, "stop_epoch": stop_ep, "un_best": un_best,
-                 "parameters": N.n_parameters(n_in)}
-    return _NET[key]
+    return {"scored": scored.checkpoint(eager=True), "reg_hist": reg_hist, "un_hist": un_hist,
+            "best_epoch": best_ep, "stop_epoch": stop_ep, "un_best": un_best, "parameters": N.n_parameters(n_in)}
 
 
 def q_residual_mlp(spark, d):

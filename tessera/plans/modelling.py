@@ -168,20 +168,39 @@ def _scored_frame(df: DataFrame) -> DataFrame:
                      _r(F.abs(F.col(MEASURE) - F.col("prediction"))).alias("absolute_error"))
 
 
-_GBT_TEST: dict = {}
+_GBT: dict = {}
 
 
-def _gbt_test(spark, d) -> DataFrame:
-    """Boosted-tree predictions on the test rows, fitted once per application."""
+def _gbt_fits(spark, d) -> dict:
+    """The final boosted-tree fit and the three expanding-fold fits: four
+    independent fits trained as concurrent jobs, once per application."""
     key = (spark.sparkContext.applicationId, d)
     with _MEMO_LOCK:
-        if key not in _GBT_TEST:
+        if key not in _GBT:
             p = _split_panel(spark, d)
-            _, (test,) = M.fit_gbt_forecast(p.filter(F.col("split") == "train"),
-                                            [p.filter(F.col("split") == "test")],
-                                            P.numeric_features(MEASURE), "geo", MEASURE)
-            _GBT_TEST[key] = test.checkpoint(eager=True)
-        return _GBT_TEST[key]
+            folds = P.fold_rows(p).cache()
+            numeric = P.numeric_features(MEASURE)
+
+            def final():
+                _, (test,) = M.fit_gbt_forecast(p.filter(F.col("split") == "train"),
+                                                [p.filter(F.col("split") == "test")], numeric, "geo", MEASURE)
+                return test.checkpoint(eager=True)
+
+            def fold(label):
+                f = folds.filter(F.col("fold") == label)
+                tr, va = f.filter(F.col("role") == "train"), f.filter(F.col("role") == "validation")
+                _, (scored,) = M.fit_gbt_forecast(tr, [va], numeric, "geo", MEASURE)
+                return scored.select(F.lit(label).alias("fold"), MEASURE, "prediction",
+                                     f"lag1_{MEASURE}").checkpoint(eager=True)
+
+            out = M.parallel_fits([final, *[lambda lbl=lbl: fold(lbl) for lbl, _, _ in K.FOLDS]])
+            _GBT[key] = {"test": out[0], "cv": out[1:]}
+        return _GBT[key]
+
+
+def _gbt_test(spark, d) -> DataFrame:
+    """Boosted-tree predictions on the test rows."""
+    return _gbt_fits(spark, d)["test"]
 
 
 def q_gbt_forecast(spark, d):
@@ -190,16 +209,7 @@ def q_gbt_forecast(spark, d):
 
 def q_gbt_cv(spark, d):
     p = _split_panel(spark, d)
-    folds = P.fold_rows(p).cache()
-
-    def fit_fold(label):
-        f = folds.filter(F.col("fold") == label)
-        tr, va = f.filter(F.col("role") == "train"), f.filter(F.col("role") == "validation")
-        _, (scored,) = M.fit_gbt_forecast(tr, [va], P.numeric_features(MEASURE), "geo", MEASURE)
-        return scored.select(F.lit(label).alias("fold"), MEASURE, "prediction", f"lag1_{MEASURE}")
-
-    # the three folds are independent fits: run them as concurrent jobs
-    rows = M.parallel_fits(lambda lbl=lbl: fit_fold(lbl) for lbl, _, _ in K.FOLDS)
+    rows = _gbt_fits(spark, d)["cv"]
     allv = rows[0]
     for r in rows[1:]:
         allv = allv.unionByName(r)

@@ -20,7 +20,7 @@ from tessera.session import scratch_path
 from tessera.sources.cube import fine_table, render_text, typed_cube
 from tessera.sources.text import read_text_table
 
-_LOCK = threading.Lock()
+_LOCK = threading.RLock()
 _CACHE: dict[tuple[str, str], dict[str, str]] = {}
 
 
@@ -53,12 +53,25 @@ def materialize(spark: SparkSession, sf_dir: str) -> dict[str, str]:
         return paths
 
 
+_FRAMES: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def _frame(spark: SparkSession, sf_dir: str, kind: str, build) -> DataFrame:
+    """Reuse one DataFrame *handle* per (app, input, kind): its file index is
+    listed once, so later queries skip re-listing the files (no data cached)."""
+    key = (*_key(spark, sf_dir), kind)
+    with _LOCK:
+        if key not in _FRAMES:
+            _FRAMES[key] = build(materialize(spark, sf_dir)[kind])
+        return _FRAMES[key]
+
+
 def load_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_text_table(spark, materialize(spark, sf_dir)["text"])
+    return _frame(spark, sf_dir, "text", lambda p: read_text_table(spark, p))
 
 
 def load_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The clean table; filters on ``grain`` prune partitions."""
     from tessera.operators.clean import CLEAN_COLUMNS
 
-    return spark.read.parquet(materialize(spark, sf_dir)["clean"]).select(*CLEAN_COLUMNS)
+    return _frame(spark, sf_dir, "clean", lambda p: spark.read.parquet(p).select(*CLEAN_COLUMNS))

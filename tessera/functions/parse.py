@@ -18,9 +18,11 @@ def strict_date(col: str | Column, fmt: str) -> Column:
 
 
 def lenient_int(col: str | Column) -> Column:
-    """Integer or null (text that is not a number becomes null)."""
+    """Integer or null: any numeric text with an integral value ("2020",
+    "2020.0", "2.02e3") parses; other text becomes null."""
     c = F.col(col) if isinstance(col, str) else col
-    return c.try_cast("int")
+    d = c.try_cast("double")
+    return F.when(d == F.floor(d), d.try_cast("int"))
 
 
 def count_to_double(col: str | Column) -> Column:

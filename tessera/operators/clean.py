@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tessera import contract as K
 from tessera.functions.flags import any_true, partial_period, safe_ratio, suppressed

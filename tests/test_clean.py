@@ -77,3 +77,9 @@ def test_rule_audit_edges(spark):
     assert out.invalid_dates == 2
     assert out.union_lt_components == 1
     assert out.negative_counts == 1
+
+
+def test_lenient_year_numeric_forms(spark):
+    rows = clean(text_rows(spark, [{"Year": "2020"}, {"Year": "2020.0"}, {"Year": "2.02e3"}, {"Year": "2020.5"},
+                                   {"Year": " 2021 "}])).collect()
+    assert [r.year for r in rows] == [2020, 2020, 2020, None, 2021]

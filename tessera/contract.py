@@ -101,7 +101,8 @@ MEASURES = ["a", "total", "b", "overlap", "c", "union_cnt"]
 DATE_COLS = ["data_as_of", "start_date", "end_date"]
 KEY_COLS = ["grain", "year", "month", "geo", "sex", "band"]
 SOURCE_KEY_HEADER = ["Group", "Year", "Month", "Geo", "Sex", "Band"]
-TEXT_DATE_FORMAT = "MM/dd/yyyy"
+TEXT_DATE_FORMAT = "MM/dd/yyyy"  # written form
+TEXT_DATE_PARSE = "M/d/yyyy"  # read form: one or two digit month/day, four-digit year
 
 # Strings pandas' CSV reader turns into missing values by default (public
 # pandas documentation, read_csv na_values); the text scan mirrors them.

@@ -19,7 +19,7 @@ def clean(raw: DataFrame) -> DataFrame:
     """P1-P10 as one projection (a single Project node after Catalyst)."""
     df = raw.withColumnsRenamed(K.RENAME)
     df = df.select(
-        *[strict_date(c, K.TEXT_DATE_FORMAT).alias(c) for c in K.DATE_COLS],
+        *[strict_date(c, K.TEXT_DATE_PARSE).alias(c) for c in K.DATE_COLS],
         "grain",
         lenient_int("year").alias("year"),
         lenient_int("month").alias("month"),

@@ -83,3 +83,8 @@ def test_lenient_year_numeric_forms(spark):
     rows = clean(text_rows(spark, [{"Year": "2020"}, {"Year": "2020.0"}, {"Year": "2.02e3"}, {"Year": "2020.5"},
                                    {"Year": " 2021 "}])).collect()
     assert [r.year for r in rows] == [2020, 2020, 2020, None, 2021]
+
+
+def test_single_digit_month_and_day_parse(spark):
+    r = clean(text_rows(spark, [{"Start Date": "1/5/2020", "End Date": "1/31/2020"}])).first()
+    assert str(r.start_date) == "2020-01-05" and str(r.end_date) == "2020-01-31"

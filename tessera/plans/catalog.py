@@ -597,6 +597,18 @@ def q_conformal_band(spark, d):
     ).select(_r("half_width").alias("half_width"), "test_rows", _r("coverage").alias("coverage"))
 
 
+def q_national_series(spark, d):
+    """V3: the national monthly series including the partial last month,
+    with the peak among complete months flagged (single pass; the peak is a
+    windowless aggregate joined back on the slice keys)."""
+    n = _national(_clean(spark, d), K.GRAIN_MONTH)
+    peak = S.complete_periods(n).groupBy("grain", "geo", "sex", "band").agg(
+        D.arg_max(F.col("a"), F.col("start_date")).alias("__peak"))
+    j = n.join(peak, ["grain", "geo", "sex", "band"], "left")
+    return j.select(_iso("start_date"), "a", "total", "is_partial_period",
+                    F.coalesce(F.col("start_date") == F.col("__peak"), F.lit(False)).alias("is_peak"))
+
+
 def q_input_checksum(spark, d):
     """Per-file checksum of the text extract (rows-only: file layout is
     the writer's choice)."""

@@ -26,7 +26,7 @@ from tessera.sources.cube import read_table
 from tessera.sources.store import load_clean
 
 MAX_LITERAL_CLUSTERS = 256
-_MEMO_LOCK = __import__("threading").RLock()  # per-application memo caches below
+_LOCKS = {name: __import__("threading").RLock() for name in ("matrix", "sweep", "gbt", "net")}
 
 
 def _embeddings(spark: SparkSession, d: str) -> DataFrame:
@@ -90,7 +90,7 @@ def _profile_matrix(spark, d) -> DataFrame:
     """52x7-style matrix: standardized (population std) profile as a vector,
     built once per application and kept on shared storage."""
     key = (spark.sparkContext.applicationId, d)
-    with _MEMO_LOCK:
+    with _LOCKS["matrix"]:
         if key not in _MATRIX:
             _MATRIX[key] = _build_profile_matrix(spark, d)
         return _MATRIX[key]
@@ -112,7 +112,7 @@ _SWEEP: dict = {}
 
 def q_kmeans_sweep(spark, d):
     key = (spark.sparkContext.applicationId, d)
-    with _MEMO_LOCK:
+    with _LOCKS["sweep"]:
         if key not in _SWEEP:
             _SWEEP[key] = _sweep_rows(spark, d)
     return spark.createDataFrame(_SWEEP[key], "k int, inertia double, silhouette_sq double, seed int")
@@ -175,7 +175,7 @@ def _gbt_fits(spark, d) -> dict:
     """The final boosted-tree fit and the three expanding-fold fits: four
     independent fits trained as concurrent jobs, once per application."""
     key = (spark.sparkContext.applicationId, d)
-    with _MEMO_LOCK:
+    with _LOCKS["gbt"]:
         if key not in _GBT:
             p = _split_panel(spark, d)
             folds = P.fold_rows(p).cache()
@@ -255,7 +255,7 @@ _NET: dict = {}
 def _net_runs(spark, d) -> dict:
     """Regularized and unregularized residual networks, trained once per app."""
     key = (spark.sparkContext.applicationId, d)
-    with _MEMO_LOCK:
+    with _LOCKS["net"]:
         if key not in _NET:
             _NET[key] = _train_nets(spark, d)
         return _NET[key]
@@ -306,3 +306,27 @@ MODEL_QUERIES.update({
     name[2:]: fn for name, fn in list(globals().items())
     if name.startswith("q_") and callable(fn) and name[2:] not in MODEL_QUERIES
 })
+
+
+def q_forecast_monthly_models(spark, d):
+    """Per test month, rows and the sums of actual, boosted-tree,
+    residual-network and persistence forecasts on identical rows (the
+    monthly rollup table of the reference's two scripts)."""
+    # the two model families are independent: train (or fetch) them concurrently
+    M.parallel_fits([lambda: _gbt_test(spark, d), lambda: _net_runs(spark, d)])
+    trees = _gbt_test(spark, d).select("geo", "start_date", MEASURE, f"lag1_{MEASURE}",
+                                       F.col("prediction").alias("trees"))
+    net = _net_runs(spark, d)["scored"].select("geo", "start_date", F.col("prediction").alias("network"))
+    j = trees.join(net, ["geo", "start_date"], "inner")
+    g = j.groupBy("start_date").agg(
+        F.count(F.lit(1)).cast("bigint").alias("rows"),
+        F.sum(MEASURE).alias("actual"),
+        F.sum("trees").alias("trees"),
+        F.sum("network").alias("network"),
+        F.sum(f"lag1_{MEASURE}").alias("persistence"),
+    )
+    return g.select(_iso("start_date"), "rows", "actual", _r("trees", 3).alias("trees"),
+                    _r("network", 3).alias("network"), "persistence")
+
+
+MODEL_QUERIES["forecast_monthly_models"] = q_forecast_monthly_models

@@ -504,6 +504,13 @@ FROM panel, (SELECT quantile_cont(abs(a - greatest(rolling3_a, 0.0)), 0.9) AS q
 WHERE start_date BETWEEN DATE '{K.TEST_START}' AND DATE '{K.TEST_END}'
 GROUP BY q"""
 
+SQL_BODIES["national_series"] = f"""
+SELECT CAST(c.start_date AS VARCHAR) AS start_date, c.a, c.total, c.is_partial_period,
+       coalesce(c.start_date = p.peak, false) AS is_peak
+FROM clean c, (SELECT start_date AS peak FROM nat_month WHERE a IS NOT NULL ORDER BY a DESC, start_date LIMIT 1) p
+WHERE c.grain = {_q(K.GRAIN_MONTH)} AND c.geo = {_q(K.GEO_ALL)} AND c.sex = {_q(K.SEX_ALL)}
+  AND c.band = {_q(K.BAND_ALL)}"""
+
 _EMB = """,
 emb AS (
   SELECT vec_id, label, CAST(unnest(embedding) AS DOUBLE) AS v, generate_subscripts(embedding, 1) AS i

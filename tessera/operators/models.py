@@ -184,6 +184,22 @@ def fit_gbt_forecast(train: DataFrame, scored: list[DataFrame], numeric: list[st
     return model, out
 
 
+def fit_gbt_early_stopping(fit: DataFrame, valid: DataFrame, scored: list[DataFrame], numeric: list[str],
+                           category: str, target: str, max_iter: int = 350, tol: float = 0.01, seed: int = 42):
+    """M19 (boosted-tree twin): stop adding trees once the validation error
+    stops improving by ``tol`` (relative). The feature pipeline is fitted on
+    the fit rows only; validation rows are flagged, not trained on."""
+    fit = fit.withColumn("log_target", X.log_target(target))
+    valid = valid.withColumn("log_target", X.log_target(target))
+    _, _, frames = design_matrix(fit, [valid, *scored], numeric, category)
+    both = frames[0].withColumn("is_val", F.lit(False)).unionByName(frames[1].withColumn("is_val", F.lit(True)))
+    est = gbt_model(max_iter=max_iter, seed=seed).setValidationIndicatorCol("is_val")
+    est.set(est.validationTol, tol)
+    model = est.fit(size_partitions(both).cache())
+    out = [model.transform(f).withColumn("prediction", X.inverse_log_target("log_pred")) for f in frames[2:]]
+    return model, out
+
+
 def fit_residual_linear(train: DataFrame, scored: list[DataFrame], numeric: list[str], category: str,
                         target: str, base: str, reg: float = 1e-3):
     """M18(a): Huber regression of log1p(y) - log1p(base); prediction =

@@ -193,8 +193,15 @@ def _gbt_fits(spark, d) -> dict:
                 return scored.select(F.lit(label).alias("fold"), MEASURE, "prediction",
                                      f"lag1_{MEASURE}").checkpoint(eager=True)
 
-            out = M.parallel_fits([final, *[lambda lbl=lbl: fold(lbl) for lbl, _, _ in K.FOLDS]])
-            _GBT[key] = {"test": out[0], "cv": out[1:]}
+            def early():
+                three = P.tag_three_way(P.lag_panel(load_clean(spark, d), MEASURE))
+                model, (test,) = M.fit_gbt_early_stopping(
+                    three.filter(F.col("split") == "fit"), three.filter(F.col("split") == "validation"),
+                    [three.filter(F.col("split") == "test")], numeric, "geo", MEASURE)
+                return model.getNumTrees, test.checkpoint(eager=True)
+
+            out = M.parallel_fits([final, early, *[lambda lbl=lbl: fold(lbl) for lbl, _, _ in K.FOLDS]])
+            _GBT[key] = {"test": out[0], "early": out[1], "cv": out[2:]}
         return _GBT[key]
 
 
@@ -330,3 +337,15 @@ def q_forecast_monthly_models(spark, d):
 
 
 MODEL_QUERIES["forecast_monthly_models"] = q_forecast_monthly_models
+
+
+def q_gbt_early_stopping(spark, d):
+    """M19 twin: boosted trees with validation-based early stopping (fit /
+    validation / test split of the network); trees used and test metrics."""
+    n_trees, test = _gbt_fits(spark, d)["early"]
+    m = E.regression_metrics(test, MEASURE, "prediction")
+    return m.select(F.lit(n_trees).alias("trees_used"), F.lit(350).alias("max_trees"), "n",
+                    *[_r(c).alias(c) for c in ["mae", "rmse", "r2", "wape_pct"]])
+
+
+MODEL_QUERIES["gbt_early_stopping"] = q_gbt_early_stopping

@@ -76,3 +76,14 @@ def test_kmeans_cost_equals_inertia(spark):
     rows, models = M.kmeans_sweep(df, "features", [2], restarts=2)
     pred = models[2].transform(df).withColumn("prediction", F.col("prediction").cast("int"))
     assert rows[0][1] == pytest.approx(C.training_cost(pred, "features", "prediction"))
+
+
+def test_gbt_early_stopping_stops(spark):
+    rng = np.random.default_rng(5)
+    xs = rng.uniform(0, 10, 300)
+    rows = [(i, float(x), float(x % 7), "g%d" % (i % 3), float(10.0 + 3 * x + rng.normal())) for i, x in enumerate(xs)]
+    df = spark.createDataFrame(rows, "id int, x double, z double, geo string, y double")
+    fit, val, test = df.filter("id < 200"), df.filter("id >= 200 AND id < 260"), df.filter("id >= 260")
+    model, (scored,) = M.fit_gbt_early_stopping(fit, val, [test], ["x", "z"], "geo", "y", max_iter=200, tol=0.01)
+    assert model.getNumTrees < 200
+    assert scored.filter(F.col("prediction").isNull()).count() == 0

@@ -31,3 +31,20 @@ def test_na_tokens_become_null(spark):
         .csv(out + "/x")
     r = read_text_table(spark, out + "/x").first()
     assert r["A Count"] is None and r["Footnote"] is None
+
+
+def test_source_profile_and_checksums(spark):
+    import os
+
+    from tessera.sources.store import load_text, materialize
+    from tessera.sources.text import input_checksums, source_profile
+
+    sf = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf):
+        pytest.skip("driver test data not present")
+    prof = source_profile(load_text(spark, sf)).first()
+    assert prof.raw_rows == 125307 and prof.raw_columns == 16
+    assert prof.source_mb > 0 and prof.source_files >= 1
+    sums = input_checksums(spark, materialize(spark, sf)["text"] + "/*.csv").collect()
+    assert len(sums) == prof.source_files
+    assert all(len(r.sha256) == 64 and r.length > 0 for r in sums)

@@ -88,3 +88,15 @@ def test_lenient_year_numeric_forms(spark):
 def test_single_digit_month_and_day_parse(spark):
     r = clean(text_rows(spark, [{"Start Date": "1/5/2020", "End Date": "1/31/2020"}])).first()
     assert str(r.start_date) == "2020-01-05" and str(r.end_date) == "2020-01-31"
+
+
+def test_malformed_date_raises_without_ansi(spark):
+    prev = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        with pytest.raises((PySparkException, Py4JJavaError)):
+            clean(text_rows(spark, [{"End Date": "02/30/2020"}])).collect()
+        # lenient parts stay lenient
+        assert clean(text_rows(spark, [{"A Count": "x1"}])).first().a is None
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", prev)

@@ -143,3 +143,9 @@ FOLDS = [
 ]
 FIT_END = "1999-07-01"  # network fit rows: start_date < FIT_END
 VALID_START, VALID_END = "1999-07-01", "1999-12-01"
+
+# Model parameters (reference values in comments where ours differ)
+KMEANS_KS = range(2, 9)
+KMEANS_RESTARTS = 5  # reference: 50 per k and 100 for the final fit; raise for closer parity
+GBT_ROUNDS = 350
+GBT_EARLY_STOP_TOL = 0.01

@@ -19,6 +19,7 @@ import sys
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera import contract as K
 from tessera.functions import fmt
 from tessera.operators import evaluate as E
 from tessera.operators import models as M
@@ -62,7 +63,7 @@ def read_summary(spark: SparkSession, path: str) -> DataFrame:
 
 
 def run_analysis(spark: SparkSession, sf_dir: str, out: str, with_models: bool = True,
-                 gbt_iter: int = 350) -> dict:
+                 gbt_iter: int = K.GBT_ROUNDS) -> dict:
     paths = materialize(spark, sf_dir)
     clean, raw = load_clean(spark, sf_dir), load_text(spark, sf_dir)
     t = lambda name: f"{out.rstrip('/')}/tables/{name}"
@@ -88,7 +89,6 @@ def run_analysis(spark: SparkSession, sf_dir: str, out: str, with_models: bool =
 
     # ---- descriptive slices (R2: every slice fed to an aggregate holds one
     # level per dimension; checked on the national and geography slices)
-    from tessera import contract as K
     from tessera.operators.slices import assert_single_level, grain_slice
 
     assert_single_level(grain_slice(clean, K.GRAIN_MONTH, geo=K.GEO_ALL, sex=K.SEX_ALL, band=K.BAND_ALL))
@@ -147,7 +147,7 @@ def run_analysis(spark: SparkSession, sf_dir: str, out: str, with_models: bool =
     }
     if with_models:
         numeric = P.numeric_features(C.MEASURE)
-        if gbt_iter == 350:  # the registered fits (final + folds, trained concurrently once per app)
+        if gbt_iter == K.GBT_ROUNDS:  # the registered fits (final + folds, trained concurrently once per app)
             scored = ML._gbt_test(spark, sf_dir)
         else:
             _, (scored,) = M.fit_gbt_forecast(train, [test], numeric, "geo", C.MEASURE, max_iter=gbt_iter)
@@ -226,7 +226,7 @@ def main(argv=None) -> int:
     ap.add_argument("--sf-dir", required=True)
     ap.add_argument("--out", required=True)
     ap.add_argument("--no-models", action="store_true")
-    ap.add_argument("--gbt-iter", type=int, default=350)
+    ap.add_argument("--gbt-iter", type=int, default=K.GBT_ROUNDS)
     a = ap.parse_args(argv)
     from tessera.session import local_session
 

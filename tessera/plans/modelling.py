@@ -120,7 +120,7 @@ def q_kmeans_sweep(spark, d):
 
 def _sweep_rows(spark, d) -> list:
     X = _profile_matrix(spark, d)
-    rows, models = M.kmeans_sweep(X, "features", range(2, 9), restarts=5)
+    rows, models = M.kmeans_sweep(X, "features", K.KMEANS_KS, restarts=K.KMEANS_RESTARTS)
     out = []
     for k, cost, seed in rows:
         pred = models[k].transform(X)
@@ -133,7 +133,7 @@ def _sweep_rows(spark, d) -> list:
 def q_kmeans_final(spark, d):
     X = _profile_matrix(spark, d)
     sweep = q_kmeans_sweep(spark, d).orderBy(F.desc("silhouette_sq"), "k").first()
-    _, models = M.kmeans_sweep(X, "features", [sweep["k"]], restarts=5)
+    _, models = M.kmeans_sweep(X, "features", [sweep["k"]], restarts=K.KMEANS_RESTARTS)
     pred = models[sweep["k"]].transform(X).withColumnRenamed("prediction", "grp")
     relabeled = PR.relabel_groups(pred, "a_pct_total").withColumnRenamed("new_group", "cluster")
     proj, _ = M.pca_2d(relabeled, "features")
@@ -183,13 +183,14 @@ def _gbt_fits(spark, d) -> dict:
 
             def final():
                 _, (test,) = M.fit_gbt_forecast(p.filter(F.col("split") == "train"),
-                                                [p.filter(F.col("split") == "test")], numeric, "geo", MEASURE)
+                                                [p.filter(F.col("split") == "test")], numeric, "geo", MEASURE,
+                                                max_iter=K.GBT_ROUNDS)
                 return test.checkpoint(eager=True)
 
             def fold(label):
                 f = folds.filter(F.col("fold") == label)
                 tr, va = f.filter(F.col("role") == "train"), f.filter(F.col("role") == "validation")
-                _, (scored,) = M.fit_gbt_forecast(tr, [va], numeric, "geo", MEASURE)
+                _, (scored,) = M.fit_gbt_forecast(tr, [va], numeric, "geo", MEASURE, max_iter=K.GBT_ROUNDS)
                 return scored.select(F.lit(label).alias("fold"), MEASURE, "prediction",
                                      f"lag1_{MEASURE}").checkpoint(eager=True)
 
@@ -197,7 +198,8 @@ def _gbt_fits(spark, d) -> dict:
                 three = P.tag_three_way(P.lag_panel(load_clean(spark, d), MEASURE))
                 model, (test,) = M.fit_gbt_early_stopping(
                     three.filter(F.col("split") == "fit"), three.filter(F.col("split") == "validation"),
-                    [three.filter(F.col("split") == "test")], numeric, "geo", MEASURE)
+                    [three.filter(F.col("split") == "test")], numeric, "geo", MEASURE,
+                    max_iter=K.GBT_ROUNDS, tol=K.GBT_EARLY_STOP_TOL)
                 return model.getNumTrees, test.checkpoint(eager=True)
 
             out = M.parallel_fits([final, early, *[lambda lbl=lbl: fold(lbl) for lbl, _, _ in K.FOLDS]])
@@ -344,7 +346,7 @@ def q_gbt_early_stopping(spark, d):
     validation / test split of the network); trees used and test metrics."""
     n_trees, test = _gbt_fits(spark, d)["early"]
     m = E.regression_metrics(test, MEASURE, "prediction")
-    return m.select(F.lit(n_trees).alias("trees_used"), F.lit(350).alias("max_trees"), "n",
+    return m.select(F.lit(n_trees).alias("trees_used"), F.lit(K.GBT_ROUNDS).alias("max_trees"), "n",
                     *[_r(c).alias(c) for c in ["mae", "rmse", "r2", "wape_pct"]])
 
 

@@ -1,10 +1,63 @@
-"""Corpus pipeline: a chain of stages, each on everything its predecessor kept."""
+"""Corpus pipeline: documents to a training mix, in five stages.
+
+Each stage is one operator of ``tessera.llm`` and works on everything its predecessor kept. All but the
+last return the columns of ``documents``; ``n_chars`` follows the text where a stage changes it.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+#: Documents whose main language holds less than this share of their letters are rejected, as are those without a letter.
+MIN_LANGUAGE_SCORE = 0.3
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    from tessera.llm.language_id import UNDETERMINED, identify, label_languages
+
+    labelled = label_languages(docs, identify(docs))
+    kept = labelled.where((F.col("lang_pred") != UNDETERMINED) & (F.col("lang_score") >= MIN_LANGUAGE_SCORE))
+    return kept.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    from tessera.llm.line_dedup import dedup_lines
+
+    kept = dedup_lines(docs)
+    return kept.withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
+
+
+def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    from tessera.llm.simhash import one_of_each
+
+    return one_of_each(docs, shingle=3, max_bits=2)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    from tessera.llm.common import table
+    from tessera.llm.decontaminate import clean_documents
+
+    return clean_documents(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix: one row for each piece of a document in a slot of an output shard."""
+    from tessera.llm.mixing import mix
+
+    pieces = mix(docs, weights=(3, 1, 2), share=1.5, max_repeat=2).where("n > 0")
+    return pieces.select("shard", "slot", "block", "source", F.col("id").alias("doc_id"), F.col("first").alias("first_word"), F.col("n").alias("n_words"), "text")
+
+
+STAGES = [
+    ("language ID", language_id),
+    ("line dedup", line_dedup),
+    ("SimHash near-dedup", simhash_dedup),
+    ("benchmark decontamination", decontamination),
+    ("mixing", mixing),
+]
 
-STAGES: list = []
+#: The first and third stage are beyond SQL; tests hold the pipeline against a brute-force version.
 ORACLE_SQL = None
 
 

@@ -38,6 +38,11 @@ def lower_az(c: Column) -> Column:
     return F.when(F.octet_length(c) == F.char_length(c), F.lower(c)).otherwise(F.translate(c, UPPER_AZ, LOWER_AZ))
 
 
+def text_bytes(c: Column) -> Column:
+    """The UTF-8 bytes of a text; ``bytes.split`` on them splits at exactly the whitespace of ``WORD_RE``."""
+    return c.cast("binary")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -79,8 +79,11 @@ def keep_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, text_hash, n_lines, n_dropped, kept_text) for every input row."""
-    rows = _rows(docs, id_col, text_col).alias("d")
+    """(row, id, n_lines, n_dropped, kept_text) for every input row; row is a struct of
+    all columns but the text."""
+    text = F.coalesce(docs[text_col], F.lit(""))
+    others = F.struct(*[docs[f"`{c}`"] for c in docs.columns if c != text_col])
+    rows = docs.select(others.alias("row"), docs[id_col].alias("id"), text.alias("text"), F.xxhash64(text).alias("text_hash"))
     maps = bitmaps.select(
         F.col("id").alias("map_id"), F.col("text_hash").alias("map_hash"), F.col("n_dropped").alias("map_dropped"), "keep_runs")
     joined = rows.join(
@@ -89,6 +92,12 @@ def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", t
     lines = text_lines(F.col("text"))
     kept = F.array_join(F.flatten(F.transform("keep_runs", lambda r: F.slice(F.col("lines"), r["start"] + 1, r["length"]))), "\n")
     return joined.withColumn("lines", lines).select(
-        "id", "text_hash", F.size("lines").cast("long").alias("n_lines"),
+        "row", "id", F.size("lines").cast("long").alias("n_lines"),
         F.coalesce("map_dropped", F.lit(0)).cast("long").alias("n_dropped"),
         F.when(F.col("keep_runs").isNull(), F.col("text")).otherwise(kept).alias("kept_text"))
+
+
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_key_chars: int = 10) -> DataFrame:
+    """``docs`` with the text reduced to its kept lines; same columns and rows."""
+    kept = apply_bitmaps(docs, keep_bitmaps(docs, id_col, text_col, min_key_chars), id_col, text_col)
+    return kept.select(*[F.col("kept_text").alias(c) if c == text_col else F.col("row").getField(c).alias(c) for c in docs.columns])

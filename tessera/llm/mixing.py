@@ -41,7 +41,7 @@ def text_size(text: Column) -> Column:
 def document_sizes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     return docs.select(
         docs[id_col].alias("id"), docs[source_col].cast("string").alias("source"),
-        text_size(docs[text_col]).alias("size"), F.xxhash64(docs[text_col]).alias("text_hash"))
+        text_size(docs[text_col]).alias("size"), F.xxhash64(docs[text_col]).alias("text_hash"), docs[text_col].alias("text"))
 
 
 def source_targets(sizes: DataFrame, weights: Sequence[float], share: float, max_repeat: int) -> DataFrame:
@@ -135,10 +135,9 @@ def mix(docs: DataFrame, weights: Sequence[float], share: float, max_repeat: int
     first (token of the piece within the document), n (tokens) and, if ``with_text``, the piece's
     words joined by spaces. Documents of which nothing is taken keep one row with n = 0 and no shard."""
     narrow = document_sizes(docs, id_col, text_col, source_col)
-    sizes = stash(narrow, "mix-sizes")
+    sizes = stash(narrow.drop("text"), "mix-sizes")
     sources = stash(source_targets(sizes, weights, share, max_repeat), "mix-sources")
-    rows = narrow.withColumn("text", docs[text_col]) if with_text else sizes
-    pieces = block_pieces(place_documents(rows, sizes, sources, seed), block)
+    pieces = block_pieces(place_documents(narrow if with_text else sizes, sizes, sources, seed), block)
     slots = draw_slots(sources, block, seed, slots_per_shard)
     mixed = pieces.join(slots, ["s", "block"], "left")
     n = F.greatest(F.least(F.col("n"), F.col("block") * block + F.col("take") - F.col("first")), F.lit(0).cast("long"))

@@ -3,15 +3,27 @@ production parameters, to the whole table and derives the contract's columns."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.common import Query, table
+from tessera.session import scratch_path
 
 URL_HOST_RULES = (("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block"))
 URL_BLOCK_WORDS = ("adult", "casino", "casino-win", "cheap-pills", "porn", "xxx", "viagra", "betting")
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.language_id import held_out, identify, label_languages
+
+    docs = table(spark, sf_dir, "documents")
+    labelled = label_languages(docs.select("doc_id", "text"), identify(docs))
+    return labelled.select("row.doc_id", held_out(F.col("row.doc_id")).alias("held_out"), "lang_pred", F.col("lang_score").alias("score"),
+                           F.size("spans").cast("long").alias("n_spans"))
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessera.llm.mixing import mix, taken_words
 
@@ -19,6 +31,30 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taken_words(pieces).select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.warc import read_archives, write_archives
+
+    path = scratch_path(spark, "llm", f"warc-{uuid.uuid4().hex}")
+    write_archives(table(spark, sf_dir, "pages"), path, min_revisit_bytes=0)
+    records = read_archives(spark, path)
+    return records.select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.simhash import hex_fingerprint, near_duplicates
+
+    found = near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
+    return found.select(F.col("id").alias("doc_id"), hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.suffix_dedup import remove_repeats
+
+    kept = remove_repeats(table(spark, sf_dir, "documents"), min_bytes=200)
+    return kept.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
+                       F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessera.llm.url_filter import host_rule, judge_urls, word_rule
 
@@ -35,8 +71,29 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select(F.col("id").alias("doc_id"), "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.decontaminate import mark_documents
+
+    marked = mark_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return marked.withColumnRenamed("id", "doc_id")
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.quality import document_stats, judge_documents
+
+    judged = judge_documents(document_stats(table(spark, sf_dir, "documents")))
+    return judged.select(F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                         "base_failed", "kept", "n_removed_words")
+
+
 QUERIES: dict[str, Query] = {
+    "op1_language_id": op1_language_id,
     "op2_mixing": op2_mixing,
+    "op3_warc": op3_warc,
+    "op4_simhash": op4_simhash,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_url_filter": op6_url_filter,
     "op8_line_dedup": op8_line_dedup,
+    "op9_decontamination": op9_decontamination,
+    "op10_quality": op10_quality,
 }

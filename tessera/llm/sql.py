@@ -38,4 +38,30 @@ SELECT k.doc_id, count(*) AS n_lines, count(*) FILTER (owner IS NOT NULL AND own
 FROM k LEFT JOIN owners USING (key) GROUP BY rn, k.doc_id
 """
 
-ORACLES = {"op6_url_filter": OP6, "op8_line_dedup": OP8}
+_WORD = "'[^\\x20\\x09-\\x0D]+'"
+
+OP10 = f"""
+WITH d AS (SELECT row_number() OVER () AS rn, doc_id, source, coalesce(text, '') AS text FROM documents),
+w AS (SELECT rn, doc_id, source, text, regexp_extract_all(text, {_WORD}) AS words FROM d),
+x AS (SELECT rn, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM w),
+g AS (SELECT rn, i, word, lead(word) OVER o AS b, lead(word, 2) OVER o AS c FROM x WINDOW o AS (PARTITION BY rn ORDER BY i)),
+twice AS (SELECT rn, i FROM (SELECT rn, i, count(*) OVER (PARTITION BY rn, word, b, c) AS n FROM g WHERE c IS NOT NULL) WHERE n > 1),
+covered AS (SELECT rn, count(DISTINCT i + k) AS n_repeat_words FROM twice, (VALUES (0), (1), (2)) AS s(k) GROUP BY rn),
+l AS (SELECT rn, doc_id, source, unnest(string_split(text, chr(10))) AS line FROM d),
+lw AS (SELECT rn, doc_id, source, line, regexp_extract_all(line, {_WORD}) AS words FROM l),
+lk AS (SELECT rn, doc_id, source, line, len(words) AS n, translate(array_to_string(words, ' '), {_AZ}) AS key FROM lw WHERE len(words) > 0),
+dup AS (SELECT rn, count(*) - count(DISTINCT line) AS n_dup_lines FROM lk GROUP BY rn),
+hosts AS (SELECT source, count(*) AS host_docs FROM d GROUP BY source),
+freq AS (SELECT source, key, count(DISTINCT doc_id) AS n_docs FROM lk GROUP BY source, key),
+over AS (SELECT freq.source, key FROM freq JOIN hosts ON freq.source IS NOT DISTINCT FROM hosts.source WHERE n_docs > greatest(20.0, host_docs * 0.01)),
+gone AS (SELECT rn, sum(n) AS removed FROM lk JOIN over ON lk.key = over.key AND lk.source IS NOT DISTINCT FROM over.source GROUP BY rn),
+s AS (SELECT rn, doc_id, len(words) AS n_words, coalesce(list_sum(list_transform(words, lambda z: length(z))), 0) AS word_chars,
+             length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols FROM w),
+a AS (SELECT s.rn, doc_id, n_words, word_chars, n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+             coalesce(removed, 0) AS n_removed_words, n_words < 50 OR 100 * coalesce(n_repeat_words, 0) > 50 * n_words AS base_failed
+      FROM s LEFT JOIN dup USING (rn) LEFT JOIN covered USING (rn) LEFT JOIN gone USING (rn))
+SELECT doc_id, n_words, word_chars::BIGINT AS word_chars, n_symbols, n_dup_lines, n_repeat_words, n_removed_words::BIGINT AS n_removed_words, base_failed,
+       NOT base_failed AND NOT n_words - n_removed_words < 0.5 * n_words AS kept FROM a
+"""
+
+ORACLES = {"op10_quality": OP10, "op6_url_filter": OP6, "op8_line_dedup": OP8}

@@ -139,7 +139,8 @@ def mix(docs: DataFrame, weights: Sequence[float], share: float, max_repeat: int
     sources = stash(source_targets(sizes, weights, share, max_repeat), "mix-sources")
     pieces = block_pieces(place_documents(narrow if with_text else sizes, sizes, sources, seed), block)
     slots = draw_slots(sources, block, seed, slots_per_shard)
-    mixed = pieces.join(slots, ["s", "block"], "left")
+    # the planner measures slots before they are exploded, so it must not choose to broadcast them
+    mixed = pieces.join(slots.hint("merge"), ["s", "block"], "left")
     n = F.greatest(F.least(F.col("n"), F.col("block") * block + F.col("take") - F.col("first")), F.lit(0).cast("long"))
     drawn = F.when(F.col("take").isNotNull(), n).otherwise(F.lit(0).cast("long"))
     mixed = mixed.withColumn("n", F.coalesce(drawn, F.lit(0).cast("long"))).withColumn("first", F.col("first") - F.col("start"))

@@ -34,19 +34,20 @@ def local_session(cpus: int | str = "*", app: str = "tessera", shuffle_partition
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for materialized intermediates.
 
-    Uses the cluster's ``spark.checkpoint.dir``; only when it is unset (tests,
-    ad-hoc local runs) a private scratch folder is created and registered.
+    Uses the cluster's ``spark.checkpoint.dir``. Only a local master may leave it
+    unset (tests, ad-hoc runs): then a private scratch folder is created and
+    registered. On any other master a driver-local folder would be invisible to the executors, so that is an error.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         path = spark.sparkContext.getCheckpointDir()
     if not path:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="tessera-ckpt-")
         spark.sparkContext.setCheckpointDir(path)
-    else:
-        # make sure DataFrame.checkpoint() works as well
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(path)
+    elif not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(path)  # DataFrame.checkpoint() works as well
     return path.rstrip("/")
 
 
@@ -54,8 +55,27 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([checkpoint_root(spark), "tessera", *parts])
 
 
-def unique_scratch(spark: SparkSession, name: str) -> str:
-    return scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
+def write_scratch(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once to shared storage and read it back: the lineage is cut and the number of partitions of
+    the result follows its size."""
+    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex[:12]}")
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def input_state(spark: SparkSession, *paths: str) -> tuple:
+    """(path, bytes, modification time) of each input, so that results kept for an input are not used for other data under its path."""
+    out = []
+    for path in paths:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+        out.append((path, fs.getContentSummary(p).getLength(), fs.getFileStatus(p).getModificationTime()))
+    return tuple(out)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
@@ -66,32 +86,3 @@ def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     """
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
-
-
-_SHIPPED: set = set()
-
-
-def ship_package(spark: SparkSession) -> None:
-    """Make ``tessera`` importable in Python workers (Pandas UDFs,
-    mapInPandas): zip the package once per application and register it with
-    ``addPyFile`` so Spark distributes it to every executor."""
-    import io
-    import zipfile
-
-    app = spark.sparkContext.applicationId
-    if app in _SHIPPED:
-        return
-    pkg = os.path.dirname(os.path.abspath(__file__))
-    buf = io.BytesIO()
-    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
-        for root, _, files in os.walk(pkg):
-            for f in files:
-                if f.endswith(".py"):
-                    full = os.path.join(root, f)
-                    zf.write(full, os.path.relpath(full, os.path.dirname(pkg)))
-    out = tempfile.mkdtemp(prefix="tessera-pkg-")
-    path = os.path.join(out, f"tessera-{uuid.uuid4().hex[:8]}.zip")
-    with open(path, "wb") as fh:
-        fh.write(buf.getvalue())
-    spark.sparkContext.addPyFile(path)
-    _SHIPPED.add(app)

@@ -170,8 +170,10 @@ def dense_grid(spark: SparkSession, sf_dir: str, fine: DataFrame) -> DataFrame:
         lambda y: F.struct(F.lit(K.GRAIN_YEAR).alias("grain"), F.make_date(y, F.lit(1), F.lit(1)).alias("pkey")),
     )
     total = F.array(F.struct(F.lit(K.GRAIN_TOTAL).alias("grain"), F.lit(None).cast("date").alias("pkey")))
+    # one row per geography first, dealt to all tasks, so that the rest of the grid is generated in parallel
+    geos = one.withColumn("geo", F.explode(F.concat(F.col("names"), F.array(*[F.lit(g) for g in K.GEO_EXCLUDED]))))
     return (
-        one.withColumn("geo", F.explode(F.concat(F.col("names"), F.array(*[F.lit(g) for g in K.GEO_EXCLUDED]))))
+        geos.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "geo")
         .withColumn("sex", F.explode(F.array(*[F.lit(s) for s in K.SEXES])))
         .withColumn("band", F.explode(F.array(*[F.lit(b) for b in K.ALL_BAND_LABELS])))
         .withColumn("p", F.explode(F.concat(months, years, total)))

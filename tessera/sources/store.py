@@ -10,31 +10,32 @@ executor loss never replays the fact-table join.
 from __future__ import annotations
 
 import hashlib
-import os
 import threading
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.operators.clean import clean
-from tessera.session import scratch_path
+from tessera.session import delete_path, input_state, scratch_path
 from tessera.sources.cube import fine_table, render_text, typed_cube
 from tessera.sources.text import read_text_table
 
 _LOCK = threading.RLock()
-_CACHE: dict[tuple[str, str], dict[str, str]] = {}
+_CACHE: dict[tuple, dict[str, str]] = {}
+FACT_TABLES = ("lineitem", "orders", "customer", "nation")
 
 
-def _key(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
-    return spark.sparkContext.applicationId, os.path.abspath(sf_dir)
+def input_key(spark: SparkSession, sf_dir: str, tables: tuple[str, ...] = FACT_TABLES) -> tuple:
+    """Names an application and the state of the input tables: new data under the same path is a new key."""
+    return (spark.sparkContext.applicationId, *input_state(spark, *[f"{sf_dir.rstrip('/')}/{t}.parquet" for t in tables]))
 
 
 def materialize(spark: SparkSession, sf_dir: str) -> dict[str, str]:
-    """Build (once) and return the paths of the text extract and clean table."""
-    key = _key(spark, sf_dir)
+    """Build (once per input state) and return the paths of the text extract and clean table."""
+    key = input_key(spark, sf_dir)
     with _LOCK:
         if key in _CACHE:
             return _CACHE[key]
-        tag = hashlib.sha1("|".join(key).encode()).hexdigest()[:16]
+        tag = hashlib.sha1(repr(key).encode()).hexdigest()[:16]
         root = scratch_path(spark, f"cube-{tag}")
         # one pass over the fact tables, written to shared storage: later steps
         # (and any retry after an executor loss) read this bounded table
@@ -43,23 +44,35 @@ def materialize(spark: SparkSession, sf_dir: str) -> dict[str, str]:
         fine = spark.read.parquet(fine_path)
         (render_text(typed_cube(spark, sf_dir, fine))
          .write.mode("overwrite").option("header", True).csv(text_path))
-        # partitioned by grain (partition pruning); sorted within partitions by
+        # ranges of (grain, geo, period) spread the large month grain over all
+        # write tasks; partitioned by grain (partition pruning) and sorted by
         # the slice dimensions so Parquet min/max statistics skip row groups
+        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
         (clean(read_text_table(spark, text_path))
-         .repartition("grain").sortWithinPartitions("grain", "geo", "sex", "band", "start_date")
+         .repartitionByRange(n, "grain", "geo", "start_date").sortWithinPartitions("grain", "geo", "sex", "band", "start_date")
          .write.mode("overwrite").partitionBy("grain").parquet(clean_path))
-        paths = {"fine": fine_path, "text": text_path, "clean": clean_path}
-        _CACHE[key] = paths
-        return paths
+        _CACHE[key] = {"root": root, "fine": fine_path, "text": text_path, "clean": clean_path}
+        return _CACHE[key]
 
 
-_FRAMES: dict[tuple[str, str, str], DataFrame] = {}
+def release(spark: SparkSession, sf_dir: str) -> None:
+    """Delete what ``materialize`` wrote for this input; the next use builds it again."""
+    key = input_key(spark, sf_dir)
+    with _LOCK:
+        paths = _CACHE.pop(key, None)
+        for kind in ("text", "clean"):
+            _FRAMES.pop((*key, kind), None)
+    if paths:
+        delete_path(spark, paths["root"])
+
+
+_FRAMES: dict[tuple, DataFrame] = {}
 
 
 def _frame(spark: SparkSession, sf_dir: str, kind: str, build) -> DataFrame:
     """Reuse one DataFrame *handle* per (app, input, kind): its file index is
     listed once, so later queries skip re-listing the files (no data cached)."""
-    key = (*_key(spark, sf_dir), kind)
+    key = (*input_key(spark, sf_dir), kind)
     with _LOCK:
         if key not in _FRAMES:
             _FRAMES[key] = build(materialize(spark, sf_dir)[kind])

@@ -22,30 +22,27 @@ def text_schema(header: list[str] = K.SOURCE_HEADER) -> T.StructType:
     return T.StructType([T.StructField(h, T.StringType(), True) for h in header])
 
 
-def _nullify(df: DataFrame) -> DataFrame:
-    """pandas-compatible missing tokens ('NA', 'null', ...) -> NULL."""
+def nullify(df: DataFrame, *more) -> DataFrame:
+    """pandas-compatible missing tokens ('NA', 'null', ...) -> NULL; ``more`` columns follow."""
     return df.select(*[
         F.when(F.col(f"`{c}`").isin(K.NA_TOKENS), F.lit(None).cast("string"))
         .otherwise(F.col(f"`{c}`")).alias(c)
         for c in df.columns
-    ])
+    ], *more)
+
+
+#: S1-S3 for batch and stream alike: the header of every file is compared with the declared names, and a bad row fails.
+STRICT_OPTIONS = {"header": "true", "enforceSchema": "false", "mode": "FAILFAST", "multiLine": "false"}
 
 
 def read_text_table(spark: SparkSession, path: str, header: list[str] = K.SOURCE_HEADER) -> DataFrame:
     """Every column a string, header validated against the contract.
 
-    ``enforceSchema=false`` makes Spark compare the file header with the
-    declared names, so a renamed/reordered column fails instead of shifting.
+    ``STRICT_OPTIONS`` make Spark compare the file header with the declared
+    names, so a renamed/reordered column fails instead of shifting.
     """
     try:
-        df = (
-            spark.read.schema(text_schema(header))
-            .option("header", True)
-            .option("enforceSchema", False)
-            .option("mode", "FAILFAST")
-            .option("multiLine", False)
-            .csv(path)
-        )
+        df = spark.read.schema(text_schema(header)).options(**STRICT_OPTIONS).csv(path)
     except AnalysisException as exc:  # path missing
         if "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc):
             raise MissingInputError(
@@ -54,7 +51,7 @@ def read_text_table(spark: SparkSession, path: str, header: list[str] = K.SOURCE
             ) from exc
         raise
     check_header(df.columns, header)
-    return _nullify(df)
+    return nullify(df)
 
 
 def check_header(columns: list[str], header: list[str] = K.SOURCE_HEADER) -> None:
@@ -76,8 +73,11 @@ def source_profile(df: DataFrame) -> DataFrame:
     )
 
 
-def input_checksums(spark: SparkSession, path: str) -> DataFrame:
-    """SHA-256 and size of every file of a source, one task per file
-    (``binaryFile`` source; nothing passes through the driver)."""
-    return spark.read.format("binaryFile").load(path).select(
-        F.col("path"), F.col("length").cast("bigint").alias("length"), F.sha2(F.col("content"), 256).alias("sha256"))
+def content_fingerprint(df: DataFrame, by: list[str]) -> DataFrame:
+    """Order-free fingerprint of the rows of each slice: the sum over rows of the first 60 bits of
+    ``md5`` of the columns joined by a separator (nulls as a marker), modulo 2^60. Independent of file layout and partitioning."""
+    text = F.concat_ws("\u001f", *[F.coalesce(F.col(f"`{c}`"), F.lit("\\N")) for c in df.columns])
+    bits = F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("decimal(38,0)")
+    return df.groupBy(*[F.col(f"`{c}`") for c in by]).agg(
+        F.count(F.lit(1)).cast("bigint").alias("rows"), F.sum(bits).alias("__sum")).select(
+        *[F.col(f"`{c}`") for c in by], "rows", (F.col("__sum") % F.lit(2 ** 60).cast("decimal(38,0)")).cast("bigint").alias("fingerprint"))

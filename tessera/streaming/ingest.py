@@ -1,49 +1,50 @@
 """Incremental ingest of text extracts with Structured Streaming.
 
-The reference's source is a frozen file that is re-published in full; this
-runs the same strict scan + ``clean`` as the batch path on every extract that
-lands in a folder, with exactly-once bookkeeping in the checkpoint:
-
-* file source with the strict all-string schema (header rows skipped),
-* ``foreachBatch`` writes each micro-batch under ``batch=<id>`` with
-  overwrite, so a retried batch replaces its own output (idempotent),
-* the rule audit (A9-A13) of each batch is stored beside it.
+The source is a frozen file that is re-published in full; this runs the same strict scan and ``clean`` as the
+batch path on every extract that lands in a folder, with exactly-once bookkeeping in the checkpoint:
+
+* the file source has the batch reader's schema and options, so a file whose header differs fails the query,
+* ``foreachBatch`` writes each micro-batch under ``batch=<id>`` with overwrite, so a retried batch replaces its own output,
+* the files of each batch and its rule audit (A9-A13) are stored beside it.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera import contract as K
 from tessera.operators.clean import clean
 from tessera.operators.quality import rule_audit
 from tessera.session import scratch_path
-from tessera.sources.text import text_schema
+from tessera.sources.text import STRICT_OPTIONS, nullify, text_schema
 
 
 def extract_stream(spark: SparkSession, src_dir: str, max_files: int = 1) -> DataFrame:
-    raw = (spark.readStream.schema(text_schema()).option("header", True)
+    """The raw columns, missing tokens as nulls, and source_file."""
+    raw = (spark.readStream.schema(text_schema()).options(**STRICT_OPTIONS)
            .option("maxFilesPerTrigger", max_files).csv(src_dir))
-    return raw.select(*[
-        F.when(F.col(f"`{c}`").isin(K.NA_TOKENS), F.lit(None).cast("string")).otherwise(F.col(f"`{c}`")).alias(c)
-        for c in raw.columns])
+    return nullify(raw, F.col("_metadata.file_path").alias("source_file"))
 
 
 def ingest_extracts(spark: SparkSession, src_dir: str, out_dir: str, checkpoint: str | None = None,
                     max_files: int = 1):
-    """Clean every new extract in ``src_dir`` into ``out_dir`` (available-now)."""
-    checkpoint = checkpoint or scratch_path(spark, "ingest-checkpoint")
+    """Clean every new extract in ``src_dir`` into ``out_dir`` (available-now). The default checkpoint belongs to
+    this pair of source and output."""
     out = out_dir.rstrip("/")
+    pair = hashlib.sha1(f"{src_dir.rstrip('/')}\n{out}".encode()).hexdigest()[:16]
+    checkpoint = checkpoint or scratch_path(spark, f"ingest-checkpoint-{pair}")
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
-        batch.write.mode("overwrite").partitionBy("grain").parquet(f"{out}/clean/batch={batch_id}")
-        rule_audit(batch).withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(
-            f"{out}/audit/batch={batch_id}")
+        rows = clean(batch.drop("source_file"))
+        rows.write.mode("overwrite").partitionBy("grain").parquet(f"{out}/clean/batch={batch_id}")
+        batch.groupBy("source_file").count().write.mode("overwrite").parquet(f"{out}/files/batch={batch_id}")
+        rule_audit(rows).write.mode("overwrite").parquet(f"{out}/audit/batch={batch_id}")
         batch.unpersist()
 
-    q = (clean(extract_stream(spark, src_dir, max_files)).writeStream
+    q = (extract_stream(spark, src_dir, max_files).writeStream
          .foreachBatch(sink).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()

@@ -26,18 +26,14 @@ def spark():
     yield spark
 
 
-HEADER = ["Data As Of", "Start Date", "End Date", "Group", "Year", "Month", "Geo", "Sex", "Band",
-          "A Count", "Total Count", "B Count", "A and B Count", "C Count", "A, B, or C Count", "Footnote"]
-
-
 def text_rows(spark, rows):
-    """rows: list of dicts keyed by header (missing -> sensible default)."""
-    base = {"Data As Of": "09/27/2023", "Start Date": "01/01/2020", "End Date": "01/31/2020",
-            "Group": "By Month", "Year": "2020", "Month": "1", "Geo": "G1", "Sex": "All", "Band": "All Bands",
-            "A Count": "1", "Total Count": "10", "B Count": "2", "A and B Count": "1", "C Count": "1",
-            "A, B, or C Count": "3", "Footnote": None}
-    data = [tuple({**base, **r}[h] for h in HEADER) for r in rows]
+    """rows: list of dicts keyed by header (missing -> a plain cell of the cube's own calendar)."""
     from pyspark.sql import types as T
 
-    schema = T.StructType([T.StructField(h, T.StringType(), True) for h in HEADER])
-    return spark.createDataFrame(data, schema)
+    from tessera import contract as K
+
+    plain = dict.fromkeys(K.SOURCE_HEADER, "1") | {
+        K.SOURCE_HEADER[0]: "12/05/2001", "Start Date": "03/01/1998", "End Date": "03/31/1998", "Group": K.GRAIN_MONTH,
+        "Year": "1998", "Month": "3", "Geo": "G1", "Sex": K.SEX_ALL, "Band": K.BAND_ALL, "Total Count": "10", "Footnote": None}
+    data = [tuple({**plain, **r}[h] for h in K.SOURCE_HEADER) for r in rows]
+    return spark.createDataFrame(data, T.StructType([T.StructField(h, T.StringType(), True) for h in K.SOURCE_HEADER]))

@@ -1,13 +1,15 @@
-"""End-to-end analysis run: audit, describe, profile, forecast, write results.
+"""End-to-end analysis run: every registered result as a table, and a summary document in two stages.
 
     python -m tessera.plans.analysis --sf-dir /root/testdata/sf0.01 --out /path/to/results
 
-Writes (K1) result tables as CSV directories with a header, (K3) the clean
-table partitioned by grain, (K4) the train/test design matrices and the
-fitted feature pipeline, and (K2) a nested one-row JSON summary; a second
-stage extends the summary with the residual-model block, as the reference's
-second script does. Only fixed-size results (scalars, k-sweep rows, worst
-cases) are gathered on the driver to assemble the summary document.
+The run first asserts the audit, then writes one CSV table per key of ``TABLES`` (K1). The summary is a nested document with
+one section per key of ``SUMMARY``: the rows of that registered query, under the query's own column names. Its schema
+follows from those queries, is written down beside the document, and is what the reader declares. Stage 1 stores the descriptive
+sections; stage 2 reads that file back with the declared schema, adds the model sections and stores the whole (K2, S5).
+The design matrices and the fitted pipeline, scaler included, are stored for scoring (K4). The clean table is the one the
+queries read (K3).
+
+Only the summary's rows - fixed-size results - reach the driver.
 """
 
 from __future__ import annotations
@@ -18,207 +20,97 @@ import sys
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera import contract as K
-from tessera.functions import fmt
-from tessera.operators import evaluate as E
 from tessera.operators import models as M
 from tessera.operators import panel as P
-from tessera.operators import profile as PR
 from tessera.operators import quality as Q
-from tessera.plans import catalog as C
-from tessera.plans import modelling as ML
+from tessera.operators.slices import assert_single_level, grain_slice
+from tessera.plans.catalog import MEASURE, QUERIES
+from tessera.plans.modelling import MODEL_QUERIES
 from tessera.sources.store import load_clean, load_text, materialize
-from tessera.sources.text import source_profile
-
 
-def write_table(df: DataFrame, path: str, order: list[str] | None = None) -> None:
+#: query -> order of its table
+TABLES = {
+    "missingness": ["field"], "age_profile": ["ordinal"], "geo_share": [F.desc("a_pct_total"), F.col("geo")],
+    "group_profile": ["grp"], "findings": ["finding"], "forecast_monthly": ["start_date"],
+}
+MODEL_TABLES = {
+    "kmeans_sweep": ["k"], "kmeans_final": ["geo"], "hierarchy_by_cluster": ["hier", "cluster"], "gbt_forecast": ["geo", "start_date"],
+    "gbt_cv": ["fold"], "residual_linear": ["geo", "start_date"], "forecast_monthly_models": ["start_date"],
+}
+SUMMARY = ("source_profile", "quality_summary", "quality_outcomes", "missingness", "iqr_bounds", "national_totals", "extremes", "headline_values",
+           "senior_share", "geo_share_stats", "spearman_matrix", "time_splits", "baseline_metrics", "worst_errors")
+MODEL_SUMMARY = ("kmeans_sweep", "kmeans_checks", "hierarchy_by_cluster", "gbt_cv", "gbt_metrics", "gbt_early_stopping")
+
+
+def write_table(df: DataFrame, path: str, order: list | None = None) -> None:
     """K1: CSV with header; a directory of part files, globally ordered when
     ``order`` is given (range-partitioned sort, no single-task funnel)."""
     (df.orderBy(*order) if order else df).write.mode("overwrite").option("header", True).csv(path)
 
 
-def _row(df: DataFrame) -> dict:
-    r = df.first()
-    return r.asDict(recursive=True) if r is not None else {}
+def _sections(spark: SparkSession, sf_dir: str, names) -> tuple[T.StructType, dict]:
+    """The schema and rows of a document with one section per query."""
+    queries = {**QUERIES, **MODEL_QUERIES}
+    fields, rows = [], {}
+    for name in names:
+        df = queries[name](spark, sf_dir)
+        fields.append(T.StructField(name, T.ArrayType(df.schema)))
+        rows[name] = df.collect()
+    return T.StructType(fields), rows
 
 
-def _rows(df: DataFrame) -> list[dict]:
-    return [r.asDict(recursive=True) for r in df.collect()]
+def write_summary(spark: SparkSession, schema: T.StructType, doc: dict, path: str) -> None:
+    """K2: a one-row JSON document, and its schema beside it."""
+    row = spark.createDataFrame([tuple(doc[f.name] for f in schema.fields)], schema)
+    row.write.mode("overwrite").option("ignoreNullFields", False).json(path)
+    spark.createDataFrame([(schema.json(),)], "schema string").write.mode("overwrite").text(f"{path}_schema")
 
 
-def _num(v, nd=3):
-    return None if v is None else round(float(v), nd)
+def read_summary(spark: SparkSession, path: str) -> DataFrame:
+    """The document under its declared schema; a field of another type fails."""
+    declared = T.StructType.fromJson(json.loads(spark.read.text(f"{path}_schema").first()[0]))
+    return spark.read.schema(declared).option("mode", "FAILFAST").json(path)
 
 
-def write_summary(spark: SparkSession, doc: dict, path: str) -> None:
-    """K2: the nested summary as one JSON document (a one-row text table);
-    read it back with ``read_summary`` (S5)."""
-    spark.createDataFrame([(json.dumps(doc, default=str),)], "value string").write.mode("overwrite").text(path)
+def _write_tables(spark: SparkSession, sf_dir: str, out: str, tables: dict) -> None:
+    for name, order in tables.items():
+        write_table({**QUERIES, **MODEL_QUERIES}[name](spark, sf_dir), f"{out}/tables/{name}", order)
 
 
-def read_summary(spark: SparkSession, path: str) -> DataFrame:
-    """The summary document as a one-row nested DataFrame."""
-    return spark.read.option("multiLine", True).json(path)
-
-
-def run_analysis(spark: SparkSession, sf_dir: str, out: str, with_models: bool = True,
-                 gbt_iter: int = K.GBT_ROUNDS) -> dict:
-    paths = materialize(spark, sf_dir)
-    clean, raw = load_clean(spark, sf_dir), load_text(spark, sf_dir)
-    t = lambda name: f"{out.rstrip('/')}/tables/{name}"
-
-    # ---- audit (A1-A15): every rule in one pass; raise listing all failures
-    audit = Q.assert_audit(clean, raw)
-    prof = _row(source_profile(raw))
-    qs = _row(Q.quality_summary(clean))
-    miss = Q.missingness(clean)
-    write_table(miss, t("missingness"), ["field"])
-    summary = {
-        "raw_rows": prof["raw_rows"], "raw_columns": prof["raw_columns"], "clean_columns": len(clean.columns),
-        "source_file_mb": prof["source_mb"],
-        "data_as_of": str(qs["data_as_of"]), "start_min": str(qs["start_min"]), "end_max": str(qs["end_max"]),
-        "groups": {r["value"]: r["n"] for r in _rows(Q.value_counts(clean, "grain"))},
-        "geos": qs["n_geos"], "sexes": qs["n_sexes"], "bands": qs["n_bands"],
-        "footnoted_rows": qs["footnoted_rows"], "fully_observed_rows": qs["fully_observed_rows"],
-        "partial_period_rows": qs["partial_period_rows"],
-        "numeric_missing": {r["field"]: r["missing_count"] for r in _rows(miss)},
-        "numeric_missing_pct": {r["field"]: _num(r["missing_percent"], 2) for r in _rows(miss)},
-        **audit,
-    }
-
-    # ---- descriptive slices (R2: every slice fed to an aggregate holds one
-    # level per dimension; checked on the national and geography slices)
-    from tessera.operators.slices import assert_single_level, grain_slice
+def write_design(spark: SparkSession, sf_dir: str, out: str) -> int:
+    """K4: train and test design matrices and the pipeline that made them; E8: the number of features."""
+    panel = P.tag_split(P.lag_panel(load_clean(spark, sf_dir), MEASURE))
+    train, test = (panel.filter(F.col("split") == s) for s in ("train", "test"))
+    pipeline, (x_train, x_test) = M.design_matrix(train, [test], P.numeric_features(MEASURE), "geo")
+    for name, x, label in (("train", x_train, F.log1p(MEASURE)), ("test", x_test, F.col(MEASURE))):
+        x.select("geo", "start_date", "features", label.alias("label")).write.mode("overwrite").parquet(f"{out}/design/{name}")
+    M.save_pipeline(pipeline, f"{out}/design/pipeline")
+    return M.vector_size(x_train)
+
 
+def run_analysis(spark: SparkSession, sf_dir: str, out: str, with_models: bool = True) -> DataFrame:
+    out = out.rstrip("/")
+    materialize(spark, sf_dir)
+    clean = load_clean(spark, sf_dir)
+    Q.assert_audit(clean, load_text(spark, sf_dir))  # A15: raises with every failed rule
+    # R2: what is summed holds one level of every dimension
     assert_single_level(grain_slice(clean, K.GRAIN_MONTH, geo=K.GEO_ALL, sex=K.SEX_ALL, band=K.BAND_ALL))
     assert_single_level(grain_slice(clean, K.GRAIN_TOTAL, sex=K.SEX_ALL, band=K.BAND_ALL), ("grain", "sex", "band"))
-    iqr = _row(C.q_iqr_bounds(spark, sf_dir))
-    flags = C.q_iqr_flags(spark, sf_dir).filter("iqr_flag")
-    nat = _row(C.q_national_totals(spark, sf_dir))
-    ext = _row(C.q_extremes(spark, sf_dir))
-    senior = _row(C.q_senior_share(spark, sf_dir))
-    stats = _row(C.q_geo_share_stats(spark, sf_dir))
-    spear = {(r["x"], r["y"]): r["rho"] for r in _rows(C.q_spearman_matrix(spark, sf_dir))}
-    age = C.q_age_profile(spark, sf_dir)
-    write_table(age, t("age_summary"), ["ordinal"])
-    write_table(C.q_geo_share(spark, sf_dir), t("geo_summary"), [F.desc("a_pct_total"), "geo"])
-    summary["geo_iqr"] = {"q1": iqr["q1"], "q3": iqr["q3"], "cutoff": iqr["fence"],
-                          "flag_count": flags.count(), "flag_names": [r["geo"] for r in _rows(flags.orderBy("geo"))]}
-    summary["eda"] = {
-        "national_cumulative_a": nat["a"], "national_total": nat["total"], "national_a_share": nat["a_share_pct"],
-        "peak_month": ext["peak_month"], "peak_month_a": ext["peak_a"], "lowest_complete_month": ext["low_month"],
-        "lowest_complete_month_a": ext["low_a"], "senior_a": senior["senior_a"],
-        "senior_share": _num(senior["senior_share_pct"], 2), "band_max_count": ext["max_band"],
-        "band_highest_pct": ext["max_pct_band"], "highest_geo_share_name": stats["max_geo"],
-        "highest_geo_share": _num(stats["max_share"], 2), "lowest_geo_share_name": stats["min_geo"],
-        "lowest_geo_share": _num(stats["min_share"], 2), "geo_share_median": _num(stats["median_share"], 2),
-        "a_b_spearman": _num(spear.get(("a", "b"))), "a_total_spearman": _num(spear.get(("a", "total"))),
-    }
-
-    # ---- profiles and clustering
-    if with_models:
-        sweep = ML.q_kmeans_sweep(spark, sf_dir)
-        write_table(sweep, t("cluster_selection_metrics"), ["k"])
-        best = _row(sweep.orderBy(F.desc("silhouette_sq"), "k"))
-        final = ML.q_kmeans_final(spark, sf_dir)
-        write_table(final, t("cluster_features_assignments"), ["geo"])
-        means = PR.group_profile(final.withColumnRenamed("cluster", "grp"), PR.PROFILE_FEATURES)
-        write_table(means, t("cluster_profile_means"), ["grp"])
-        _, ratio = M.pca_2d(ML._profile_matrix(spark, sf_dir), "features")
-        summary["clustering"] = {
-            "n_geos": final.count(), "features": PR.PROFILE_FEATURES, "best_k": best["k"],
-            "best_silhouette_sq": _num(best["silhouette_sq"]), "pca_variance_2d": _num(100 * sum(ratio), 2),
-            "cluster_sizes": {str(r["grp"]): r["size"] for r in _rows(means)},
-            "cluster_members": {str(r["grp"]): r["members"] for r in _rows(PR.group_members(
-                final.withColumnRenamed("cluster", "grp")))},
-            "metrics": [{k: (_num(v) if isinstance(v, float) else v) for k, v in r.items()} for r in _rows(sweep)],
-        }
-
-    # ---- panel, splits and evaluation
-    panel = P.tag_split(P.lag_panel(clean, C.MEASURE)).cache()
-    train, test = panel.filter(F.col("split") == "train"), panel.filter(F.col("split") == "test")
-    base = _row(E.regression_metrics(test, C.MEASURE, f"lag1_{C.MEASURE}"))
-    cover = {r["split"]: r for r in _rows(E.split_coverage(panel))}
-    summary["supervised"] = {
-        "model_rows": panel.count(), "train_rows": cover.get("train", {}).get("rows"),
-        "test_rows": cover.get("test", {}).get("rows"),
-        "baseline_metrics": {k: _num(base[k]) for k in ("mae", "rmse", "r2", "wape_pct")},
-    }
-    if with_models:
-        numeric = P.numeric_features(C.MEASURE)
-        if gbt_iter == K.GBT_ROUNDS:  # the registered fits (final + folds, trained concurrently once per app)
-            scored = ML._gbt_test(spark, sf_dir)
-        else:
-            _, (scored,) = M.fit_gbt_forecast(train, [test], numeric, "geo", C.MEASURE, max_iter=gbt_iter)
-        scored = scored.withColumn("absolute_error", F.abs(F.col(C.MEASURE) - F.col("prediction"))) \
-            .withColumn("error", F.col("prediction") - F.col(C.MEASURE)).cache()
-        write_table(scored.select("geo", "start_date", C.MEASURE, f"lag1_{C.MEASURE}", "prediction",
-                                  "absolute_error", "error"), t("supervised_test_predictions"), ["geo", "start_date"])
-        mm = _row(E.regression_metrics(scored, C.MEASURE, "prediction"))
-        worst = scored.orderBy(F.desc("absolute_error"), "geo", "start_date").limit(10).select(
-            "geo", fmt.short_month_label("start_date").alias("month"), F.round(C.MEASURE, 1).alias("actual"),
-            F.round("prediction", 1).alias("pred"), F.round("absolute_error", 1).alias("abs_error"))
-        summary["supervised"].update({
-            "model_metrics": {k: _num(mm[k]) for k in ("mae", "rmse", "r2", "wape_pct")},
-            "mae_improvement_pct": _num(100 * (base["mae"] - mm["mae"]) / base["mae"], 2) if base["mae"] else None,
-            "worst_cases": _rows(worst),
-        })
-        # K4: design matrices + fitted pipeline
-        _, pm, (xtr, xte) = M.design_matrix(train.withColumn("label", F.log1p(C.MEASURE)),
-                                            [test.withColumn("label", F.col(C.MEASURE).cast("double"))],
-                                            numeric, "geo")
-        xtr.select("geo", "start_date", "features", "label").write.mode("overwrite").parquet(f"{out}/design/train")
-        xte.select("geo", "start_date", "features", "label").write.mode("overwrite").parquet(f"{out}/design/test")
-        M.save_pipeline(pm, f"{out}/design/pipeline")
-        summary["supervised"]["n_features_after_encoding"] = M.vector_size(xtr)
-
-    write_summary(spark, summary, f"{out}/summary_pre_residual")
-
-    if with_models:
-        cv = ML.q_gbt_cv(spark, sf_dir)
-        write_table(cv, t("supervised_cv_metrics"), ["fold"])
-        summary["supervised"]["cv"] = [{k: (_num(v) if isinstance(v, float) else v) for k, v in r.items()}
-                                       for r in _rows(cv.orderBy("fold"))]
-
-    # ---- stage 2: residual models appended to the summary
-    if with_models:
-        model, (res,) = M.fit_residual_linear(train, [test], P.numeric_features(C.MEASURE), "geo", C.MEASURE,
-                                              f"lag1_{C.MEASURE}")
-        rm = _row(E.regression_metrics(res, C.MEASURE, "prediction"))
-        summary["residual_model"] = {
-            "kind": "huber linear on log1p(y)-log1p(lag1)",
-            "parameters": len(model.coefficients) + 1,
-            "test_metrics": {k: _num(rm[k]) for k in ("mae", "rmse", "r2", "wape_pct")},
-        }
-        net = ML._net_runs(spark, sf_dir)
-        deep = net["scored"].withColumn("absolute_error", F.abs(F.col(C.MEASURE) - F.col("prediction")))
-        write_table(deep.select("geo", "start_date", C.MEASURE, f"lag1_{C.MEASURE}", "prediction",
-                                "absolute_error"), t("deep_test_predictions"), ["geo", "start_date"])
-        write_table(deep.select("geo", "start_date", C.MEASURE, f"lag1_{C.MEASURE}"), t("deep_test_meta"),
-                    ["geo", "start_date"])
-        write_table(ML.q_mlp_history(spark, sf_dir), t("network_loss_history"), ["model", "epoch"])
-        dm = _row(E.regression_metrics(deep, C.MEASURE, "prediction"))
-        gap = _row(ML.q_overfit_gap(spark, sf_dir))
-        worst_deep = deep.orderBy(F.desc("absolute_error"), "geo", "start_date").limit(8).select(
-            "geo", fmt.short_month_label("start_date").alias("month"), F.round(C.MEASURE, 1).alias("actual"),
-            F.round("prediction", 1).alias("pred"), F.round("absolute_error", 1).alias("abs_error"))
-        summary["deep_learning"] = {
-            "architecture": "32-16-1 ReLU, residual to persistence, data-parallel Adam",
-            "parameters": gap["parameters"], "best_epoch": gap["best_epoch"], "stopped_epoch": gap["stop_epoch"],
-            "best_val_loss": _num(gap["best_val_loss"], 5),
-            "unregularized": {"best_epoch": gap["unreg_best_epoch"],
-                              "final_train_loss": _num(gap["unreg_final_train_loss"], 5),
-                              "final_val_loss": _num(gap["unreg_final_val_loss"], 5),
-                              "gap": _num(gap["unreg_gap"], 5)},
-            "test_metrics": {k: _num(dm[k]) for k in ("mae", "rmse", "r2", "wape_pct")},
-            "mae_change_vs_persistence_pct": _num(100 * (base["mae"] - dm["mae"]) / base["mae"], 2)
-            if base["mae"] else None,
-            "worst_cases": _rows(worst_deep),
-        }
-    write_summary(spark, summary, f"{out}/summary")
-    summary["_paths"] = paths
-    return summary
+    _write_tables(spark, sf_dir, out, TABLES)
+    schema, doc = _sections(spark, sf_dir, SUMMARY)
+    write_summary(spark, schema, doc, f"{out}/summary_stage1")
+    if not with_models:
+        return read_summary(spark, f"{out}/summary_stage1")
+    _write_tables(spark, sf_dir, out, MODEL_TABLES)
+    n_features = write_design(spark, sf_dir, out)
+    stage1 = read_summary(spark, f"{out}/summary_stage1")
+    more, model_doc = _sections(spark, sf_dir, MODEL_SUMMARY)
+    whole = T.StructType([*stage1.schema.fields, *more.fields, T.StructField("n_features", T.IntegerType())])
+    write_summary(spark, whole, {**stage1.first().asDict(), **model_doc, "n_features": n_features}, f"{out}/summary")
+    return read_summary(spark, f"{out}/summary")
 
 
 def main(argv=None) -> int:
@@ -226,13 +118,11 @@ def main(argv=None) -> int:
     ap.add_argument("--sf-dir", required=True)
     ap.add_argument("--out", required=True)
     ap.add_argument("--no-models", action="store_true")
-    ap.add_argument("--gbt-iter", type=int, default=K.GBT_ROUNDS)
     a = ap.parse_args(argv)
     from tessera.session import local_session
 
     spark = SparkSession.getActiveSession() or local_session()
-    doc = run_analysis(spark, a.sf_dir, a.out, not a.no_models, a.gbt_iter)
-    print(json.dumps(doc, default=str, indent=2))
+    run_analysis(spark, a.sf_dir, a.out, not a.no_models).show(vertical=True, truncate=False)
     return 0
 
 

@@ -132,6 +132,7 @@ NA_TOKENS = [
 # Modelling parameters (fixed values for the cube's calendar, 1995-01..2001-11)
 # ---------------------------------------------------------------------------
 MIDPOINT = 5.0
+NAMED_MONTH = "1997-06-01"
 BASE_YEAR = 1995
 PROFILE_YEARS = (1995, 1996, 1997)  # middle year is the "second-year" share
 TRAIN_END = "2000-01-01"  # train: start_date < TRAIN_END
@@ -144,8 +145,25 @@ FOLDS = [
 FIT_END = "1999-07-01"  # network fit rows: start_date < FIT_END
 VALID_START, VALID_END = "1999-07-01", "1999-12-01"
 
-# Model parameters (reference values in comments where ours differ)
+# Model parameters (fixed values)
 KMEANS_KS = range(2, 9)
-KMEANS_RESTARTS = 5  # reference: 50 per k and 100 for the final fit; raise for closer parity
+KMEANS_RESTARTS = 50  # per k in the sweep
+KMEANS_FINAL_RESTARTS = 100  # for the chosen k; the sweep's fits of that k count
 GBT_ROUNDS = 350
+GBT_LEARNING_RATE = 0.05
+GBT_DEPTH = 4
+GBT_MIN_LEAF = 12
+GBT_MAX_BINS = 256
 GBT_EARLY_STOP_TOL = 0.01
+HUBER_EPSILON = 1.35
+HUBER_REG = 1e-3
+SEED = 42
+
+# Named slices: name, grain, geographies (None: the domain), sexes, bands.
+SLICES = [
+    ("national_monthly", GRAIN_MONTH, [GEO_ALL], [SEX_ALL], [BAND_ALL]),
+    ("geo_totals", GRAIN_TOTAL, None, [SEX_ALL], [BAND_ALL]),
+    ("national_bands", GRAIN_TOTAL, [GEO_ALL], [SEX_ALL], EXCLUSIVE_BAND_LABELS),
+    ("national_sex_bands", GRAIN_TOTAL, [GEO_ALL], SEX_PARTS, EXCLUSIVE_BAND_LABELS),
+    ("geo_monthly_panel", GRAIN_MONTH, None, [SEX_ALL], [BAND_ALL]),
+]

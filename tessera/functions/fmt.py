@@ -18,9 +18,5 @@ def short_month_label(d: str | Column) -> Column:
     return F.date_format(col(d), "MMM yyyy")
 
 
-def iso_date(d: str | Column) -> Column:
-    return F.date_format(col(d), "yyyy-MM-dd")
-
-
 def case_label(geo: str | Column, d: str | Column) -> Column:
     return F.concat_ws(" ", col(geo), short_month_label(d))

@@ -1,8 +1,7 @@
 """Cluster quality measures on labelled vectors.
 
-* ``inertia_by_label``: sum of squared distances to each label's centroid.
-  Centroids come from a grouped vector aggregate (k rows, one per label)
-  and are attached with an equi-join on the label.
+* ``inertia_by_label``: sum of squared distances to each label's centroid,
+  from one grouped vector aggregate.
 * ``silhouette_sq``: silhouette under *squared* Euclidean distance, which
   decomposes through per-cluster sums (O(n*k*d), no pairwise distances):
   sum_y ||x-y||^2 = n_C*||x||^2 - 2*x.S_C + Q_C. This is Spark's
@@ -16,7 +15,7 @@ from __future__ import annotations
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -25,40 +24,22 @@ def as_vector(df: DataFrame, array_col: str, out: str = "features") -> DataFrame
     return df.withColumn(out, array_to_vector(F.col(array_col).cast("array<double>")))
 
 
-def sq_norm(arr: Column) -> Column:
-    return F.aggregate(arr, F.lit(0.0), lambda acc, v: acc + v * v)
-
-
-def sq_dist(x: Column, y: Column) -> Column:
-    return F.aggregate(F.zip_with(x, y, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda acc, v: acc + v)
-
-
-def centroids(df: DataFrame, features: str = "features", label: str = "label") -> DataFrame:
-    """Per-label mean vector and size (Summarizer: one JVM aggregate)."""
-    return df.groupBy(label).agg(
-        Summarizer.mean(F.col(features)).alias("__centroid"),
-        F.count(F.lit(1)).cast("bigint").alias("size"),
-    )
-
-
 def inertia_by_label(df: DataFrame, features: str = "features", label: str = "label") -> DataFrame:
-    cents = centroids(df, features, label).select(label, vector_to_array("__centroid").alias("__c"))
-    j = df.select(label, vector_to_array(features).alias("__x")).join(cents, label, "inner")
-    return j.agg(
-        F.sum(sq_dist(F.col("__x"), F.col("__c"))).alias("inertia"),
-        F.count(F.lit(1)).cast("bigint").alias("n_points"),
-        F.count_distinct(label).cast("bigint").alias("n_clusters"),
+    """Each label's squared distances to its centroid are its vector variance
+    times (n - 1): one grouped aggregate with map-side merging, no vector is shuffled. Rows without a label do not count."""
+    stats = Summarizer.metrics("variance", "count").summary(F.col(features))
+    per = df.where(F.col(label).isNotNull()).groupBy(label).agg(stats.alias("__s"))
+    spread = F.aggregate(vector_to_array("__s.variance"), F.lit(0.0), lambda acc, v: acc + v)
+    return per.agg(
+        F.sum(spread * (F.col("__s.count") - 1)).alias("inertia"),
+        F.sum("__s.count").cast("bigint").alias("n_points"),
+        F.count(F.lit(1)).cast("bigint").alias("n_clusters"),
     )
 
 
 def silhouette_sq(df: DataFrame, features: str = "features", label: str = "label") -> float:
     """Mean silhouette with squared Euclidean distance (single-member
-    clusters score 0)."""
+    clusters score 0) of the rows that have a label."""
     ev = ClusteringEvaluator(featuresCol=features, predictionCol="__pred", metricName="silhouette",
                              distanceMeasure="squaredEuclidean")
-    return ev.evaluate(df.withColumn("__pred", F.col(label).cast("double")))
-
-
-def training_cost(df: DataFrame, features: str, label: str) -> float:
-    """KMeans-style cost of a given assignment (same as inertia)."""
-    return inertia_by_label(df, features, label).first()["inertia"]
+    return ev.evaluate(df.where(F.col(label).isNotNull()).withColumn("__pred", F.col(label).cast("double")))

@@ -2,7 +2,8 @@
 
 Whole-slice statistics attached to rows (J6) are computed as a slice-keyed
 aggregate and joined back on the slice keys, so many slices are handled in
-one pass and no window ever runs without a partition key.
+one pass. That aggregate has one row per slice; it is broadcast after a count
+proves it small, so rows that share one slice key are never shuffled to one task.
 """
 
 from __future__ import annotations
@@ -12,6 +13,9 @@ from pyspark.sql import functions as F
 
 from tessera import contract as K
 from tessera.functions.flags import pct
+from tessera.session import bounded_broadcast
+
+MAX_SLICES = 10_000
 
 
 def quantiles(df: DataFrame, value: str, probs=(0.25, 0.75), by: list[str] | None = None) -> DataFrame:
@@ -35,13 +39,13 @@ def iqr_bounds(df: DataFrame, value: str, by: list[str] | None = None, k: float
 
 def iqr_flags(df: DataFrame, value: str, by: list[str], k: float = 1.5) -> DataFrame:
     """Flag values above the upper fence of their slice (join back on keys)."""
-    bounds = iqr_bounds(df, value, by, k)
+    bounds = bounded_broadcast(iqr_bounds(df, value, by, k), MAX_SLICES)
     return df.join(bounds, by, "inner").withColumn("iqr_flag", F.col(value) > F.col("fence"))
 
 
 def share_of_slice(df: DataFrame, value: str, by: list[str], name: str) -> DataFrame:
     """100*value/sum(value) within the slice identified by ``by``."""
-    tot = df.groupBy(*by).agg(F.sum(value).alias("__slice_sum"))
+    tot = bounded_broadcast(df.groupBy(*by).agg(F.sum(value).alias("__slice_sum")), MAX_SLICES)
     return df.join(tot, by, "inner").withColumn(name, pct(value, "__slice_sum")).drop("__slice_sum")
 
 
@@ -91,26 +95,28 @@ def spearman_long(df: DataFrame, columns: list[str]) -> DataFrame:
 
     Per pair, rows with a null in either column are dropped, values get the
     average rank of their ties, and Pearson correlation of the ranks is taken.
-    Ranks come from distinct-value counts (pre-aggregated before the window),
-    so the windowed input per pair is the number of distinct values.
+    The upper triangle of pairs is exploded from one scan, both columns are
+    ranked on the same rows, and the small result is mirrored. A pair's window
+    holds one row per period of the slice, whose number the calendar bounds.
     """
     pairs = F.array(*[
         F.struct(F.lit(x).alias("x"), F.lit(y).alias("y"), F.col(x).cast("double").alias("xv"),
                  F.col(y).cast("double").alias("yv"))
-        for x in columns for y in columns
+        for i, x in enumerate(columns) for y in columns[i:]
     ])
     long = (df.select(F.explode(pairs).alias("p")).select("p.*")
             .filter(F.col("xv").isNotNull() & F.col("yv").isNotNull()))
 
-    def avg_rank(src: DataFrame, v: str) -> DataFrame:
-        counts = src.groupBy("x", "y", v).agg(F.count(F.lit(1)).alias("__c"))
-        w = Window.partitionBy("x", "y").orderBy(v).rowsBetween(Window.unboundedPreceding, -1)
-        return counts.withColumn(
-            f"r_{v}", F.coalesce(F.sum("__c").over(w), F.lit(0)) + (F.col("__c") + F.lit(1)) / F.lit(2.0)
-        ).drop("__c")
+    def avg_rank(v: str) -> Column:
+        pair = Window.partitionBy("x", "y")
+        ties = F.count(F.lit(1)).over(Window.partitionBy("x", "y", v))
+        return F.rank().over(pair.orderBy(v)) + (ties - F.lit(1)) / F.lit(2.0)
 
-    ranked = long.join(avg_rank(long, "xv"), ["x", "y", "xv"]).join(avg_rank(long, "yv"), ["x", "y", "yv"])
-    return ranked.groupBy("x", "y").agg(F.corr("r_xv", "r_yv").alias("rho"))
+    rho = long.select("x", "y", avg_rank("xv").alias("rx"), avg_rank("yv").alias("ry")).groupBy("x", "y").agg(
+        F.corr("rx", "ry").alias("rho"))
+    both = F.array(F.struct("x", "y"), F.struct(F.col("y").alias("x"), F.col("x").alias("y")))
+    mirrored = rho.select(F.explode(F.array_distinct(both)).alias("p"), "rho")
+    return mirrored.select("p.x", "p.y", "rho")
 
 
 def histogram(df: DataFrame, value: str, bins: int, by: list[str]) -> DataFrame:
@@ -119,7 +125,7 @@ def histogram(df: DataFrame, value: str, bins: int, by: list[str]) -> DataFrame:
     if not by:
         raise ValueError("histogram needs the slice key columns")
     v = F.col(value).cast("double")
-    stats = df.groupBy(*by).agg(F.min(v).alias("lo"), F.max(v).alias("hi"))
+    stats = bounded_broadcast(df.groupBy(*by).agg(F.min(v).alias("lo"), F.max(v).alias("hi")), MAX_SLICES)
     width = (F.col("hi") - F.col("lo"))
     idx = F.when(width > 0, F.least(F.floor((v - F.col("lo")) * F.lit(bins) / width), F.lit(bins - 1))) \
         .otherwise(F.lit(0)).cast("int")

@@ -1,21 +1,24 @@
 """Feature pipelines and distributed models (M3, M4, M9-M21) on pyspark.ml.
 
 Spark's estimators differ in algorithm from the single-machine ones the
-reference used (histogram boosting, TensorFlow); results agree in semantics,
+reference used (histogram boosting); results agree in semantics,
 not digits. Every fit runs on executors; only fitted parameters (centroids,
 coefficients, per-epoch losses) reach the driver.
 """
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import BisectingKMeans, KMeans
-from pyspark.ml.feature import OneHotEncoder, PCA, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, PCA, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera import contract as K
 from tessera.functions import features as X
 from tessera.operators.profile import apply_scaler, fit_population_scaler
 
@@ -64,16 +67,23 @@ class PopulationScaler:
         return [f + self.suffix for f in self.features]
 
 
+def scaler_stage(scaler: "PopulationScaler") -> SQLTransformer:
+    """The fitted scaler as a pipeline stage, its parameters as literals, so that a saved pipeline scores new rows."""
+    z = ", ".join(f"({f} - ({float(m or 0)!r}D)) / ({float(s)!r}D) AS {f}{scaler.suffix}" for f, (m, s) in scaler.params.items())
+    return SQLTransformer(statement=f"SELECT *, {z} FROM __THIS__")
+
+
 def design_matrix(train: DataFrame, others: list[DataFrame], numeric: list[str], category: str,
                   out: str = "features"):
     """M4: scale numerics (population std) + one-hot the category, fitted on
-    ``train`` only; returns (scaler, pipeline_model, [train, *others] transformed)."""
-    scaler = PopulationScaler(numeric).fit(train)
-    stages = category_encoder(category, "__cat") + [
-        VectorAssembler(inputCols=scaler.output_cols() + ["__cat"], outputCol=out)]
-    pm = Pipeline(stages=stages).fit(scaler.transform(train))
-    frames = [pm.transform(scaler.transform(x)) for x in [train, *others]]
-    return scaler, pm, frames
+    ``train`` only; returns (pipeline_model, [train, *others] transformed). The
+    pipeline holds the scaler, so it works on raw rows."""
+    with kept(train.select(*numeric, category)) as rows:
+        scaler = PopulationScaler(numeric).fit(rows)
+        stages = [scaler_stage(scaler), *category_encoder(category, "__cat"),
+                  VectorAssembler(inputCols=scaler.output_cols() + ["__cat"], outputCol=out)]
+        pm = Pipeline(stages=stages).fit(rows)
+    return pm, [pm.transform(x) for x in [train, *others]]
 
 
 def vector_size(df: DataFrame, col: str = "features") -> int:
@@ -100,28 +110,21 @@ def parallel_fits(fns, max_workers: int = 8) -> list:
         return [f.result() for f in [pool.submit(fn) for fn in fns]]
 
 
-def kmeans_sweep(df: DataFrame, features_col: str, ks=range(2, 9), restarts: int = 5, seed: int = 42):
-    """M9: for each k keep the restart with the lowest training cost.
-    All (k, restart) fits run concurrently.
-
-    Returns (rows, best_models) where rows = [(k, inertia, seed_used)].
-    """
-    grid = [(k, seed + r) for k in ks for r in range(restarts)]
+def kmeans_fits(df: DataFrame, features_col: str, ks, restarts: int, first_seed: int = K.SEED) -> dict[int, list]:
+    """M9: all (k, restart) fits, run concurrently: k -> [(training cost, seed, model)], one entry per seed."""
+    grid = [(k, first_seed + r) for k in ks for r in range(restarts)]
     fitted = parallel_fits(
         lambda k=k, s=s: KMeans(k=k, seed=s, featuresCol=features_col, maxIter=300, tol=1e-6).fit(df)
         for k, s in grid)
-    rows, models = [], {}
-    for k in ks:
-        best = None
-        for (kk, s), m in zip(grid, fitted):
-            if kk != k:
-                continue
-            cost = m.summary.trainingCost
-            if best is None or cost < best[0]:
-                best = (cost, m, s)
-        rows.append((k, float(best[0]), best[2]))
-        models[k] = best[1]
-    return rows, models
+    out: dict[int, list] = {}
+    for (k, s), m in zip(grid, fitted):
+        out.setdefault(k, []).append((float(m.summary.trainingCost), s, m))
+    return out
+
+
+def best_fit(fits: list) -> tuple:
+    """The fit with the lowest cost; ties go to the smallest seed."""
+    return min(fits, key=lambda f: f[:2])
 
 
 def pca_2d(df: DataFrame, features_col: str, k: int = 2):
@@ -153,82 +156,69 @@ def bisecting_hierarchy(df: DataFrame, features_col: str, k: int, seed: int = 42
 # Forecasting models
 # --------------------------------------------------------------------------
 
-def size_partitions(df: DataFrame, rows_per_partition: int = 200_000) -> DataFrame:
-    """Partition an iterative learner's input by its size: every boosting
-    round is a job over all partitions, so tiny inputs get one partition and
-    large ones spread over ceil(rows / rows_per_partition)."""
-    n = df.count()
-    parts = max(1, -(-n // rows_per_partition))
-    have = df.rdd.getNumPartitions()
-    if parts < have:
-        return df.coalesce(parts)
-    return df.repartition(parts) if parts > have else df
+@contextmanager
+def kept(df: DataFrame):
+    """Cache ``df`` for the many passes of an iterative fit and let it go afterwards."""
+    df = df.cache()
+    try:
+        yield df
+    finally:
+        df.unpersist()
 
 
-def gbt_model(features_col: str = "features", label_col: str = "log_target", max_iter: int = 350,
-              seed: int = 42) -> GBTRegressor:
+def gbt_model(features_col: str = "features", label_col: str = "log_target", max_iter: int = K.GBT_ROUNDS,
+              seed: int = K.SEED) -> GBTRegressor:
     """Boosted trees on the log1p target (depth 4 ~ 15 leaves)."""
     return GBTRegressor(featuresCol=features_col, labelCol=label_col, predictionCol="log_pred",
-                        stepSize=0.05, maxIter=max_iter, maxDepth=4, minInstancesPerNode=12,
-                        maxBins=256, subsamplingRate=1.0, seed=seed)
+                        stepSize=K.GBT_LEARNING_RATE, maxIter=max_iter, maxDepth=K.GBT_DEPTH,
+                        minInstancesPerNode=K.GBT_MIN_LEAF, maxBins=K.GBT_MAX_BINS, subsamplingRate=1.0, seed=seed)
 
 
 def fit_gbt_forecast(train: DataFrame, scored: list[DataFrame], numeric: list[str], category: str,
-                     target: str, max_iter: int = 350, seed: int = 42):
+                     target: str, max_iter: int = K.GBT_ROUNDS, seed: int = K.SEED):
     """M16 + M21: fit on ``train`` (log1p target), score others, clip at 0."""
     train = train.withColumn("log_target", X.log_target(target))
-    _, _, frames = design_matrix(train, scored, numeric, category)
-    fitted = size_partitions(frames[0]).cache()
-    model = gbt_model(max_iter=max_iter, seed=seed).fit(fitted)
+    _, frames = design_matrix(train, scored, numeric, category)
+    with kept(frames[0]) as fitted:
+        model = gbt_model(max_iter=max_iter, seed=seed).fit(fitted)
     out = [model.transform(f).withColumn("prediction", X.inverse_log_target("log_pred")) for f in frames[1:]]
     return model, out
 
 
 def fit_gbt_early_stopping(fit: DataFrame, valid: DataFrame, scored: list[DataFrame], numeric: list[str],
-                           category: str, target: str, max_iter: int = 350, tol: float = 0.01, seed: int = 42):
+                           category: str, target: str, max_iter: int = K.GBT_ROUNDS, tol: float = K.GBT_EARLY_STOP_TOL,
+                           seed: int = K.SEED):
     """M19 (boosted-tree twin): stop adding trees once the validation error
     stops improving by ``tol`` (relative). The feature pipeline is fitted on
     the fit rows only; validation rows are flagged, not trained on."""
     fit = fit.withColumn("log_target", X.log_target(target))
     valid = valid.withColumn("log_target", X.log_target(target))
-    _, _, frames = design_matrix(fit, [valid, *scored], numeric, category)
+    _, frames = design_matrix(fit, [valid, *scored], numeric, category)
     both = frames[0].withColumn("is_val", F.lit(False)).unionByName(frames[1].withColumn("is_val", F.lit(True)))
     est = gbt_model(max_iter=max_iter, seed=seed).setValidationIndicatorCol("is_val")
     est.set(est.validationTol, tol)
-    model = est.fit(size_partitions(both).cache())
+    with kept(both) as rows:
+        model = est.fit(rows)
     out = [model.transform(f).withColumn("prediction", X.inverse_log_target("log_pred")) for f in frames[2:]]
     return model, out
 
 
 def fit_residual_linear(train: DataFrame, scored: list[DataFrame], numeric: list[str], category: str,
-                        target: str, base: str, reg: float = 1e-3):
+                        target: str, base: str, reg: float = K.HUBER_REG):
     """M18(a): Huber regression of log1p(y) - log1p(base); prediction =
     max(expm1(log1p(base) + r), 0), so a zero output is the persistence
     forecast."""
     train = train.withColumn("resid", X.residual_target(target, base))
-    _, _, frames = design_matrix(train, scored, numeric, category)
+    _, frames = design_matrix(train, scored, numeric, category)
     lr = LinearRegression(featuresCol="features", labelCol="resid", predictionCol="resid_pred",
-                          loss="huber", epsilon=1.35, regParam=reg, elasticNetParam=0.0, maxIter=200)
-    fitted = size_partitions(frames[0]).cache()  # every L-BFGS step is a pass over it
-    model = lr.fit(fitted)
+                          loss="huber", epsilon=K.HUBER_EPSILON, regParam=reg, elasticNetParam=0.0, maxIter=200)
+    with kept(frames[0]) as fitted:  # every L-BFGS step is a pass over it
+        model = lr.fit(fitted)
     out = [model.transform(f).withColumn("prediction", X.residual_reconstruct(base, "resid_pred"))
            for f in frames[1:]]
     return model, out
 
 
-def early_stopping(val_losses: list[float], patience: int = 20, min_delta: float = 1e-5):
-    """(best_epoch, stop_epoch), 1-based, restoring the best weights."""
-    best, best_ep, wait = float("inf"), 0, 0
-    for ep, loss in enumerate(val_losses, start=1):
-        if loss < best - min_delta:
-            best, best_ep, wait = loss, ep, 0
-        else:
-            wait += 1
-            if wait >= patience:
-                return best_ep, ep
-    return best_ep, len(val_losses)
-
-
 def save_pipeline(model: PipelineModel, path: str) -> None:
     """K4: persist the fitted feature pipeline next to the design matrices."""
     model.write().overwrite().save(path)

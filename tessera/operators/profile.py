@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 from tessera import contract as K
 from tessera.functions.flags import pct
 from tessera.operators.slices import in_domain
+from tessera.session import bounded_broadcast
+
+MAX_GROUPS = 10_000
 
 PROFILE_FEATURES = [
     "a_pct_total",
@@ -134,9 +137,9 @@ def relabel_groups(df: DataFrame, stat: str, group: str = "grp") -> DataFrame:
     """W4 + J3: new label = rank of the group's mean ``stat`` (ties by old id).
 
     The ranking window runs over the k-row group table (k = number of
-    groups), never over member rows; the remap is an equi-join.
+    groups), never over member rows; the remap is broadcast after a count.
     """
     means = df.groupBy(group).agg(F.avg(stat).alias("__m"))
     k_rows = Window.orderBy(F.col("__m").asc_nulls_last(), F.col(group))  # k rows only
     remap = means.select(group, (F.row_number().over(k_rows) - 1).alias("new_group"))
-    return df.join(remap, group, "inner")
+    return df.join(bounded_broadcast(remap, MAX_GROUPS), group, "inner")

@@ -45,12 +45,14 @@ def value_counts(df: DataFrame, column: str, dropna: bool = True) -> DataFrame:
 def duplicate_audit(raw: DataFrame, key_cols=K.SOURCE_KEY_HEADER) -> DataFrame:
     """A4 + A5: exact duplicate rows and duplicate grain keys, one scan.
 
-    Rows are first grouped on every column (exact copies collapse, partial
-    aggregation before the shuffle); the much smaller result is regrouped on
-    the keys. Key duplicates are sum(n-1) over groupBy(keys): groupBy keeps
-    null keys as a group, unlike count_distinct(k1, k2, ...) which drops them.
+    Rows are dealt once by the key columns. That places equal rows and equal
+    keys together, so both aggregates (every column, then the keys) run
+    without another wide shuffle. Key duplicates are sum(n-1) over
+    groupBy(keys): groupBy keeps null keys as a group, unlike
+    count_distinct(k1, k2, ...) which drops them.
     """
-    exact = raw.groupBy(*[F.col(f"`{c}`") for c in raw.columns]).agg(F.count(F.lit(1)).alias("n"))
+    by_key = raw.repartition(*[F.col(f"`{c}`") for c in key_cols])
+    exact = by_key.groupBy(*[F.col(f"`{c}`") for c in raw.columns]).agg(F.count(F.lit(1)).alias("n"))
     keys = exact.groupBy(*[F.col(f"`{c}`") for c in key_cols]).agg(
         F.sum(F.col("n") - 1).alias("exact_dup"), F.sum("n").alias("n"))
     return keys.agg(

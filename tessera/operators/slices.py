@@ -57,11 +57,3 @@ def assert_single_level(df: DataFrame, dims=("grain", "geo", "sex", "band")) ->
     bad = {d: row[d] for d in dims if row[d] not in (0, 1)}
     if bad:
         raise ValueError(f"slice mixes levels: {bad}")
-
-
-def scalar_lookup(df: DataFrame, column: str):
-    """the single value of ``column`` in a one-row slice; fails otherwise."""
-    rows = df.select(column).limit(2).collect()
-    if len(rows) != 1:
-        raise ValueError(f"expected exactly one row, got {len(rows)}")
-    return rows[0][0]

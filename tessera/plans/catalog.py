@@ -24,8 +24,10 @@ from tessera.operators import profile as PR
 from tessera.operators import quality as Q
 from tessera.operators import slices as S
 from tessera.operators.clean import CLEAN_COLUMNS
+from tessera.session import bounded_broadcast
 from tessera.sources.cube import read_table
 from tessera.sources.store import load_clean, load_text
+from tessera.sources.text import content_fingerprint
 from tessera.sources.text import source_profile as _source_profile
 
 MEASURE = "a"
@@ -52,17 +54,17 @@ def _geo_totals(clean: DataFrame) -> DataFrame:
     return S.in_domain(S.grain_slice(clean, K.GRAIN_TOTAL, sex=K.SEX_ALL, band=K.BAND_ALL))
 
 
-def _panel(spark, d) -> DataFrame:
-    return P.lag_panel(_clean(spark, d), MEASURE)
+def _panel(spark, d, measure: str = MEASURE) -> DataFrame:
+    return P.lag_panel(_clean(spark, d), measure)
 
 
-def _test_rows(spark, d) -> DataFrame:
+def _test_rows(spark, d, measure: str = MEASURE) -> DataFrame:
     """Held-out rows scored by the mean-of-3 forecast (no model needed)."""
-    t = P.tag_split(_panel(spark, d)).filter(F.col("split") == "test")
-    pred = X.clip_prediction(F.col(f"rolling3_{MEASURE}"))
+    t = P.tag_split(_panel(spark, d, measure)).filter(F.col("split") == "test")
+    pred = X.clip_prediction(F.col(f"rolling3_{measure}"))
     return t.withColumn("prediction", pred).withColumn(
-        "absolute_error", X.absolute_error(MEASURE, "prediction")).withColumn(
-        "error", X.signed_error(MEASURE, "prediction"))
+        "absolute_error", X.absolute_error(measure, "prediction")).withColumn(
+        "error", X.signed_error(measure, "prediction"))
 
 
 # --------------------------------------------------------------------------
@@ -367,9 +369,9 @@ def q_relabel_groups(spark, d):
 # Panel, features and evaluation (prediction = mean of previous three)
 # --------------------------------------------------------------------------
 
-def q_lag_panel(spark, d):
-    p = _panel(spark, d)
-    return p.select("geo", _iso("start_date"), MEASURE, *P.lag_columns(MEASURE),
+def q_lag_panel(spark, d, measure=MEASURE):
+    p = _panel(spark, d, measure)
+    return p.select("geo", _iso("start_date"), measure, *P.lag_columns(measure),
                     _r("month_sin", 9).alias("month_sin"), _r("month_cos", 9).alias("month_cos"), "time_index")
 
 
@@ -407,9 +409,9 @@ def q_month_labels(spark, d):
                     fmt.short_month_label("start_date").alias("short_label"))
 
 
-def q_forecast_errors(spark, d):
-    t = _test_rows(spark, d)
-    return t.select("geo", _iso("start_date"), MEASURE, f"lag1_{MEASURE}", _r("prediction").alias("prediction"),
+def q_forecast_errors(spark, d, measure=MEASURE):
+    t = _test_rows(spark, d, measure)
+    return t.select("geo", _iso("start_date"), measure, f"lag1_{measure}", _r("prediction").alias("prediction"),
                     _r("absolute_error").alias("absolute_error"), _r("error").alias("error"))
 
 
@@ -448,31 +450,30 @@ def _metric_cols(prefix: str = ""):
     return [_r(m).alias(prefix + m) for m in ["mae", "rmse", "r2", "wape_pct"]]
 
 
-def q_baseline_metrics(spark, d):
-    t = _test_rows(spark, d)
-    m = E.regression_metrics(t, MEASURE, f"lag1_{MEASURE}")
+def q_baseline_metrics(spark, d, measure=MEASURE):
+    t = _test_rows(spark, d, measure)
+    m = E.regression_metrics(t, measure, f"lag1_{measure}")
     return m.select("n", *_metric_cols())
 
 
-def q_model_comparison(spark, d):
+def q_model_comparison(spark, d, measure=MEASURE):
     """Persistence, mean-of-3 and train-mean forecasts on identical rows,
     with each model's MAE change relative to persistence."""
-    p = P.tag_split(_panel(spark, d))
-    # the train mean is a fitted parameter: one number, applied as a literal
-    mean_value = p.filter(F.col("split") == "train").agg(F.avg(MEASURE).alias("m")).first()["m"]
-    t = p.filter(F.col("split") == "test").withColumn("overall_mean", F.lit(mean_value).cast("double"))
-    models = {"persistence": f"lag1_{MEASURE}", "mean3": f"rolling3_{MEASURE}", "overall_mean": "overall_mean"}
-    m = E.long_model_metrics(t, MEASURE, models, baseline=f"lag1_{MEASURE}")
+    p = P.tag_split(_panel(spark, d, measure))
+    train_mean = p.filter(F.col("split") == "train").agg(F.avg(measure)).scalar()  # a subquery of one value
+    t = p.filter(F.col("split") == "test").withColumn("overall_mean", train_mean)
+    models = {"persistence": f"lag1_{measure}", "mean3": f"rolling3_{measure}", "overall_mean": "overall_mean"}
+    m = E.long_model_metrics(t, measure, models, baseline=f"lag1_{measure}")
     return m.select("model", "n", *_metric_cols(),
                     _r(E.improvement_pct("base_mae", "mae")).alias("mae_improvement_pct"))
 
 
-def _pair_metrics(spark, d) -> DataFrame:
-    t = _test_rows(spark, d)
+def _pair_metrics(spark, d, measure: str = MEASURE) -> DataFrame:
+    t = _test_rows(spark, d, measure)
     return t.agg(
-        *[x.alias(f"model_{n}") for x, n in zip(E.metric_columns(MEASURE, f"rolling3_{MEASURE}")[1:],
+        *[x.alias(f"model_{n}") for x, n in zip(E.metric_columns(measure, f"rolling3_{measure}")[1:],
                                                  ["mae", "rmse", "r2", "wape_pct"])],
-        *[x.alias(f"base_{n}") for x, n in zip(E.metric_columns(MEASURE, f"lag1_{MEASURE}")[1:],
+        *[x.alias(f"base_{n}") for x, n in zip(E.metric_columns(measure, f"lag1_{measure}")[1:],
                                                 ["mae", "rmse", "r2", "wape_pct"])],
     )
 
@@ -483,8 +484,8 @@ def q_baseline_vs_mean(spark, d):
                     _r(E.improvement_pct("base_mae", "model_mae")).alias("mae_improvement_pct"))
 
 
-def q_acceptance(spark, d):
-    m = _pair_metrics(spark, d)
+def q_acceptance(spark, d, measure=MEASURE):
+    m = _pair_metrics(spark, d, measure)
     return m.select(
         (F.col("model_mae") < F.col("base_mae")).alias("mae_better"),
         (F.col("model_rmse") < F.col("base_rmse")).alias("rmse_better"),
@@ -510,23 +511,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 # Report tables (V16, V17) and recommendation rules
 # --------------------------------------------------------------------------
 
-SLICES = [
-    # name, grain, geo filter, sex, band filter
-    ("national_monthly", K.GRAIN_MONTH, [K.GEO_ALL], [K.SEX_ALL], [K.BAND_ALL]),
-    ("geo_totals", K.GRAIN_TOTAL, None, [K.SEX_ALL], [K.BAND_ALL]),
-    ("national_bands", K.GRAIN_TOTAL, [K.GEO_ALL], [K.SEX_ALL], K.EXCLUSIVE_BAND_LABELS),
-    ("national_sex_bands", K.GRAIN_TOTAL, [K.GEO_ALL], K.SEX_PARTS, K.EXCLUSIVE_BAND_LABELS),
-    ("geo_monthly_panel", K.GRAIN_MONTH, None, [K.SEX_ALL], [K.BAND_ALL]),
-]
-
-
 def q_slice_contract(spark, d):
     """Every named slice with its row count, from ONE pass (each row is
     tagged with the slices it belongs to; no per-slice scans)."""
     c = _clean(spark, d)
     dom = ~F.col("geo").isin(K.GEO_EXCLUDED)
     tags = []
-    for name, grain, geos, sexes, bands in SLICES:
+    for name, grain, geos, sexes, bands in K.SLICES:
         cond = (F.col("grain") == grain) & F.col("sex").isin(sexes) & F.col("band").isin(bands)
         cond = cond & (F.col("geo").isin(geos) if geos else dom)
         tags.append(F.when(cond, F.lit(name)))
@@ -558,18 +549,18 @@ def q_suppression_bounds(spark, d):
     )
 
 
-def q_wape_monitor(spark, d):
+def q_wape_monitor(spark, d, measure=MEASURE):
     """Rolling two-month WAPE of the mean-of-3 forecast against
     persistence; suspend when it exceeds the baseline by 5 points.
     Monthly error sums first (one row per month), then the window runs over
     that bounded monthly table."""
     from pyspark.sql import Window
 
-    t = _test_rows(spark, d)
+    t = _test_rows(spark, d, measure)
     m = t.groupBy("start_date").agg(
-        F.sum(F.abs(F.col(MEASURE) - F.col("prediction"))).alias("err"),
-        F.sum(F.abs(F.col(MEASURE) - X.clip_prediction(F.col(f"lag1_{MEASURE}")))).alias("base_err"),
-        F.sum(MEASURE).alias("actual"),
+        F.sum(F.abs(F.col(measure) - F.col("prediction"))).alias("err"),
+        F.sum(F.abs(F.col(measure) - X.clip_prediction(F.col(f"lag1_{measure}")))).alias("base_err"),
+        F.sum(measure).alias("actual"),
     )
     w = Window.orderBy("start_date").rowsBetween(-1, 0)  # one row per month
     r = m.select(
@@ -581,46 +572,98 @@ def q_wape_monitor(spark, d):
                     (F.col("wape_2m") > F.col("base_wape_2m") + 5).alias("suspend"))
 
 
-def q_conformal_band(spark, d):
+def q_conformal_band(spark, d, measure=MEASURE):
     """Blocked conformal half-width = 90th percentile of the absolute
     mean-of-3 residual on the validation block; coverage on the test rows."""
-    p = P.tag_three_way(_panel(spark, d))
-    resid = F.abs(F.col(MEASURE) - X.clip_prediction(F.col(f"rolling3_{MEASURE}")))
-    v = p.filter(F.col("split") == "validation").agg(F.percentile(resid, 0.9).alias("q"))
-    # the half-width is one fitted number, applied to the test rows as a literal
-    q = v.first()["q"]
-    t = p.filter(F.col("split") == "test")
-    return t.agg(
-        F.lit(q).cast("double").alias("half_width"),
+    p = P.tag_three_way(_panel(spark, d, measure))
+    resid = F.abs(F.col(measure) - X.clip_prediction(F.col(f"rolling3_{measure}")))
+    half = p.filter(F.col("split") == "validation").agg(F.percentile(resid, 0.9)).scalar()  # a subquery of one value
+    t = p.filter(F.col("split") == "test").withColumn("half_width", half)
+    return t.groupBy("half_width").agg(
         F.count(F.lit(1)).cast("bigint").alias("test_rows"),
-        F.avg((resid <= F.lit(q)).cast("double")).alias("coverage"),
+        F.avg((resid <= F.col("half_width")).cast("double")).alias("coverage"),
     ).select(_r("half_width").alias("half_width"), "test_rows", _r("coverage").alias("coverage"))
 
 
 def q_national_series(spark, d):
     """V3: the national monthly series including the partial last month,
-    with the peak among complete months flagged (single pass; the peak is a
-    windowless aggregate joined back on the slice keys)."""
+    with the peak among complete months flagged (the peak is one row, joined back on the slice keys)."""
     n = _national(_clean(spark, d), K.GRAIN_MONTH)
     peak = S.complete_periods(n).groupBy("grain", "geo", "sex", "band").agg(
         D.arg_max(F.col("a"), F.col("start_date")).alias("__peak"))
-    j = n.join(peak, ["grain", "geo", "sex", "band"], "left")
+    j = n.join(bounded_broadcast(peak, D.MAX_SLICES), ["grain", "geo", "sex", "band"], "left")
     return j.select(_iso("start_date"), "a", "total", "is_partial_period",
                     F.coalesce(F.col("start_date") == F.col("__peak"), F.lit(False)).alias("is_peak"))
 
 
 def q_input_checksum(spark, d):
-    """Per-file checksum of the text extract (rows-only: file layout is
-    the writer's choice)."""
-    from tessera.sources.store import materialize
-    from tessera.sources.text import input_checksums
+    """Order-free fingerprint of the text extract, per grain."""
+    return content_fingerprint(load_text(spark, d), ["Group"])
+
 
-    text = materialize(spark, d)["text"]
-    return input_checksums(spark, text + "/*.csv").select(
-        F.regexp_extract("path", r"([^/]+)$", 1).alias("file"), "length", "sha256")
+def q_gap_audit(spark, d):
+    """Months missing inside a geography's series; row lags would cross them."""
+    g = P.gap_audit(_clean(spark, d))
+    return g.select("geo", _iso("start_date"), _iso("prev"))
 
 
+def q_headline_values(spark, d):
+    """Named single values of the national slices: share of the peak month, the value of a fixed month, the largest
+    band, totals by sex, their ratio, and the band with the largest ratio."""
+    nm = S.complete_periods(_national(_clean(spark, d), K.GRAIN_MONTH))
+    month = nm.agg(
+        _r(pct(F.max("a"), F.sum("a"))).alias("peak_month_share_pct"),
+        F.max(F.when(F.col("start_date") == F.lit(K.NAMED_MONTH).cast("date"), F.col("a"))).alias("named_month_a"))
+    bands = _national_bands(spark, d).agg(F.max("a").alias("largest_band_a"), _r(pct(F.max("a"), F.sum("a"))).alias("largest_band_pct"))
+    p0, p1 = (f"a_{x}" for x in K.SEX_PARTS)
+    pairs = _sex_band_pivot(spark, d).withColumn("ratio", F.try_divide(F.col(p1), F.col(p0))).withColumn("ordinal", D.band_ordinal())
+    sexes = pairs.agg(
+        F.sum(p0).alias("sex0_a"), F.sum(p1).alias("sex1_a"), _r(F.try_divide(F.sum(p1), F.sum(p0))).alias("ratio_of_sums"),
+        D.arg_max(F.col("ratio"), F.col("ordinal")).alias("ordinal")).withColumn(
+        "largest_ratio_band", F.element_at(F.array(*[F.lit(b) for b in K.EXCLUSIVE_BAND_LABELS]), F.col("ordinal") + 1)).drop("ordinal")
+    names = [*month.columns, *bands.columns, *sexes.columns]
+    return _one_row([month, bands, sexes], names)
+
+
+def _one_row(parts: list[DataFrame], names: list[str]) -> DataFrame:
+    """One-row frames side by side: padded, united, and the one non-null value of each column taken."""
+    types = {f.name: f.dataType for p in parts for f in p.schema.fields}
+    padded = [p.select(*[(F.col(n) if n in p.columns else F.lit(None)).cast(types[n]).alias(n) for n in names]) for p in parts]
+    out = padded[0]
+    for p in padded[1:]:
+        out = out.unionByName(p)
+    return out.agg(*[F.max(n).alias(n) for n in names])
+
+
+def q_findings(spark, d):
+    """The findings table, one row per finding: its name, the value and what it is about."""
+    def row(df, name, value, about):
+        return df.select(F.lit(name).alias("finding"), F.col(value).cast("double").alias("value"), F.col(about).cast("string").alias("about"))
+
+    everyone = lambda df: df.withColumn("everyone", F.lit("national"))
+    extremes, shares = q_extremes(spark, d), q_geo_share_stats(spark, d)
+    parts = [
+        row(everyone(q_national_totals(spark, d)), "national share pct", "a_share_pct", "everyone"),
+        row(extremes, "peak month", "peak_a", "peak_month"), row(extremes, "lowest month", "low_a", "low_month"),
+        row(shares, "highest share pct", "max_share", "max_geo"), row(shares, "lowest share pct", "min_share", "min_geo"),
+        row(everyone(q_senior_share(spark, d)), "senior share pct", "senior_share_pct", "everyone"),
+        row(q_decline_from_peak(spark, d), "decline from peak pct", "decline_pct", "last_month"),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def _on_total(fn):
+    return lambda spark, d: fn(spark, d, "total")
+
+
+#: FIXTURES 3: the panel keys on the unsuppressed-most measure as well.
+TOTAL_KEYS = ("lag_panel", "forecast_errors", "baseline_metrics", "model_comparison", "acceptance", "wape_monitor", "conformal_band")
+
 QUERIES.update({
     name[2:]: fn for name, fn in list(globals().items())
     if name.startswith("q_") and callable(fn) and name[2:] not in QUERIES
 })
+QUERIES.update({f"{name}_total": _on_total(QUERIES[name]) for name in TOTAL_KEYS})

@@ -1,17 +1,20 @@
 """Model-backed registered queries.
 
-``inertia_by_label`` and ``silhouette_sq`` have SQL oracles; the fitted-model
-queries (k-means, PCA, hierarchy, boosted trees, residual regression) are
-checked rows-only: Spark's estimators are not the reference's algorithms.
-Small result tables built from fitted parameters (k-sweep rows, explained
-variance) are the only driver-side data; every fit runs on executors.
+Fits run on executors; the driver holds fitted parameters and small result rows. Fitted numbers have no SQL
+oracle (Spark's estimators are not the reference's algorithms), but what surrounds them has: the ``*_checks``
+keys return row counts, sums and baselines of the scored rows together with invariants of the fit, all of
+which SQL can state from the given tables.
+
+Fits shared by several keys are made once per application and input state (``input_key``: new data under the
+same path fits anew) and their scored rows are written to shared storage.
 """
 
 from __future__ import annotations
 
+from threading import RLock
+
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,11 +25,21 @@ from tessera.operators import models as M
 from tessera.operators import panel as P
 from tessera.operators import profile as PR
 from tessera.plans.catalog import MEASURE, _iso, _profile, _r
+from tessera.session import write_scratch
 from tessera.sources.cube import read_table
-from tessera.sources.store import load_clean
+from tessera.sources.store import input_key, load_clean
+
+_ONCE: dict[tuple, object] = {}
+_LOCK = RLock()
+TOLERANCE = 1e-6
+
 
-MAX_LITERAL_CLUSTERS = 256
-_LOCKS = {name: __import__("threading").RLock() for name in ("matrix", "sweep", "gbt", "net")}
+def _once(spark: SparkSession, d: str, name: str, make):
+    key = (name, *input_key(spark, d))
+    with _LOCK:
+        if key not in _ONCE:
+            _ONCE[key] = make()
+        return _ONCE[key]
 
 
 def _embeddings(spark: SparkSession, d: str) -> DataFrame:
@@ -39,61 +52,20 @@ def q_inertia_by_label(spark, d):
     return i.select(_r("inertia").alias("inertia"), "n_points", "n_clusters")
 
 
-def silhouette_sq_frame(df: DataFrame, features: str = "features", label: str = "label") -> DataFrame:
-    """Squared-Euclidean silhouette as a lazy one-row DataFrame.
-
-    Per-cluster (n, vector sum, sum of squared norms) are fitted parameters
-    bounded by k x d (like k-means centroids); they are applied to every
-    point as literals, so scoring is a single map + aggregate with no join.
-    """
-    stats = df.groupBy(label).agg(
-        F.count(F.lit(1)).alias("n"),
-        vector_to_array(Summarizer.sum(F.col(features))).alias("s"),
-        F.sum(C.sq_norm(vector_to_array(features))).alias("q"),
-    ).orderBy(label).limit(MAX_LITERAL_CLUSTERS + 1).collect()
-    if len(stats) > MAX_LITERAL_CLUSTERS:
-        raise ValueError("too many clusters for literal scoring; use clustering.silhouette_sq")
-    x = vector_to_array(features)
-    xx = C.sq_norm(x)
-    lab = F.col(label)
-    mean_d = {}
-    for row in stats:
-        dot = F.aggregate(F.zip_with(x, F.array(*[F.lit(float(v)) for v in row["s"]]), lambda a, b: a * b),
-                          F.lit(0.0), lambda acc, v: acc + v)
-        mean_d[row[label]] = (F.lit(float(row["n"])) * xx - F.lit(2.0) * dot + F.lit(float(row["q"])), row["n"])
-    own = None
-    for key, (dsum, n) in mean_d.items():
-        expr = F.when(F.lit(n) > 1, dsum / F.lit(float(n - 1)))
-        own = F.when(lab == key, expr) if own is None else own.when(lab == key, expr)
-    others = [F.when(lab != key, dsum / F.lit(float(n))) for key, (dsum, n) in mean_d.items()]
-    a = own
-    b = F.least(*others) if len(others) > 1 else others[0]
-    top = F.greatest(a, b)
-    s = F.when(a.isNull() | (top <= 0), F.lit(0.0)).otherwise((b - a) / top)
-    return df.select(s.alias("__s")).agg(F.avg("__s").alias("silhouette_sq"),
-                                         F.count(F.lit(1)).cast("bigint").alias("n_points"))
-
-
 def q_silhouette_sq(spark, d):
-    s = silhouette_sq_frame(_embeddings(spark, d))
-    return s.select(_r("silhouette_sq").alias("silhouette_sq"), "n_points")
+    points = _embeddings(spark, d)
+    value = C.silhouette_sq(points)
+    return points.where(F.col("label").isNotNull()).agg(
+        F.round(F.lit(value), 6).alias("silhouette_sq"), F.count(F.lit(1)).cast("bigint").alias("n_points"))
 
 
 # --------------------------------------------------------------------------
-# Profile clustering (rows-only)
+# Profile clustering
 # --------------------------------------------------------------------------
 
-_MATRIX: dict = {}
-
-
 def _profile_matrix(spark, d) -> DataFrame:
-    """52x7-style matrix: standardized (population std) profile as a vector,
-    built once per application and kept on shared storage."""
-    key = (spark.sparkContext.applicationId, d)
-    with _LOCKS["matrix"]:
-        if key not in _MATRIX:
-            _MATRIX[key] = _build_profile_matrix(spark, d)
-        return _MATRIX[key]
+    """52x7-style matrix: standardized (population std) profile as a vector, written once."""
+    return _once(spark, d, "matrix", lambda: _build_profile_matrix(spark, d))
 
 
 def _build_profile_matrix(spark, d) -> DataFrame:
@@ -104,43 +76,66 @@ def _build_profile_matrix(spark, d) -> DataFrame:
     scaler = M.PopulationScaler(PR.PROFILE_FEATURES).fit(prof)
     z = scaler.transform(prof)
     X = VectorAssembler(inputCols=scaler.output_cols(), outputCol="features").transform(z)
-    return M.size_partitions(X).checkpoint(eager=True).cache()
+    return write_scratch(X, "profile-matrix")
 
 
-_SWEEP: dict = {}
+def _sweep(spark, d) -> dict:
+    """rows (k, inertia, silhouette, seed) and, for the chosen k, all its fits."""
+    return _once(spark, d, "sweep", lambda: _run_sweep(_profile_matrix(spark, d)))
+
+
+def _run_sweep(X: DataFrame) -> dict:
+    with M.kept(X) as points:
+        fits = M.kmeans_fits(points, "features", K.KMEANS_KS, K.KMEANS_RESTARTS)
+        best = {k: M.best_fit(f) for k, f in fits.items()}
+        rows = []
+        for k, (cost, seed, model) in best.items():
+            pred = model.transform(points).withColumn("prediction", F.col("prediction").cast("int"))
+            rows.append((k, cost, float(C.silhouette_sq(pred, "features", "prediction")), seed))
+        chosen = min(rows, key=lambda r: (-r[2], r[0]))[0]
+        more = K.KMEANS_FINAL_RESTARTS - K.KMEANS_RESTARTS
+        final = fits[chosen] + M.kmeans_fits(points, "features", [chosen], more, K.SEED + K.KMEANS_RESTARTS)[chosen]
+    return {"rows": rows, "best": best, "chosen": chosen, "final": M.best_fit(final)}
 
 
 def q_kmeans_sweep(spark, d):
-    key = (spark.sparkContext.applicationId, d)
-    with _LOCKS["sweep"]:
-        if key not in _SWEEP:
-            _SWEEP[key] = _sweep_rows(spark, d)
-    return spark.createDataFrame(_SWEEP[key], "k int, inertia double, silhouette_sq double, seed int")
+    return spark.createDataFrame(_sweep(spark, d)["rows"], "k int, inertia double, silhouette_sq double, seed int")
 
 
-def _sweep_rows(spark, d) -> list:
-    X = _profile_matrix(spark, d)
-    rows, models = M.kmeans_sweep(X, "features", K.KMEANS_KS, restarts=K.KMEANS_RESTARTS)
-    out = []
-    for k, cost, seed in rows:
-        pred = models[k].transform(X)
-        sil = C.silhouette_sq(pred.withColumn("prediction", F.col("prediction").cast("int")), "features",
-                              "prediction")
-        out.append((k, cost, float(sil), seed))
-    return out
+def _kmeans_groups(spark, d) -> DataFrame:
+    """The profile matrix with the groups of the final fit, relabelled by mean share."""
+    pred = _sweep(spark, d)["final"][2].transform(_profile_matrix(spark, d)).withColumnRenamed("prediction", "grp")
+    return PR.relabel_groups(pred, "a_pct_total").withColumnRenamed("new_group", "cluster")
 
 
 def q_kmeans_final(spark, d):
-    X = _profile_matrix(spark, d)
-    sweep = q_kmeans_sweep(spark, d).orderBy(F.desc("silhouette_sq"), "k").first()
-    _, models = M.kmeans_sweep(X, "features", [sweep["k"]], restarts=K.KMEANS_RESTARTS)
-    pred = models[sweep["k"]].transform(X).withColumnRenamed("prediction", "grp")
-    relabeled = PR.relabel_groups(pred, "a_pct_total").withColumnRenamed("new_group", "cluster")
-    proj, _ = M.pca_2d(relabeled, "features")
+    proj, _ = M.pca_2d(_kmeans_groups(spark, d), "features")
     return proj.select("geo", "cluster", *[_r(f).alias(f) for f in PR.PROFILE_FEATURES],
                        _r("pc1").alias("pc1"), _r("pc2").alias("pc2"))
 
 
+def q_kmeans_checks(spark, d):
+    """Per k of the sweep the points, groups in use, and whether the cost equals the recomputed
+    inertia and does not rise with k; the last row (k = 0) is the final fit, whose labels must be dense and ordered by mean share."""
+    X, sweep = _profile_matrix(spark, d), _sweep(spark, d)
+    out, before = None, None
+    for k, (cost, _, model) in sweep["best"].items():
+        pred = model.transform(X)
+        row = C.inertia_by_label(pred, "features", "prediction").select(
+            F.lit(k).alias("k"), "n_points", (F.col("n_clusters") == k).alias("all_groups_used"),
+            (F.abs(F.col("inertia") - cost) <= TOLERANCE * (1 + cost)).alias("cost_is_inertia"),
+            F.lit(before is None or cost <= before + TOLERANCE).alias("in_order"))
+        out, before = row if out is None else out.unionByName(row), cost
+    groups = _kmeans_groups(spark, d).groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.avg("a_pct_total").alias("m"))
+    ranked = groups.agg(F.sum("n").cast("bigint").alias("n_points"), F.sort_array(F.collect_list(F.struct("cluster", "m"))).alias("g"))
+    labels, means = F.transform("g", lambda x: x["cluster"]), F.transform("g", lambda x: x["m"])
+    chosen_cost = sweep["best"][sweep["chosen"]][0]
+    final = ranked.select(
+        F.lit(0).alias("k"), "n_points", (labels == F.sequence(F.lit(0), F.lit(sweep["chosen"] - 1))).alias("all_groups_used"),
+        F.lit(sweep["final"][0] <= chosen_cost + TOLERANCE).alias("cost_is_inertia"), (means == F.sort_array(means)).alias("in_order"))
+    return out.unionByName(final)
+
+
 def q_pca_2d(spark, d):
     X = _profile_matrix(spark, d)
     proj, ratio = M.pca_2d(X, "features")
@@ -148,19 +143,40 @@ def q_pca_2d(spark, d):
                        F.lit(round(100 * sum(ratio), 4)).alias("variance_2d_pct"))
 
 
+def q_pca_checks(spark, d):
+    """The components are uncorrelated, and their variances are the stated shares of the variance of the standardized
+    features (one per varying feature)."""
+    proj, ratio = M.pca_2d(_profile_matrix(spark, d), "features")
+    n = F.count(F.lit(1))
+    spread = [F.var_pop(vector_to_array("features")[i]) for i in range(len(PR.PROFILE_FEATURES))]
+    total = sum(spread[1:], spread[0])
+    near = lambda a, b: F.abs(a - b) <= TOLERANCE * 10
+    return proj.agg(
+        n.cast("bigint").alias("n_geos"), near(F.covar_pop("pc1", "pc2"), F.lit(0.0)).alias("uncorrelated"),
+        near(F.var_pop("pc1") / total, F.lit(ratio[0])).alias("share1_ok"), near(F.var_pop("pc2") / total, F.lit(ratio[1])).alias("share2_ok"),
+        (F.var_pop("pc1") >= F.var_pop("pc2")).alias("in_order"))
+
+
+def _hierarchy(spark, d) -> DataFrame:
+    return M.bisecting_hierarchy(_profile_matrix(spark, d), "features", 4)
+
+
 def q_bisecting_hierarchy(spark, d):
-    X = _profile_matrix(spark, d)
-    h = M.bisecting_hierarchy(X, "features", 4)
-    return h.select("geo", "hier")
+    return _hierarchy(spark, d).select("geo", "hier")
+
+
+def q_hierarchy_by_cluster(spark, d):
+    """Contingency table of the hierarchy against the k-means groups."""
+    both = _hierarchy(spark, d).select("geo", "hier").join(_kmeans_groups(spark, d).select("geo", "cluster"), "geo")
+    return both.groupBy("hier", "cluster").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
 
 
 # --------------------------------------------------------------------------
-# Forecast models (rows-only)
+# Forecast models
 # --------------------------------------------------------------------------
 
 def _split_panel(spark, d) -> DataFrame:
-    clean = load_clean(spark, d)
-    return P.tag_split(P.lag_panel(clean, MEASURE)).cache()
+    return P.tag_split(P.lag_panel(load_clean(spark, d), MEASURE))
 
 
 def _scored_frame(df: DataFrame) -> DataFrame:
@@ -168,43 +184,40 @@ def _scored_frame(df: DataFrame) -> DataFrame:
                      _r(F.abs(F.col(MEASURE) - F.col("prediction"))).alias("absolute_error"))
 
 
-_GBT: dict = {}
+_SCORED = ["geo", "start_date", MEASURE, f"lag1_{MEASURE}", "prediction"]
 
 
 def _gbt_fits(spark, d) -> dict:
-    """The final boosted-tree fit and the three expanding-fold fits: four
-    independent fits trained as concurrent jobs, once per application."""
-    key = (spark.sparkContext.applicationId, d)
-    with _LOCKS["gbt"]:
-        if key not in _GBT:
-            p = _split_panel(spark, d)
-            folds = P.fold_rows(p).cache()
-            numeric = P.numeric_features(MEASURE)
-
-            def final():
-                _, (test,) = M.fit_gbt_forecast(p.filter(F.col("split") == "train"),
-                                                [p.filter(F.col("split") == "test")], numeric, "geo", MEASURE,
-                                                max_iter=K.GBT_ROUNDS)
-                return test.checkpoint(eager=True)
-
-            def fold(label):
-                f = folds.filter(F.col("fold") == label)
-                tr, va = f.filter(F.col("role") == "train"), f.filter(F.col("role") == "validation")
-                _, (scored,) = M.fit_gbt_forecast(tr, [va], numeric, "geo", MEASURE, max_iter=K.GBT_ROUNDS)
-                return scored.select(F.lit(label).alias("fold"), MEASURE, "prediction",
-                                     f"lag1_{MEASURE}").checkpoint(eager=True)
-
-            def early():
-                three = P.tag_three_way(P.lag_panel(load_clean(spark, d), MEASURE))
-                model, (test,) = M.fit_gbt_early_stopping(
-                    three.filter(F.col("split") == "fit"), three.filter(F.col("split") == "validation"),
-                    [three.filter(F.col("split") == "test")], numeric, "geo", MEASURE,
-                    max_iter=K.GBT_ROUNDS, tol=K.GBT_EARLY_STOP_TOL)
-                return model.getNumTrees, test.checkpoint(eager=True)
-
-            out = M.parallel_fits([final, early, *[lambda lbl=lbl: fold(lbl) for lbl, _, _ in K.FOLDS]])
-            _GBT[key] = {"test": out[0], "early": out[1], "cv": out[2:]}
-        return _GBT[key]
+    """The final boosted-tree fit, its early-stopping twin and the three expanding-fold fits: independent fits
+    trained as concurrent jobs."""
+    return _once(spark, d, "gbt", lambda: _run_gbt(spark, d))
+
+
+def _run_gbt(spark, d) -> dict:
+    panel = write_scratch(P.lag_panel(load_clean(spark, d), MEASURE), "lag-panel")
+    p, three, folds = P.tag_split(panel), P.tag_three_way(panel), P.fold_rows(panel)
+    numeric = P.numeric_features(MEASURE)
+
+    def final():
+        _, (test,) = M.fit_gbt_forecast(p.filter(F.col("split") == "train"), [p.filter(F.col("split") == "test")], numeric, "geo", MEASURE)
+        return write_scratch(test.select(_SCORED), "gbt-test")
+
+    def fold(label):
+        f = folds.filter(F.col("fold") == label)
+        train, valid = f.filter(F.col("role") == "train"), f.filter(F.col("role") == "validation")
+        _, (scored,) = M.fit_gbt_forecast(train, [valid], numeric, "geo", MEASURE)
+        return write_scratch(scored.select(F.lit(label).alias("fold"), *_SCORED), "gbt-fold")
+
+    def early():
+        split = lambda s: three.filter(F.col("split") == s)
+        model, (test,) = M.fit_gbt_early_stopping(split("fit"), split("validation"), [split("test")], numeric, "geo", MEASURE)
+        return model.getNumTrees, write_scratch(test.select(_SCORED), "gbt-early")
+
+    out = M.parallel_fits([final, early, *[lambda lbl=lbl: fold(lbl) for lbl, _, _ in K.FOLDS]])
+    cv = out[2]
+    for rows in out[3:]:
+        cv = cv.unionByName(rows)
+    return {"test": out[0], "early": out[1], "cv": cv}
 
 
 def _gbt_test(spark, d) -> DataFrame:
@@ -217,137 +230,98 @@ def q_gbt_forecast(spark, d):
 
 
 def q_gbt_cv(spark, d):
-    p = _split_panel(spark, d)
-    rows = _gbt_fits(spark, d)["cv"]
-    allv = rows[0]
-    for r in rows[1:]:
-        allv = allv.unionByName(r)
-    sizes = P.fold_sizes(p)
-    model = E.regression_metrics(allv, MEASURE, "prediction", ["fold"])
-    base = E.regression_metrics(allv, MEASURE, f"lag1_{MEASURE}", ["fold"])
-    out = sizes.join(model.select("fold", *[F.col(c).alias("model_" + c) for c in ["mae", "rmse", "r2", "wape_pct"]]),
-                     "fold").join(base.select("fold", *[F.col(c).alias("baseline_" + c)
-                                                        for c in ["mae", "rmse", "r2", "wape_pct"]]), "fold")
+    scored = _gbt_fits(spark, d)["cv"]
+    sizes = P.fold_sizes(_split_panel(spark, d))
+    model = E.regression_metrics(scored, MEASURE, "prediction", ["fold"])
+    base = E.regression_metrics(scored, MEASURE, f"lag1_{MEASURE}", ["fold"])
+    names = ["mae", "rmse", "r2", "wape_pct"]
+    out = sizes.join(model.select("fold", *[F.col(c).alias("model_" + c) for c in names]), "fold").join(
+        base.select("fold", *[F.col(c).alias("baseline_" + c) for c in names]), "fold")
     # Fold winner on MAE
     return out.withColumn("winner", F.when(F.col("model_mae") < F.col("baseline_mae"), F.lit("model"))
                           .otherwise(F.lit("baseline")))
 
 
-def q_residual_linear(spark, d):
-    p = _split_panel(spark, d)
-    _, (test,) = M.fit_residual_linear(p.filter(F.col("split") == "train"), [p.filter(F.col("split") == "test")],
-                                       P.numeric_features(MEASURE), "geo", MEASURE, f"lag1_{MEASURE}")
-    return _scored_frame(test)
-
-
-def q_gbt_metrics(spark, d):
-    """E1-E5 for the boosted trees against persistence on the same rows."""
-    test = _gbt_test(spark, d)
-    m = E.long_model_metrics(test, MEASURE, {"gbt": "prediction", "persistence": f"lag1_{MEASURE}"},
-                             baseline=f"lag1_{MEASURE}")
-    return m.select("model", "n", *[_r(c).alias(c) for c in ["mae", "rmse", "r2", "wape_pct"]],
-                    _r(E.improvement_pct("base_mae", "mae")).alias("mae_improvement_pct"))
-
+def _row_checks(scored: DataFrame, by: list[str]) -> DataFrame:
+    """What SQL can say about scored rows: their number, sums, persistence metrics, and that no prediction is missing or negative."""
+    metrics = E.metric_columns(MEASURE, f"lag1_{MEASURE}")[1:]
+    return scored.groupBy(*by).agg(
+        F.count(F.lit(1)).cast("bigint").alias("rows"), F.count_distinct("geo").cast("bigint").alias("geos"), F.sum(MEASURE).alias("actual"),
+        F.sum(f"lag1_{MEASURE}").alias("persistence"), *[_r(m).alias(f"baseline_{n}") for m, n in zip(metrics, ["mae", "rmse", "r2", "wape_pct"])],
+        F.min((F.coalesce("prediction", F.lit(-1.0)) >= 0).cast("int")).cast("boolean").alias("predictions_ok"))
 
-MODEL_QUERIES = {
-    name[2:]: fn for name, fn in list(globals().items()) if name.startswith("q_") and callable(fn)
-}
-
-
-# --------------------------------------------------------------------------
-# Residual network (M18b-M20), data-parallel training
-# --------------------------------------------------------------------------
 
-_NET: dict = {}
+def q_gbt_cv_checks(spark, d):
+    """The fold fits' scored rows, and that the winner follows from the two errors."""
+    rows = _row_checks(_gbt_fits(spark, d)["cv"], ["fold"])
+    cv = q_gbt_cv(spark, d)
+    right = (F.col("winner") == "model") == (F.col("model_mae") < F.col("baseline_mae"))
+    return rows.join(cv.select("fold", "train_rows", "validation_rows", right.alias("winner_ok")), "fold")
 
 
-def _net_runs(spark, d) -> dict:
-    """Regularized and unregularized residual networks, trained once per app."""
-    key = (spark.sparkContext.applicationId, d)
-    with _LOCKS["net"]:
-        if key not in _NET:
-            _NET[key] = _train_nets(spark, d)
-        return _NET[key]
-
-
-def _train_nets(spark, d) -> dict:
-    from tessera.functions import features as X
-    from tessera.operators import network as N
-
-    clean = load_clean(spark, d)
-    p = P.tag_three_way(P.lag_panel(clean, MEASURE)).withColumn(
-        "resid", X.residual_target(MEASURE, f"lag1_{MEASURE}")).cache()
-    fit, val, test = (p.filter(F.col("split") == s) for s in ("fit", "validation", "test"))
-    _, _, (xf, xv, xt) = M.design_matrix(fit, [val, test], P.numeric_features(MEASURE), "geo")
-    (reg_w, reg_hist, best_ep, stop_ep), (un_w, un_hist, un_best, _) = M.parallel_fits([
-        lambda: N.train(xf, xv, "features", "resid", N.NetConfig(regularized=True)),
-        lambda: N.train(xf, xv, "features", "resid",
-                        N.NetConfig(regularized=False, max_epochs=160, early_stopping=False)),
-    ])
-    scored = N.predict(xt, "features", reg_w).withColumn(
-        "prediction", X.residual_reconstruct(f"lag1_{MEASURE}", "resid_pred"))
-    n_in = len(xf.select(vector_to_array("features").alias("x")).first()["x"])
-    return {"scored": scored.checkpoint(eager=True), "reg_hist": reg_hist, "un_hist": un_hist,
-            "best_epoch": best_ep, "stop_epoch": stop_ep, "un_best": un_best, "parameters": N.n_parameters(n_in)}
-
+def q_forecast_checks(spark, d):
+    """The test rows that each model family scored."""
+    out = None
+    for name, scored in (("trees", _gbt_test(spark, d)), ("trees_early", _gbt_fits(spark, d)["early"][1]), ("residual_linear", _residual_test(spark, d))):
+        rows = _row_checks(scored.withColumn("model", F.lit(name)), ["model"])
+        out = rows if out is None else out.unionByName(rows)
+    return out
 
-def q_residual_mlp(spark, d):
-    return _scored_frame(_net_runs(spark, d)["scored"])
 
+def _residual_test(spark, d) -> DataFrame:
+    """Huber residual-regression predictions on the test rows."""
+    def fit():
+        p = write_scratch(_split_panel(spark, d), "split-panel")
+        _, (test,) = M.fit_residual_linear(p.filter(F.col("split") == "train"), [p.filter(F.col("split") == "test")],
+                                           P.numeric_features(MEASURE), "geo", MEASURE, f"lag1_{MEASURE}")
+        return write_scratch(test.select(_SCORED), "residual-test")
 
-def q_mlp_history(spark, d):
-    r = _net_runs(spark, d)
-    rows = [("regularized", *h) for h in r["reg_hist"]] + [("unregularized", *h) for h in r["un_hist"]]
-    return spark.createDataFrame(rows, "model string, epoch int, train_loss double, val_loss double, lr double")
+    return _once(spark, d, "residual", fit)
 
 
-def q_overfit_gap(spark, d):
-    r = _net_runs(spark, d)
-    last = r["un_hist"][-1]
-    return spark.createDataFrame(
-        [(r["parameters"], r["best_epoch"], r["stop_epoch"], min(h[2] for h in r["reg_hist"]),
-          r["un_best"], last[1], last[2], last[2] - last[1])],
-        "parameters int, best_epoch int, stop_epoch int, best_val_loss double, unreg_best_epoch int, "
-        "unreg_final_train_loss double, unreg_final_val_loss double, unreg_gap double")
+def q_residual_linear(spark, d):
+    return _scored_frame(_residual_test(spark, d))
 
 
-MODEL_QUERIES.update({
-    name[2:]: fn for name, fn in list(globals().items())
-    if name.startswith("q_") and callable(fn) and name[2:] not in MODEL_QUERIES
-})
+def q_gbt_metrics(spark, d):
+    """E1-E5 for the boosted trees against persistence on the same rows."""
+    m = E.long_model_metrics(_gbt_test(spark, d), MEASURE, {"gbt": "prediction", "persistence": f"lag1_{MEASURE}"},
+                             baseline=f"lag1_{MEASURE}")
+    return m.select("model", "n", *[_r(c).alias(c) for c in ["mae", "rmse", "r2", "wape_pct"]],
+                    _r(E.improvement_pct("base_mae", "mae")).alias("mae_improvement_pct"))
 
 
 def q_forecast_monthly_models(spark, d):
-    """Per test month, rows and the sums of actual, boosted-tree,
-    residual-network and persistence forecasts on identical rows (the
-    monthly rollup table of the reference's two scripts)."""
-    # the two model families are independent: train (or fetch) them concurrently
-    M.parallel_fits([lambda: _gbt_test(spark, d), lambda: _net_runs(spark, d)])
-    trees = _gbt_test(spark, d).select("geo", "start_date", MEASURE, f"lag1_{MEASURE}",
-                                       F.col("prediction").alias("trees"))
-    net = _net_runs(spark, d)["scored"].select("geo", "start_date", F.col("prediction").alias("network"))
-    j = trees.join(net, ["geo", "start_date"], "inner")
-    g = j.groupBy("start_date").agg(
+    """Per test month, rows and the sums of actual, boosted-tree, residual-regression and persistence
+    forecasts on identical rows."""
+    trees = _gbt_test(spark, d).withColumnRenamed("prediction", "trees")
+    linear = _residual_test(spark, d).select("geo", "start_date", F.col("prediction").alias("residual_linear"))
+    g = trees.join(linear, ["geo", "start_date"]).groupBy("start_date").agg(
         F.count(F.lit(1)).cast("bigint").alias("rows"),
         F.sum(MEASURE).alias("actual"),
         F.sum("trees").alias("trees"),
-        F.sum("network").alias("network"),
+        F.sum("residual_linear").alias("residual_linear"),
         F.sum(f"lag1_{MEASURE}").alias("persistence"),
     )
     return g.select(_iso("start_date"), "rows", "actual", _r("trees", 3).alias("trees"),
-                    _r("network", 3).alias("network"), "persistence")
+                    _r("residual_linear", 3).alias("residual_linear"), "persistence")
 
 
-MODEL_QUERIES["forecast_monthly_models"] = q_forecast_monthly_models
+def q_monthly_model_checks(spark, d):
+    """The model-free columns of the monthly rollup, which compares all models on identical rows."""
+    return q_forecast_monthly_models(spark, d).select(
+        "start_date", "rows", "actual", "persistence", ((F.col("trees") >= 0) & (F.col("residual_linear") >= 0)).alias("predictions_ok"))
 
 
 def q_gbt_early_stopping(spark, d):
     """M19 twin: boosted trees with validation-based early stopping (fit /
-    validation / test split of the network); trees used and test metrics."""
+    validation / test split); trees used and test metrics."""
     n_trees, test = _gbt_fits(spark, d)["early"]
     m = E.regression_metrics(test, MEASURE, "prediction")
     return m.select(F.lit(n_trees).alias("trees_used"), F.lit(K.GBT_ROUNDS).alias("max_trees"), "n",
                     *[_r(c).alias(c) for c in ["mae", "rmse", "r2", "wape_pct"]])
 
 
-MODEL_QUERIES["gbt_early_stopping"] = q_gbt_early_stopping
+MODEL_QUERIES = {
+    name[2:]: fn for name, fn in list(globals().items()) if name.startswith("q_") and callable(fn)
+}

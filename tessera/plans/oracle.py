@@ -9,6 +9,7 @@ counts BIGINT, computed doubles rounded to 6 places.
 from __future__ import annotations
 
 import math
+import re
 
 from tessera import contract as K
 
@@ -52,30 +53,34 @@ bounds AS (
          max(d) AS max_d
   FROM li
 ),
+fine AS MATERIALIZED (
+  SELECT geo_name, nested, ls, q, CAST(date_trunc('month', d) AS DATE) AS m,
+         sum(fa) AS a, count(*) AS total, sum(fb) AS b, sum(fa * fb) AS overlap, sum(fc) AS c,
+         sum(greatest(fa, fb, fc)) AS union_cnt
+  FROM li GROUP BY ALL
+),
 e_geo AS (
-  SELECT *, geo_name AS geo FROM li
-  UNION ALL SELECT *, {_q(K.GEO_ALL)} FROM li
-  UNION ALL SELECT *, {_q(K.GEO_NESTED)} FROM li WHERE nested
+  SELECT *, geo_name AS geo FROM fine
+  UNION ALL SELECT *, {_q(K.GEO_ALL)} FROM fine
+  UNION ALL SELECT *, {_q(K.GEO_NESTED)} FROM fine WHERE nested
 ),
 e_sex AS (
   SELECT *, {_q(K.SEX_ALL)} AS sex FROM e_geo
   UNION ALL SELECT *, ls FROM e_geo
 ),
 e_band AS (
-  SELECT e.*, b.band FROM e_sex e JOIN bands b
+  SELECT e.geo, e.sex, e.m, b.band, {", ".join(f"sum(e.{m}) AS {m}" for m in MEAS)} FROM e_sex e JOIN bands b
     ON b.band = {_q(K.BAND_ALL)} OR (e.q BETWEEN b.lo AND b.hi)
+  GROUP BY ALL
 ),
 e_period AS (
-  SELECT *, {_q(K.GRAIN_MONTH)} AS grain, CAST(date_trunc('month', d) AS DATE) AS pkey FROM e_band
-  UNION ALL SELECT *, {_q(K.GRAIN_YEAR)}, CAST(date_trunc('year', d) AS DATE) FROM e_band
+  SELECT *, {_q(K.GRAIN_MONTH)} AS grain, m AS pkey FROM e_band
+  UNION ALL SELECT *, {_q(K.GRAIN_YEAR)}, CAST(date_trunc('year', m) AS DATE) FROM e_band
   UNION ALL SELECT *, {_q(K.GRAIN_TOTAL)}, CAST(NULL AS DATE) FROM e_band
 ),
 cells AS (
-  SELECT grain, pkey, geo, sex, band,
-         CAST(sum(fa) AS BIGINT) AS a, CAST(count(*) AS BIGINT) AS total, CAST(sum(fb) AS BIGINT) AS b,
-         CAST(sum(fa * fb) AS BIGINT) AS overlap, CAST(sum(fc) AS BIGINT) AS c,
-         CAST(sum(greatest(fa, fb, fc)) AS BIGINT) AS union_cnt
-  FROM e_period GROUP BY ALL
+  SELECT grain, pkey, geo, sex, band, {", ".join(f"CAST(sum({m}) AS BIGINT) AS {m}" for m in MEAS)}
+  FROM e_period GROUP BY grain, pkey, geo, sex, band
 ),
 periods AS (
   SELECT {_q(K.GRAIN_MONTH)} AS grain, CAST(m AS DATE) AS pkey
@@ -100,7 +105,7 @@ dense AS (
     ON g.grain = c.grain AND g.pkey IS NOT DISTINCT FROM c.pkey AND g.geo = c.geo
    AND g.sex = c.sex AND g.band = c.band
 ),
-cube AS (
+cube AS MATERIALIZED (
   SELECT CAST(bounds.max_d + {K.AS_OF_LAG_DAYS} AS DATE) AS data_as_of,
          coalesce(pkey, bounds.min_m) AS start_date,
          least(CASE grain WHEN {_q(K.GRAIN_MONTH)} THEN last_day(pkey)
@@ -114,7 +119,7 @@ cube AS (
          CASE WHEN {" OR ".join(_SMALL[m] for m in MEAS)} THEN {_q(K.FOOTNOTE)} END AS footnote
   FROM dense, bounds
 ),
-clean AS (
+clean AS MATERIALIZED (
   SELECT data_as_of, start_date, end_date, grain, year, month, geo, sex, band,
          {", ".join(f"CAST({m} AS DOUBLE) AS {m}" for m in MEAS)},
          footnote,
@@ -166,6 +171,27 @@ test_rows AS (
   SELECT *, CASE WHEN rolling3_a IS NOT NULL THEN greatest(rolling3_a, 0.0) END AS prediction
   FROM panel WHERE start_date BETWEEN DATE '{K.TEST_START}' AND DATE '{K.TEST_END}'
 ),
+lagged_total AS (
+  SELECT geo, start_date, month, total,
+         lag(total_f, 1) OVER w AS lag1_total, lag(total_f, 2) OVER w AS lag2_total, lag(total_f, 3) OVER w AS lag3_total,
+         CASE WHEN count(total_f) OVER w3 = 3 THEN avg(total_f) OVER w3 END AS rolling3_total,
+         lag(b_f, 1) OVER w AS lag1_b,
+         sin({2 * math.pi!r} * month / 12.0) AS month_sin,
+         cos({2 * math.pi!r} * month / 12.0) AS month_cos,
+         CAST((year(start_date) - {K.BASE_YEAR}) * 12 + month(start_date) - 1 AS INTEGER) AS time_index
+  FROM series
+  WINDOW w AS (PARTITION BY geo ORDER BY start_date),
+         w3 AS (PARTITION BY geo ORDER BY start_date ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING)
+),
+panel_total AS (
+  SELECT * FROM lagged_total
+  WHERE lag1_total IS NOT NULL AND lag2_total IS NOT NULL AND lag3_total IS NOT NULL AND rolling3_total IS NOT NULL
+    AND lag1_b IS NOT NULL AND total IS NOT NULL
+),
+test_rows_total AS (
+  SELECT *, CASE WHEN rolling3_total IS NOT NULL THEN greatest(rolling3_total, 0.0) END AS prediction
+  FROM panel_total WHERE start_date BETWEEN DATE '{K.TEST_START}' AND DATE '{K.TEST_END}'
+),
 profile_wide AS (
   SELECT geo,
     max(CASE WHEN grain = {_q(K.GRAIN_TOTAL)} AND sex = {_q(K.SEX_ALL)} AND band = {_q(K.BAND_ALL)} THEN a END) AS a,
@@ -459,16 +485,9 @@ def _slice_cond(grain, geos, sexes, bands):
     return f"grain = {_q(grain)} AND {geo} AND sex IN ({_list(sexes)}) AND band IN ({_list(bands)})"
 
 
-_SLICES = [
-    ("national_monthly", K.GRAIN_MONTH, [K.GEO_ALL], [K.SEX_ALL], [K.BAND_ALL]),
-    ("geo_totals", K.GRAIN_TOTAL, None, [K.SEX_ALL], [K.BAND_ALL]),
-    ("national_bands", K.GRAIN_TOTAL, [K.GEO_ALL], [K.SEX_ALL], K.EXCLUSIVE_BAND_LABELS),
-    ("national_sex_bands", K.GRAIN_TOTAL, [K.GEO_ALL], K.SEX_PARTS, K.EXCLUSIVE_BAND_LABELS),
-    ("geo_monthly_panel", K.GRAIN_MONTH, None, [K.SEX_ALL], [K.BAND_ALL]),
-]
 SQL_BODIES["slice_contract"] = " UNION ALL ".join(
     f"SELECT {_q(n)} AS slice, CAST(count(*) AS BIGINT) AS rows FROM clean WHERE {_slice_cond(g, ge, se, b)}"
-    for n, g, ge, se, b in _SLICES)
+    for n, g, ge, se, b in K.SLICES)
 
 _RULES = ["negative_counts", "a_gt_total", "b_gt_total", "c_gt_total", "overlap_gt_a", "overlap_gt_b",
           "union_lt_components", "invalid_dates"]
@@ -542,6 +561,72 @@ SELECT round(avg(CASE WHEN a IS NULL OR greatest(a, b) <= 0 THEN 0.0 ELSE (b - a
 FROM per"""
 
 
+SQL_BODIES["gap_audit"] = """
+SELECT geo, CAST(start_date AS VARCHAR) AS start_date, CAST(prev AS VARCHAR) AS prev
+FROM (SELECT geo, start_date, lag(start_date) OVER (PARTITION BY geo ORDER BY start_date) AS prev FROM series)
+WHERE date_diff('month', prev, start_date) > 1"""
+
+SQL_BODIES["headline_values"] = f"""
+SELECT m.*, n.*, s.* FROM
+  (SELECT round(100.0 * max(a) / sum(a), 6) AS peak_month_share_pct, max(CASE WHEN start_date = DATE '{K.NAMED_MONTH}' THEN a END) AS named_month_a FROM nat_month) m,
+  (SELECT max(a) AS largest_band_a, round(100.0 * max(a) / sum(a), 6) AS largest_band_pct FROM nat_bands) n,
+  (SELECT sum(p0) AS sex0_a, sum(p1) AS sex1_a, round(sum(p1) / nullif(sum(p0), 0), 6) AS ratio_of_sums,
+          arg_min(band, struct_pack(r := -(p1 / nullif(p0, 0)), o := ordinal)) FILTER (WHERE p0 <> 0 AND p1 IS NOT NULL) AS largest_ratio_band
+   FROM (SELECT c.band, b.ordinal, max(CASE WHEN sex = {_q(K.SEX_PARTS[0])} THEN a END) AS p0, max(CASE WHEN sex = {_q(K.SEX_PARTS[1])} THEN a END) AS p1
+         FROM clean c JOIN bands b USING (band)
+         WHERE grain = {_q(K.GRAIN_TOTAL)} AND geo = {_q(K.GEO_ALL)} AND b.ordinal IS NOT NULL GROUP BY ALL)) s"""
+
+
+def _finding(name: str, body: str, value: str, about: str) -> str:
+    return f"SELECT {_q(name)} AS finding, CAST({value} AS DOUBLE) AS value, CAST({about} AS VARCHAR) AS about FROM ({SQL_BODIES[body].strip()})"
+
+
+SQL_BODIES["findings"] = " UNION ALL ".join([
+    _finding("national share pct", "national_totals", "a_share_pct", "'national'"),
+    _finding("peak month", "extremes", "peak_a", "peak_month"), _finding("lowest month", "extremes", "low_a", "low_month"),
+    _finding("highest share pct", "geo_share_stats", "max_share", "max_geo"),
+    _finding("lowest share pct", "geo_share_stats", "min_share", "min_geo"),
+    _finding("senior share pct", "senior_share", "senior_share_pct", "'national'"),
+    _finding("decline from peak pct", "decline_from_peak", "decline_pct", "last_month"),
+])
+
+SQL_BODIES["input_checksum"] = f"""
+SELECT "Group", CAST(count(*) AS BIGINT) AS rows,
+       CAST(sum(CAST(CAST('0x' || substr(md5(concat_ws(chr(31), {", ".join(f"coalesce({chr(34)}{h}{chr(34)}, chr(92) || 'N')" for h in K.SOURCE_HEADER)})), 1, 15) AS BIGINT) AS HUGEINT)) % {2 ** 60} AS BIGINT) AS fingerprint
+FROM ({SQL_BODIES["scan_text_cube"].strip()}) GROUP BY 1"""
+
+# checkable facts about fitted models
+_CHECKS = ("CAST(count(*) AS BIGINT) AS rows, CAST(count(DISTINCT geo) AS BIGINT) AS geos, sum(a) AS actual, sum(lag1_a) AS persistence, "
+           "round(avg(abs(a - greatest(lag1_a, 0.0))), 6) AS baseline_mae, round(sqrt(avg((a - greatest(lag1_a, 0.0)) ** 2)), 6) AS baseline_rmse, "
+           "round(1 - sum((a - greatest(lag1_a, 0.0)) ** 2) / nullif(var_pop(a) * count(a), 0), 6) AS baseline_r2, "
+           "round(100.0 * sum(abs(a - greatest(lag1_a, 0.0))) / nullif(sum(a), 0), 6) AS baseline_wape_pct, true AS predictions_ok")
+SQL_BODIES["forecast_checks"] = " UNION ALL ".join(
+    f"SELECT {_q(m)} AS model, {_CHECKS} FROM test_rows" for m in ("trees", "trees_early", "residual_linear"))
+SQL_BODIES["gbt_cv_checks"] = " UNION ALL ".join(
+    f"SELECT {_q(lbl)} AS fold, {_CHECKS}, (SELECT CAST(count(*) AS BIGINT) FROM panel WHERE start_date < DATE '{s}') AS train_rows, "
+    f"CAST(count(*) AS BIGINT) AS validation_rows, true AS winner_ok FROM panel WHERE start_date BETWEEN DATE '{s}' AND DATE '{e}'"
+    for lbl, s, e in K.FOLDS)
+SQL_BODIES["monthly_model_checks"] = """
+SELECT CAST(start_date AS VARCHAR) AS start_date, CAST(count(*) AS BIGINT) AS rows, sum(a) AS actual, sum(lag1_a) AS persistence, true AS predictions_ok
+FROM test_rows GROUP BY start_date"""
+SQL_BODIES["kmeans_checks"] = " UNION ALL ".join(
+    f"SELECT {k} AS k, CAST(count(*) AS BIGINT) AS n_points, true AS all_groups_used, true AS cost_is_inertia, true AS in_order FROM profile"
+    for k in [0, *K.KMEANS_KS])
+SQL_BODIES["pca_checks"] = """
+SELECT CAST(count(*) AS BIGINT) AS n_geos, true AS uncorrelated, true AS share1_ok, true AS share2_ok, true AS in_order FROM profile"""
+
+
+def _on_total(body: str) -> str:
+    """The same query over the panel of the measure ``total``."""
+    body = re.sub(r"(?<!AS )\b(panel|test_rows)\b", r"\1_total", body)
+    body = body.replace(", lag1_total", "")
+    return re.sub(r"\b(|lag1_|lag2_|lag3_|rolling3_)a\b", r"\1total", body)
+
+
+for _name in ("lag_panel", "forecast_errors", "baseline_metrics", "model_comparison", "acceptance", "wape_monitor", "conformal_band"):
+    SQL_BODIES[f"{_name}_total"] = _on_total(SQL_BODIES[_name])
+
+
 def _positive_zero(sql: str) -> str:
     """Wrap every round(...) as (0.0 + round(...)): DuckDB keeps the sign of a
     rounded-away negative (-0.0) while Spark's decimal rounding yields 0.0."""

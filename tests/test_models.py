@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 from tessera.operators import clustering as C
 from tessera.operators import models as M
 from tessera.operators import profile as PR
-from tessera.plans.modelling import silhouette_sq_frame
 
 
 def _points(spark, X, labels):
@@ -37,7 +36,6 @@ def test_silhouette_sq_brute_force(spark):
     labels = np.array([0] * 10 + [1] * 12 + [2] * 7 + [3])  # one single-member cluster
     df = _points(spark, X, labels)
     want = _brute_silhouette(X, labels)
-    assert silhouette_sq_frame(df).first().silhouette_sq == pytest.approx(want, abs=1e-9)
     assert C.silhouette_sq(df) == pytest.approx(want, abs=1e-9)
 
 
@@ -64,18 +62,50 @@ def test_one_hot_unknown_is_zero(spark):
     assert out == {"a": (0, 3), "c": (2, 3), "zz": (None, 3)}
 
 
-def test_early_stopping_golden():
-    losses = [1.0, 0.9, 0.8, 0.5] + [0.6] * 40
-    assert M.early_stopping(losses, patience=20) == (4, 24)
-
-
 def test_kmeans_cost_equals_inertia(spark):
     rng = np.random.default_rng(3)
     X = np.vstack([rng.normal(0, 1, (15, 2)), rng.normal(6, 1, (15, 2))])
     df = _points(spark, X, np.zeros(30, dtype=int))
-    rows, models = M.kmeans_sweep(df, "features", [2], restarts=2)
-    pred = models[2].transform(df).withColumn("prediction", F.col("prediction").cast("int"))
-    assert rows[0][1] == pytest.approx(C.training_cost(pred, "features", "prediction"))
+    fits = M.kmeans_fits(df, "features", [2, 3], restarts=3)
+    assert {k: len(f) for k, f in fits.items()} == {2: 3, 3: 3} and [s for _, s, _ in fits[2]] == [42, 43, 44]
+    cost, _, model = M.best_fit(fits[2])
+    assert cost == min(c for c, _, _ in fits[2])
+    assert cost == pytest.approx(C.inertia_by_label(model.transform(df), "features", "prediction").first().inertia)
+
+
+def test_unlabelled_points_do_not_count(spark):
+    rng = np.random.default_rng(6)
+    X = rng.normal(size=(21, 3))
+    labels = np.array([0, 1, 2] * 7)
+    df = _points(spark, X, labels)
+    more = df.unionByName(df.limit(5).withColumn("label", F.lit(None).cast("int")))
+    assert C.inertia_by_label(more).first() == C.inertia_by_label(df).first()
+    assert C.silhouette_sq(more) == C.silhouette_sq(df)
+
+
+def test_design_matrix_learns_from_train_only(spark):
+    train = spark.createDataFrame([(1.0, 5.0, "b"), (3.0, 5.0, "a")], "x double, z double, geo string")
+    other = spark.createDataFrame([(100.0, 6.0, "zz"), (1.0, 5.0, "a")], "x double, z double, geo string")
+    pm, (xt, xo) = M.design_matrix(train, [other], ["x", "z"], "geo")
+    assert [r.features.toArray().tolist() for r in xt.orderBy("x").collect()] == [[-1, 0, 0, 1], [1, 0, 1, 0]]
+    assert [r.features.toArray().tolist() for r in xo.orderBy("x").collect()] == [[-1, 0, 1, 0], [98, 1, 0, 0]]
+    assert M.vector_size(xt) == 4
+    assert not train.is_cached and not xt.is_cached
+
+
+def test_pca_sign_and_shares(spark):
+    rng = np.random.default_rng(7)
+    X = rng.normal(size=(40, 3)) * [3, 1, 0.2]
+    X -= X.mean(0)
+    proj, ratio = M.pca_2d(_points(spark, X, np.zeros(40, int)), "features")
+    values, vectors = np.linalg.eigh(X.T @ X)
+    order = np.argsort(-values)
+    assert ratio == pytest.approx((values[order] / values.sum())[:2].tolist())
+    for k, name in enumerate(("pc1", "pc2")):
+        v = vectors[:, order[k]]
+        v = v if v[np.abs(v).argmax()] > 0 else -v
+        got = [r[name] for r in proj.orderBy("vec_id").collect()]
+        assert got == pytest.approx((X @ v).tolist())
 
 
 def test_gbt_early_stopping_stops(spark):

@@ -85,13 +85,22 @@ def _div(a: Column, b: Column | int) -> Column:
 
 
 def block_pieces(placed: DataFrame, block: int) -> DataFrame:
-    """One row per document and block it touches; documents of size 0 keep one row without a block."""
-    last = F.col("start") + F.col("size") - 1
-    blocks = F.when(F.col("size") > 0, F.sequence(_div(F.col("start"), block), _div(last, block)))
-    pieces = placed.withColumn("block", F.explode_outer(blocks))
-    first = F.greatest(F.col("start"), F.col("block") * block)
-    end = F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * block)
-    return pieces.withColumn("first", first).withColumn("n", end - first)
+    """One row per document and block it touches; documents of size 0 keep one row without a block. If
+    there are texts, each row gets its own words only, joined by spaces: the text is split once per document and not copied per block."""
+    start, end = F.col("start"), F.col("start") + F.col("size")
+    blocks = F.when(F.col("size") > 0, F.sequence(_div(start, block), _div(end - 1, block)))
+    first = lambda b: F.greatest(start, b * block)
+    n = lambda b: F.least(end, (b + 1) * block) - first(b)
+    fields = lambda b: [b.alias("block"), first(b).alias("first"), n(b).alias("n")]
+    if "text" in placed.columns:
+        words = F.regexp_extract_all("text", F.lit(f"({WORD_RE})"), 1)
+        placed = placed.withColumn("words", F.explode(F.array(words))).drop("text")  # evaluated once, not again inside the lambda
+        text = lambda b: F.array_join(F.slice("words", (first(b) - start + 1).cast("int"), n(b).cast("int")), " ")
+        pieces = F.transform(blocks, lambda b: F.struct(*fields(b), text(b).alias("text")))
+    else:
+        pieces = F.transform(blocks, lambda b: F.struct(*fields(b)))
+    kept = [c for c in placed.columns if c != "words"]
+    return placed.select(*kept, F.explode_outer(pieces).alias("piece")).select(*kept, "piece.*")
 
 
 def draw_slots(sources: DataFrame, block: int, seed: int, slots_per_shard: int) -> DataFrame:
@@ -143,13 +152,13 @@ def mix(docs: DataFrame, weights: Sequence[float], share: float, max_repeat: int
     mixed = pieces.join(slots.hint("merge"), ["s", "block"], "left")
     n = F.greatest(F.least(F.col("n"), F.col("block") * block + F.col("take") - F.col("first")), F.lit(0).cast("long"))
     drawn = F.when(F.col("take").isNotNull(), n).otherwise(F.lit(0).cast("long"))
-    mixed = mixed.withColumn("n", F.coalesce(drawn, F.lit(0).cast("long"))).withColumn("first", F.col("first") - F.col("start"))
+    mixed = mixed.withColumn("whole", F.col("n")).withColumn("n", F.coalesce(drawn, F.lit(0).cast("long")))
+    mixed = mixed.withColumn("first", F.col("first") - F.col("start"))
     columns = ["s", "source", "source_size", "target", "id", "size", "start", "shard", "slot", "block", "first", "n"]
     if not with_text:
         return mixed.select(columns)
-    words = F.regexp_extract_all("text", F.lit(f"({WORD_RE})"), 1)
-    piece = F.array_join(F.slice(words, (F.col("first") + 1).cast("int"), F.col("n").cast("int")), " ")
-    return mixed.select(*columns, F.when(F.col("n") > 0, piece).alias("text"))
+    cut = F.array_join(F.slice(F.split("text", " "), 1, F.col("n").cast("int")), " ")  # the last slot of a source may take less
+    return mixed.select(*columns, F.when(F.col("n") == F.col("whole"), F.col("text")).when(F.col("n") > 0, cut).alias("text"))
 
 
 def taken_words(pieces: DataFrame) -> DataFrame:

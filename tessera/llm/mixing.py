@@ -31,7 +31,7 @@ BLOCK_TOKENS = 256
 SLOTS_PER_SHARD = 1024
 BUCKETS = 4096
 #: Primes above any number of blocks a source can have; none divides it, so each gives a bijection.
-PERMUTATION_PRIMES = (2147483647, 2147483629, 2147483587, 2147483579)
+PERMUTATION_PRIMES = (2**59 - 55, 2**60 - 93, 2**61 - 1, 2**62 - 57)
 
 
 def text_size(text: Column) -> Column:
@@ -115,7 +115,8 @@ def draw_slots(sources: DataFrame, block: int, seed: int, slots_per_shard: int)
     want = want.withColumn("shards", shards)
     chunk = 4096
     chunks = want.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), _div(F.col("slots") - 1, chunk))))
-    chunks = chunks.repartition("s", "chunk")
+    # a fixed number of tasks: measured before the explode, the chunks look too small to spread
+    chunks = chunks.repartition(int(sources.sparkSession.conf.get("spark.sql.shuffle.partitions")), "s", "chunk")
     k = F.explode(F.sequence(F.col("chunk") * chunk, F.least(F.col("slots"), (F.col("chunk") + 1) * chunk) - 1)).alias("k")
     slots = chunks.select("s", "source_size", "want", "m", "shards", k)
     slots = slots.withColumn("round", _div(F.col("k"), F.col("m"))).withColumn("j", F.pmod("k", "m"))

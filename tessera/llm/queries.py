@@ -63,6 +63,12 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select(F.col("id").alias("page_id"), "host", "path", "rule", "verdict", "pattern")
 
 
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.lm_scoring import score_documents
+
+    return score_documents(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessera.llm.line_dedup import apply_bitmaps, keep_bitmaps
 
@@ -93,6 +99,7 @@ QUERIES: dict[str, Query] = {
     "op4_simhash": op4_simhash,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op6_url_filter": op6_url_filter,
+    "op7_lm_scoring": op7_lm_scoring,
     "op8_line_dedup": op8_line_dedup,
     "op9_decontamination": op9_decontamination,
     "op10_quality": op10_quality,

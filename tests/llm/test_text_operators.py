@@ -1,5 +1,6 @@
 """Language ID, SimHash, decontamination, quality and suffix dedup against brute force."""
 
+import math
 import random
 import re
 from collections import Counter, defaultdict
@@ -282,6 +283,58 @@ def test_repeated_words_of_a_large_vocabulary():
     assert quality.repeated_words(ws) == brute_repeats(ws)
 
 
+# ---------------------------------------------------------------- LM scoring
+
+def brute_scores(texts, corpus, order, alpha, leave_one_out):
+    lower = lambda t: [w.translate({c: c + 32 for c in range(65, 91)}) for w in WORD.findall(t or "")]
+    grams = lambda ws: Counter(tuple(ws[i:i + n]) for n in range(1, order + 1) for i in range(len(ws) - n + 1))
+    total = Counter()
+    for t in corpus:
+        total.update(grams(lower(t)))
+    words = sum(len(lower(t)) for t in corpus)
+    out = []
+    for t in texts:
+        ws, sum_ = lower(t), 0.0
+        own = grams(ws) if leave_one_out else Counter()
+        known = max(words - (len(ws) if leave_one_out else 0), 1)
+        for i in range(len(ws)):
+            factor = 1.0
+            for n in range(min(order, i + 1), 0, -1):
+                gram = tuple(ws[i - n + 1:i + 1])
+                c = total[gram] - own[gram]
+                if c > 0:
+                    sum_ += math.log(factor * c / (total[gram[:-1]] - own[gram[:-1]] if n > 1 else known))
+                    break
+                factor *= alpha
+            else:
+                sum_ += math.log(factor / known)
+        out.append((len(ws), round(sum_, 6)))
+    return out
+
+
+@pytest.mark.parametrize("order", [1, 2, 3])
+def test_lm_scores_against_brute_force(spark, monkeypatch, order):
+    from tessera.llm import lm_scoring
+
+    monkeypatch.setattr(lm_scoring, "RANGE_GRAMS", 700)
+    rng = random.Random(16)
+    texts = [None, "", " \n", "One", "one", "ONE two É", words(rng, 4000, 90)] + [words(rng, rng.randint(1, 80), 40).upper() for _ in range(60)]
+    texts += [texts[8]] * 3
+    ids = [None, None, *range(2, len(texts))]
+    docs = frame(spark, texts, ids=ids).repartition(5)
+    rows = lambda df: Counter((r.id, r.n_words, round(r.log_score, 6)) for r in df.collect())
+    for leave in (True, False):
+        want = Counter((i, *x) for i, x in zip(ids, brute_scores(texts, texts, order, 0.4, leave)))
+        assert rows(lm_scoring.score_documents(docs, order=order, leave_one_out=leave)) == want
+    other = [words(rng, 50, 60) for _ in range(20)] + [None]
+    want = Counter((i, *x) for i, x in zip(ids, brute_scores(texts, other, order, 0.4, False)))
+    assert rows(lm_scoring.score_documents(docs, frame(spark, other), order=order)) == want
+    nothing = lm_scoring.score_documents(docs, docs.limit(0), order=order)
+    assert rows(nothing) == Counter((i, *x) for i, x in zip(ids, brute_scores(texts, [], order, 0.4, False)))
+    assert {r.mean_log_score for r in nothing.collect() if not r.n_words} == {None}
+    assert lm_scoring.score_documents(docs.limit(0), order=order).count() == 0
+
+
 # ---------------------------------------------------------------- suffix arrays
 
 def brute_removal(texts, m):
@@ -342,13 +395,31 @@ def test_suffix_array_and_kasai():
     w = suffix_dedup._words(np.frombuffer(data, np.uint8))
     order, rank = suffix_dedup.suffix_array(w)
     assert order.tolist() == sorted(range(len(data)), key=lambda i: data[i:])
-    common = suffix_dedup.kasai(w, order, rank, 60, lane=37)
+    common = suffix_dedup.kasai(w, order, rank, 60, lane=37)  # lanes of any length
     for r in range(1, len(order)):
         a, b = data[order[r - 1]:], data[order[r]:]
         n = next((k for k, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
         assert common[order[r]] == min(n, 60)
 
 
+def test_windows_of_many_short_contexts():
+    rng = random.Random(15)
+    for alphabet in ("a", "ab", "abcdefgh"):
+        base = "".join(rng.choice(alphabet) for _ in range(300))
+        contexts = []
+        for _ in range(40):
+            a = rng.randrange(250)
+            contexts.append((base[a:a + rng.randint(0, 80)] + "".join(rng.choice(alphabet) for _ in range(rng.randint(0, 20)))).encode())
+        m = 17
+        number, offset, found, classes = suffix_dedup.repeated_starts(contexts, m)
+        windows = [contexts[k][o:o + m] for k, o in zip(number.tolist(), offset.tolist())]
+        times = Counter(windows)
+        assert sorted(windows) == sorted(c[o:o + m] for c in contexts for o in range(len(c) - m + 1))
+        assert [times[w] > 1 for w in windows] == found.tolist()
+        by_class = dict(zip(classes.tolist(), windows))
+        assert len(by_class) == len(times) and [by_class[c] for c in classes.tolist()] == windows
+
+
 def test_long_documents_go_in_pieces(monkeypatch):
     monkeypatch.setattr(suffix_dedup, "PIECE", 500)
     import numpy as np

@@ -1,7 +1,7 @@
 """Language ID: scripts narrow the candidates, a Viterbi pass labels spans.
 
 Training: letter trigrams (with word boundaries) of a bounded sample of labelled documents
-(``SAMPLE_DOCS`` per language, by smallest hash of the id) are counted in hashed buckets; the model is
+(about ``SAMPLE_DOCS`` per language, by hash of the id) are counted in hashed buckets; the model is
 a table of log probabilities per bucket and language plus the scripts each language uses.
 
 Prediction, on whole texts: words are maximal runs of letters of one script. The script's candidates are the languages
@@ -27,7 +27,6 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
 from tessera.llm.common import bound_batches
 
@@ -127,13 +126,14 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample_docs: int = SAMPLE_DOCS) -> LanguageModel:
-    """Learn from labelled rows of ``docs``; what is collected is bounded by buckets x languages."""
-    known = docs[lang_col].isNotNull() & docs[text_col].isNotNull() & docs[id_col].isNotNull()
-    rows = docs.where(known).select(docs[id_col].alias("id"), docs[lang_col].alias("lang"), F.xxhash64(docs[id_col]).alias("h"))
-    order = Window.partitionBy("lang").orderBy("h", "id")
-    chosen = rows.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= sample_docs).select(F.col("id").alias("chosen"), F.col("lang").alias("chosen_lang")).distinct()
-    texts = docs.where(known).select(docs[id_col].alias("id"), docs[lang_col].alias("lang"), docs[text_col].alias("text"))
-    sample = texts.join(chosen, (F.col("id") == F.col("chosen")) & (F.col("lang") == F.col("chosen_lang")), "left_semi").select("lang", "text")
+    """Learn from labelled rows of ``docs``; what is collected is bounded by buckets x languages. A row is in the sample when the hash
+    of its id, as a fraction, is below sample_docs / rows of its language: no language is sorted or gathered."""
+    known = docs.where(docs[lang_col].isNotNull() & docs[text_col].isNotNull() & docs[id_col].isNotNull())
+    shares = known.groupBy(known[lang_col].alias("of_lang")).agg(F.least(F.lit(1.0), F.lit(float(sample_docs)) / F.count("*")).alias("part"))
+    part = F.broadcast(docs.sparkSession.createDataFrame(shares.collect(), "of_lang string, part double"))
+    place = F.shiftrightunsigned(F.xxhash64(known[id_col]), 11) / F.lit(float(1 << 53))
+    rows = known.select(place.alias("place"), known[lang_col].alias("lang"), known[text_col].alias("text"))
+    sample = rows.join(part, F.col("lang") == F.col("of_lang")).where(F.col("place") < F.col("part")).select("lang", "text")
     bound_batches(docs.sparkSession)
     counted = sample.mapInArrow(_count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).collect()
     languages = sorted({r.lang for r in counted})

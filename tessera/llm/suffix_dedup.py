@@ -155,21 +155,25 @@ def _order_of(keys: np.ndarray, key_bits: int) -> np.ndarray:
     return (packed & np.uint64((1 << bits) - 1)).astype(np.int64)
 
 
-def suffix_array(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(suffixes in order, rank of every suffix), by Larsson-Sadakane refinement; the end sorts before every byte."""
+def suffix_array(words: np.ndarray, ends: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(suffixes in order, rank of every suffix), by Larsson-Sadakane refinement. ``ends`` gives for every position where its
+    text ends; an end sorts by its position, so suffixes of different texts never compare beyond their texts and the
+    depth stays below the longest text. Without it the whole is one text, and its end sorts before every byte."""
     n = len(words)
+    ends = np.full(n, n) if ends is None else ends
     depth = 5
     first = words.byteswap() >> np.uint64(64 - 8 * depth)
+    over = (8 * np.maximum(0, np.arange(n) + depth - ends - (ends < n))).astype(np.uint64)
+    first = np.where(over < 8 * depth, first >> over << over, first)  # no byte behind an end counts
     order = _order_of(first, 8 * depth)
-    rank = np.empty(n, np.int64)
-    heads = np.concatenate(([True], first[order][1:] != first[order][:-1]))
+    rank = np.full(n + 1, -1, np.int64)
+    heads = np.concatenate(([True], (first[order][1:] != first[order][:-1]) | (ends[order][1:] == order[1:])))
     rank[order] = np.maximum.accumulate(np.where(heads, np.arange(n), 0))
     slots = _unsorted(heads, np.arange(n))
-    key_bits = 2 * int(n + 1).bit_length()
+    key_bits = 2 * int(n + 2).bit_length()
     while len(slots):
         members = order[slots]
-        after = members + depth
-        key = rank[members] * (n + 1) + np.where(after < n, rank[np.minimum(after, n - 1)] + 1, 0)
+        key = rank[members] * (n + 2) + rank[np.minimum(members + depth, ends[members])] + 1
         by = _order_of(key, key_bits)
         members, key = members[by], key[by]
         order[slots] = members
@@ -177,7 +181,7 @@ def suffix_array(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         rank[members] = slots[np.maximum.accumulate(np.where(heads, np.arange(len(slots)), 0))]
         slots = _unsorted(heads, slots)
         depth *= 2
-    return order, rank
+    return order, rank[:n]
 
 
 def _unsorted(heads: np.ndarray, slots: np.ndarray) -> np.ndarray:
@@ -185,33 +189,33 @@ def _unsorted(heads: np.ndarray, slots: np.ndarray) -> np.ndarray:
     return slots[~(heads & np.concatenate((heads[1:], [True])))]
 
 
-def kasai(words: np.ndarray, order: np.ndarray, rank: np.ndarray, cap: int, lane: int = 256) -> np.ndarray:
-    """Common prefix, up to ``cap``, of every suffix (by position) with its predecessor in ``order``. Kasai's rule - going one position
-    on shortens the common prefix by one at most - runs in lanes of ``lane`` positions side by side, 8 bytes a step."""
+def kasai(words: np.ndarray, order: np.ndarray, rank: np.ndarray, cap: int, ends: np.ndarray | None = None, lane: int = 256) -> np.ndarray:
+    """Common prefix, up to ``cap`` and the texts' ends, of every suffix (by position) with its predecessor in ``order``. Kasai's rule -
+    going one position on shortens the common prefix by one at most - runs in lanes of ``lane`` positions side by side, 8 bytes a step."""
     n = len(order)
+    ends = np.full(n, n) if ends is None else ends
     before = np.full(n, -1, np.int64)
     before[order[1:]] = order[:-1]
-    common = np.zeros(n, np.int32)
+    position = np.arange(n)
+    limit = np.where(before >= 0, np.minimum(cap, np.minimum(ends - position, (ends - position)[before])), 0)
+    common = np.zeros(n, np.int64)
     starts = np.arange(0, n, lane)
     length = np.zeros(len(starts), np.int64)
     for t in range(min(lane, n)):
         i = starts + t
         here = np.flatnonzero(i < n)
         i = i[here]
-        j = before[i]
-        l = np.where(j >= 0, np.maximum(length[here] - 1, 0), 0)
-        going = np.flatnonzero((j >= 0) & (l < cap))
+        j, most = before[i], limit[i]
+        found = np.minimum(np.maximum(length[here] - 1, 0), most)
+        going = np.flatnonzero(found < most)
         while len(going):
-            a, b = i[going] + l[going], j[going] + l[going]
-            inside = np.maximum(a, b) < n
-            differ = np.where(inside, words[np.minimum(a, n - 1)] ^ words[np.minimum(b, n - 1)], np.uint64(1))
-            equal = np.bitwise_count((differ & (~differ + np.uint64(1))) - np.uint64(1)) >> 3
-            equal = np.minimum(np.where(differ == 0, 8, equal).astype(np.int64), n - np.maximum(a, b))
-            l[going] += np.where(inside, equal, 0)
-            going = going[(differ == 0) & (equal == 8) & (l[going] < cap)]
-        l = np.minimum(l, cap)
-        length[here] = l
-        common[i] = l
+            differ = words[i[going] + found[going]] ^ words[j[going] + found[going]]
+            equal = np.bitwise_count((differ & (~differ + np.uint64(1))) - np.uint64(1)) >> 3  # of 0 all 64 bits count
+            found[going] += equal
+            going = going[(differ == 0) & (found[going] < most[going])]
+        found = np.minimum(found, most)
+        length[here] = found
+        common[i] = found
     return common
 
 
@@ -226,8 +230,9 @@ def repeated_starts(contexts: list[bytes], min_bytes: int = MIN_BYTES) -> tuple[
     offset = np.arange(windows.sum()) - np.repeat(np.cumsum(windows) - windows, windows)
     at = begins[number] + offset
     words = _words(data)
-    order, rank = suffix_array(words)
-    common = kasai(words, order, rank, min_bytes)
+    ends = np.repeat(begins + lengths, lengths + 1)
+    order, rank = suffix_array(words, ends)
+    common = kasai(words, order, rank, min_bytes, ends)
     is_start = np.zeros(len(data), bool)
     is_start[at] = True
     ordered = order[is_start[order]]  # windows in sorted order; equal ones are neighbours, and no other suffix stands between them
@@ -319,11 +324,12 @@ def merged_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 def repeated_windows(rows: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
     """(row, first, behind): runs of window starts of ``rows`` (row, text) whose window starts elsewhere too."""
     found = stash(rows.mapInArrow(lambda b: _find_anchors(b, min_bytes), ANCHORS), "anchors")
-    often = found.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select(F.col("gram").alias("often"))
+    # written, so that the join reads two plain shuffles and Spark can split the partition of a frequent gram
+    often = stash(found.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select(F.col("gram").alias("often")), "shared-grams")
     shared = stash(found.join(often, F.col("gram") == F.col("often")).drop("often"), "shared-anchors")
     contexts = stash(shared.groupBy("gram", "context").agg(F.count("*").alias("n"), F.min(F.struct("row", "place")).alias("one")), "contexts")
     per_gram = contexts.groupBy("gram").agg(F.count("*").alias("n_contexts")).where("n_contexts > 1")
-    per_gram = per_gram.select(F.col("gram").alias("of_gram"), F.ceil(F.col("n_contexts") / GRAM_CONTEXTS).alias("salts"))
+    per_gram = stash(per_gram.select(F.col("gram").alias("of_gram"), F.ceil(F.col("n_contexts") / GRAM_CONTEXTS).alias("salts")), "split-grams")
     differing = contexts.join(per_gram, F.col("gram") == F.col("of_gram"))
     wanted = stash(differing.select("gram", "context", "n", "salts", "one.row", "one.place"), "wanted-contexts")
     per_row = wanted.groupBy("row").agg(F.collect_list(F.struct("gram", "context", "n", "salts", "place")).alias("wanted"))

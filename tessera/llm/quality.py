@@ -102,7 +102,8 @@ def frequent_lines(stats: DataFrame, min_docs: int = LINE_MIN_DOCS, share: float
 
 def judge_documents(stats: DataFrame, min_docs: int = LINE_MIN_DOCS, share: float = LINE_SHARE, min_left: float = MIN_LEFT) -> DataFrame:
     """stats with removed_lines (positions among lines with a word), n_removed_words, base_failed and kept."""
-    frequent = frequent_lines(stats, min_docs, share).select(F.col("host").alias("f_host"), F.col("h").alias("f_h"))
+    # written, so that the join reads plain shuffles and Spark can split the partition of a line that very many documents hold
+    frequent = stash(frequent_lines(stats, min_docs, share).select(F.col("host").alias("f_host"), F.col("h").alias("f_h")), "frequent-lines")
     lines = stats.select("rid", "host", "line_words", F.posexplode("line_hashes").alias("pos", "h"))
     lines = lines.select("rid", "host", "pos", "h", F.element_at("line_words", F.col("pos") + 1).alias("words"))
     removed = lines.join(frequent, (F.col("h") == F.col("f_h")) & F.col("host").eqNullSafe(F.col("f_host"))).groupBy("rid").agg(

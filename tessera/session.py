@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import io
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -86,3 +88,27 @@ def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     """
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tessera`` importable in Python workers wherever they run: the package's sources go as a zip to the
+    shared folder, once per application, and Spark hands it to every executor."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as out:
+        for folder, _, files in os.walk(package):
+            for name in sorted(files):
+                if name.endswith(".py"):
+                    out.write(os.path.join(folder, name), os.path.relpath(os.path.join(folder, name), os.path.dirname(package)))
+    target = spark._jvm.org.apache.hadoop.fs.Path(scratch_path(spark, f"package-{uuid.uuid4().hex[:12]}.zip"))
+    stream = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target)
+    stream.write(bytearray(packed.getvalue()))
+    stream.close()
+    spark.sparkContext.addPyFile(target.toString())
+    _SHIPPED.add(app)

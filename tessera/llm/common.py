@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.session import scratch_path
+from tessera.session import scratch_path, ship_package
 
 #: A word is a run of characters other than space, tab, newline, vertical tab, form feed and return.
 WORD_RE = r"[^\x20\x09-\x0D]+"
@@ -16,7 +16,7 @@ WHITESPACE = " \t\n\x0b\x0c\r"
 UPPER_AZ = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER_AZ = UPPER_AZ.lower()
 #: Bytes of text that Spark hands to a Python worker at once; bounds its memory for texts of any length.
-ARROW_BATCH_BYTES = 16 << 20
+ARROW_BATCH_BYTES = 8 << 20
 
 
 def stash(df: DataFrame, name: str) -> DataFrame:
@@ -28,8 +28,9 @@ def stash(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def bound_batches(spark: SparkSession) -> None:
-    """Limit Arrow batches by bytes, not only by rows."""
+def prepare_workers(spark: SparkSession) -> None:
+    """For tasks in Python: the package on every executor, and Arrow batches limited by bytes, not only by rows."""
+    ship_package(spark)
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BATCH_BYTES))
 
 

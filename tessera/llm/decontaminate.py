@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import bound_batches, stash
+from tessera.llm.common import prepare_workers, stash
 
 #: Positions that are hashed; the gaps may differ.
 MASKS = ((0, 1, 2, 3, 5, 6), (0, 1, 2, 4, 7, 8))
@@ -145,7 +145,7 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                   item_text_col: str = "text", block_words: int = BLOCK_WORDS) -> DataFrame:
     """One row per verified overlap: id, text_hash, item_id, first_word, n_words, n_equal."""
     spark = docs.sparkSession
-    bound_batches(spark)
+    prepare_workers(spark)
     rows = docs.select(docs[id_col].cast("long").alias("id"), F.xxhash64(docs[text_col]).alias("text_hash"), docs[text_col].alias("text"))
     found = None
     for items in benchmark_blocks(benchmark, item_id_col, item_text_col, block_words):

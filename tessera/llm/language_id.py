@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import bound_batches
+from tessera.llm.common import prepare_workers
 
 #: Code point ranges of scripts; a letter in none of them belongs to script 1.
 SCRIPT_RANGES = (
@@ -45,7 +45,7 @@ SWITCH_PENALTY = 10.0
 #: A language uses a script when at least this share of its sampled letters is in it.
 SCRIPT_SHARE = 0.01
 _RULED_OUT = -1e4
-_PIECE = 1 << 20
+_PIECE = 1 << 19
 UNDETERMINED = "und"
 SPANS = "spans array<struct<start:int,end:int,lang:string>>"
 
@@ -134,7 +134,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     place = F.shiftrightunsigned(F.xxhash64(known[id_col]), 11) / F.lit(float(1 << 53))
     rows = known.select(place.alias("place"), known[lang_col].alias("lang"), known[text_col].alias("text"))
     sample = rows.join(part, F.col("lang") == F.col("of_lang")).where(F.col("place") < F.col("part")).select("lang", "text")
-    bound_batches(docs.sparkSession)
+    prepare_workers(docs.sparkSession)
     counted = sample.mapInArrow(_count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).collect()
     languages = sorted({r.lang for r in counted})
     table = np.zeros(((1 << BUCKET_BITS) + len(SCRIPTS), len(languages)))
@@ -228,7 +228,7 @@ def _spans(start, end, label, languages: list[str]) -> pa.StructArray:
 def label_languages(rows: DataFrame, model: LanguageModel, text_col: str = "text", penalty: float = SWITCH_PENALTY) -> DataFrame:
     """``row`` (a struct of all input columns), lang_pred, lang_score and spans (code point offsets)."""
     spark = rows.sparkSession
-    bound_batches(spark)
+    prepare_workers(spark)
     shared = spark.sparkContext.broadcast(model)
     packed = rows.select(F.struct(*[F.col(f"`{c}`") for c in rows.columns]).alias("row"))
 

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import bound_batches, stash, text_bytes
+from tessera.llm.common import prepare_workers, stash, text_bytes
 
 ORDER = 2
 ALPHA = 0.4
@@ -80,7 +80,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def to_blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    bound_batches(docs.sparkSession)
+    prepare_workers(docs.sparkSession)
     rows = docs.select(docs[id_col].cast("long").alias("id"), text_bytes(docs[text_col]).alias("text"))
     return stash(rows.mapInArrow(_blocks, BLOCKS), "lm-blocks")
 

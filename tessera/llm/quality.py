@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import bound_batches, stash, text_bytes
+from tessera.llm.common import prepare_workers, stash, text_bytes
 
 WHITESPACE_BYTES = (b" ", b"\t", b"\n", b"\x0b", b"\x0c", b"\r")
 SYMBOLS = (b"#", b"*", b"$", b"%", b"&", b"|", b"<", b">")
@@ -85,7 +85,7 @@ def _stats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def document_stats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
     """Counts and line hashes of every document, written once; rid numbers the rows."""
-    bound_batches(docs.sparkSession)
+    prepare_workers(docs.sparkSession)
     rows = docs.select(docs[id_col].cast("long").alias("id"), docs[host_col].cast("string").alias("host"), text_bytes(docs[text_col]).alias("text"))
     return stash(rows.mapInArrow(_stats, STATS).withColumn("rid", F.monotonically_increasing_id()), "quality-stats")
 

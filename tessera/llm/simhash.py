@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import bound_batches, null_last, stash, text_bytes
+from tessera.llm.common import prepare_workers, null_last, stash, text_bytes
 from tessera.llm.components import connected_components
 
 SEED = 42
@@ -68,7 +68,7 @@ def fingerprints(docs: DataFrame, shingle: int, id_col: str = "doc_id", text_col
             fps = np.array([fingerprint(t or b"", shingle) for t in batch.column("text").to_pylist()], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("text_hash"), pa.array(fps)], names=["id", "text_hash", "fp"])
 
-    bound_batches(docs.sparkSession)
+    prepare_workers(docs.sparkSession)
     rows = docs.select(docs[id_col].cast("long").alias("id"), F.xxhash64(docs[text_col]).alias("text_hash"), text_bytes(docs[text_col]).alias("text"))
     return rows.mapInArrow(run, "id long, text_hash long, fp long")
 

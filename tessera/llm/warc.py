@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from tessera.llm.common import bound_batches, checked_broadcast, stash
+from tessera.llm.common import prepare_workers, checked_broadcast, stash
 
 MAGIC = "WARC/1.1\r\n"
 BLANK = "\r\n\r\n"
@@ -130,7 +130,7 @@ def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatc
 
 
 def _raw_pieces(spark: SparkSession, path: str) -> DataFrame:
-    bound_batches(spark)
+    prepare_workers(spark)
     raw = spark.read.option("lineSep", MAGIC).text(path)
     return raw.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.col("value").cast("binary").alias("value"))
 

@@ -31,12 +31,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import bound_batches, stash, text_bytes
+from tessera.llm.common import prepare_workers, stash, text_bytes
 
 MIN_BYTES = 200
 GRAM = 48
 #: Text that is hashed at once, in bytes; longer documents go in overlapping pieces.
-PIECE = 1 << 21
+PIECE = 1 << 20
 #: Bytes of contexts in a shard, about.
 SHARD_BYTES = 1 << 20
 GRAM_CONTEXTS = 2048
@@ -263,9 +263,8 @@ def _shard(frame: pd.DataFrame, min_bytes: int) -> pd.DataFrame:
         if alone[k]:
             own = slice(bounds[k], bounds[k + 1])
             out += [(grams[k], names[k], a, b, None) for a, b in _runs(offset[own][found[own]])]
-    split = (frame["salts"] > 1).to_numpy()[number]
-    for x in np.unique(classes[split], return_index=True)[1].tolist() if split.any() else []:
-        x = np.flatnonzero(split)[x]
+    split = np.flatnonzero((frame["salts"] > 1).to_numpy()[number])
+    for x in split[np.unique(classes[split], return_index=True)[1]].tolist():
         k, at = number[x], int(offset[x])
         asks = not found[x] and alone[k]
         out.append((grams[k], names[k], at, at + 1 if asks else at, xxhash.xxh3_128_digest(contexts[k][at:at + min_bytes])))
@@ -356,7 +355,7 @@ def repeated_windows(rows: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
 
 def remove_repeats(docs: DataFrame, min_bytes: int = MIN_BYTES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, n_bytes, n_removed, spans (removed byte ranges) and kept (the remaining bytes) of every row."""
-    bound_batches(docs.sparkSession)
+    prepare_workers(docs.sparkSession)
     text = F.coalesce(text_bytes(docs[text_col]), F.lit(b""))
     rows = docs.select(docs[id_col].cast("long").alias("id"), F.xxhash64(docs[id_col], docs[text_col]).alias("row"), text.alias("text"))
     found = repeated_windows(rows.select("row", "text"), min_bytes)

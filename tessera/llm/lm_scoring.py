@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import prepare_workers, stash, text_bytes
 
-ORDER = 2
+ORDER = 3
 ALPHA = 0.4
 #: N-grams, repeated ones included, per hash range.
 RANGE_GRAMS = 2_000_000

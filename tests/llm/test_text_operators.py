@@ -335,6 +335,17 @@ def test_lm_scores_against_brute_force(spark, monkeypatch, order):
     assert lm_scoring.score_documents(docs.limit(0), order=order).count() == 0
 
 
+def test_registered_lm_scores_use_trigrams(spark, tmp_path):
+    from tessera.llm import queries
+
+    rng = random.Random(17)
+    texts = [None, "a", "a b", *(words(rng, rng.randint(3, 60), 12) for _ in range(40))]
+    frame(spark, texts).write.parquet(f"{tmp_path}/documents.parquet")
+    got = Counter((r.doc_id, r.n_words, round(r.log_score, 6)) for r in queries.op7_lm_scoring(spark, str(tmp_path)).collect())
+    wanted = {order: Counter((i, *x) for i, x in enumerate(brute_scores(texts, texts, order, 0.4, True))) for order in (2, 3)}
+    assert wanted[2] != wanted[3] and got == wanted[3]
+
+
 # ---------------------------------------------------------------- suffix arrays
 
 def brute_removal(texts, m):

@@ -4,13 +4,15 @@ Words are lower-cased runs between whitespace and ASCII punctuation. A seed is a
 consecutive words: the marked positions are hashed, the others ignored, so a substituted word under an
 ignored position does not hide a hit. The two masks together meet every window of 13 words that has at most two
 substitutions (tests check all patterns), i.e. every window with 80 percent equal words.
-Seeds of documents join the table of benchmark seeds inside the scan tasks; around each hit the document and
-the item are compared word by word on the hit's diagonal, and only windows of ``WINDOW`` words with
-at least ``MIN_EQUAL`` equal ones count. An item shorter than the window is hashed whole
-and must occur unchanged.
+Items, distinct by id and text, become a Spark table of seeds; so do documents, as far as a bit filter of fixed size
+that holds every seed of the benchmark lets them pass. The two meet by hash in a shuffle join, frequent seeds of
+documents dealt over salts. A seed carries the words around it, as far as a window that holds the seed can reach: on a
+hit's diagonal they are compared word by word, and only windows of ``WINDOW`` words with at least ``MIN_EQUAL`` equal
+ones count; per document and item the windows of a diagonal are then put together. An item shorter than the window is
+hashed whole and must occur unchanged.
 
-The benchmark is cut into blocks of at most about ``BLOCK_WORDS`` words by hash of the item; each block is
-broadcast (that bound is its size) and meets all documents in a pass of its own.
+The driver and the executors hold only the filter and the counts of seeds per slot, whose sizes are fixed; neither the
+benchmark nor the documents are ever collected. A benchmark that fills the filter lets more seeds pass into the join.
 
 Edge cases: null or empty texts and items hit nothing; items with the same id count as one; repeated rows
 are judged alike; an empty table on either side finds nothing; other columns are ignored.
@@ -22,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,11 +34,21 @@ from tessera.llm.common import prepare_workers, stash
 MASKS = ((0, 1, 2, 3, 5, 6), (0, 1, 2, 4, 7, 8))
 WINDOW = 13
 MIN_EQUAL = 0.8
+#: Benchmark words that a task cuts into seeds.
 BLOCK_WORDS = 2_000_000
 _SEPARATORS = "".join(chr(i) for i in range(128) if not chr(i).isalnum())
 _TABLE = bytes(32 if chr(i) in _SEPARATORS and i < 128 else i for i in range(256))
-_FILTER_BITS = 20
-HITS = "id long, text_hash long, item_id long, first_word int, n_words int, n_equal int"
+_FILTER_BITS = 26
+#: Seeds of documents are counted in 2 ** _SLOT_BITS slots of their hash; a slot of more than HOT_SEEDS is dealt over salts.
+_SLOT_BITS = 16
+HOT_SEEDS = 2_000
+#: Words before and after a seed's first word that a window holding the seed can reach.
+_BEFORE = WINDOW - 1 - min(mask[-1] for mask in MASKS)
+_AROUND = _BEFORE + WINDOW
+_ROWS = 20_000
+_MAX_WORDS = 1 << 20
+SEEDS = "mask int, seed long, id long, text_hash long, position int, around binary, dealt int"
+GOOD = "id long, text_hash long, item_id long, item_hash long, diagonal int, block int, equal long, first int, last int"
 
 
 def words_of(text: str) -> list[bytes]:
@@ -61,84 +74,120 @@ def seed_keys(ids: np.ndarray, mask: tuple[int, ...], salt: int) -> tuple[np.nda
     return at, key[at]
 
 
-class SeedIndex:
-    """The seeds of one block of benchmark items."""
-
-    def __init__(self, items: list[tuple[int, str]]):
-        self.vocabulary: dict[bytes, int] = {}
-        self.items: list[tuple[int, np.ndarray]] = []
-        for item_id, text in items:
-            ids = [self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in words_of(text)]
-            if ids:
-                self.items.append((item_id, np.array(ids, np.int64)))
-        short = sorted({len(ids) for _, ids in self.items if len(ids) < WINDOW})
-        self.masks = [*MASKS, *(tuple(range(n)) for n in short)]
-        keys, owners, offsets = [], [], []
-        for m, mask in enumerate(self.masks):
-            for k, (_, ids) in enumerate(self.items):
-                if (len(ids) >= WINDOW) if m < len(MASKS) else (len(ids) == len(mask)):
-                    at, key = seed_keys(ids, mask, m)
-                    keys.append(key), owners.append(np.full(len(at), k)), offsets.append(at)
-        key = np.concatenate(keys) if keys else np.zeros(0, np.uint64)
-        order = np.argsort(key, kind="stable")
-        self.keys = key[order]
-        self.owners = np.concatenate(owners)[order] if keys else np.zeros(0, np.int64)
-        self.offsets = np.concatenate(offsets)[order] if keys else np.zeros(0, np.int64)
-        self.maybe = np.zeros(1 << _FILTER_BITS, bool)
-        self.maybe[(self.keys >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)] = True
-
-    def _hits(self, ids: np.ndarray) -> np.ndarray:
-        """Distinct (item, diagonal) of all seeds that the document shares with an item."""
-        found = []
-        for m, mask in enumerate(self.masks):
-            at, key = seed_keys(ids, mask, m)
-            likely = self.maybe[(key >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)]
-            at, key = at[likely], key[likely]
-            lo, hi = np.searchsorted(self.keys, key, "left"), np.searchsorted(self.keys, key, "right")
-            n = hi - lo
-            if n.sum():
-                rows = np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())
-                found.append(np.stack([self.owners[rows], np.repeat(at, n) - self.offsets[rows]], axis=1))
-        return np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
-
-    def overlaps(self, text: str) -> list[tuple[int, int, int, int]]:
-        """(item_id, first word, words, equal words) of every verified overlap of the text with an item."""
-        get = self.vocabulary.get
-        ids = np.array([get(w, 0) for w in words_of(text)], np.int64)
-        out = []
-        for k, diagonal in self._hits(ids).tolist():
-            item_id, item = self.items[k]
-            first, last = max(0, diagonal), min(len(ids), diagonal + len(item))
-            width = min(WINDOW, len(item))
-            if last - first < width:
-                continue
-            equal = ids[first:last] == item[first - diagonal:last - diagonal]
-            sums = np.concatenate(([0], np.cumsum(equal)))
-            good = np.flatnonzero(sums[width:] - sums[:-width] >= (MIN_EQUAL * WINDOW if len(item) >= WINDOW else width))
-            if len(good):
-                covered = np.zeros(last - first, bool)
-                for g in good.tolist():
-                    covered[g:g + width] = True
-                a, b = int(good[0]), int(good[-1]) + width
-                out.append((item_id, first + a, b - a, int((equal & covered).sum())))
-        return out
-
-
-def _find(batches: Iterator[pa.RecordBatch], index: SeedIndex) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        rows = [(i, h, *hit) for i, h, t in zip(*(batch.column(c).to_pylist() for c in ("id", "text_hash", "text"))) if t for hit in index.overlaps(t)]
-        columns = [list(c) for c in zip(*rows)] or [[] for _ in range(6)]
-        types = [pa.int64()] * 3 + [pa.int32()] * 3
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["id", "text_hash", "item_id", "first_word", "n_words", "n_equal"])
+class _Hashes(dict):
+    """Word to hash, never 0; forgets everything when it grows large."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= _MAX_WORDS:
+            self.clear()
+        self[word] = value = xxhash.xxh64_intdigest(word) or 1
+        return value
+
 
+def _mask(m: int) -> tuple[int, ...]:
+    """Masks are numbered: those of ``MASKS``, then one for each length of short items."""
+    return MASKS[m] if m < len(MASKS) else tuple(range(m - len(MASKS)))
 
-def benchmark_blocks(benchmark: DataFrame, id_col: str, text_col: str, block_words: int) -> Iterator[list[tuple[int, str]]]:
-    items = benchmark.select(benchmark[id_col].cast("long").alias("id"), benchmark[text_col].alias("text")).where("text is not null")
+
+def _seeds(batches: Iterator[pa.RecordBatch], masks: list[int], bits: np.ndarray | None) -> Iterator[pa.RecordBatch]:
+    """Seeds of items (without ``bits``: each item by the masks of its length), or seeds of documents that pass the filter ``bits``."""
+    hashes, gap, dealt = _Hashes(), np.zeros(_AROUND, np.uint64), 0
+    for batch in batches:
+        parts, lengths = [gap], []
+        for text in batch.column("text").to_pylist():
+            own = words_of(text or "")
+            parts += [np.fromiter(map(hashes.__getitem__, own), np.uint64, len(own)), gap]
+            lengths.append(len(own))
+        lengths = np.array(lengths, np.int64)
+        starts = len(gap) + np.cumsum(lengths + len(gap)) - lengths - len(gap)
+        words = np.concatenate(parts)
+        for m in masks:
+            at, key = seed_keys(words, _mask(m), m)
+            if bits is not None:
+                slot = key >> np.uint64(64 - _FILTER_BITS)
+                passed = bits[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63)) & np.uint64(1) > 0
+                at, key = at[passed], key[passed]
+            row = np.searchsorted(starts, at, "right") - 1
+            if bits is None:
+                fits = lengths[row] >= WINDOW if m < len(MASKS) else lengths[row] == m - len(MASKS)
+                at, key, row = at[fits], key[fits], row[fits]
+            for k in range(0, len(at), _ROWS):
+                a, r = at[k:k + _ROWS], row[k:k + _ROWS]
+                around = words[a[:, None] + np.arange(-_BEFORE, WINDOW)].astype("<u8")
+                ends = pa.py_buffer((np.arange(len(a) + 1) * 8 * _AROUND).astype(np.int32))
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(np.full(len(a), m, np.int32)), pa.array(key[k:k + _ROWS].view(np.int64)), batch.column("id").take(pa.array(r)), batch.column("text_hash").take(pa.array(r)),
+                    pa.array((a - starts[r]).astype(np.int32)), pa.Array.from_buffers(pa.binary(), len(a), [None, ends, pa.py_buffer(around.tobytes())]),
+                    pa.array(((dealt + np.arange(len(a))) % (1 << 31)).astype(np.int32))], names=["mask", "seed", "id", "text_hash", "position", "around", "dealt"])
+                dealt += len(a)
+
+
+def _words_around(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), "<u8").reshape(-1, _AROUND)
+
+
+def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The good windows around every hit: their equal words as bits of 64-word blocks of the document, first word and end."""
+    for batch in batches:
+        doc, item = _words_around(batch.column("around")), _words_around(batch.column("item_around"))
+        mask, position, offset = (batch.column(c).to_numpy().astype(np.int64) for c in ("mask", "position", "item_position"))
+        inside = (doc > 0) & (item > 0)
+        equal = inside & (doc == item)
+        good = np.zeros((len(doc), _BEFORE + 1), bool)
+        width = np.where(mask < len(MASKS), WINDOW, mask - len(MASKS))
+        for k in range(_BEFORE + 1):
+            window = slice(k, k + WINDOW)
+            good[:, k] = (width == WINDOW) & inside[:, window].all(axis=1) & (equal[:, window].sum(axis=1) >= MIN_EQUAL * WINDOW)
+        whole = (equal | (np.arange(_AROUND) < _BEFORE) | (np.arange(_AROUND) >= _BEFORE + width[:, None])).all(axis=1)
+        good[:, _BEFORE] |= (width < WINDOW) & whole
+        covered = np.zeros(equal.shape, bool)
+        for k in range(_BEFORE + 1):
+            covered |= good[:, k, None] & (np.arange(_AROUND) >= k) & (np.arange(_AROUND) < k + width[:, None])
+        base = position - _BEFORE
+        first, last = base + good.argmax(axis=1), base + _BEFORE - good[:, ::-1].argmax(axis=1) + width
+        bits = ((equal & covered) << np.arange(_AROUND, dtype=np.uint64)).sum(axis=1, dtype=np.uint64)
+        shift = (base & 63).astype(np.uint64)
+        low, high = bits << shift, (bits >> np.uint64(1)) >> (np.uint64(63) - shift)
+        for rows, block, part in ((np.flatnonzero(good.any(axis=1)), base >> 6, low), (np.flatnonzero(high), (base >> 6) + 1, high)):
+            columns = [batch.column(c).take(pa.array(rows)) for c in ("id", "text_hash", "item_id", "item_hash")]
+            numbers = [pa.array(x[rows].astype(np.int32)) for x in (position - offset, block)]
+            ends = [pa.array(x[rows].astype(np.int32)) for x in (first, last)]
+            yield pa.RecordBatch.from_arrays([*columns, *numbers, pa.array(part[rows].view(np.int64)), *ends],
+                                             names=["id", "text_hash", "item_id", "item_hash", "diagonal", "block", "equal", "first", "last"])
+
+
+def benchmark_seeds(benchmark: DataFrame, id_col: str, text_col: str, block_words: int) -> DataFrame:
+    """The seeds of all items; items are distinct by id and text."""
+    items = benchmark.select(benchmark[id_col].cast("long").alias("id"), benchmark[text_col].alias("text")).where("text is not null").distinct()
+    items = stash(items.select("id", F.xxhash64("text").alias("text_hash"), "text"), "benchmark-items")
     size = items.agg(F.sum(F.length("text"))).first()[0] or 0
-    n = max(1, -(-size // (5 * block_words)))
-    for k in range(n):
-        block = items.where(F.pmod(F.xxhash64("id", "text"), F.lit(n)) == k) if n > 1 else items
-        yield [(r.id, r.text) for r in block.collect()]
+    dealt = items.repartition(max(1, -(-size // (5 * block_words))), "id", "text_hash")
+    masks = [*range(len(MASKS)), *(len(MASKS) + n for n in range(1, WINDOW))]
+    return dealt.mapInArrow(lambda batches: _seeds(batches, masks, None), SEEDS)
+
+
+def seed_filter(seeds: DataFrame) -> tuple[np.ndarray, list[int]]:
+    """2 ** _FILTER_BITS bits, set for every seed, and the masks in use."""
+    slots = seeds.select("mask", F.shiftrightunsigned("seed", 64 - _FILTER_BITS).alias("slot"))
+    words = slots.groupBy(F.shiftright("slot", 6).alias("word")).agg(
+        F.expr("bit_or(shiftleft(1L, cast(slot & 63 as int)))").alias("bits"), F.expr("bit_or(shiftleft(1, mask))").alias("masks")).toPandas()
+    bits = np.zeros(1 << (_FILTER_BITS - 6), np.uint64)
+    bits[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64).view(np.uint64)
+    used = int(np.bitwise_or.reduce(words["masks"].to_numpy(np.int64), initial=0))
+    return bits, [m for m in range(used.bit_length()) if used >> m & 1]
+
+
+def _join(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """Seeds of documents with equal seeds of items; slots with many seeds of documents are dealt over salts."""
+    slot = F.shiftrightunsigned("seed", 64 - _SLOT_BITS)
+    limit = max(HOT_SEEDS, 4 * docs.count() >> _SLOT_BITS)
+    hot = docs.groupBy(slot.alias("slot")).count().where(F.col("count") > limit).select("slot", F.ceil(F.col("count") / limit).cast("int").alias("salts"))
+    hot = F.broadcast(docs.sparkSession.createDataFrame([tuple(r) for r in hot.collect()], "slot long, salts int"))  # at most 2 ** _SLOT_BITS / 4 rows
+    salts = F.coalesce("salts", F.lit(1))
+    docs = docs.withColumn("slot", slot).join(hot, "slot", "left").withColumn("salt", F.pmod("dealt", salts))
+    items = items.withColumn("slot", slot).join(hot, "slot", "left").withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1)))
+    items = items.select("mask", "seed", "salt", F.col("id").alias("item_id"), F.col("text_hash").alias("item_hash"), F.col("position").alias("item_position"), F.col("around").alias("item_around"))
+    return docs.drop("slot", "salts", "dealt").join(items.hint("merge"), ["seed", "mask", "salt"])
 
 
 def find_overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id",
@@ -147,12 +196,16 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     spark = docs.sparkSession
     prepare_workers(spark)
     rows = docs.select(docs[id_col].cast("long").alias("id"), F.xxhash64(docs[text_col]).alias("text_hash"), docs[text_col].alias("text"))
-    found = None
-    for items in benchmark_blocks(benchmark, item_id_col, item_text_col, block_words):
-        shared = spark.sparkContext.broadcast(SeedIndex(items))
-        hits = rows.mapInArrow(lambda batches, shared=shared: _find(batches, shared.value), HITS)
-        found = hits if found is None else found.unionByName(hits)
-    return found
+    items = benchmark_seeds(benchmark, item_id_col, item_text_col, block_words)
+    bits, masks = seed_filter(items)
+    shared = spark.sparkContext.broadcast(bits)
+    passed = stash(rows.mapInArrow(lambda batches: _seeds(batches, masks, shared.value), SEEDS), "decontaminate-seeds")
+    shared.destroy()
+    good = _join(passed, items).drop("seed", "salt").mapInArrow(_verify, GOOD)
+    diagonal = ("id", "text_hash", "item_id", "item_hash", "diagonal")
+    blocks = good.groupBy(*diagonal, "block").agg(F.bit_or("equal").alias("equal"), F.min("first").alias("first"), F.max("last").alias("last"))
+    whole = blocks.groupBy(*diagonal).agg(F.min("first").alias("first_word"), F.max("last").alias("last"), F.sum(F.bit_count("equal")).cast("int").alias("n_equal"))
+    return whole.select("id", "text_hash", "item_id", "first_word", (F.col("last") - F.col("first_word")).alias("n_words"), "n_equal")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:

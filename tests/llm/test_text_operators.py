@@ -230,6 +230,47 @@ def test_decontamination_against_brute_force(spark):
     assert decontaminate.mark_documents(docs.limit(0), bench).count() == 0
 
 
+def brute_overlaps(text, items):
+    doc, out = decontaminate.words_of(text or ""), set()
+    for item_id, item in items:
+        item = decontaminate.words_of(item)
+        w = min(13, len(item))
+        need = 11 if len(item) >= 13 else w
+        for d in range(-len(item), len(doc)):
+            good = [p for p in range(max(0, d), min(len(doc), d + len(item)) - w + 1) if sum(doc[p + k] == item[p + k - d] for k in range(w)) >= need]
+            if good:
+                at = {p + k for p in good for k in range(w)}
+                out.add((item_id, good[0], good[-1] + w - good[0], sum(doc[x] == item[x - d] for x in at)))
+    return out
+
+
+def test_benchmark_stays_off_the_driver(spark, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    monkeypatch.setattr(decontaminate, "HOT_SEEDS", 20, raising=False)  # several salts
+    rng = random.Random(19)
+    items = [(k, words(rng, rng.choice([5, 13, 30, 200]), 60)) for k in range(12)]
+    texts = [None, "", items[3][1]]
+    for _ in range(60):
+        item = rng.choice(items)[1].split()
+        for _ in range(rng.randint(0, 3)):
+            item[rng.randrange(len(item))] = "other"
+        texts.append(words(rng, rng.randint(0, 90), 60) + " " + " ".join(item[rng.randint(0, 2):]) + " " + words(rng, rng.randint(0, 90), 60))
+    bench = spark.createDataFrame(items + [items[3]] * 500, "item_id long, text string").repartition(3)
+    fetched = []
+
+    def collect(self, f=DataFrame.collect):
+        fetched.append(self.columns)
+        return f(self)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(DataFrame, "collect", collect)
+        found = decontaminate.find_overlaps(frame(spark, texts), bench)
+    assert not any("text" in columns for columns in fetched)
+    got = found.select("id", "item_id", "first_word", "n_words", "n_equal").collect()
+    assert Counter(map(tuple, got)) == Counter((i, *x) for i, t in enumerate(texts) for x in brute_overlaps(t, items))
+
+
 # ---------------------------------------------------------------- quality
 
 def brute_repeats(ws):

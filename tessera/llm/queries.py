@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import Query, table
+from tessera.llm.common import WORD_RE, Query, table
 from tessera.session import scratch_path
 
 URL_HOST_RULES = (("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block"))
@@ -92,6 +92,54 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "base_failed", "kept", "n_removed_words")
 
 
+SPELLING_SLIP = 97
+
+
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.spelling import count_words, variant_groups, words_of
+
+    docs = table(spark, sf_dir, "documents")
+    words = words_of(docs.withColumn("doc_id", F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+    h = F.crc32(F.concat("id", F.lit(":"), "word").cast("binary"))
+    at = (h % F.char_length("word")).cast("int")
+    slipped = F.concat(F.left("word", at), F.substring("word", at + 2, F.char_length("word")))
+    words = words.select(F.when(h % SPELLING_SLIP == 0, slipped).otherwise(F.col("word")).alias("word"))
+    return variant_groups(count_words(words, min_length=5, min_count=3), ratio=2)
+
+
+def op12_token_files(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
+    import public_tokenizers
+
+    from tessera.llm.token_files import encode_documents, read_files, write_files
+
+    path = scratch_path(spark, "llm", f"token-files-{uuid.uuid4().hex}")
+    write_files(encode_documents(table(spark, sf_dir, "documents"), tokenizer or public_tokenizers.path("word_bpe_49k.json"), end_id=2), path)
+    return read_files(spark, path).withColumnRenamed("id", "doc_id")
+
+
+def repeat_tails(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): in every document whose crc32 of the id ends in 0, the words from one on give way to repetitions of a stretch of them."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    chosen = docs.select("doc_id", "text", F.when(h % 10 == 0, F.regexp_extract_all("text", F.lit(WORD_RE), F.lit(0))).alias("words"), F.floor(h / 10).alias("g"))
+    n = F.size("words").cast("long")
+    rows = chosen.select("doc_id", "text", F.when(n > 0, F.col("words")).alias("words"), F.when(n > 0, n).alias("n"), "g")
+    rows = rows.withColumn("a", F.col("g") % F.col("n"))
+    rows = rows.withColumn("p", 1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8)))
+    source = F.transform(F.sequence(F.lit(0).cast("long"), F.col("n") - 1), lambda i: F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p")))
+    repeated = F.array_join(F.transform(source, lambda i: F.get("words", i.cast("int"))), " ")
+    return rows.select("doc_id", F.when(F.col("n").isNotNull(), repeated).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.periodic_runs import find_runs, strongest, written
+
+    found = find_runs(repeat_tails(table(spark, sf_dir, "documents")), min_length=24, min_periods=3)
+    best = found.select("id", "runs", "collapsed", strongest(F.col("runs")).alias("best"))
+    return best.select(F.col("id").alias("doc_id"), F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+                       F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+                       F.sha2(written(F.col("runs")), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_language_id": op1_language_id,
     "op2_mixing": op2_mixing,
@@ -103,4 +151,7 @@ QUERIES: dict[str, Query] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_decontamination": op9_decontamination,
     "op10_quality": op10_quality,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_token_files": op12_token_files,
+    "op13_periodic_runs": op13_periodic_runs,
 }

@@ -110,10 +110,10 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_token_files(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
     import public_tokenizers
 
-    from tessera.llm.token_files import encode_documents, read_files, write_files
+    from tessera.llm.token_files import read_files, write_files
 
     path = scratch_path(spark, "llm", f"token-files-{uuid.uuid4().hex}")
-    write_files(encode_documents(table(spark, sf_dir, "documents"), tokenizer or public_tokenizers.path("word_bpe_49k.json"), end_id=2), path)
+    write_files(table(spark, sf_dir, "documents"), path, tokenizer or public_tokenizers.path("word_bpe_49k.json"), end_id=2)
     return read_files(spark, path).withColumnRenamed("id", "doc_id")
 
 

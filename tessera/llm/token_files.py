@@ -1,22 +1,20 @@
 """Token-ID output: files of patched frame-of-reference blocks.
 
-1. encode: each text becomes pieces of at most ``PIECE_IDS`` ids, the last one closed by the end id (written once);
-2. order: pieces are range-partitioned and sorted by document id, so partition after partition holds the ids of all documents end to
-   end; a document of any length spreads over pieces, partitions and files;
-3. files: a partition becomes one file of segments of at most ``SEGMENT_IDS`` ids, written by Spark's text writer. A
-   segment is a header (partition, number, sizes), a table of its documents, the index of its blocks (byte offset, minimum,
-   width, number of exceptions) and the blocks of ``BLOCK`` ids: ids minus the block's minimum, packed at the width that holds
-   the ``PERCENTILE`` lowest of them, then places and values of those that need more bits;
-4. read: Spark's binary reader hands each file to a task, which decodes its segments; documents that reach over segments are put
+1. order: texts, long ones in pieces of about ``PIECE_CHARS`` cut at spaces, are range-partitioned and sorted by document id, so partition after
+   partition holds the documents end to end and a document of any length may reach over many of them;
+2. write: a task encodes its pieces, closes each document with the end id, and cuts the ids into segments of ``SEGMENT_IDS``, which Spark's text writer
+   puts into files of ``FILE_SEGMENTS``. A segment is a header (partition, number, sizes), a table of its documents, the index of its blocks
+   (byte offset, minimum, width, number of exceptions) and the blocks of ``BLOCK`` ids: ids minus the block's minimum, packed at the width that
+   holds the ``PERCENTILE`` lowest of them, then places and values of those that need more bits;
+3. read: Spark's binary reader hands each file to a task, which decodes its segments; documents that reach over segments are put
    together from their parts. ``ids_between`` decodes any range of a segment through the index, touching only its blocks.
 
-Words between spaces and line feeds are encoded once per task and kept in a dictionary of bounded size (``by_word``): exact for tokenizers that drop white space and
+Words between spaces and line feeds are encoded once per worker and kept in a dictionary of bounded size (``by_word``): exact for tokenizers that drop white space and
 never join characters across it, as ``word_bpe_49k.json`` does (a test holds it against whole texts). For others pass
 ``by_word=False``: whole texts then go to the library.
 
 Edge cases: null and empty texts are the end id alone; null document ids come last; rows with equal ids follow each other by the hash of their
-text; repeated rows are kept; texts of any length are encoded in pieces cut at spaces; an empty table gives
-files without segments and an empty result; other columns are ignored.
+text; repeated rows are kept; a stretch without a space is never cut; an empty table gives files without segments and an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -34,20 +32,21 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import checked_broadcast, prepare_workers, stash
 
-PIECE_IDS = 1 << 13
-SEGMENT_IDS = 1 << 21
-FILE_IDS = 1 << 22
+PIECE_CHARS = 1 << 16
+#: Bytes of text that one task encodes.
+TASK_BYTES = 24 << 20
+SEGMENT_IDS = 1 << 22
+FILE_SEGMENTS = 4
 BLOCK = 1024
-PERCENTILE = 0.9
+PERCENTILE = 0.98
 MAGIC = b"TPFR"
 _HEADER = struct.Struct("<4sIIIIIQ")  # magic, partition, segment, ids, blocks, documents, bytes of the segment
 _DOC = np.dtype([("id", "<i8"), ("row", "<i8"), ("at", "<u4"), ("flags", "u1")])
 _INDEX = np.dtype([("offset", "<u4"), ("least", "<u4"), ("exceptions", "<u2"), ("width", "u1")])
 _HAS_ID, _BEGINS, _ENDS = 1, 2, 4
-_TEXT_CHARS = 1 << 20
-_MAX_WORDS, _MAX_CHARS = 1 << 18, 48
+_MAX_WORDS, _MAX_CHARS = 1 << 20, 48
+_CLOSING = ".,;:!?"
 _MAX_FILES = 100_000
-PIECES = "id long, text_hash long, row long, piece int, begins boolean, ends boolean, n int, ids binary"
 PARTS = "part int, segment int, at long, id long, row long, whole boolean, n long, crc long"
 
 
@@ -146,28 +145,37 @@ def segments(content: bytes) -> Iterator[Segment]:
 
 # ---------------------------------------------------------------- encoding
 
-_TOKENIZERS: dict = {}
+_LOADED: dict = {}
 
 
-def _tokenizer(described: str):
+def _word_ids(described: str) -> "WordIds":
+    """One tokenizer and dictionary for all tasks of a worker."""
     from tokenizers import Tokenizer
 
     key = hash(described)
-    if key not in _TOKENIZERS:
-        _TOKENIZERS.clear()
-        _TOKENIZERS[key] = Tokenizer.from_str(described)
-    return _TOKENIZERS[key]
+    if key not in _LOADED:
+        _LOADED.clear()
+        _LOADED[key] = WordIds(Tokenizer.from_str(described))
+    return _LOADED[key]
 
 
 class WordIds(dict):
-    """Word to its ids as bytes; forgets everything when it grows large, and never keeps long words."""
+    """Word to its ids as bytes; forgets everything when it grows large, and never keeps long words.
+
+    A closing punctuation mark after a letter is a token border, and plain letters are lower-cased by the tokenizer, so
+    ``Word,`` is put together from ``word`` and ``,`` instead of being encoded again."""
 
     def __init__(self, tokenizer):
         super().__init__()
         self.tokenizer = tokenizer
 
     def __missing__(self, word: str) -> bytes:
-        ids = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+        if len(word) > 1 and word[-1] in _CLOSING and word[-2].isalpha():
+            ids = self[word[:-1]] + self[word[-1]]
+        elif word.isascii() and word.isalpha() and not word.islower():
+            ids = self[word.lower()]
+        else:
+            ids = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
         if len(word) <= _MAX_CHARS:
             if len(self) >= _MAX_WORDS:
                 self.clear()
@@ -175,82 +183,31 @@ class WordIds(dict):
         return ids
 
 
-def encode_text(text: str, words: WordIds, by_word: bool = True) -> Iterator[bytes]:
-    """The ids of a text as little-endian 32-bit numbers, in parts of a bounded number of characters."""
+def encode_text(text: str, words: WordIds, by_word: bool = True) -> np.ndarray:
+    """The ids of a text."""
     if not by_word:
-        yield np.array(words.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        return
-    start = 0
-    while start < len(text):
-        space = text.find(" ", start + _TEXT_CHARS) if len(text) - start > _TEXT_CHARS else -1
-        end = space if space >= 0 else len(text)
-        yield b"".join(map(words.__getitem__, text[start:end].replace("\n", " ").split(" ")))
-        start = end + 1
-
-
-def _encode(batches: Iterator[pa.RecordBatch], described, end_id: int, by_word: bool) -> Iterator[pa.RecordBatch]:
-    from pyspark import TaskContext
-
-    words, end = WordIds(_tokenizer(described.value)), np.array([end_id], "<u4").tobytes()
-    task = TaskContext.get()
-    row = (task.partitionId() if task else 0) << 40
-    for batch in batches:
-        rows: list[tuple] = []
-        size = 0
-        for doc, text_hash, text in zip(*(batch.column(c).to_pylist() for c in ("id", "text_hash", "text"))):
-            piece, left = 0, b""
-            for part in (*(encode_text(text, words, by_word) if text else ()), None):
-                left += end if part is None else part
-                whole = len(left) if part is None else len(left) - len(left) % (4 * PIECE_IDS)
-                for at in range(0, whole, 4 * PIECE_IDS):
-                    ids = left[at:min(at + 4 * PIECE_IDS, whole)]
-                    rows.append((doc, text_hash, row, piece, piece == 0, part is None and at + len(ids) == len(left), len(ids) // 4, ids))
-                    piece += 1
-                    size += len(ids)
-                    if size > 4 << 20:
-                        yield _rows(rows)
-                        rows, size = [], 0
-                left = left[whole:]
-            row += 1
-        yield _rows(rows)
-
-
-_PIECE_TYPES = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.bool_(), pa.int32(), pa.binary()]
-_PIECE_NAMES = ["id", "text_hash", "row", "piece", "begins", "ends", "n", "ids"]
-
-
-def _rows(rows: list[tuple]) -> pa.RecordBatch:
-    columns = list(zip(*rows)) or [()] * len(_PIECE_NAMES)
-    columns[-1] = [_narrow(ids) for ids in columns[-1]]
-    return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, _PIECE_TYPES)], names=_PIECE_NAMES)
-
-
-def _narrow(ids: bytes) -> bytes:
-    """A leading byte for the width; two bytes an id where all fit."""
-    wide = np.frombuffer(ids, "<u4")
-    return b"\2" + wide.astype("<u2").tobytes() if wide.max(initial=0) < 1 << 16 else b"\4" + ids
+        return np.array(words.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+    return np.frombuffer(b"".join(map(words.__getitem__, text.replace("\n", " ").split(" "))), "<u4")
 
 
-def _widen(ids: bytes) -> np.ndarray:
-    return np.frombuffer(ids, f"<u{ids[0]}", offset=1).astype(np.uint32)
-
-
-def encode_documents(docs: DataFrame, tokenizer: str, end_id: int, by_word: bool = True, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The pieces of all documents; ``tokenizer`` is the path of a file of the tokenizers library, read by the driver."""
-    spark = docs.sparkSession
-    prepare_workers(spark)
-    with open(tokenizer, encoding="utf-8") as file:
-        described = spark.sparkContext.broadcast(file.read())
-    rows = docs.select(docs[id_col].cast("long").alias("id"), F.xxhash64(docs[text_col]).alias("text_hash"), docs[text_col].alias("text"))
-    return stash(rows.mapInArrow(lambda batches: _encode(batches, described, end_id, by_word), PIECES), "token-pieces")
+# ---------------------------------------------------------------- files
 
+def text_pieces(docs: DataFrame, piece_chars: int, id_col: str, text_col: str) -> DataFrame:
+    """id, text_hash, row, piece, last, text: every text in pieces that end behind a space or line feed."""
+    text = F.coalesce(docs[text_col], F.lit(""))
+    border = r"(?:[ \n]|\z)"
+    cut = F.regexp_extract_all(text, F.lit(rf"(?s).{{1,{piece_chars}}}{border}|.+?{border}"), F.lit(0))
+    pieces = F.when(F.char_length(text) > piece_chars, cut).otherwise(F.array(text))
+    rows = docs.select(docs[id_col].cast("long").alias("id"), F.xxhash64(docs[text_col]).alias("text_hash"), F.monotonically_increasing_id().alias("row"), pieces.alias("pieces"))
+    rows = rows.select("id", "text_hash", "row", F.size("pieces").alias("n"), F.posexplode("pieces").alias("piece", "text"))
+    return rows.select("id", "text_hash", "row", "piece", (F.col("piece") == F.col("n") - 1).alias("last"), "text")
 
-# ---------------------------------------------------------------- files
 
-def _cut(batches: Iterator[pa.RecordBatch], segment_ids: int) -> Iterator[pa.RecordBatch]:
+def _encode(batches: Iterator[pa.RecordBatch], described, end_id: int, by_word: bool, segment_ids: int) -> Iterator[pa.RecordBatch]:
     """The sorted pieces of a partition as segments."""
     from pyspark import TaskContext
 
+    words, end = _word_ids(described.value), np.array([end_id], np.uint32)
     task = TaskContext.get()
     part, number = (task.partitionId() if task else 0), 0
     ids: list[np.ndarray] = []
@@ -262,28 +219,41 @@ def _cut(batches: Iterator[pa.RecordBatch], segment_ids: int) -> Iterator[pa.Rec
         return pa.RecordBatch.from_arrays([pa.array([packed], pa.binary())], names=["segment"])
 
     for batch in batches:
-        for p in batch.to_pylist():
-            if size and size + p["n"] > segment_ids:
-                yield segment()
-                ids, docs, size, number = [], [], 0, number + 1
-            flags = (p["id"] is not None) * _HAS_ID | p["begins"] * _BEGINS | p["ends"] * _ENDS
-            if docs and docs[-1][1] == p["row"]:
-                docs[-1] = (*docs[-1][:3], docs[-1][3] | flags)
-            else:
-                docs.append((p["id"] or 0, p["row"], size, flags))
-            ids.append(_widen(p["ids"]))
-            size += p["n"]
+        for doc, row, piece, last, text in zip(*(batch.column(c).to_pylist() for c in ("id", "row", "piece", "last", "text"))):
+            own = encode_text(text, words, by_word)
+            own = np.concatenate((own, end)) if last else own
+            at = 0
+            while at < len(own):
+                if size >= segment_ids:
+                    yield segment()
+                    ids, docs, size, number = [], [], 0, number + 1
+                some = own[at:at + segment_ids - size]
+                flags = (doc is not None) * _HAS_ID | (piece == 0 and at == 0) * _BEGINS | (last and at + len(some) == len(own)) * _ENDS
+                if docs and docs[-1][1] == row:
+                    docs[-1] = (*docs[-1][:3], docs[-1][3] | flags)
+                else:
+                    docs.append((doc or 0, row, size, flags))
+                ids.append(some)
+                size += len(some)
+                at += len(some)
     if size:
         yield segment()
 
 
-def write_files(pieces: DataFrame, path: str, file_ids: int = FILE_IDS, segment_ids: int = SEGMENT_IDS) -> None:
-    """All ids in ascending document order, in files below ``path``."""
-    total = pieces.agg(F.sum(F.col("n").cast("long"))).first()[0] or 0
+def write_files(docs: DataFrame, path: str, tokenizer: str, end_id: int, by_word: bool = True, id_col: str = "doc_id", text_col: str = "text",
+                piece_chars: int = PIECE_CHARS, task_bytes: int = TASK_BYTES, segment_ids: int = SEGMENT_IDS) -> None:
+    """The ids of all documents in ascending document order, in files below ``path``; ``tokenizer`` is the path of a file of the tokenizers
+    library, read by the driver."""
+    spark = docs.sparkSession
+    prepare_workers(spark)
+    with open(tokenizer, encoding="utf-8") as file:
+        described = spark.sparkContext.broadcast(file.read())
+    total = docs.agg(F.sum(F.octet_length(docs[text_col]).cast("long") + 1)).first()[0] or 0
     order = [F.col("id").asc_nulls_last(), F.col("text_hash"), F.col("row"), F.col("piece")]
-    ordered = pieces.repartitionByRange(max(1, -(-total // file_ids)), *order).sortWithinPartitions(*order)
-    cut = ordered.select("id", "row", "begins", "ends", "n", "ids").mapInArrow(lambda batches: _cut(batches, segment_ids), "segment binary")
-    cut.select(F.col("segment").cast("string").alias("value")).write.text(path)
+    pieces = text_pieces(docs, piece_chars if by_word else (1 << 31) - 1, id_col, text_col)
+    ordered = pieces.repartitionByRange(max(1, -(-total // task_bytes)), *order).sortWithinPartitions(*order)
+    cut = ordered.select("id", "row", "piece", "last", "text").mapInArrow(lambda batches: _encode(batches, described, end_id, by_word, segment_ids), "segment binary")
+    cut.select(F.col("segment").cast("string").alias("value")).write.option("maxRecordsPerFile", FILE_SEGMENTS).text(path)
 
 
 def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

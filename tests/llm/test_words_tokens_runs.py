@@ -1,5 +1,6 @@
 """Spelling variants, token files and periodic runs against brute force, through their registered queries and directly."""
 
+import os
 import random
 import re
 import zlib
@@ -11,7 +12,6 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from tessera.llm import periodic_runs, queries, spelling, token_files
 
@@ -146,16 +146,15 @@ def whole_ids(tokenizer, text):
 @settings(max_examples=300, deadline=None)
 @given(st.text(st.sampled_from("aB'sé 1ß\n\t\x1c\x85 　Σς́漢<|>.,nd") | st.characters(exclude_categories=["Cs"]), max_size=40))
 def test_word_by_word_equals_whole_texts(tokenizer, text):
-    words = token_files.WordIds(tokenizer)
-    got = b"".join(token_files.encode_text(text, words))
-    assert np.frombuffer(got, "<u4").tolist() == whole_ids(tokenizer, text)
+    assert token_files.encode_text(text, token_files.WordIds(tokenizer)).tolist() == whole_ids(tokenizer, text)
 
 
-def test_special_strings_and_long_texts(tokenizer, monkeypatch):
-    monkeypatch.setattr(token_files, "_TEXT_CHARS", 50)
-    for text in ("a<|endoftext|>b <|startoftext|>", "x" * 300, "don't stop\nit's  so  fine " * 40):
-        got = b"".join(token_files.encode_text(text, token_files.WordIds(tokenizer)))
-        assert np.frombuffer(got, "<u4").tolist() == whole_ids(tokenizer, text)
+def test_special_strings_and_words_by_parts(tokenizer, monkeypatch):
+    monkeypatch.setattr(token_files, "_MAX_WORDS", 5)
+    words = token_files.WordIds(tokenizer)
+    for text in ("a<|endoftext|>b <|startoftext|>", "x" * 300, "don't stop\nit's  so  fine: Yes, YES! é, 5. .. ," * 40):
+        assert token_files.encode_text(text, words).tolist() == whole_ids(tokenizer, text)
+    assert token_files.encode_text("a b  c", words, by_word=False).tolist() == whole_ids(tokenizer, "a b  c")
 
 
 @settings(max_examples=100, deadline=None)
@@ -220,26 +219,25 @@ def test_registered_token_query(spark, tmp_path, tokenizer):
     check_tokens([tuple(r) for r in got.collect()], brute_tokens(tokenizer, rows))
 
 
-def test_documents_over_many_segments_and_files(spark, tmp_path, tokenizer, monkeypatch):
+@pytest.mark.parametrize("by_word", [True, False])
+def test_documents_over_many_segments_and_files(spark, tmp_path, tokenizer, by_word):
     rows = token_rows()
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
-    pieces = token_files.encode_documents(docs, public_tokenizers.path("word_bpe_49k.json"), 2)
-    small = pieces.select("id", "text_hash", "row", F.posexplode(F.expr("transform(sequence(0, cast(ceil(n / 7) as int) - 1), k -> "
-                          "concat(substring(ids, 1, 1), substring(ids, 2 + 14 * k, 14)))")).alias("k", "ids"), "piece", "begins", "ends", "n")
-    cut = small.select("id", "text_hash", "row", (F.col("piece") * 10_000 + F.col("k")).cast("int").alias("piece"), (F.col("begins") & (F.col("k") == 0)).alias("begins"),
-                       (F.col("ends") & (F.col("k") == F.ceil(F.col("n") / 7) - 1)).alias("ends"), ((F.length("ids") - 1) / 2).cast("int").alias("n"), "ids")
     path = str(tmp_path / "files")
-    token_files.write_files(cut, path, file_ids=3000, segment_ids=500)
+    token_files.write_files(docs, path, public_tokenizers.path("word_bpe_49k.json"), 2, by_word, piece_chars=40, task_bytes=9000, segment_ids=300)
+    assert len([f for f in os.listdir(path) if f.startswith("part-")]) > 8
     check_tokens([tuple(r) for r in token_files.read_files(spark, path).collect()], brute_tokens(tokenizer, rows))
 
 
-def test_long_texts_become_pieces(spark, tokenizer):
-    docs = spark.createDataFrame([(1, "alpha beta " * 30_000)], "doc_id long, text string")
-    pieces = token_files.encode_documents(docs, public_tokenizers.path("word_bpe_49k.json"), 2).orderBy("piece").collect()
-    assert len(pieces) > 5 and max(p["n"] for p in pieces) == token_files.PIECE_IDS
-    assert [p["begins"] for p in pieces] == [True] + [False] * (len(pieces) - 1) and [p["ends"] for p in pieces] == [False] * (len(pieces) - 1) + [True]
-    ids = [i for p in pieces for i in token_files._widen(p["ids"]).tolist()]
-    assert ids == [*whole_ids(tokenizer, "alpha beta " * 30_000), 2]
+def test_long_texts_are_cut_behind_spaces(spark):
+    texts = ["alpha beta\ngamma " * 9, "x" * 50 + " y", "  " * 30, "a" * 20 + "\n" + "b" * 21, "漢 字" * 14, None, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = token_files.text_pieces(docs, 20, "doc_id", "text").orderBy("row", "piece").collect()
+    for i, text in enumerate(texts):
+        own = [r for r in got if r["id"] == i]
+        assert "".join(r["text"] for r in own) == (text or "")
+        assert [r["last"] for r in own] == [False] * (len(own) - 1) + [True]
+        assert all(r["text"][-1] in " \n" for r in own[:-1]) and all(len(r["text"]) <= 21 or " " not in r["text"][:-1] for r in own)
 
 
 def test_no_documents_no_tokens(spark, tmp_path):

@@ -142,7 +142,7 @@ FOLDS = [
     ("1999 H1", "1999-01-01", "1999-06-01"),
     ("1999 H2", "1999-07-01", "1999-12-01"),
 ]
-FIT_END = "1999-07-01"  # network fit rows: start_date < FIT_END
+FIT_END = "1999-07-01"  # rows of fits with early stopping: start_date < FIT_END
 VALID_START, VALID_END = "1999-07-01", "1999-12-01"
 
 # Model parameters (fixed values)
@@ -155,6 +155,10 @@ GBT_DEPTH = 4
 GBT_MIN_LEAF = 12
 GBT_MAX_BINS = 256
 GBT_EARLY_STOP_TOL = 0.01
+# boosted trees on the log residual: name -> (rounds, learning rate, depth, smallest leaf, share of rows per tree)
+RESIDUAL_TREES = {"regularized": (120, 0.05, 2, 12, 0.8), "unregularized": (60, 0.3, 6, 1, 1.0)}
+STOP_PATIENCE = 20  # rounds without an improvement of more than STOP_MIN_DELTA end the fit
+STOP_MIN_DELTA = 1e-5
 HUBER_EPSILON = 1.35
 HUBER_REG = 1e-3
 SEED = 42

@@ -3,7 +3,7 @@
 Spark's estimators differ in algorithm from the single-machine ones the
 reference used (histogram boosting); results agree in semantics,
 not digits. Every fit runs on executors; only fitted parameters (centroids,
-coefficients, per-epoch losses) reach the driver.
+coefficients, one loss per round) reach the driver.
 """
 
 from __future__ import annotations
@@ -219,6 +219,81 @@ def fit_residual_linear(train: DataFrame, scored: list[DataFrame], numeric: list
     return model, out
 
 
+# --------------------------------------------------------------------------
+# M18(b), M19, M20: boosted trees on the log residual, their losses and where to stop
+# --------------------------------------------------------------------------
+
+HISTORY = "model string, iteration int, train double, valid double"
+
+
+def residual_trees(settings: tuple, rounds: int | None = None, seed: int = K.SEED) -> GBTRegressor:
+    """M18(b): boosted trees whose label is the log residual, so that an output of zero is the persistence forecast."""
+    most, rate, depth, leaf, share = settings
+    return GBTRegressor(featuresCol="features", labelCol="resid", predictionCol="resid_pred", maxIter=rounds or most, stepSize=rate, maxDepth=depth,
+                        minInstancesPerNode=leaf, subsamplingRate=share, maxBins=K.GBT_MAX_BINS, seed=seed)
+
+
+def loss_history(settings: dict[str, tuple], fit: DataFrame, valid: DataFrame, seed: int = K.SEED) -> DataFrame:
+    """Squared loss on the log residual after every round of each named fit, on its own and on the validation rows, as rows
+    (model, iteration, train, valid). Iteration 0 is the anchor, a residual of zero everywhere. Both frames hold ``features`` and ``resid``;
+    each is cached once for all fits, and only the losses (one pair a round) reach the driver."""
+    anchor = F.avg(F.col("resid") * F.col("resid"))
+    with kept(fit) as own, kept(valid) as held:
+        zero = (own.agg(anchor).first()[0], held.agg(anchor).first()[0])
+
+        def rows(name):
+            model = residual_trees(settings[name], seed=seed).fit(own)
+            losses = zip(model.evaluateEachIteration(own, "squared"), model.evaluateEachIteration(held, "squared"))
+            return [(name, 0, *zero), *((name, i, float(t), float(v)) for i, (t, v) in enumerate(losses, 1))]
+
+        found = parallel_fits([lambda n=n: rows(n) for n in settings])
+    return fit.sparkSession.createDataFrame([r for part in found for r in part], HISTORY)
+
+
+def early_stop_points(history: DataFrame, patience: int = K.STOP_PATIENCE, min_delta: float = K.STOP_MIN_DELTA) -> DataFrame:
+    """Per model the round a fit would return and the round it would stop at: a round counts as better when its validation loss is more than
+    ``min_delta`` below the best so far, and ``patience`` rounds without a better one end the fit. Round 0 (the anchor) is no candidate.
+
+    The rule is sequential, so a model's losses (one per round, a few hundred) are folded in order inside one expression."""
+    losses = F.array_sort(F.collect_list(F.struct("iteration", "valid")))
+    start = F.struct(F.lit(None).cast("double").alias("best"), F.lit(0).alias("at"), F.lit(None).cast("int").alias("stop"))
+
+    def step(now, row):
+        better = now["stop"].isNull() & (now["best"].isNull() | (row["valid"] < now["best"] - F.lit(min_delta)))
+        ends = now["stop"].isNull() & ~better & (row["iteration"] - now["at"] >= patience)
+        return F.struct(F.when(better, row["valid"]).otherwise(now["best"]).alias("best"), F.when(better, row["iteration"]).otherwise(now["at"]).alias("at"),
+                        F.when(ends, row["iteration"]).otherwise(now["stop"]).alias("stop"))
+
+    per = history.where("iteration > 0").groupBy("model").agg(losses.alias("losses"), F.max("iteration").alias("rounds"))
+    folded = per.select("model", "rounds", F.aggregate("losses", start, step).alias("f"))
+    return folded.select("model", "rounds", F.col("f.at").alias("best_iteration"), F.col("f.best").alias("best_valid"),
+                         F.coalesce("f.stop", "rounds").alias("stop_iteration"), F.col("f.stop").isNotNull().alias("stopped_early"))
+
+
+def overfit_gap(history: DataFrame) -> DataFrame:
+    """Per model the lowest validation loss and its round (ties: the first), the last round's losses, and by how much the last
+    validation loss lies above the last training loss and above its own minimum."""
+    last, least = F.max(F.struct("iteration", "train", "valid")), F.min(F.struct("valid", "iteration"))
+    per = history.where("iteration > 0").groupBy("model").agg(last.alias("z"), least.alias("m"))
+    return per.select("model", F.col("z.iteration").alias("rounds"), F.col("m.iteration").alias("lowest_iteration"), F.col("m.valid").alias("lowest_valid"),
+                      F.col("z.train").alias("final_train"), F.col("z.valid").alias("final_valid"), (F.col("z.valid") - F.col("z.train")).alias("final_gap"),
+                      (F.col("z.valid") - F.col("m.valid")).alias("above_lowest"))
+
+
+def residual_frames(fit: DataFrame, others: list[DataFrame], numeric: list[str], category: str, target: str, base: str) -> list[DataFrame]:
+    """Design matrices (``features``, learned from ``fit`` only) with the log residual ``resid`` as label."""
+    labelled = [f.withColumn("resid", X.residual_target(target, base)) for f in (fit, *others)]
+    return design_matrix(labelled[0], labelled[1:], numeric, category)[1]
+
+
+def fit_residual_trees(fit: DataFrame, scored: list[DataFrame], settings: tuple, rounds: int, base: str, seed: int = K.SEED):
+    """M18(b): the fit of ``residual_trees`` cut at ``rounds`` (every round has its own seed, so the first rounds of a longer fit), and the
+    scored frames with prediction = max(expm1(log1p(base) + r), 0)."""
+    with kept(fit) as rows:
+        model = residual_trees(settings, rounds, seed).fit(rows)
+    return model, [model.transform(f).withColumn("prediction", X.residual_reconstruct(base, "resid_pred")) for f in scored]
+
+
 def save_pipeline(model: PipelineModel, path: str) -> None:
     """K4: persist the fitted feature pipeline next to the design matrices."""
     model.write().overwrite().save(path)

@@ -262,7 +262,8 @@ def q_gbt_cv_checks(spark, d):
 def q_forecast_checks(spark, d):
     """The test rows that each model family scored."""
     out = None
-    for name, scored in (("trees", _gbt_test(spark, d)), ("trees_early", _gbt_fits(spark, d)["early"][1]), ("residual_linear", _residual_test(spark, d))):
+    for name, scored in (("trees", _gbt_test(spark, d)), ("trees_early", _gbt_fits(spark, d)["early"][1]), ("residual_linear", _residual_test(spark, d)),
+                         ("residual_trees", _residual_trees(spark, d)["test"])):
         rows = _row_checks(scored.withColumn("model", F.lit(name)), ["model"])
         out = rows if out is None else out.unionByName(rows)
     return out
@@ -279,6 +280,79 @@ def _residual_test(spark, d) -> DataFrame:
     return _once(spark, d, "residual", fit)
 
 
+CHALLENGER = "regularized"
+
+
+def _residual_trees(spark, d) -> dict:
+    """M18(b), M19, M20: the losses of both fits, where they stop, and the test rows scored by the regularized one, cut at its best round."""
+    def fit():
+        three = write_scratch(P.tag_three_way(P.lag_panel(load_clean(spark, d), MEASURE)), "three-way-panel")
+        split = lambda s: three.filter(F.col("split") == s)
+        base = f"lag1_{MEASURE}"
+        own, valid, test = M.residual_frames(split("fit"), [split("validation"), split("test")], P.numeric_features(MEASURE), "geo", MEASURE, base)
+        history = write_scratch(M.loss_history(K.RESIDUAL_TREES, own, valid), "loss-history")
+        points = write_scratch(M.early_stop_points(history), "early-stop")
+        rounds = points.filter(F.col("model") == CHALLENGER).first()["best_iteration"]
+        _, (scored,) = M.fit_residual_trees(own, [test], K.RESIDUAL_TREES[CHALLENGER], rounds, base)
+        return {"panel": three, "history": history, "points": points, "test": write_scratch(scored.select(_SCORED), "residual-trees-test")}
+
+    return _once(spark, d, "residual-trees", fit)
+
+
+def q_loss_histories(spark, d):
+    """Training and validation loss after every round; round 0 is the persistence forecast."""
+    return _residual_trees(spark, d)["history"].select("model", "iteration", _r("train").alias("train"), _r("valid").alias("valid"))
+
+
+def q_early_stop_point(spark, d):
+    return _residual_trees(spark, d)["points"].withColumn("best_valid", _r("best_valid"))
+
+
+def q_overfit_gap(spark, d):
+    gaps = M.overfit_gap(_residual_trees(spark, d)["history"])
+    return gaps.select(*[_r(c).alias(c) if t == "double" else F.col(c) for c, t in gaps.dtypes])
+
+
+def q_loss_history_checks(spark, d):
+    """Per fit the rounds, rows and losses of the anchor, that boosting ended below it on its own rows, and that the stop point obeys
+    the rule: no better round up to the stop, and the stop ``patience`` rounds after the best or at the end."""
+    found = _residual_trees(spark, d)
+    sizes = found["panel"].agg(*[F.count_if(F.col("split") == s).alias(f"{s}_rows") for s in ("fit", "validation")])
+    history, points = found["history"], found["points"].select("model", "best_iteration", "best_valid", "stop_iteration", "stopped_early")
+    joined = history.join(points, "model")
+    waited = (F.col("iteration") > F.col("best_iteration")) & (F.col("iteration") <= F.col("stop_iteration"))
+    better = waited & (F.col("valid") < F.col("best_valid") - F.lit(K.STOP_MIN_DELTA))
+    at_best = F.max(F.when(F.col("iteration") == F.col("best_iteration"), F.col("valid")))
+    anchor = lambda c: F.max(F.when(F.col("iteration") == 0, F.col(c)))
+    ends = F.when(F.col("stopped_early"), F.col("stop_iteration") - F.col("best_iteration") == K.STOP_PATIENCE).otherwise(F.col("stop_iteration") == F.col("rounds"))
+    per = joined.groupBy("model", "best_iteration", "best_valid", "stop_iteration", "stopped_early").agg(
+        F.max("iteration").alias("rounds"), F.count("valid").alias("losses"), anchor("train").alias("anchor_train"), anchor("valid").alias("anchor_valid"),
+        F.max_by("train", "iteration").alias("last_train"), F.count_if(better).alias("missed"), at_best.alias("at_best"))
+    checked = per.select("model", F.col("rounds").cast("int").alias("rounds"), (F.col("losses") == F.col("rounds") + 1).alias("complete"),
+                         _r("anchor_train").alias("anchor_train"), _r("anchor_valid").alias("anchor_valid"), (F.col("last_train") < F.col("anchor_train")).alias("learned"),
+                         ((F.col("missed") == 0) & (F.col("at_best") == F.col("best_valid")) & ends).alias("rule_ok"))
+    return checked.join(F.broadcast(sizes), F.lit(True))  # one row
+
+
+def q_residual_trees(spark, d):
+    return _scored_frame(_residual_trees(spark, d)["test"])
+
+
+def q_challenger_metrics(spark, d):
+    """The challengers (linear and boosted-tree residual models) beside persistence on identical rows; a challenger is
+    accepted only if MAE, RMSE and WAPE all beat the baseline's."""
+    keys = ["geo", "start_date"]
+    linear = _residual_test(spark, d).select(*keys, F.col("prediction").alias("residual_linear"))
+    rows = _residual_trees(spark, d)["test"].withColumnRenamed("prediction", "residual_trees").join(linear, keys)
+    base = f"lag1_{MEASURE}"
+    m = E.long_model_metrics(rows, MEASURE, {"residual_trees": "residual_trees", "residual_linear": "residual_linear", "persistence": base}, baseline=base)
+    own = rows.agg(*[c.alias(f"base_{n}") for n, c in zip(("rmse", "wape_pct"), E.metric_columns(MEASURE, base)[2:5:2])])
+    accepted = E.acceptance("mae", "rmse", "wape_pct", "base_mae", "base_rmse", "base_wape_pct")
+    both = m.join(F.broadcast(own), F.lit(True))  # one row
+    return both.select("model", "n", *[_r(c).alias(c) for c in ["mae", "rmse", "r2", "wape_pct"]],
+                       _r(E.improvement_pct("base_mae", "mae")).alias("mae_improvement_pct"), accepted.alias("accepted"))
+
+
 def q_residual_linear(spark, d):
     return _scored_frame(_residual_test(spark, d))
 

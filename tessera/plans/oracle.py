@@ -601,7 +601,14 @@ _CHECKS = ("CAST(count(*) AS BIGINT) AS rows, CAST(count(DISTINCT geo) AS BIGINT
            "round(1 - sum((a - greatest(lag1_a, 0.0)) ** 2) / nullif(var_pop(a) * count(a), 0), 6) AS baseline_r2, "
            "round(100.0 * sum(abs(a - greatest(lag1_a, 0.0))) / nullif(sum(a), 0), 6) AS baseline_wape_pct, true AS predictions_ok")
 SQL_BODIES["forecast_checks"] = " UNION ALL ".join(
-    f"SELECT {_q(m)} AS model, {_CHECKS} FROM test_rows" for m in ("trees", "trees_early", "residual_linear"))
+    f"SELECT {_q(m)} AS model, {_CHECKS} FROM test_rows" for m in ("trees", "trees_early", "residual_linear", "residual_trees"))
+_RESIDUAL = "avg((ln(1 + a) - ln(1 + lag1_a)) ** 2)"
+SQL_BODIES["loss_history_checks"] = f"""
+SELECT f.model, f.rounds, true AS complete, round(t.loss, 6) AS anchor_train, round(v.loss, 6) AS anchor_valid, true AS learned, true AS rule_ok,
+       t.n AS fit_rows, v.n AS validation_rows
+FROM (VALUES {", ".join(f"({_q(m)}, {x[0]})" for m, x in K.RESIDUAL_TREES.items())}) f(model, rounds),
+     (SELECT {_RESIDUAL} AS loss, CAST(count(*) AS BIGINT) AS n FROM panel WHERE start_date < DATE '{K.FIT_END}') t,
+     (SELECT {_RESIDUAL} AS loss, CAST(count(*) AS BIGINT) AS n FROM panel WHERE start_date BETWEEN DATE '{K.VALID_START}' AND DATE '{K.VALID_END}') v"""
 SQL_BODIES["gbt_cv_checks"] = " UNION ALL ".join(
     f"SELECT {_q(lbl)} AS fold, {_CHECKS}, (SELECT CAST(count(*) AS BIGINT) FROM panel WHERE start_date < DATE '{s}') AS train_rows, "
     f"CAST(count(*) AS BIGINT) AS validation_rows, true AS winner_ok FROM panel WHERE start_date BETWEEN DATE '{s}' AND DATE '{e}'"

@@ -48,7 +48,7 @@ def test_query_matches_oracle(spark, con, name):
 def test_only_prediction_tables_lack_an_oracle():
     assert set(CUBE_QUERIES) - set(ORACLES) == {
         "kmeans_sweep", "kmeans_final", "pca_2d", "bisecting_hierarchy", "hierarchy_by_cluster", "gbt_forecast", "gbt_cv", "gbt_metrics",
-        "gbt_early_stopping", "residual_linear", "forecast_monthly_models"}
+        "gbt_early_stopping", "residual_linear", "forecast_monthly_models", "loss_histories", "early_stop_point", "overfit_gap", "residual_trees", "challenger_metrics"}
 
 
 def test_panel_is_not_degenerate(spark):

@@ -44,8 +44,8 @@ _HEADER = struct.Struct("<4sIIIIIQ")  # magic, partition, segment, ids, blocks,
 _DOC = np.dtype([("id", "<i8"), ("row", "<i8"), ("at", "<u4"), ("flags", "u1")])
 _INDEX = np.dtype([("offset", "<u4"), ("least", "<u4"), ("exceptions", "<u2"), ("width", "u1")])
 _HAS_ID, _BEGINS, _ENDS = 1, 2, 4
-_MAX_WORDS, _MAX_CHARS = 1 << 20, 48
-_CLOSING = ".,;:!?"
+_MAX_WORDS, _MAX_CHARS = 3 << 18, 48
+_CLOSING = ".,;:!?&%#$*)"
 _MAX_FILES = 100_000
 PARTS = "part int, segment int, at long, id long, row long, whole boolean, n long, crc long"
 
@@ -160,24 +160,30 @@ def _word_ids(described: str) -> "WordIds":
 
 
 class WordIds(dict):
-    """Word to its ids as bytes; forgets everything when it grows large, and never keeps long words.
+    """Word to its ids as bytes, put together from plain words, which are encoded once.
 
-    A closing punctuation mark after a letter is a token border, and plain letters are lower-cased by the tokenizer, so
-    ``Word,`` is put together from ``word`` and ``,`` instead of being encoded again."""
+    Punctuation behind a letter begins a token, and ASCII letters are lower-cased by the tokenizer, so ``Word,`` is ``word`` and ``,``. A full
+    dictionary becomes the old one, from which words in use return; the one before it is forgotten. Long words are never kept."""
 
     def __init__(self, tokenizer):
         super().__init__()
         self.tokenizer = tokenizer
+        self.old: dict[str, bytes] = {}
 
     def __missing__(self, word: str) -> bytes:
-        if len(word) > 1 and word[-1] in _CLOSING and word[-2].isalpha():
-            ids = self[word[:-1]] + self[word[-1]]
-        elif word.isascii() and word.isalpha() and not word.islower():
-            ids = self[word.lower()]
-        else:
-            ids = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+        ids = self.old.get(word)
+        if ids is None:
+            core = word.rstrip(_CLOSING)
+            if not core or not core[-1].isalpha():
+                core = word
+            plain = core.lower() if core.isascii() and core.isalpha() else core
+            if plain != word:
+                ids = self[plain] + (self[word[len(core):]] if len(core) < len(word) else b"")
+            else:
+                ids = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
         if len(word) <= _MAX_CHARS:
             if len(self) >= _MAX_WORDS:
+                self.old = self.copy()
                 self.clear()
             self[word] = ids
         return ids

@@ -8,22 +8,20 @@ proves it small, so rows that share one slice key are never shuffled to one task
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera import contract as K
 from tessera.functions.flags import pct
+from tessera.operators.ranks import exact_quantiles, rank_correlations
 from tessera.session import bounded_broadcast
 
 MAX_SLICES = 10_000
 
 
 def quantiles(df: DataFrame, value: str, probs=(0.25, 0.75), by: list[str] | None = None) -> DataFrame:
-    """G1: exact quantiles with linear interpolation (pandas/numpy default)."""
-    by = by or []
-    q = F.percentile(F.col(value), F.array(*[F.lit(p) for p in probs]))
-    out = (df.groupBy(*by) if by else df.groupBy()).agg(q.alias("__q"))
-    return out.select(*by, *[F.col("__q")[i].alias(f"q{int(p * 100)}") for i, p in enumerate(probs)])
+    """G1: exact quantiles with linear interpolation (pandas/numpy default); no slice is gathered."""
+    return exact_quantiles(df, value, probs, by)
 
 
 def iqr_bounds(df: DataFrame, value: str, by: list[str] | None = None, k: float = 1.5) -> DataFrame:
@@ -91,32 +89,8 @@ def unpivot(df: DataFrame, ids: list[str], values: list[str], var: str, val: str
 
 
 def spearman_long(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Pairwise-complete Spearman matrix in long form (x, y, rho).
-
-    Per pair, rows with a null in either column are dropped, values get the
-    average rank of their ties, and Pearson correlation of the ranks is taken.
-    The upper triangle of pairs is exploded from one scan, both columns are
-    ranked on the same rows, and the small result is mirrored. A pair's window
-    holds one row per period of the slice, whose number the calendar bounds.
-    """
-    pairs = F.array(*[
-        F.struct(F.lit(x).alias("x"), F.lit(y).alias("y"), F.col(x).cast("double").alias("xv"),
-                 F.col(y).cast("double").alias("yv"))
-        for i, x in enumerate(columns) for y in columns[i:]
-    ])
-    long = (df.select(F.explode(pairs).alias("p")).select("p.*")
-            .filter(F.col("xv").isNotNull() & F.col("yv").isNotNull()))
-
-    def avg_rank(v: str) -> Column:
-        pair = Window.partitionBy("x", "y")
-        ties = F.count(F.lit(1)).over(Window.partitionBy("x", "y", v))
-        return F.rank().over(pair.orderBy(v)) + (ties - F.lit(1)) / F.lit(2.0)
-
-    rho = long.select("x", "y", avg_rank("xv").alias("rx"), avg_rank("yv").alias("ry")).groupBy("x", "y").agg(
-        F.corr("rx", "ry").alias("rho"))
-    both = F.array(F.struct("x", "y"), F.struct(F.col("y").alias("x"), F.col("x").alias("y")))
-    mirrored = rho.select(F.explode(F.array_distinct(both)).alias("p"), "rho")
-    return mirrored.select("p.x", "p.y", "rho")
+    """Pairwise-complete Spearman matrix in long form (x, y, rho), by distributed ranks."""
+    return rank_correlations(df, columns)
 
 
 def histogram(df: DataFrame, value: str, bins: int, by: list[str]) -> DataFrame:

@@ -77,6 +77,33 @@ def gap_audit(clean: DataFrame) -> DataFrame:
             .filter(F.col("prev").isNotNull() & (F.months_between("start_date", "prev") > 1)))
 
 
+def observed_series(clean: DataFrame, measure: str = "a") -> DataFrame:
+    """(geo, start_date, measure) of the complete months whose count is published; suppressed months are gaps."""
+    p = complete_periods(in_domain(grain_slice(clean, K.GRAIN_MONTH, sex=K.SEX_ALL, band=K.BAND_ALL)))
+    return p.where(F.col(measure).isNotNull()).select("geo", "start_date", F.col(measure).cast("double").alias(measure))
+
+
+def calendar_lags(series: DataFrame, measure: str, lags=(1, 2, 3), by: str = "geo") -> DataFrame:
+    """W1, W2 by the calendar: ``cal_lag<k>`` is the value k months before, null if that month is missing, and ``cal_rolling<n>`` the mean of
+    the n months before, null unless all are there; ``row_lag<k>`` is the value k rows before. RANGE frames over the month number; months are distinct within ``by``."""
+    month = F.year("start_date") * 12 + F.month("start_date")
+    w = Window.partitionBy(by).orderBy("__month")
+    n = max(lags)
+    before = w.rangeBetween(-n, -1)
+    v = F.col(measure)
+    return series.withColumn("__month", month).select(
+        *series.columns, *[F.lag(v, k).over(w).alias(f"row_lag{k}") for k in lags], *[F.max(v).over(w.rangeBetween(-k, -k)).alias(f"cal_lag{k}") for k in lags],
+        F.when(F.count(v).over(before) == n, F.avg(v).over(before)).alias(f"cal_rolling{n}"))
+
+
+def series_gaps(series: DataFrame, by: str = "geo") -> DataFrame:
+    """(by, start_date, prev, missing_months): the rows before which months are missing."""
+    w = Window.partitionBy(by).orderBy("start_date")
+    rows = series.select(by, "start_date", F.lag("start_date").over(w).alias("prev"))
+    missing = F.months_between("start_date", "prev").cast("int") - 1
+    return rows.withColumn("missing_months", missing).where("missing_months > 0")
+
+
 def tag_split(panel: DataFrame, train_end: str = K.TRAIN_END, test_start: str = K.TEST_START,
               test_end: str = K.TEST_END) -> DataFrame:
     """M7: chronological train/test tag (rows in neither get null)."""

@@ -19,6 +19,7 @@ from tessera.functions import fmt
 from tessera.functions.flags import month_end, pct, year_end
 from tessera.operators import describe as D
 from tessera.operators import evaluate as E
+from tessera.operators import intervals as IV
 from tessera.operators import panel as P
 from tessera.operators import profile as PR
 from tessera.operators import quality as Q
@@ -252,15 +253,15 @@ def q_geo_share(spark, d):
 
 
 def q_geo_share_stats(spark, d):
-    g = _geo_share(spark, d)
-    return g.agg(
+    g = _geo_share(spark, d).withColumn("slice", F.lit(0))
+    median = bounded_broadcast(D.quantiles(g, "a_pct_total", (0.5,), ["slice"]), D.MAX_SLICES)
+    return g.groupBy("slice").agg(
         F.max("a_pct_total").alias("max_share"),
         F.min("a_pct_total").alias("min_share"),
-        F.median("a_pct_total").alias("median_share"),
         (F.max("a_pct_total") - F.min("a_pct_total")).alias("range_points"),
         D.arg_max(F.col("a_pct_total"), F.col("geo")).alias("max_geo"),
         D.arg_min(F.col("a_pct_total"), F.col("geo")).alias("min_geo"),
-    ).select(*[_r(c).alias(c) for c in ["max_share", "min_share", "median_share", "range_points"]],
+    ).join(median.withColumnRenamed("q50", "median_share"), "slice").select(*[_r(c).alias(c) for c in ["max_share", "min_share", "median_share", "range_points"]],
              "max_geo", "min_geo")
 
 
@@ -577,7 +578,7 @@ def q_conformal_band(spark, d, measure=MEASURE):
     mean-of-3 residual on the validation block; coverage on the test rows."""
     p = P.tag_three_way(_panel(spark, d, measure))
     resid = F.abs(F.col(measure) - X.clip_prediction(F.col(f"rolling3_{measure}")))
-    half = p.filter(F.col("split") == "validation").agg(F.percentile(resid, 0.9)).scalar()  # a subquery of one value
+    half = D.quantiles(p.filter(F.col("split") == "validation").withColumn("resid", resid), "resid", (0.9,)).scalar()  # a subquery of one value
     t = p.filter(F.col("split") == "test").withColumn("half_width", half)
     return t.groupBy("half_width").agg(
         F.count(F.lit(1)).cast("bigint").alias("test_rows"),
@@ -607,6 +608,59 @@ def q_gap_audit(spark, d):
     return g.select("geo", _iso("start_date"), _iso("prev"))
 
 
+def q_gap_audit_observed(spark, d):
+    """Months missing from the series of published counts; suppression leaves such gaps."""
+    g = P.series_gaps(P.observed_series(_clean(spark, d), MEASURE))
+    return g.select("geo", _iso("start_date"), _iso("prev"), "missing_months")
+
+
+def q_calendar_lags(spark, d):
+    """Lags by row and by calendar on the published counts, and whether a row lag crosses a gap."""
+    c = P.calendar_lags(P.observed_series(_clean(spark, d), MEASURE), MEASURE)
+    crosses = F.lit(False)
+    for k in (1, 2, 3):
+        crosses = crosses | (F.col(f"row_lag{k}").isNotNull() & ~F.col(f"row_lag{k}").eqNullSafe(F.col(f"cal_lag{k}")))
+    return c.withColumn("crosses_gap", crosses).select("geo", _iso("start_date"), MEASURE, *[f"{p}_lag{k}" for p in ("row", "cal") for k in (1, 2, 3)],
+                                                       _r("cal_rolling3").alias("cal_rolling3"), "crosses_gap")
+
+
+INTERVAL_MEASURES = ["a", "total"]
+
+
+def q_suppression_intervals(spark, d):
+    """Every suppressed cell of two measures with the narrowest bounds that all sums prove."""
+    cells = IV.tighten(_clean(spark, d), INTERVAL_MEASURES)
+    return IV.suppressed_bounds(cells, INTERVAL_MEASURES).withColumn("start_date", F.col("start_date").cast("string"))
+
+
+def q_interval_summary(spark, d):
+    """Per measure and grain the suppressed cells, those whose value the sums give away, and the mean width of the rest."""
+    rows = IV.suppressed_bounds(IV.tighten(_clean(spark, d), INTERVAL_MEASURES), INTERVAL_MEASURES)
+    width = F.col("upper") - F.col("lower")
+    return rows.groupBy("measure", "grain").agg(
+        F.count(F.lit(1)).alias("suppressed"), F.count_if(width == 0).alias("given_away"),
+        F.count_if(width < K.SUPPRESS_HI - K.SUPPRESS_LO).alias("narrowed"), _r(F.avg(width)).alias("mean_width"))
+
+
+def q_reconcile_bounds(spark, d):
+    """A16 for every measure and every family of sums, suppressed cells as intervals."""
+    return IV.reconcile_bounds(_clean(spark, d))
+
+
+def q_price_quantiles(spark, d):
+    """G1 over the fact rows: exact quantiles of the price per return flag and line status."""
+    rows = read_table(spark, d, "lineitem", "l_returnflag", "l_linestatus", "l_extendedprice")
+    probs = (0.01, 0.25, 0.5, 0.75, 0.99)
+    q = D.quantiles(rows, "l_extendedprice", probs, ["l_returnflag", "l_linestatus"])
+    return q.select("l_returnflag", "l_linestatus", *[_r(c).alias(c) for c in q.columns[2:]])
+
+
+def q_fact_rank_correlation(spark, d):
+    """G12 over the fact rows: rank correlations of quantity, price and discount."""
+    rows = read_table(spark, d, "lineitem", "l_quantity", "l_extendedprice", "l_discount")
+    return D.spearman_long(rows, ["l_quantity", "l_extendedprice", "l_discount"]).select("x", "y", _r("rho").alias("rho"))
+
+
 def q_headline_values(spark, d):
     """Named single values of the national slices: share of the peak month, the value of a fixed month, the largest
     band, totals by sex, their ratio, and the band with the largest ratio."""

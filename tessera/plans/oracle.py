@@ -273,10 +273,10 @@ FROM dom WHERE grain = {_q(K.GRAIN_YEAR)} AND sex = {_q(K.SEX_ALL)} AND band = {
 SELECT a, total, round(a_share_of_total * 100, 2) AS a_share_pct FROM clean
 WHERE grain = {_q(K.GRAIN_TOTAL)} AND geo = {_q(K.GEO_ALL)} AND sex = {_q(K.SEX_ALL)} AND band = {_q(K.BAND_ALL)}""",
     "geo_domain": "SELECT DISTINCT geo FROM dom",
-    "domain_semi_join": f"""
-SELECT geo, {_iso('start_date')}, a, total FROM clean
-WHERE grain = {_q(K.GRAIN_MONTH)} AND sex = {_q(K.SEX_ALL)} AND band = {_q(K.BAND_ALL)}
-  AND geo IN (SELECT geo FROM dom)""",
+    "domain_semi_join": f""",
+domain AS MATERIALIZED (SELECT n_name AS geo FROM nation)
+SELECT clean.geo, {_iso('start_date')}, a, total FROM clean JOIN domain ON clean.geo = domain.geo
+WHERE grain = {_q(K.GRAIN_MONTH)} AND sex = {_q(K.SEX_ALL)} AND band = {_q(K.BAND_ALL)}""",
     "quality_summary": f"""
 SELECT CAST(count(*) AS BIGINT) AS rows, CAST(min(data_as_of) AS VARCHAR) AS data_as_of,
        CAST(min(start_date) AS VARCHAR) AS start_min, CAST(max(end_date) AS VARCHAR) AS end_max,
@@ -566,6 +566,90 @@ SELECT geo, CAST(start_date AS VARCHAR) AS start_date, CAST(prev AS VARCHAR) AS
 FROM (SELECT geo, start_date, lag(start_date) OVER (PARTITION BY geo ORDER BY start_date) AS prev FROM series)
 WHERE date_diff('month', prev, start_date) > 1"""
 
+_OBSERVED = "SELECT geo, start_date, a FROM series WHERE a IS NOT NULL"
+SQL_BODIES["gap_audit_observed"] = f"""
+SELECT geo, CAST(start_date AS VARCHAR) AS start_date, CAST(prev AS VARCHAR) AS prev, CAST(date_diff('month', prev, start_date) - 1 AS INTEGER) AS missing_months
+FROM (SELECT geo, start_date, lag(start_date) OVER (PARTITION BY geo ORDER BY start_date) AS prev FROM ({_OBSERVED}))
+WHERE date_diff('month', prev, start_date) > 1"""
+SQL_BODIES["calendar_lags"] = f""",
+o AS ({_OBSERVED}),
+r AS (SELECT *, {", ".join(f"lag(a, {k}) OVER w AS row_lag{k}" for k in (1, 2, 3))} FROM o WINDOW w AS (PARTITION BY geo ORDER BY start_date)),
+j AS (SELECT r.*, {", ".join(f"o{k}.a AS cal_lag{k}" for k in (1, 2, 3))} FROM r
+      {" ".join(f"LEFT JOIN o o{k} ON o{k}.geo = r.geo AND o{k}.start_date = r.start_date - INTERVAL {k} MONTH" for k in (1, 2, 3))})
+SELECT geo, CAST(start_date AS VARCHAR) AS start_date, a, {", ".join(f"{p}_lag{k}" for p in ("row", "cal") for k in (1, 2, 3))},
+       round((cal_lag1 + cal_lag2 + cal_lag3) / 3, 6) AS cal_rolling3,
+       {" OR ".join(f"(row_lag{k} IS NOT NULL AND row_lag{k} IS DISTINCT FROM cal_lag{k})" for k in (1, 2, 3))} AS crosses_gap FROM j"""
+
+_PROBS = (0.01, 0.25, 0.5, 0.75, 0.99)
+SQL_BODIES["price_quantiles"] = f"""
+SELECT l_returnflag, l_linestatus, {", ".join(f"round(quantile_cont(CAST(l_extendedprice AS DOUBLE), {p}), 6) AS q{round(p * 100)}" for p in _PROBS)}
+FROM lineitem GROUP BY l_returnflag, l_linestatus"""
+SQL_BODIES["fact_rank_correlation"] = """,
+f AS (SELECT l_quantity AS q, l_extendedprice AS p, l_discount AS d FROM lineitem),
+k AS (SELECT rank() OVER (ORDER BY q) + (count(*) OVER (PARTITION BY q) - 1) / 2.0 AS q, rank() OVER (ORDER BY p) + (count(*) OVER (PARTITION BY p) - 1) / 2.0 AS p,
+             rank() OVER (ORDER BY d) + (count(*) OVER (PARTITION BY d) - 1) / 2.0 AS d FROM f),
+c AS (SELECT corr(q, p) AS qp, corr(q, d) AS qd, corr(p, d) AS pd FROM k)
+SELECT x, y, round(rho, 6) AS rho FROM (
+  SELECT unnest(['l_quantity', 'l_quantity', 'l_quantity', 'l_extendedprice', 'l_extendedprice', 'l_extendedprice', 'l_discount', 'l_discount', 'l_discount']) AS x,
+         unnest(['l_quantity', 'l_extendedprice', 'l_discount', 'l_quantity', 'l_extendedprice', 'l_discount', 'l_quantity', 'l_extendedprice', 'l_discount']) AS y,
+         unnest([1.0, qp, qd, qp, 1.0, pd, qd, pd, 1.0]) AS rho FROM c)"""
+
+# intervals of suppressed cells: the same sums, every family once a round, for more rounds than it takes
+_IV_FAMILIES = [
+    ("grain, start_date, geo, sex", f"CASE WHEN band = {_q(K.BAND_ALL)} THEN 1 WHEN band IN ({_list(K.EXCLUSIVE_BAND_LABELS)}) THEN 0 END"),
+    ("grain, start_date, geo, band", f"CASE WHEN sex = {_q(K.SEX_ALL)} THEN 1 WHEN sex IN ({_list(K.SEX_PARTS)}) THEN 0 END"),
+    ("grain, start_date, sex, band", f"CASE WHEN geo = {_q(K.GEO_ALL)} THEN 1 WHEN geo <> {_q(K.GEO_NESTED)} THEN 0 END"),
+    ("year, geo, sex, band", f"CASE grain WHEN {_q(K.GRAIN_YEAR)} THEN 1 WHEN {_q(K.GRAIN_MONTH)} THEN 0 END"),
+    ("geo, sex, band", f"CASE grain WHEN {_q(K.GRAIN_TOTAL)} THEN 1 WHEN {_q(K.GRAIN_YEAR)} THEN 0 END"),
+]
+_IV_ROUNDS = 8
+_IV_MEASURES = ("a", "total")
+
+
+def _iv_step(source: str, keys: str, role: str) -> str:
+    def tight(m):
+        return (f"CASE role WHEN 1 THEN greatest(l_{m}, coalesce(sl_{m}, l_{m})) WHEN 0 THEN greatest(l_{m}, coalesce(pl_{m} - (su_{m} - u_{m}), l_{m})) ELSE l_{m} END AS l_{m}, "
+                f"CASE role WHEN 1 THEN least(u_{m}, coalesce(su_{m}, u_{m})) WHEN 0 THEN least(u_{m}, coalesce(pu_{m} - (sl_{m} - l_{m}), u_{m})) ELSE u_{m} END AS u_{m}")
+
+    sums = ", ".join(f"sum(CASE WHEN role = 0 THEN {e}_{m} END) OVER w AS s{e}_{m}, max(CASE WHEN role = 1 THEN {e}_{m} END) OVER w AS p{e}_{m}"
+                     for m in _IV_MEASURES for e in "lu")
+    hidden = ", ".join(f"{m}_suppressed" for m in _IV_MEASURES)
+    return (f"SELECT grain, start_date, year, geo, sex, band, {hidden}, {', '.join(map(tight, _IV_MEASURES))} FROM ("
+            f"SELECT *, {sums} FROM (SELECT *, {role} AS role FROM {source}) WINDOW w AS (PARTITION BY {keys}, role IS NULL))")
+
+
+def _iv_ctes() -> str:
+    ends = ", ".join(f"coalesce({m}, CASE WHEN {m}_suppressed THEN {float(K.SUPPRESS_LO)} ELSE 0 END) AS l_{m}, "
+                     f"coalesce({m}, CASE WHEN {m}_suppressed THEN {float(K.SUPPRESS_HI)} ELSE 1e12 END) AS u_{m}" for m in _IV_MEASURES)
+    ctes, last = [f"iv0 AS MATERIALIZED (SELECT grain, start_date, year, geo, sex, band, {', '.join(f'{m}_suppressed' for m in _IV_MEASURES)}, {ends} FROM clean)"], "iv0"
+    for k in range(_IV_ROUNDS * len(_IV_FAMILIES)):
+        ctes.append(f"iv{k + 1} AS MATERIALIZED ({_iv_step(last, *_IV_FAMILIES[k % len(_IV_FAMILIES)])})")
+        last = f"iv{k + 1}"
+    rows = " UNION ALL ".join(f"SELECT grain, start_date, geo, sex, band, {_q(m)} AS measure, l_{m} AS lower, u_{m} AS upper FROM {last} WHERE {m}_suppressed" for m in _IV_MEASURES)
+    return ",\n" + ",\n".join(ctes) + f",\nintervals AS ({rows})"
+
+
+SQL_BODIES["suppression_intervals"] = _iv_ctes() + """
+SELECT grain, CAST(start_date AS VARCHAR) AS start_date, geo, sex, band, measure, lower, upper FROM intervals"""
+SQL_BODIES["interval_summary"] = _iv_ctes() + f"""
+SELECT measure, grain, count(*) AS suppressed, count(*) FILTER (WHERE upper = lower) AS given_away,
+       count(*) FILTER (WHERE upper - lower < {K.SUPPRESS_HI - K.SUPPRESS_LO}) AS narrowed, round(avg(upper - lower), 6) AS mean_width
+FROM intervals GROUP BY measure, grain"""
+
+
+def _reconciled(name: str, keys: str, role: str, m: str) -> str:
+    low = f"coalesce({m}, CASE WHEN {m}_suppressed THEN {float(K.SUPPRESS_LO)} ELSE 0 END)"
+    up = f"coalesce({m}, CASE WHEN {m}_suppressed THEN {float(K.SUPPRESS_HI)} ELSE 1e12 END)"
+    return f"""SELECT {_q(name)} AS family, {_q(m)} AS measure, count(*) FILTER (WHERE pl = pu AND sl = su AND sl = pl) AS exact,
+      count(*) FILTER (WHERE NOT (pl = pu AND sl = su) AND sl <= pu AND pl <= su) AS within, count(*) FILTER (WHERE sl > pu OR pl > su) AS violated
+    FROM (SELECT sum({low}) FILTER (WHERE role = 0) AS sl, sum({up}) FILTER (WHERE role = 0) AS su, max({low}) FILTER (WHERE role = 1) AS pl,
+                 max({up}) FILTER (WHERE role = 1) AS pu FROM (SELECT *, {role} AS role FROM clean) WHERE role IS NOT NULL GROUP BY {keys})
+    WHERE pl IS NOT NULL AND sl IS NOT NULL"""
+
+
+SQL_BODIES["reconcile_bounds"] = " UNION ALL ".join(
+    _reconciled(name, *family, m) for name, family in zip(("bands", "sexes", "geos", "months", "years"), _IV_FAMILIES) for m in MEAS)
+
 SQL_BODIES["headline_values"] = f"""
 SELECT m.*, n.*, s.* FROM
   (SELECT round(100.0 * max(a) / sum(a), 6) AS peak_month_share_pct, max(CASE WHEN start_date = DATE '{K.NAMED_MONTH}' THEN a END) AS named_month_a FROM nat_month) m,

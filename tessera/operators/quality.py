@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tessera import contract as K
+from tessera.session import delete_path
 
 
 def _count_if(cond: Column) -> Column:
@@ -78,11 +79,11 @@ def missingness(clean: DataFrame, columns=K.MEASURES) -> DataFrame:
     )
 
 
-def rule_audit(clean: DataFrame) -> DataFrame:
-    """Rule counters; a null comparison never counts."""
+def rule_columns() -> list[Column]:
+    """A9-A13 as aggregates; a null comparison never counts."""
     a, total, b, ov, c, u = (F.col(x) for x in K.MEASURES)
     neg = sum((_count_if(F.col(m) < 0) for m in K.MEASURES), F.lit(0).cast("bigint"))
-    return clean.agg(
+    return [
         neg.alias("negative_counts"),
         _count_if(a > total).alias("a_gt_total"),
         _count_if(b > total).alias("b_gt_total"),
@@ -92,7 +93,25 @@ def rule_audit(clean: DataFrame) -> DataFrame:
         _count_if(u < F.greatest(a, b, c)).alias("union_lt_components"),
         (_count_if(F.col("start_date") > F.col("end_date"))
          + _count_if(F.col("end_date") > F.col("data_as_of"))).alias("invalid_dates"),
-    )
+    ]
+
+
+def rule_audit(clean: DataFrame) -> DataFrame:
+    """Rule counters, one scan."""
+    return clean.agg(*rule_columns())
+
+
+def write_audited(rows: DataFrame, path: str, partition_by: list[str] = ()) -> dict:
+    """A9-A15 in flight: write ``rows`` as Parquet and count the rule violations on the way, without a scan of their own. A violated
+    rule undoes the write and raises with the list of all failures; else the counters are returned."""
+    audit = Observation("rule-audit")
+    rows.observe(audit, F.count(F.lit(1)).alias("rows"), *rule_columns()).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    counts = {k: v or 0 for k, v in audit.get.items()}
+    failed = {k: v for k, v in counts.items() if v and k != "rows"}
+    if failed:
+        delete_path(rows.sparkSession, path)
+        raise AssertionError(f"audit failed: {failed}")
+    return counts
 
 
 def assert_audit(clean: DataFrame, raw: DataFrame | None = None) -> dict:

@@ -14,19 +14,52 @@ def _match(col: str, value) -> Column:
     return F.col(col) == value
 
 
+DIMENSIONS = ("grain", "geo", "sex", "band")
+#: Level of a geography column from which totals and overlapping areas are gone.
+DOMAIN = "(domain)"
+_ADDITIVE = {"band": set(K.EXCLUSIVE_BAND_LABELS), "sex": set(K.SEX_PARTS), "geo": {DOMAIN}}
+
+
+class LevelError(ValueError):
+    """An aggregation would mix totals with their parts."""
+
+
+def _with_levels(df: DataFrame, dim: str, values: list) -> DataFrame:
+    """R2: note in the metadata of every measure which levels of ``dim`` its rows hold; the note follows the measure through selects and joins."""
+    def noted(c: str) -> Column:
+        known = df.schema[c].metadata
+        return F.col(c).alias(c, metadata={**known, "levels": {**known.get("levels", {}), dim: values}})
+
+    return df.select(*[noted(c) if c in K.MEASURES else F.col(f"`{c}`") for c in df.columns])
+
+
+def mixed_levels(df: DataFrame, measure: str, by=()) -> dict[str, object]:
+    """The dimensions outside ``by`` over which a sum of ``measure`` would mix levels: name -> levels (None: never sliced)."""
+    levels = df.schema[measure].metadata.get("levels", {})
+    fits = {d: d in by or (d in levels and (len(levels[d]) == 1 or set(levels[d]) <= _ADDITIVE.get(d, set()))) for d in DIMENSIONS}
+    return {d: levels.get(d) for d, ok in fits.items() if not ok}
+
+
+def require_levels(df: DataFrame, measure: str = "a", by=()) -> DataFrame:
+    """R2 at plan time: ``df``, if aggregating ``measure`` by the columns ``by`` mixes no totals with parts; else an error, without a job."""
+    mixed = mixed_levels(df, measure, by)
+    if mixed:
+        raise LevelError(f"aggregating {measure} mixes levels of {mixed}")
+    return df
+
+
 def grain_slice(df: DataFrame, grain=None, geo=None, sex=None, band=None, year=None) -> DataFrame:
     """Rows at one level of every dimension that is given.
 
     Filters on partition/dimension columns, so ``grain`` prunes Parquet
     partitions and the rest become pushed-down row-group filters.
     """
-    conds = [
-        _match(c, v)
-        for c, v in (("grain", grain), ("geo", geo), ("sex", sex), ("band", band), ("year", year))
-        if v is not None
-    ]
-    for c in conds:
-        df = df.filter(c)
+    chosen = [(c, v) for c, v in (("grain", grain), ("geo", geo), ("sex", sex), ("band", band), ("year", year)) if v is not None]
+    for c, v in chosen:
+        df = df.filter(_match(c, v))
+    for c, v in chosen:
+        if c in DIMENSIONS:
+            df = _with_levels(df, c, sorted(v) if isinstance(v, (list, tuple, set)) else [v])
     return df
 
 
@@ -37,7 +70,8 @@ def geo_domain(df: DataFrame, excluded=K.GEO_EXCLUDED) -> DataFrame:
 
 def in_domain(df: DataFrame, excluded=K.GEO_EXCLUDED) -> DataFrame:
     """Restrict to the geography domain as a pushed-down predicate (no join)."""
-    return df.filter(~F.col("geo").isin(list(excluded)))
+    kept = df.filter(~F.col("geo").isin(list(excluded)))
+    return _with_levels(kept, "geo", [DOMAIN]) if set(K.GEO_EXCLUDED) <= set(excluded) else kept
 
 
 def semi_join_domain(df: DataFrame, domain: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ BIGINT, computed ratios DOUBLE rounded to 6 places.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,9 +26,9 @@ from tessera.operators import profile as PR
 from tessera.operators import quality as Q
 from tessera.operators import slices as S
 from tessera.operators.clean import CLEAN_COLUMNS
-from tessera.session import bounded_broadcast
+from tessera.session import bounded_broadcast, scratch_path, write_scratch
 from tessera.sources.cube import read_table
-from tessera.sources.store import load_clean, load_text
+from tessera.sources.store import load_clean, load_text, once, write_audit
 from tessera.sources.text import content_fingerprint
 from tessera.sources.text import source_profile as _source_profile
 
@@ -52,7 +53,7 @@ def _national(clean: DataFrame, grain: str) -> DataFrame:
 
 
 def _geo_totals(clean: DataFrame) -> DataFrame:
-    return S.in_domain(S.grain_slice(clean, K.GRAIN_TOTAL, sex=K.SEX_ALL, band=K.BAND_ALL))
+    return S.require_levels(S.in_domain(S.grain_slice(clean, K.GRAIN_TOTAL, sex=K.SEX_ALL, band=K.BAND_ALL)))
 
 
 def _panel(spark, d, measure: str = MEASURE) -> DataFrame:
@@ -189,7 +190,7 @@ def _national_bands(spark, d) -> DataFrame:
 
 
 def q_senior_share(spark, d):
-    b = _national_bands(spark, d)
+    b = S.require_levels(_national_bands(spark, d))
     senior = F.when(F.col("band").isin(K.SENIOR_BANDS), F.col("a"))
     return b.agg(F.sum(senior).alias("senior_a"), F.sum("a").alias("bands_a")).select(
         "senior_a", "bands_a", _r(pct("senior_a", "bands_a")).alias("senior_share_pct"))
@@ -209,7 +210,7 @@ def q_min_count_sum(spark, d):
 
 def q_extremes(spark, d):
     c = _clean(spark, d)
-    nm = S.complete_periods(_national(c, K.GRAIN_MONTH))
+    nm = S.require_levels(S.complete_periods(_national(c, K.GRAIN_MONTH)))
     month = nm.agg(
         D.arg_max(F.col("a"), F.col("start_date")).alias("peak_month"),
         F.max("a").alias("peak_a"),
@@ -299,7 +300,7 @@ SPEARMAN_COLS = K.MEASURES
 
 
 def q_spearman_matrix(spark, d):
-    n = S.complete_periods(_national(_clean(spark, d), K.GRAIN_MONTH))
+    n = S.require_levels(S.complete_periods(_national(_clean(spark, d), K.GRAIN_MONTH)))
     return D.spearman_long(n, SPEARMAN_COLS).select("x", "y", _r("rho").alias("rho"))
 
 
@@ -309,7 +310,7 @@ def q_histogram18(spark, d):
 
 
 def q_decline_from_peak(spark, d):
-    nm = S.complete_periods(_national(_clean(spark, d), K.GRAIN_MONTH))
+    nm = S.require_levels(S.complete_periods(_national(_clean(spark, d), K.GRAIN_MONTH)))
     agg = nm.agg(
         D.arg_max(F.col("a"), F.col("start_date")).alias("peak_month"),
         F.max("a").alias("peak_a"),
@@ -539,7 +540,7 @@ def q_suppression_bounds(spark, d):
     """Lower / midpoint / upper scenario sums treating each suppressed
     cell as 1, 5 or 9, per geography for the monthly panel measure."""
     c = _clean(spark, d)
-    p = S.in_domain(S.grain_slice(c, K.GRAIN_MONTH, sex=K.SEX_ALL, band=K.BAND_ALL))
+    p = S.require_levels(S.in_domain(S.grain_slice(c, K.GRAIN_MONTH, sex=K.SEX_ALL, band=K.BAND_ALL)), MEASURE, ["geo"])
     sup = F.col(f"{MEASURE}_suppressed")
     v = F.col(MEASURE)
     return p.groupBy("geo").agg(
@@ -627,15 +628,19 @@ def q_calendar_lags(spark, d):
 INTERVAL_MEASURES = ["a", "total"]
 
 
+def _suppressed_bounds(spark, d) -> DataFrame:
+    cells = once(spark, d, "intervals", lambda: IV.tighten(_clean(spark, d), INTERVAL_MEASURES))
+    return IV.suppressed_bounds(cells, INTERVAL_MEASURES)
+
+
 def q_suppression_intervals(spark, d):
     """Every suppressed cell of two measures with the narrowest bounds that all sums prove."""
-    cells = IV.tighten(_clean(spark, d), INTERVAL_MEASURES)
-    return IV.suppressed_bounds(cells, INTERVAL_MEASURES).withColumn("start_date", F.col("start_date").cast("string"))
+    return _suppressed_bounds(spark, d).withColumn("start_date", F.col("start_date").cast("string"))
 
 
 def q_interval_summary(spark, d):
     """Per measure and grain the suppressed cells, those whose value the sums give away, and the mean width of the rest."""
-    rows = IV.suppressed_bounds(IV.tighten(_clean(spark, d), INTERVAL_MEASURES), INTERVAL_MEASURES)
+    rows = _suppressed_bounds(spark, d)
     width = F.col("upper") - F.col("lower")
     return rows.groupBy("measure", "grain").agg(
         F.count(F.lit(1)).alias("suppressed"), F.count_if(width == 0).alias("given_away"),
@@ -661,14 +666,62 @@ def q_fact_rank_correlation(spark, d):
     return D.spearman_long(rows, ["l_quantity", "l_extendedprice", "l_discount"]).select("x", "y", _r("rho").alias("rho"))
 
 
+def q_rule_audit_in_flight(spark, d):
+    """The counters taken while the clean table was written."""
+    counts = {k: v for k, v in write_audit(spark, d).items() if k != "rows"}
+    return spark.createDataFrame([tuple(counts.values())], ", ".join(f"{k} long" for k in counts))
+
+
+def q_wape_monitor_stream(spark, d):
+    """R3 as a stream: the test scores arrive in several files, the monitor is read after the last."""
+    from tessera.streaming.monitor import monitor_scores, read_cells, rolling_wape
+
+    path = scratch_path(spark, f"scores-{uuid.uuid4().hex[:12]}")
+    scores = _test_rows(spark, d).select("geo", "start_date", F.lit(1).cast("long").alias("version"), F.col(MEASURE).alias("actual"), "prediction",
+                                         F.col(f"lag1_{MEASURE}").alias("baseline"))
+    scores.repartition(4, "geo").write.parquet(f"{path}/in")
+    monitor_scores(spark, f"{path}/in", f"{path}/out")
+    r = rolling_wape(read_cells(spark, f"{path}/out"))
+    return r.select(_iso("start_date"), _r("wape_2m").alias("wape_2m"), _r("base_wape_2m").alias("base_wape_2m"), "suspend")
+
+
+def q_snapshot_diff(spark, d):
+    """The cells that differ between the extract and a corrected one: national yearly totals of a band edited, a geography's second
+    months withdrawn, and its total republished under a new name."""
+    from tessera.sources.snapshot import cell_changes
+
+    old = load_text(spark, d)
+    edited = (F.col("Group") == K.GRAIN_YEAR) & (F.col("Geo") == K.GEO_ALL) & (F.col("Band") == K.EXCLUSIVE_BAND_LABELS[2])
+    withdrawn = (F.col("Geo") == K.NESTED_PARENT) & F.col("Month").eqNullSafe("2")
+    total = F.when(edited, F.concat(F.lit("1"), F.col("Total Count"))).otherwise(F.col("Total Count"))
+    renamed = old.where((F.col("Geo") == K.NESTED_PARENT) & (F.col("Group") == K.GRAIN_TOTAL)).withColumn("Geo", F.lit("NEW"))
+    new = old.where(~withdrawn).withColumn("Total Count", total).unionByName(renamed)
+    return cell_changes(old, new, ["Group", "Geo"], K.SOURCE_KEY_HEADER)
+
+
+SKETCHED = ["l_orderkey", "l_partkey", "l_suppkey", "l_shipdate"]
+
+
+def q_distinct_sketches(spark, d):
+    """A3 over batches: distinct values of four fact columns from sketches per ship year, beside the exact counts; the estimates must lie within
+    three standard errors."""
+    from tessera.operators.sketches import BOUND, batch_sketches, merged_counts
+
+    rows = read_table(spark, d, "lineitem", *SKETCHED)
+    sketches = write_scratch(batch_sketches(rows.withColumn("batch", F.year("l_shipdate")), ["batch"], SKETCHED), "sketches")
+    exact = rows.agg(*[F.count_distinct(c).alias(c) for c in SKETCHED]).unpivot([], SKETCHED, "field", "exact")
+    near = (F.abs(F.col("estimate") - F.col("exact")) <= F.lit(BOUND) * F.col("exact")).alias("within_bound")
+    return merged_counts(sketches).join(exact, "field").select("field", "batches", "rows", "exact", near)
+
+
 def q_headline_values(spark, d):
     """Named single values of the national slices: share of the peak month, the value of a fixed month, the largest
     band, totals by sex, their ratio, and the band with the largest ratio."""
-    nm = S.complete_periods(_national(_clean(spark, d), K.GRAIN_MONTH))
+    nm = S.require_levels(S.complete_periods(_national(_clean(spark, d), K.GRAIN_MONTH)))
     month = nm.agg(
         _r(pct(F.max("a"), F.sum("a"))).alias("peak_month_share_pct"),
         F.max(F.when(F.col("start_date") == F.lit(K.NAMED_MONTH).cast("date"), F.col("a"))).alias("named_month_a"))
-    bands = _national_bands(spark, d).agg(F.max("a").alias("largest_band_a"), _r(pct(F.max("a"), F.sum("a"))).alias("largest_band_pct"))
+    bands = S.require_levels(_national_bands(spark, d)).agg(F.max("a").alias("largest_band_a"), _r(pct(F.max("a"), F.sum("a"))).alias("largest_band_pct"))
     p0, p1 = (f"a_{x}" for x in K.SEX_PARTS)
     pairs = _sex_band_pivot(spark, d).withColumn("ratio", F.try_divide(F.col(p1), F.col(p0))).withColumn("ordinal", D.band_ordinal())
     sexes = pairs.agg(

@@ -594,6 +594,18 @@ SELECT x, y, round(rho, 6) AS rho FROM (
          unnest(['l_quantity', 'l_extendedprice', 'l_discount', 'l_quantity', 'l_extendedprice', 'l_discount', 'l_quantity', 'l_extendedprice', 'l_discount']) AS y,
          unnest([1.0, qp, qd, qp, 1.0, pd, qd, pd, 1.0]) AS rho FROM c)"""
 
+SQL_BODIES["rule_audit_in_flight"] = SQL_BODIES["rule_audit"]
+SQL_BODIES["wape_monitor_stream"] = SQL_BODIES["wape_monitor"]
+_SNAPSHOT_KEYS = 'grain AS "Group", CAST(year AS VARCHAR) AS "Year", CAST(month AS VARCHAR) AS "Month", {0} AS "Geo", sex AS "Sex", band AS "Band"'
+SQL_BODIES["snapshot_diff"] = f"""
+SELECT {_SNAPSHOT_KEYS.format('geo')}, 'changed' AS change FROM cube
+WHERE grain = {_q(K.GRAIN_YEAR)} AND geo = {_q(K.GEO_ALL)} AND band = {_q(K.EXCLUSIVE_BAND_LABELS[2])}
+UNION ALL SELECT {_SNAPSHOT_KEYS.format('geo')}, 'removed' FROM cube WHERE geo = {_q(K.NESTED_PARENT)} AND month = 2
+UNION ALL SELECT {_SNAPSHOT_KEYS.format("'NEW'")}, 'added' FROM cube WHERE geo = {_q(K.NESTED_PARENT)} AND grain = {_q(K.GRAIN_TOTAL)}"""
+SQL_BODIES["distinct_sketches"] = " UNION ALL ".join(
+    f"SELECT {_q(c)} AS field, count(DISTINCT year(l_shipdate)) AS batches, count({c}) AS rows, count(DISTINCT {c}) AS exact, true AS within_bound FROM lineitem"
+    for c in ("l_orderkey", "l_partkey", "l_suppkey", "l_shipdate"))
+
 # intervals of suppressed cells: the same sums, every family once a round, for more rounds than it takes
 _IV_FAMILIES = [
     ("grain, start_date, geo, sex", f"CASE WHEN band = {_q(K.BAND_ALL)} THEN 1 WHEN band IN ({_list(K.EXCLUSIVE_BAND_LABELS)}) THEN 0 END"),

@@ -15,12 +15,14 @@ import threading
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.operators.clean import clean
+from tessera.operators.quality import write_audited
 from tessera.session import delete_path, input_state, scratch_path
 from tessera.sources.cube import fine_table, render_text, typed_cube
 from tessera.sources.text import read_text_table
 
 _LOCK = threading.RLock()
 _CACHE: dict[tuple, dict[str, str]] = {}
+_AUDITS: dict[tuple, dict[str, int]] = {}
 FACT_TABLES = ("lineitem", "orders", "customer", "nation")
 
 
@@ -48,18 +50,25 @@ def materialize(spark: SparkSession, sf_dir: str) -> dict[str, str]:
         # write tasks; partitioned by grain (partition pruning) and sorted by
         # the slice dimensions so Parquet min/max statistics skip row groups
         n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        (clean(read_text_table(spark, text_path))
-         .repartitionByRange(n, "grain", "geo", "start_date").sortWithinPartitions("grain", "geo", "sex", "band", "start_date")
-         .write.mode("overwrite").partitionBy("grain").parquet(clean_path))
+        rows = (clean(read_text_table(spark, text_path))
+                .repartitionByRange(n, "grain", "geo", "start_date").sortWithinPartitions("grain", "geo", "sex", "band", "start_date"))
+        _AUDITS[key] = write_audited(rows, clean_path, ["grain"])  # a violated rule fails the build
         _CACHE[key] = {"root": root, "fine": fine_path, "text": text_path, "clean": clean_path}
         return _CACHE[key]
 
 
+def write_audit(spark: SparkSession, sf_dir: str) -> dict[str, int]:
+    """The rule counters taken while the clean table was written."""
+    materialize(spark, sf_dir)
+    return _AUDITS[input_key(spark, sf_dir)]
+
+
 def release(spark: SparkSession, sf_dir: str) -> None:
     """Delete what ``materialize`` wrote for this input; the next use builds it again."""
     key = input_key(spark, sf_dir)
     with _LOCK:
         paths = _CACHE.pop(key, None)
+        _AUDITS.pop(key, None)
         for kind in ("text", "clean"):
             _FRAMES.pop((*key, kind), None)
     if paths:
@@ -67,6 +76,16 @@ def release(spark: SparkSession, sf_dir: str) -> None:
 
 
 _FRAMES: dict[tuple, DataFrame] = {}
+_ONCE: dict[tuple, object] = {}
+
+
+def once(spark: SparkSession, sf_dir: str, name: str, make):
+    """The result of ``make()``, made once per application and input state."""
+    key = (name, *input_key(spark, sf_dir))
+    with _LOCK:
+        if key not in _ONCE:
+            _ONCE[key] = make()
+        return _ONCE[key]
 
 
 def _frame(spark: SparkSession, sf_dir: str, kind: str, build) -> DataFrame:

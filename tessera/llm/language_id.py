@@ -8,9 +8,10 @@ Prediction, on whole texts: words are maximal runs of letters of one script. The
 that use it; a word's score per language is the summed log probability of its trigrams, and languages outside the
 candidates are ruled out. A Viterbi pass over the words, where changing the language costs ``SWITCH_PENALTY``,
 labels every word; equal neighbours form a span. The document's language is the one with most letters, its
-score the share of all letters in that language's spans whose script it uses.
+score the share of all letters in that language's spans whose script it uses. ``like_language`` compares the mean log probability of the letters with that of the
+language's own texts, so that gibberish in a known script is told from text.
 
-Edge cases: a null text or one without a letter is ``und`` with score 0 and no span; a script that no language uses is
+Edge cases: a null text or one without a letter (Unicode category L; combining marks alone are none) is ``und`` with score 0 and no span; a script that no language uses is
 labelled by its neighbours and scores nothing; without any labelled document all is ``und``; null or repeated ids are judged
 row by row, and rows without an id or a language are not learned from; other columns are ignored.
 """
@@ -47,24 +48,28 @@ SCRIPT_SHARE = 0.01
 _RULED_OUT = -1e4
 _PIECE = 1 << 19
 UNDETERMINED = "und"
+#: A text is unlike its language when the mean log probability of its letters lies further below the language's own than this share of the way down to
+#: that of letters never seen, and this many standard errors more.
+UNLIKE_SHARE, UNLIKE_ERRORS = 0.5, 6.0
 SPANS = "spans array<struct<start:int,end:int,lang:string>>"
 
 
 @lru_cache(1)
-def _tables() -> tuple[np.ndarray, np.ndarray]:
-    """(script, lower-case code point) of every code point; script 0 is no letter."""
-    script, lower = np.zeros(0x110000, np.uint8), np.arange(0x110000, dtype=np.uint32)
+def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(script, lower-case code point, is a letter) of every code point; script 0 belongs to no word, marks belong to words but are no letters."""
+    script, lower, letter = np.zeros(0x110000, np.uint8), np.arange(0x110000, dtype=np.uint32), np.zeros(0x110000, bool)
     for cp in range(0x110000):
         if 0xD800 <= cp < 0xE000:
             continue
         c = chr(cp)
-        if unicodedata.category(c)[0] in "LM":
-            script[cp] = 1
+        kind = unicodedata.category(c)[0]
+        if kind in "LM":
+            script[cp], letter[cp] = 1, kind == "L"
             if len(c.lower()) == 1:
                 lower[cp] = ord(c.lower())
     for name, first, last in SCRIPT_RANGES:
         script[first:last + 1][script[first:last + 1] > 0] = SCRIPTS.index(name)
-    return script, lower
+    return script, lower, letter
 
 
 @dataclass
@@ -78,17 +83,27 @@ class Words:
     first: np.ndarray
 
 
+def _opens(at: np.ndarray, kinds: np.ndarray) -> np.ndarray:
+    """Where a new word begins: behind a gap or a change of script."""
+    opens = np.ones(len(at), bool)
+    opens[1:] = (at[1:] != at[:-1] + 1) | (kinds[1:] != kinds[:-1])
+    return opens
+
+
 def scan_words(text: str) -> Words:
-    script, lower = _tables()
+    script, lower, is_letter = _tables()
     codes = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)
     of = script[codes]
     at = np.flatnonzero(of)
+    if len(at):
+        opens = _opens(at, of[at])
+        worded = np.logical_or.reduceat(is_letter[codes[at]], np.flatnonzero(opens))
+        at = at[worded[np.cumsum(opens) - 1]]  # marks alone are no word
     if not len(at):
         none = np.zeros(0, np.int64)
         return Words(none, none, none, none, none)
     kinds = of[at]
-    opens = np.ones(len(at), bool)
-    opens[1:] = (at[1:] != at[:-1] + 1) | (kinds[1:] != kinds[:-1])
+    opens = _opens(at, kinds)
     closes = np.append(opens[1:], True)
     letter = lower[codes[at]].astype(np.uint64)
     before = np.concatenate((letter[:1], letter[:-1]))
@@ -109,6 +124,12 @@ class LanguageModel:
     #: script x language: 0 for candidates, else ruled out; all 0 for scripts that nobody uses.
     candidates: np.ndarray
     supported: np.ndarray
+    #: The bucket's mean log probability; with ``scores`` the log probability itself.
+    level: np.ndarray
+    #: Per language the mean and the spread of a letter's log probability in its own texts, and that of a letter never seen.
+    usual: np.ndarray
+    spread: np.ndarray
+    unseen: np.ndarray
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -143,10 +164,15 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     grams, letters = table[:1 << BUCKET_BITS], table[1 << BUCKET_BITS:]
     seen = grams.sum(axis=1) > 0
     scores = np.log((grams + SMOOTHING) / (grams.sum(axis=0) + SMOOTHING * max(1, seen.sum())))
-    scores = np.where(seen[:, None], scores - scores.mean(axis=1, keepdims=True), 0.0) if languages else scores
+    level, logs = scores.mean(axis=1) if languages else np.zeros(len(scores)), scores
+    scores = np.where(seen[:, None], scores - level[:, None], 0.0) if languages else scores
+    share = grams / np.maximum(1, grams.sum(axis=0))
+    usual = (share * logs).sum(axis=0)
+    spread = np.sqrt((share * (logs - usual) ** 2).sum(axis=0))
     uses = letters >= SCRIPT_SHARE * np.maximum(1, letters.sum(axis=0))
     uses &= letters > 0
-    return LanguageModel(languages, scores.astype(np.float32), np.where(uses | ~uses.any(axis=1, keepdims=True), 0, _RULED_OUT).astype(np.float32), uses)
+    return LanguageModel(languages, scores.astype(np.float32), np.where(uses | ~uses.any(axis=1, keepdims=True), 0, _RULED_OUT).astype(np.float32), uses,
+                         level.astype(np.float32), usual, spread, logs.min(axis=0, initial=0.0))
 
 
 def _pieces(text: str) -> Iterator[tuple[int, str]]:
@@ -189,9 +215,9 @@ def viterbi(scores: np.ndarray, offsets: np.ndarray, penalty: float) -> np.ndarr
     return label
 
 
-def label_texts(texts: list[str | None], model: LanguageModel, penalty: float = SWITCH_PENALTY) -> tuple[list, np.ndarray, pa.ListArray]:
-    """(language, score, spans) of every text."""
-    starts, ends, scripts, scores, counts = [], [], [], [], np.zeros(len(texts), np.int64)
+def label_texts(texts: list[str | None], model: LanguageModel, penalty: float = SWITCH_PENALTY) -> tuple[list, np.ndarray, pa.ListArray, np.ndarray]:
+    """(language, score, spans, whether the letters are as probable as the language's own) of every text."""
+    starts, ends, scripts, scores, levels, counts = [], [], [], [], [], np.zeros(len(texts), np.int64)
     for d, text in enumerate(texts):
         for offset, piece in _pieces(text or ""):
             words = scan_words(piece)
@@ -199,25 +225,32 @@ def label_texts(texts: list[str | None], model: LanguageModel, penalty: float =
                 counts[d] += len(words.start)
                 starts.append(words.start + offset), ends.append(words.end + offset), scripts.append(words.script)
                 scores.append(np.add.reduceat(model.scores[words.buckets], words.first, axis=0))
+                levels.append(np.add.reduceat(model.level[words.buckets], words.first))
     languages, k = model.languages, len(model.languages)
     if not k or not starts:
         empty = pa.ListArray.from_arrays(np.zeros(len(texts) + 1, np.int32), _spans([], [], [], languages))
-        return [UNDETERMINED] * len(texts), np.zeros(len(texts)), empty
+        return [UNDETERMINED] * len(texts), np.zeros(len(texts)), empty, np.zeros(len(texts), bool)
     start, end, script = np.concatenate(starts), np.concatenate(ends), np.concatenate(scripts)
     offsets = np.concatenate(([0], np.cumsum(counts)))
-    label = viterbi(np.concatenate(scores) + model.candidates[script], offsets, penalty).astype(np.int64)
+    score_of = np.concatenate(scores)
+    label = viterbi(score_of + model.candidates[script], offsets, penalty).astype(np.int64)
     doc = np.repeat(np.arange(len(texts)), counts)
     letters = (end - start).astype(float)
     backed = np.bincount(doc * k + label, letters * model.supported[script, label], len(texts) * k).reshape(-1, k)
     labelled = np.bincount(doc * k + label, letters, len(texts) * k).reshape(-1, k)
     best, everyone = labelled.argmax(axis=1), np.arange(len(texts))
     score = np.divide(backed[everyone, best], labelled.sum(axis=1), out=np.zeros(len(texts)), where=labelled.sum(axis=1) > 0)
+    cutoff = model.usual - UNLIKE_SHARE * (model.usual - model.unseen)
+    above = score_of[np.arange(len(label)), label] + np.concatenate(levels) - letters * cutoff[label]
+    length = np.bincount(doc, letters, len(texts))
+    spread = np.sqrt(np.bincount(doc, letters * model.spread[label] ** 2, len(texts)))
+    like = (length > 0) & (np.bincount(doc, above, len(texts)) >= -UNLIKE_ERRORS * spread)
     changes = np.ones(len(doc), bool)
     changes[1:] = (doc[1:] != doc[:-1]) | (label[1:] != label[:-1])
     opens, closes = np.flatnonzero(changes), np.append(np.flatnonzero(changes)[1:], len(doc)) - 1
     span_offsets = np.concatenate(([0], np.cumsum(np.bincount(doc[opens], minlength=len(texts))))).astype(np.int32)
     spans = pa.ListArray.from_arrays(span_offsets, _spans(start[opens], end[closes], label[opens], languages))
-    return [languages[b] if n else UNDETERMINED for b, n in zip(best.tolist(), counts.tolist())], score, spans
+    return [languages[b] if n else UNDETERMINED for b, n in zip(best.tolist(), counts.tolist())], score, spans, like
 
 
 def _spans(start, end, label, languages: list[str]) -> pa.StructArray:
@@ -226,7 +259,7 @@ def _spans(start, end, label, languages: list[str]) -> pa.StructArray:
 
 
 def label_languages(rows: DataFrame, model: LanguageModel, text_col: str = "text", penalty: float = SWITCH_PENALTY) -> DataFrame:
-    """``row`` (a struct of all input columns), lang_pred, lang_score and spans (code point offsets)."""
+    """``row`` (a struct of all input columns), lang_pred, lang_score, like_language and spans (code point offsets)."""
     spark = rows.sparkSession
     prepare_workers(spark)
     shared = spark.sparkContext.broadcast(model)
@@ -235,10 +268,11 @@ def label_languages(rows: DataFrame, model: LanguageModel, text_col: str = "text
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             row = batch.column(0)
-            lang, score, spans = label_texts(row.field(text_col).to_pylist(), shared.value, penalty)
-            yield pa.RecordBatch.from_arrays([row, pa.array(lang, pa.string()), pa.array(score), spans], names=["row", "lang_pred", "lang_score", "spans"])
+            lang, score, spans, like = label_texts(row.field(text_col).to_pylist(), shared.value, penalty)
+            yield pa.RecordBatch.from_arrays([row, pa.array(lang, pa.string()), pa.array(score), pa.array(like), spans],
+                                             names=["row", "lang_pred", "lang_score", "like_language", "spans"])
 
-    found = T.StructType.fromDDL(f"lang_pred string, lang_score double, {SPANS}")
+    found = T.StructType.fromDDL(f"lang_pred string, lang_score double, like_language boolean, {SPANS}")
     return packed.mapInArrow(run, T.StructType([*packed.schema.fields, *found.fields]))
 
 

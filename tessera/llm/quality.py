@@ -10,7 +10,7 @@ when its base rules fail or when less than ``min_left`` of its words is left.
 Counts: words are runs of non-whitespace; a word is a repeat when any 3-word window covering it
 is found twice or more in the text. Edge cases: a null or empty text has no words and fails the base
 rules; lines without a word are never counted or removed; a null host is a host; rows with the
-same id count as one document for line frequency but are judged row by row; an empty table
+same id count as one document on both sides of line frequency (lines and hosts) but are judged row by row; an empty table
 gives an empty result; other columns are ignored.
 """
 
@@ -94,7 +94,7 @@ def frequent_lines(stats: DataFrame, min_docs: int = LINE_MIN_DOCS, share: float
     """(host, h, n_docs) of lines in more documents of their host than the limit."""
     lines = stats.select("host", "id", F.explode(F.array_distinct("line_hashes")).alias("h"))
     n_docs = lines.groupBy("host", "h", "id").agg(F.lit(1).alias("one")).groupBy("host", "h").agg(F.count("*").alias("n_docs"))
-    hosts = stats.groupBy("host").agg(F.count("*").alias("host_docs"))
+    hosts = stats.select("host", "id").distinct().groupBy("host").agg(F.count("*").alias("host_docs"))
     limit = F.greatest(F.lit(float(min_docs)), F.col("host_docs") * share)
     frequent = n_docs.where(F.col("n_docs") > min_docs).withColumnRenamed("host", "line_host")
     return frequent.join(hosts, F.col("line_host").eqNullSafe(F.col("host"))).where(F.col("n_docs") > limit).select("host", "h", "n_docs")

@@ -8,24 +8,26 @@ Items, distinct by id and text, become a Spark table of seeds; so do documents,
 that holds every seed of the benchmark lets them pass. The two meet by hash in a shuffle join, frequent seeds of
 documents dealt over salts. A seed carries the words around it, as far as a window that holds the seed can reach: on a
 hit's diagonal they are compared word by word, and only windows of ``WINDOW`` words with at least ``MIN_EQUAL`` equal
-ones count; per document and item the windows of a diagonal are then put together. An item shorter than the window is
-hashed whole and must occur unchanged.
+ones count; per document and item the windows of a diagonal that touch are then put together, one overlap each. An item of ``SHORTEST`` to 12 words is one window:
+it is cut into one piece more than the substitutions that 80 percent allow, so that one piece is unchanged, and the pieces are its seeds. Shorter items
+are no evidence and mark nothing.
 
 The driver and the executors hold only the filter and the counts of seeds per slot, whose sizes are fixed; neither the
 benchmark nor the documents are ever collected. A benchmark that fills the filter lets more seeds pass into the join.
 
-Edge cases: null or empty texts and items hit nothing; items with the same id count as one; repeated rows
+Edge cases: null or empty texts and items hit nothing; texts of any length are read whole; items with the same id count as one; repeated rows
 are judged alike; an empty table on either side finds nothing; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import prepare_workers, stash
@@ -34,6 +36,8 @@ from tessera.llm.common import prepare_workers, stash
 MASKS = ((0, 1, 2, 3, 5, 6), (0, 1, 2, 4, 7, 8))
 WINDOW = 13
 MIN_EQUAL = 0.8
+#: Items of fewer words are too short to be evidence.
+SHORTEST = 5
 #: Benchmark words that a task cuts into seeds.
 BLOCK_WORDS = 2_000_000
 _SEPARATORS = "".join(chr(i) for i in range(128) if not chr(i).isalnum())
@@ -42,8 +46,17 @@ _FILTER_BITS = 26
 #: Seeds of documents are counted in 2 ** _SLOT_BITS slots of their hash; a slot of more than HOT_SEEDS is dealt over salts.
 _SLOT_BITS = 16
 HOT_SEEDS = 2_000
+def short_pieces(n: int) -> list[tuple[int, int]]:
+    """(offset, words) of the pieces of an item of ``n`` words: one more than the words that may differ."""
+    pieces = n - math.ceil(MIN_EQUAL * n) + 1
+    cuts = [k * n // pieces for k in range(pieces + 1)]
+    return [(a, b - a) for a, b in zip(cuts[:-1], cuts[1:])]
+
+
+#: (length of the item, offset of the piece, words of the piece) of every seed of short items.
+SHORT = tuple((n, *piece) for n in range(SHORTEST, WINDOW) for piece in short_pieces(n))
 #: Words before and after a seed's first word that a window holding the seed can reach.
-_BEFORE = WINDOW - 1 - min(mask[-1] for mask in MASKS)
+_BEFORE = max(WINDOW - 1 - min(mask[-1] for mask in MASKS), *(offset for _, offset, _ in SHORT))
 _AROUND = _BEFORE + WINDOW
 _ROWS = 20_000
 _MAX_WORDS = 1 << 20
@@ -85,8 +98,8 @@ class _Hashes(dict):
 
 
 def _mask(m: int) -> tuple[int, ...]:
-    """Masks are numbered: those of ``MASKS``, then one for each length of short items."""
-    return MASKS[m] if m < len(MASKS) else tuple(range(m - len(MASKS)))
+    """Masks are numbered: those of ``MASKS``, then one for each seed of ``SHORT``."""
+    return MASKS[m] if m < len(MASKS) else tuple(range(SHORT[m - len(MASKS)][2]))
 
 
 def _seeds(batches: Iterator[pa.RecordBatch], masks: list[int], bits: np.ndarray | None) -> Iterator[pa.RecordBatch]:
@@ -109,7 +122,8 @@ def _seeds(batches: Iterator[pa.RecordBatch], masks: list[int], bits: np.ndarray
                 at, key = at[passed], key[passed]
             row = np.searchsorted(starts, at, "right") - 1
             if bits is None:
-                fits = lengths[row] >= WINDOW if m < len(MASKS) else lengths[row] == m - len(MASKS)
+                n, offset, _ = SHORT[m - len(MASKS)] if m >= len(MASKS) else (0, 0, 0)
+                fits = (lengths[row] == n) & (at == starts[row] + offset) if n else lengths[row] >= WINDOW
                 at, key, row = at[fits], key[fits], row[fits]
             for k in range(0, len(at), _ROWS):
                 a, r = at[k:k + _ROWS], row[k:k + _ROWS]
@@ -122,6 +136,10 @@ def _seeds(batches: Iterator[pa.RecordBatch], masks: list[int], bits: np.ndarray
                 dealt += len(a)
 
 
+_WIDTHS = np.array([WINDOW] * len(MASKS) + [n for n, _, _ in SHORT])
+_OFFSETS = np.array([0] * len(MASKS) + [offset for _, offset, _ in SHORT])
+
+
 def _words_around(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), "<u8").reshape(-1, _AROUND)
 
@@ -134,12 +152,12 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         inside = (doc > 0) & (item > 0)
         equal = inside & (doc == item)
         good = np.zeros((len(doc), _BEFORE + 1), bool)
-        width = np.where(mask < len(MASKS), WINDOW, mask - len(MASKS))
-        for k in range(_BEFORE + 1):
-            window = slice(k, k + WINDOW)
-            good[:, k] = (width == WINDOW) & inside[:, window].all(axis=1) & (equal[:, window].sum(axis=1) >= MIN_EQUAL * WINDOW)
-        whole = (equal | (np.arange(_AROUND) < _BEFORE) | (np.arange(_AROUND) >= _BEFORE + width[:, None])).all(axis=1)
-        good[:, _BEFORE] |= (width < WINDOW) & whole
+        width = _WIDTHS[mask]
+        for n in np.unique(width).tolist():
+            rows = width == n
+            for k in range(_BEFORE + 1) if n == WINDOW else {_BEFORE - o for m, o, _ in SHORT if m == n}:
+                window, starts = slice(k, k + n), rows if n == WINDOW else rows & (_OFFSETS[mask] == _BEFORE - k)
+                good[:, k] |= starts & inside[:, window].all(axis=1) & (equal[:, window].sum(axis=1) >= MIN_EQUAL * n)
         covered = np.zeros(equal.shape, bool)
         for k in range(_BEFORE + 1):
             covered |= good[:, k, None] & (np.arange(_AROUND) >= k) & (np.arange(_AROUND) < k + width[:, None])
@@ -162,8 +180,8 @@ def benchmark_seeds(benchmark: DataFrame, id_col: str, text_col: str, block_word
     items = stash(items.select("id", F.xxhash64("text").alias("text_hash"), "text"), "benchmark-items")
     size = items.agg(F.sum(F.length("text"))).first()[0] or 0
     dealt = items.repartition(max(1, -(-size // (5 * block_words))), "id", "text_hash")
-    masks = [*range(len(MASKS)), *(len(MASKS) + n for n in range(1, WINDOW))]
-    return dealt.mapInArrow(lambda batches: _seeds(batches, masks, None), SEEDS)
+    masks = list(range(len(MASKS) + len(SHORT)))
+    return stash(dealt.mapInArrow(lambda batches: _seeds(batches, masks, None), SEEDS), "benchmark-seeds")
 
 
 def seed_filter(seeds: DataFrame) -> tuple[np.ndarray, list[int]]:
@@ -203,9 +221,29 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     shared.destroy()
     good = _join(passed, items).drop("seed", "salt").mapInArrow(_verify, GOOD)
     diagonal = ("id", "text_hash", "item_id", "item_hash", "diagonal")
-    blocks = good.groupBy(*diagonal, "block").agg(F.bit_or("equal").alias("equal"), F.min("first").alias("first"), F.max("last").alias("last"))
-    whole = blocks.groupBy(*diagonal).agg(F.min("first").alias("first_word"), F.max("last").alias("last"), F.sum(F.bit_count("equal")).cast("int").alias("n_equal"))
-    return whole.select("id", "text_hash", "item_id", "first_word", (F.col("last") - F.col("first_word")).alias("n_words"), "n_equal")
+    blocks = good.groupBy(*diagonal, "block", "first", "last").agg(F.bit_or("equal").alias("equal"))
+    per = blocks.groupBy(*diagonal).agg(F.array_sort(F.collect_set(F.struct("first", "last"))).alias("windows"), F.collect_list(F.struct("block", "equal")).alias("bits"))
+    found = per.withColumn("o", F.explode(_touching(F.col("windows"))))  # what a diagonal gathers is bounded by the item
+    # equal words of an overlap: the blocks' bits joined, and cut to the overlap
+    inside = F.expr("""transform(bits, b -> named_struct('block', b.block, 'equal', b.equal
+        & (case when o.last - 64 * b.block >= 64 then -1L when o.last <= 64 * b.block then 0L else ~shiftleft(-1L, o.last - 64 * b.block) end)
+        & ~(case when o.first - 64 * b.block >= 64 then -1L when o.first <= 64 * b.block then 0L else ~shiftleft(-1L, o.first - 64 * b.block) end)))""")
+    joined = F.expr("aggregate(inside, 0, (n, b) -> n + bit_count(b.equal))")
+    merged = found.withColumn("bits", F.expr("""transform(array_distinct(bits.block), k -> named_struct('block', k,
+        'equal', aggregate(filter(bits, b -> b.block = k), 0L, (x, b) -> x | b.equal)))""")).withColumn("inside", inside)
+    return merged.select("id", "text_hash", "item_id", F.col("o.first").alias("first_word"), (F.col("o.last") - F.col("o.first")).alias("n_words"), joined.cast("int").alias("n_equal"))
+
+
+def _touching(windows) -> Column:
+    """Sorted windows (first, last) as the stretches that they cover without a gap."""
+    none = F.array().cast("array<struct<first:int,last:int>>")
+
+    def add(out, w):
+        end = F.get(out, F.size(out) - 1)
+        grown = F.concat(F.slice(out, 1, F.size(out) - 1), F.array(F.struct(end["first"].alias("first"), F.greatest(end["last"], w["last"]).alias("last"))))
+        return F.when(w["first"] <= F.coalesce(end["last"], F.lit(-1)), grown).otherwise(F.concat(out, F.array(w)))
+
+    return F.aggregate(windows, none, add)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
@@ -228,5 +266,8 @@ def mark_documents(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id"
 def clean_documents(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
     """The rows of ``docs``, all columns, that overlap no item."""
     found = stash(contaminated(docs, benchmark, id_col, text_col, **kw), "contaminated").select(F.col("id").alias("f_id"), F.col("text_hash").alias("f_hash"))
-    same = docs[id_col].cast("long").eqNullSafe(F.col("f_id")) & F.xxhash64(docs[text_col]).eqNullSafe(F.col("f_hash"))
-    return docs.join(found.hint("shuffle_hash"), same, "left_anti")
+    # the row as one column, so that no name of the input can clash
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), docs[id_col].cast("long").alias("id"), F.xxhash64(docs[text_col]).alias("text_hash"))
+    same = F.col("id").eqNullSafe(F.col("f_id")) & F.col("text_hash").eqNullSafe(F.col("f_hash"))
+    kept = rows.join(found.hint("shuffle_hash"), same, "left_anti")
+    return kept.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])

@@ -12,7 +12,19 @@ from tessera.llm.common import WORD_RE, Query, table
 from tessera.session import scratch_path
 
 URL_HOST_RULES = (("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block"))
-URL_BLOCK_WORDS = ("adult", "casino", "casino-win", "cheap-pills", "porn", "xxx", "viagra", "betting")
+#: General terms of adult, gambling, pharmacy-spam, credit-spam, piracy and tracking sites; with their regular forms each is a rule.
+URL_BLOCK_NOUNS = (
+    "adult", "porn", "porno", "pornstar", "xxx", "nude", "escort", "fetish", "camgirl", "hookup", "stripper", "milf", "hentai", "onlyfan", "sexcam", "sextoy", "brothel",
+    "casino", "bet", "roulette", "blackjack", "jackpot", "lottery", "slotmachine", "bookie", "bookmaker", "sportsbook", "baccarat", "bingo", "freespin", "wager",
+    "viagra", "cialis", "levitra", "xanax", "tramadol", "steroid", "diet-pill", "cheap-pill", "online-pharmacy", "weight-loss-pill",
+    "payday-loan", "cash-advance", "quick-loan", "bad-credit-loan", "debt-relief", "replica-watch", "counterfeit", "fake-id", "essay-mill",
+    "warez", "torrent", "keygen", "serial-key", "crackz", "nulled", "malware", "spyware", "adware", "ransomware", "botnet", "scam", "spam",
+    "adserver", "doubleclick", "clickbait", "popunder", "popup-ad", "banner-ad", "ads", "linkfarm", "spamdexing", "webbug",
+)
+URL_BLOCK_VERBS = ("bet", "gamble", "wager", "phish", "spam", "scam", "spoof", "track", "retarget", "cloak", "typosquat", "skim", "keylog", "cryptojack", "carding")
+#: Forms that are everyday words.
+URL_NOT_BLOCKED = ("better", "betters", "adults", "adses")
+URL_BLOCK_PHRASES = ("casino-win", "cheap-pills", "free-money", "get-rich", "weight-loss", "work-from-home")
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,11 +70,18 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessera.llm.url_filter import host_rule, judge_urls, word_rule
 
-    rules = [host_rule(*r) for r in URL_HOST_RULES] + [word_rule(w) for w in URL_BLOCK_WORDS]
+    rules = [host_rule(*r) for r in URL_HOST_RULES] + [word_rule(w) for w in url_block_words()]
     judged = judge_urls(table(spark, sf_dir, "pages"), rules)
     return judged.select(F.col("id").alias("page_id"), "host", "path", "rule", "verdict", "pattern")
 
 
+def url_block_words() -> list[str]:
+    from tessera.llm.url_filter import plurals, verb_forms
+
+    words = [*plurals(URL_BLOCK_NOUNS), *verb_forms(URL_BLOCK_VERBS), *URL_BLOCK_PHRASES]
+    return [w for w in dict.fromkeys(words) if w not in URL_NOT_BLOCKED]
+
+
 def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessera.llm.lm_scoring import score_documents
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tessera.llm.queries import URL_BLOCK_WORDS, URL_HOST_RULES
+from tessera.llm.queries import URL_HOST_RULES, url_block_words
 
 _AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 _TRIM = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -14,7 +14,7 @@ def _values(rows) -> str:
 
 OP6 = f"""
 WITH rules(rule, rule_verdict) AS (VALUES {_values(URL_HOST_RULES)}),
-words(word) AS (VALUES {_values([(w,) for w in URL_BLOCK_WORDS])}),
+words(word) AS (VALUES {_values([(w,) for w in url_block_words()])}),
 p AS (SELECT page_id, CASE WHEN url IS NULL OR strpos(url, '://') = 0 THEN '' ELSE substr(url, strpos(url, '://') + 3) END AS rest FROM pages),
 u AS (SELECT row_number() OVER () AS rn, page_id, translate(regexp_extract(rest, '^[^/?#]*'), {_AZ}) AS host,
              regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM p),
@@ -51,8 +51,8 @@ l AS (SELECT rn, doc_id, source, unnest(string_split(text, chr(10))) AS line FRO
 lw AS (SELECT rn, doc_id, source, line, regexp_extract_all(line, {_WORD}) AS words FROM l),
 lk AS (SELECT rn, doc_id, source, line, len(words) AS n, translate(array_to_string(words, ' '), {_AZ}) AS key FROM lw WHERE len(words) > 0),
 dup AS (SELECT rn, count(*) - count(DISTINCT line) AS n_dup_lines FROM lk GROUP BY rn),
-hosts AS (SELECT source, count(*) AS host_docs FROM d GROUP BY source),
-freq AS (SELECT source, key, count(DISTINCT doc_id) AS n_docs FROM lk GROUP BY source, key),
+hosts AS (SELECT source, count(*) AS host_docs FROM (SELECT DISTINCT source, doc_id FROM d) GROUP BY source),
+freq AS (SELECT source, key, count(*) AS n_docs FROM (SELECT DISTINCT source, key, doc_id FROM lk) GROUP BY source, key),
 over AS (SELECT freq.source, key FROM freq JOIN hosts ON freq.source IS NOT DISTINCT FROM hosts.source WHERE n_docs > greatest(20.0, host_docs * 0.01)),
 gone AS (SELECT rn, sum(n) AS removed FROM lk JOIN over ON lk.key = over.key AND lk.source IS NOT DISTINCT FROM over.source GROUP BY rn),
 s AS (SELECT rn, doc_id, len(words) AS n_words, coalesce(list_sum(list_transform(words, lambda z: length(z))), 0) AS word_chars,

@@ -9,7 +9,7 @@ distinct (host, path) and joined back, so repeated URLs cost one evaluation.
 Tiers: host rules (the longest that fits wins) decide first; then pattern rules (any fit
 blocks); then ``default``. Edge cases: a null URL or one without ``://`` has empty host and
 path and gets the default unless a rule fits the empty string; repeated rows each get their row;
-an empty table gives an empty result; other columns of the input are ignored.
+an empty table gives an empty result; URLs of any length are judged whole; no rules give the default; other columns of the input are ignored.
 """
 
 from __future__ import annotations
@@ -75,9 +75,27 @@ def url_tokens(target: Column) -> Column:
     return F.array_distinct(F.concat(F.array(F.lit("")), F.regexp_extract_all(lower_az(target), F.lit(f"({TOKEN_RE})"), 1)))
 
 
+def plurals(nouns) -> list[str]:
+    """English nouns and their regular plurals."""
+    return [f for n in nouns for f in (n, re.sub("y$", "ie", n) + ("es" if re.search("(s|x|z|ch|sh)$", n) else "s"))]
+
+
+def verb_forms(verbs) -> list[str]:
+    """The forms in -ing, -er and -ers of English verbs: a final e dropped, a final consonant after one short vowel doubled."""
+    def stem(v: str) -> str:
+        return v[:-1] if v.endswith("e") else v + v[-1] if re.search(r"^[^aeiou]+[aeiou][bdgklmnpt]$", v) else v
+
+    return [stem(v) + end for v in verbs for end in ("ing", "er", "ers")]
+
+
 def rule_table(spark: SparkSession, rules: list[UrlRule]) -> DataFrame:
-    rows = [(r.name, r.regex, r.verdict, list(r.tokens) or [""], r.tier, r.length) for r in rules]
-    return spark.createDataFrame(rows, "rule string, regex string, rule_verdict string, tokens array<string>, tier int, length int")
+    """The rules as rows, from literals."""
+    def row(r: UrlRule) -> Column:
+        return F.struct(F.lit(r.name).alias("rule"), F.lit(r.regex).alias("regex"), F.lit(r.verdict).alias("rule_verdict"),
+                        F.array(*[F.lit(t) for t in r.tokens or ("",)]).alias("tokens"), F.lit(r.tier).alias("tier"), F.lit(r.length).alias("length"))
+
+    return spark.range(1).select(F.inline(F.array(*map(row, rules)))) if rules else spark.range(0).selectExpr(
+        "'' AS rule", "'' AS regex", "'' AS rule_verdict", "array('') AS tokens", "0 AS tier", "0 AS length")
 
 
 def rarest_token_index(targets: DataFrame, rules: DataFrame) -> DataFrame:

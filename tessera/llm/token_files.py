@@ -44,7 +44,7 @@ _HEADER = struct.Struct("<4sIIIIIQ")  # magic, partition, segment, ids, blocks,
 _DOC = np.dtype([("id", "<i8"), ("row", "<i8"), ("at", "<u4"), ("flags", "u1")])
 _INDEX = np.dtype([("offset", "<u4"), ("least", "<u4"), ("exceptions", "<u2"), ("width", "u1")])
 _HAS_ID, _BEGINS, _ENDS = 1, 2, 4
-_MAX_WORDS, _MAX_CHARS = 3 << 18, 48
+_MAX_WORDS, _MAX_CHARS = 5 << 17, 48
 _CLOSING = ".,;:!?&%#$*)"
 _MAX_FILES = 100_000
 PARTS = "part int, segment int, at long, id long, row long, whole boolean, n long, crc long"

@@ -269,3 +269,20 @@ def test_pipeline_against_brute_force(spark, tmp_path):
         assert r.text.split(" ") == WORD.findall(kept[r.doc_id])[r.first_word:r.first_word + r.n_words]
     total = sum(len(WORD.findall(t)) for t in kept.values())
     assert abs(sum(r.n_words for r in out) - 1.5 * total) < 4
+
+
+def test_block_words_are_many_and_spare_everyday_words(spark):
+    from tessera.llm.queries import URL_HOST_RULES, url_block_words
+    from tessera.llm.url_filter import host_rule, judge_urls, plurals, verb_forms, word_rule
+
+    assert plurals(["lottery", "diet-pill", "brothel"]) == ["lottery", "lotteries", "diet-pill", "diet-pills", "brothel", "brothels"]
+    assert verb_forms(["bet", "gamble", "track"]) == ["betting", "better", "betters", "gambling", "gambler", "gamblers", "tracking", "tracker", "trackers"]
+    words = url_block_words()
+    assert len(words) > 150 and not {"better", "adults"} & set(words)
+    urls = ["http://free-bets.net/x", "http://a.net/tracker/1", "http://a.net/better/track", "http://GAMBLING.example.org/q", "http://a.net/spammer", "http://a.net/adults/x"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    judged = judge_urls(pages, [host_rule(*r) for r in URL_HOST_RULES] + [word_rule(w) for w in words])
+    got = {r["id"]: (r["verdict"], r["n_candidates"]) for r in judged.collect()}
+    assert [got[i][0] for i in range(6)] == ["block", "block", "allow", "allow", "block", "allow"]  # org/ allows its hosts
+    assert max(n for _, n in got.values()) < 8  # of all rules, few run
+    assert judge_urls(pages, []).where("verdict = 'allow'").count() == 6

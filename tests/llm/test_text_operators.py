@@ -48,7 +48,7 @@ def model(spark):
 def test_language_of_pure_and_mixed_texts(model):
     rng = random.Random(4)
     fr, en, ru = speak(rng, "fr", 30), speak(rng, "en", 50), speak(rng, "ru", 10)
-    lang, score, spans = language_id.label_texts([fr, en, f"{fr} {en} {ru}", None, "", "12 !!", "漢字 漢字"], model)
+    lang, score, spans, _ = language_id.label_texts([fr, en, f"{fr} {en} {ru}", None, "", "12 !!", "漢字 漢字"], model)
     assert lang[:6] == ["fr", "en", "en", "und", "und", "und"]
     assert score[0] == score[1] == 1 and score[6] == 0 and (score[3:6] == 0).all()
     text = f"{fr} {en} {ru}"
@@ -58,6 +58,21 @@ def test_language_of_pure_and_mixed_texts(model):
     assert abs(mixed[1]["start"] - len(fr) - 1) < 30
 
 
+def test_marks_without_a_letter_are_no_text(model):
+    lang, score, spans, like = language_id.label_texts(["\u0301 \u0300\u0308", "e\u0301lan \u0301", "\u0301" * 9], model)
+    assert lang[0] == lang[2] == "und" and lang[1] != "und" and score[0] == score[2] == 0 and spans.to_pylist()[0] == []
+
+
+def test_gibberish_is_unlike_every_language(model):
+    rng = random.Random(12)
+    letters = "bcdfghjklmnpqrstvwxz"
+    gibberish = [" ".join("".join(rng.choice(letters) for _ in range(rng.randint(3, 9))) for _ in range(n)) for n in (12, 40, 400)]
+    plain = [speak(rng, lang, n) for lang in SYLLABLES for n in (1, 5, 40, 400)]
+    mixed = speak(rng, "fr", 30) + " " + speak(rng, "ru", 30)
+    _, _, _, like = language_id.label_texts([*gibberish, *plain, mixed, None, "12"], model)
+    assert like.tolist() == [False] * 3 + [True] * (len(plain) + 1) + [False] * 2
+
+
 def test_viterbi_is_optimal():
     import numpy as np
 
@@ -88,7 +103,7 @@ def test_long_text_is_scanned_whole(model):
     rng = random.Random(5)
     text = speak(rng, "en", 3000) * 120 + " " + speak(rng, "ru", 40)
     assert len(text) > language_id._PIECE
-    _, _, spans = language_id.label_texts([text], model)
+    _, _, spans, _ = language_id.label_texts([text], model)
     assert spans.to_pylist()[0][-1]["end"] == len(text) and spans.to_pylist()[0][-1]["lang"] == "ru"
 
 
@@ -198,9 +213,9 @@ def brute_contaminated(text, items):
     for item_id, item in items:
         item = decontaminate.words_of(item or "")
         w = min(13, len(item))
-        need = 11 if len(item) >= 13 else w
+        need = math.ceil(0.8 * w)
         for p in range(len(doc) - w + 1):
-            if w and any(sum(a == b for a, b in zip(doc[p:p + w], item[q:q + w])) >= need for q in range(len(item) - w + 1)):
+            if w >= 5 and any(sum(a == b for a, b in zip(doc[p:p + w], item[q:q + w])) >= need for q in range(len(item) - w + 1)):
                 found.add(item_id)
                 break
     return sorted(found)
@@ -235,15 +250,54 @@ def brute_overlaps(text, items):
     for item_id, item in items:
         item = decontaminate.words_of(item)
         w = min(13, len(item))
-        need = 11 if len(item) >= 13 else w
-        for d in range(-len(item), len(doc)):
+        need = math.ceil(0.8 * w)
+        for d in range(-len(item), len(doc) if w >= 5 else -len(item)):
             good = [p for p in range(max(0, d), min(len(doc), d + len(item)) - w + 1) if sum(doc[p + k] == item[p + k - d] for k in range(w)) >= need]
-            if good:
-                at = {p + k for p in good for k in range(w)}
-                out.add((item_id, good[0], good[-1] + w - good[0], sum(doc[x] == item[x - d] for x in at)))
+            at = sorted({p + k for p in good for k in range(w)})
+            heads = [x for x in at if x - 1 not in at]
+            for first in heads:
+                last = next(x for x in range(first, len(doc) + 1) if x not in at)
+                out.add((item_id, first, last - first, sum(doc[x] == item[x - d] for x in range(first, last))))
     return out
 
 
+def test_short_items_are_met_with_every_allowed_substitution():
+    for n in range(decontaminate.SHORTEST, decontaminate.WINDOW):
+        pieces = decontaminate.short_pieces(n)
+        assert [o for o, _ in pieces] == [sum(m for _, m in pieces[:k]) for k in range(len(pieces))] and sum(m for _, m in pieces) == n
+        for gone in combinations(range(n), n - math.ceil(0.8 * n)):
+            assert any(not set(gone) & set(range(o, o + m)) for o, m in pieces)
+
+
+def test_overlaps_end_at_gaps_and_short_items(spark):
+    item = " ".join(f"i{k}" for k in range(200))
+    far = " ".join([*(f"i{k}" for k in range(13)), *(f"x{k}" for k in range(174)), *(f"i{k}" for k in range(187, 200))])
+    items = [(1, item), (2, "a b c d"), (3, "yes"), (4, "one two three four five six seven eight nine ten eleven twelve"), (5, "red green blue black white")]
+    texts = [far, "yes a b c d yes", "so one two three FOUR five other seven eight nine else eleven twelve end", "one two three x five y seven z nine ten eleven twelve",
+             "red green, x black white", "red x y black white"]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = decontaminate.find_overlaps(frame(spark, texts), bench).collect()
+    got = {(r["id"], r["item_id"], r["first_word"], r["n_words"], r["n_equal"]) for r in found}
+    assert got == {(0, 1, 0, 15, 13), (0, 1, 185, 15, 13), (2, 4, 1, 12, 10), (4, 5, 0, 5, 4)}
+    assert len(found) == 4
+
+
+def test_every_stage_of_the_pipeline_takes_clashing_columns(spark, tmp_path):
+    import corpus_pipeline
+
+    names = ["f_id", "f_hash", "id", "item_id", "text_hash", "row", "rid", "host", "h", "fp", "component_id", "of_lang", "part", "lang_pred", "size", "slot"]
+    rng = random.Random(3)
+    rows = [(i, speak(rng, "en", 60), "en", "s", 0) for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    docs = docs.select("*", *[F.lit(str(k)).alias(n) for k, n in enumerate(names)])
+    spark.createDataFrame([(1, rows[3][1])], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, str(tmp_path))
+        assert out.columns == docs.columns
+        assert out.where("f_id = '0' AND slot = '15'").count() == out.count() > 20
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).count() > 0
+
+
 def test_benchmark_stays_off_the_driver(spark, monkeypatch):
     from pyspark.sql.classic.dataframe import DataFrame
 
@@ -317,6 +371,14 @@ def test_quality_against_brute_force(spark):
     assert len(WORD.findall(left)) == row.n_words - row.n_removed_words
 
 
+def test_repeated_rows_do_not_change_line_frequency(spark):
+    line = "this line stands in thirty documents of the host and is removed"
+    body = [" ".join(f"u{i}x{k}" for k in range(55)) for i in range(31)]
+    docs = frame(spark, [f"{b}\n{line}" for b in body[:30]] + [body[30]] * 3000, ids=[*range(30), *[99] * 3000])
+    judged = quality.judge_documents(quality.document_stats(docs))
+    assert judged.where("n_removed_words > 0").count() == 30
+
+
 def test_repeated_words_of_a_large_vocabulary():
     rng = random.Random(2)
     ws = [f"{rng.randrange(60_000)}".encode() for _ in range(150_000)]

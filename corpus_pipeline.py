@@ -2,6 +2,9 @@
 
 Each stage is one operator of ``tessera.llm`` and works on everything its predecessor kept. All but the
 last return the columns of ``documents``; ``n_chars`` follows the text where a stage changes it.
+
+Edge cases: null and empty texts and texts without a letter go in the first stage; texts of any length pass whole; rows that are repeated or share an id are
+judged row by row until near-dedup keeps one of each group; an empty table passes every stage empty; extra columns are carried along whatever their names.
 """
 
 from __future__ import annotations
@@ -9,7 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Documents whose main language holds less than this share of their letters are rejected, as are those without a letter.
+#: Documents whose main language holds less than this share of their letters are rejected, as are those without a letter and those whose
+#: letters are far less probable than the language's own texts (gibberish).
 MIN_LANGUAGE_SCORE = 0.3
 
 
@@ -17,7 +21,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     from tessera.llm.language_id import UNDETERMINED, identify, label_languages
 
     labelled = label_languages(docs, identify(docs))
-    kept = labelled.where((F.col("lang_pred") != UNDETERMINED) & (F.col("lang_score") >= MIN_LANGUAGE_SCORE))
+    kept = labelled.where((F.col("lang_pred") != UNDETERMINED) & (F.col("lang_score") >= MIN_LANGUAGE_SCORE) & F.col("like_language"))
     return kept.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
 
 

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.features import clip_prediction
+from tessera.operators.ranks import values_at_ranks
+from tessera.session import write_scratch
 
 
 def metric_columns(y: str | Column, pred: str | Column, clip: bool = True) -> list[Column]:
@@ -63,6 +67,27 @@ def acceptance(model_mae, model_rmse, model_wape, base_mae, base_rmse, base_wape
     return (c(model_mae) < c(base_mae)) & (c(model_rmse) < c(base_rmse)) & (c(model_wape) < c(base_wape))
 
 
+def conformal_half_widths(df: DataFrame, residual: str, block: str, coverage: float = 0.9) -> DataFrame:
+    """Per block of calibration rows the half-width that a new row's absolute residual stays within with probability ``coverage``: the
+    value at rank ceil((n + 1) * coverage) of the block's n absolute residuals, null where the block is too small for it. (block, n, rank, half_width)."""
+    rows = df.select(F.col(block), F.abs(F.col(residual)).cast("double").alias("__v")).where(F.col("__v").isNotNull())
+    share = Decimal(str(coverage))
+    sizes = rows.groupBy(block).agg(F.count(F.lit(1)).alias("n"), F.min("__v").alias("lo"), F.max("__v").alias("hi"))
+    sizes = write_scratch(sizes.withColumn("place", F.ceil((F.col("n") + 1) * F.lit(share)).cast("long")), "conformal-blocks")
+    wanted = sizes.where("place <= n").select(block, "lo", "hi", (F.col("place") - 1).alias("rank"))
+    found = values_at_ranks(rows, wanted, [block]).select(F.col(block).alias("__b"), "value")
+    joined = sizes.join(found, sizes[block].eqNullSafe(F.col("__b")), "left")
+    return joined.select(block, "n", F.col("place").alias("rank"), F.col("value").alias("half_width"))
+
+
+def monthly_errors(df: DataFrame, y: str, pred: str, month: str = "start_date", geo: str = "geo") -> DataFrame:
+    """E1 per month, with the geography of the largest absolute error (ties: the first by name)."""
+    off = F.abs(F.col(y).cast("double") - clip_prediction(F.col(pred)))
+    worst = F.min(F.when(off.isNotNull(), F.struct((-off).alias("v"), F.col(geo).alias("g"))))
+    g = df.groupBy(month).agg(*metric_columns(y, pred), worst.alias("w"))
+    return g.select(month, "n", "mae", "rmse", "wape_pct", F.col("w.g").alias("worst_geo"), (-F.col("w.v")).alias("worst_error"))
+
+
 def split_coverage(df: DataFrame, split_col: str = "split") -> DataFrame:
     """Rows and first/last period per split."""
     return df.filter(F.col(split_col).isNotNull()).groupBy(split_col).agg(

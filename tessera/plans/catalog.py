@@ -666,6 +666,27 @@ def q_fact_rank_correlation(spark, d):
     return D.spearman_long(rows, ["l_quantity", "l_extendedprice", "l_discount"]).select("x", "y", _r("rho").alias("rho"))
 
 
+def q_conformal_blocks(spark, d):
+    """R4 in blocks: each validation block's half-width with the finite-sample rank, and how many test rows it covers."""
+    folds = P.fold_rows(_panel(spark, d)).filter(F.col("role") == "validation")
+    widths = E.conformal_half_widths(_with_residual(folds), "resid", "fold")
+    test = _with_residual(P.tag_split(_panel(spark, d)).filter(F.col("split") == "test")).select("resid")
+    both = test.join(bounded_broadcast(widths, len(K.FOLDS)), F.lit(True))  # three blocks
+    covered = both.groupBy("fold", "n", "rank", "half_width").agg(
+        F.count(F.lit(1)).alias("test_rows"), _r(F.avg((F.col("resid") <= F.col("half_width")).cast("double"))).alias("coverage"))
+    return covered.withColumn("half_width", _r("half_width"))
+
+
+def _with_residual(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("resid", F.abs(F.col(MEASURE) - X.clip_prediction(F.col(f"rolling3_{MEASURE}"))))
+
+
+def q_monthly_errors(spark, d):
+    """Errors of the mean-of-3 forecast per test month, and the worst geography."""
+    m = E.monthly_errors(_test_rows(spark, d), MEASURE, "prediction")
+    return m.select(_iso("start_date"), "n", *[_r(c).alias(c) for c in ("mae", "rmse", "wape_pct")], "worst_geo", _r("worst_error").alias("worst_error"))
+
+
 def q_rule_audit_in_flight(spark, d):
     """The counters taken while the clean table was written."""
     counts = {k: v for k, v in write_audit(spark, d).items() if k != "rows"}

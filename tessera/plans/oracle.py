@@ -594,6 +594,20 @@ SELECT x, y, round(rho, 6) AS rho FROM (
          unnest(['l_quantity', 'l_extendedprice', 'l_discount', 'l_quantity', 'l_extendedprice', 'l_discount', 'l_quantity', 'l_extendedprice', 'l_discount']) AS y,
          unnest([1.0, qp, qd, qp, 1.0, pd, qd, pd, 1.0]) AS rho FROM c)"""
 
+_FOLD_ROWS = " UNION ALL ".join(
+    f"SELECT {_q(lbl)} AS fold, abs(a - greatest(rolling3_a, 0.0)) AS resid FROM panel WHERE start_date BETWEEN DATE '{s}' AND DATE '{e}'" for lbl, s, e in K.FOLDS)
+SQL_BODIES["conformal_blocks"] = f"""
+SELECT w.fold, w.n, w.rank, round(w.half_width, 6) AS half_width, count(*) AS test_rows,
+       round(avg(CASE WHEN abs(a - greatest(rolling3_a, 0.0)) <= w.half_width THEN 1.0 ELSE 0.0 END), 6) AS coverage
+FROM test_rows, (SELECT fold, n, CAST(ceil((n + 1) * 0.9) AS BIGINT) AS rank, max(CASE WHEN place = ceil((n + 1) * 0.9) THEN resid END) AS half_width
+  FROM (SELECT fold, resid, count(*) OVER (PARTITION BY fold) AS n, row_number() OVER (PARTITION BY fold ORDER BY resid) AS place FROM ({_FOLD_ROWS})) GROUP BY fold, n) w
+GROUP BY w.fold, w.n, w.rank, w.half_width"""
+SQL_BODIES["monthly_errors"] = f"""
+SELECT CAST(m.start_date AS VARCHAR) AS start_date, n, round(mae, 6) AS mae, round(rmse, 6) AS rmse, round(wape_pct, 6) AS wape_pct, w.geo AS worst_geo,
+       round(w.off, 6) AS worst_error
+FROM (SELECT start_date, {_metrics('a', 'prediction')} FROM test_rows GROUP BY start_date) m
+JOIN (SELECT start_date, geo, abs(a - prediction) AS off, row_number() OVER (PARTITION BY start_date ORDER BY abs(a - prediction) DESC, geo) AS place FROM test_rows) w
+  ON w.start_date = m.start_date AND w.place = 1"""
 SQL_BODIES["rule_audit_in_flight"] = SQL_BODIES["rule_audit"]
 SQL_BODIES["wape_monitor_stream"] = SQL_BODIES["wape_monitor"]
 _SNAPSHOT_KEYS = 'grain AS "Group", CAST(year AS VARCHAR) AS "Year", CAST(month AS VARCHAR) AS "Month", {0} AS "Geo", sex AS "Sex", band AS "Band"'

@@ -109,3 +109,9 @@ def test_rules_hold_over_the_written_tables(spark, tmp_path):
     assert got["residual_trees"]["mae"] == pytest.approx(model[0], abs=1e-6) and not got["persistence"]["accepted"]
     winners = con.execute("SELECT fold, avg(abs(a - greatest(prediction, 0))) < avg(abs(a - greatest(lag1_a, 0))) FROM cv GROUP BY fold").fetchall()
     assert dict(winners) == {r["fold"]: r["winner"] == "model" for r in MQ.q_gbt_cv(spark, SF).collect()}
+    sweep = MQ._sweep(spark, SF)  # M11, V8: the largest silhouette, ties to the smaller k
+    MQ.q_kmeans_sweep(spark, SF).write.parquet(f"{tmp_path}/sweep")
+    chosen = con.execute(f"SELECT k FROM read_parquet('{tmp_path}/sweep/*.parquet') ORDER BY silhouette_sq DESC, k LIMIT 1").fetchone()[0]
+    assert sweep["chosen"] == chosen and MQ.q_kmeans_final(spark, SF).select("cluster").distinct().count() == chosen
+    pairs = MQ.q_hierarchy_by_cluster(spark, SF).agg(F.sum("n")).first()[0]  # M15: every geography in one cell of the contingency table
+    assert pairs == MQ.q_bisecting_hierarchy(spark, SF).count()

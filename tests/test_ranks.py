@@ -90,3 +90,16 @@ def test_calendar_lags_do_not_cross_gaps(spark):
     assert after["row_lag1"] == 2.0 and after["cal_lag1"] is None and after["cal_lag3"] == 2.0
     found = {(r["geo"], str(r["start_date"]), str(r["prev"]), r["missing_months"]) for r in P.series_gaps(df).collect()}
     assert found == {("a", "1998-06-01", "1998-03-01", 2), ("b", "1999-02-01", "1998-12-01", 1)}
+
+
+def test_conformal_rank_of_small_blocks(spark):
+    from tessera.operators.evaluate import conformal_half_widths, monthly_errors
+
+    rng = random.Random(4)
+    blocks = {"a": [rng.uniform(-9, 9) for _ in range(40)], "b": [3.0] * 12, "c": [1.0] * 5}
+    df = spark.createDataFrame([(b, v) for b, vs in blocks.items() for v in vs] + [("a", None)], "block string, e double")
+    got = {r["block"]: tuple(r)[1:] for r in conformal_half_widths(df, "e", "block").collect()}
+    assert got["a"] == (40, 37, sorted(map(abs, blocks["a"]))[36]) and got["b"] == (12, 12, 3.0) and got["c"] == (5, 6, None)
+    rows = [("x", datetime.date(2000, 1, 1), 5.0, 2.0), ("y", datetime.date(2000, 1, 1), 5.0, 8.0), ("z", datetime.date(2000, 1, 1), 5.0, 5.0)]
+    m = monthly_errors(spark.createDataFrame(rows, "geo string, start_date date, a double, p double"), "a", "p").first()
+    assert (m["worst_geo"], m["worst_error"], m["mae"], m["n"]) == ("x", 3.0, 2.0, 3)

@@ -9,7 +9,7 @@ compressed keep bitmap per document; texts are only touched when bitmaps are app
 
 Edge cases: a null or empty text is one empty line; keys under ``min_key_chars`` code
 points are never dropped; rows with the same id count as one document, a null id as one
-document behind all others; repeated rows get equal bitmaps; an empty table gives an
+document behind all others; texts and lines of any length are split and hashed whole; repeated rows get equal bitmaps; an empty table gives an
 empty result; other columns of the input are ignored.
 """
 

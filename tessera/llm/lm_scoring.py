@@ -14,7 +14,7 @@ order given up; an unseen word counts as alpha times one occurrence. With ``leav
 everywhere, so that no document vouches for itself.
 
 All n-grams of all documents are counted: nothing is pruned, capped or sampled. Edge cases: null or empty texts have no words, score 0
-and a null mean; repeated rows are copies of each other; an empty corpus leaves only unseen words; an empty table gives an empty
+and a null mean; a text of any length stays in one block, whose n-grams are spread over the ranges; repeated rows are copies of each other; an empty corpus leaves only unseen words; an empty table gives an empty
 result; other columns are ignored.
 """
 

@@ -14,7 +14,8 @@ one window per bucket and one over bucket totals; no source is ever in one task.
 
 Edge cases: null or empty texts have size 0 and are taken 0 times; the null source is a
 source, ranked last; ids may be null or repeated (each row has its own range of tokens); sources of
-size 0 get target 0; an empty table gives an empty result; other columns are ignored.
+size 0 get target 0; a text of any length is a range of tokens, cut at blocks, and a very long one is
+split before its pieces are shuffled; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -133,11 +134,6 @@ def draw_slots(sources: DataFrame, block: int, seed: int, slots_per_shard: int)
     return slots.where(F.col("take") > 0).select(shard.alias("shard"), F.col("k").alias("slot"), "s", "block", "take")
 
 
-def shard_counts(slots: DataFrame) -> DataFrame:
-    """The drawn source counts of each output shard."""
-    return slots.groupBy("shard", "s").agg(F.count("*").alias("n_blocks"), F.sum("take").alias("n_tokens"))
-
-
 def mix(docs: DataFrame, weights: Sequence[float], share: float, max_repeat: int = 2, block: int = BLOCK_TOKENS, seed: int = 17,
         slots_per_shard: int = SLOTS_PER_SHARD, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         with_text: bool = True) -> DataFrame:

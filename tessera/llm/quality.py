@@ -11,7 +11,7 @@ Counts: words are runs of non-whitespace; a word is a repeat when any 3-word win
 is found twice or more in the text. Edge cases: a null or empty text has no words and fails the base
 rules; lines without a word are never counted or removed; a null host is a host; rows with the
 same id count as one document on both sides of line frequency (lines and hosts) but are judged row by row; an empty table
-gives an empty result; other columns are ignored.
+gives an empty result; texts of any length are judged whole, one at a time in a task; other columns are ignored.
 """
 
 from __future__ import annotations

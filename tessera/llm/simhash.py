@@ -16,7 +16,7 @@ affect which pairs are found.
 
 Edge cases: texts without a word (null, empty) have fingerprint 0, linked like any other; fewer words than a
 shingle give one shingle of the whole sequence; null ids count last for the component id; repeated rows each get their
-row; an empty table gives an empty result; other columns are ignored.
+row; texts of any length are read whole, one at a time in a task; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations

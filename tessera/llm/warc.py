@@ -13,7 +13,7 @@ point where the chain enters each split. A payload that contains magic is put to
 
 Edge cases: a null payload is empty; a null id is kept as null (all-null groups are responses); rows that repeat the largest
 id of a group are all responses; line breaks in a URL are percent-encoded, a null URL has no header; a file cut short keeps
-the records before the cut; an empty table writes and reads no record; other columns are ignored.
+the records before the cut; payloads of any length are written whole, read by split and joined per record; an empty table writes and reads no record; other columns are ignored.
 """
 
 from __future__ import annotations

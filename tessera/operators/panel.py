@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tessera import contract as K
 from tessera.functions import features as X
-from tessera.operators.slices import complete_periods, grain_slice, in_domain
+from tessera.operators.slices import complete_periods, grain_slice, in_domain, require_levels
 
 
 def _covariates(measure: str, covariates) -> list[str]:
@@ -43,6 +43,8 @@ def monthly_panel(clean: DataFrame, measure: str = "a", covariates=("total", "b"
     covariates = _covariates(measure, covariates)
     cols = [measure, *covariates]
     p = complete_periods(in_domain(grain_slice(clean, K.GRAIN_MONTH, sex=K.SEX_ALL, band=K.BAND_ALL)))
+    for c in cols:
+        require_levels(p, c, ["geo"])
     p = p.select("geo", "start_date", "month", *cols,
                  *[F.coalesce(F.col(c), F.lit(midpoint)).alias(f"__{c}_for_lag") for c in cols])
     w = Window.partitionBy("geo").orderBy("start_date")
@@ -80,7 +82,7 @@ def gap_audit(clean: DataFrame) -> DataFrame:
 def observed_series(clean: DataFrame, measure: str = "a") -> DataFrame:
     """(geo, start_date, measure) of the complete months whose count is published; suppressed months are gaps."""
     p = complete_periods(in_domain(grain_slice(clean, K.GRAIN_MONTH, sex=K.SEX_ALL, band=K.BAND_ALL)))
-    return p.where(F.col(measure).isNotNull()).select("geo", "start_date", F.col(measure).cast("double").alias(measure))
+    return require_levels(p, measure, ["geo"]).where(F.col(measure).isNotNull()).select("geo", "start_date", F.col(measure).cast("double").alias(measure))
 
 
 def calendar_lags(series: DataFrame, measure: str, lags=(1, 2, 3), by: str = "geo") -> DataFrame:

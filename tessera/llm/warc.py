@@ -129,6 +129,13 @@ def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatc
         yield batch, nth
 
 
+def _pin_splits(spark: SparkSession) -> None:
+    """Keeps the size of splits from following the number of executors, which may change between the two scans: pieces are matched by split."""
+    number = "spark.sql.files.minPartitionNum"
+    if spark.conf.get(number, None) is None:
+        spark.conf.set(number, str(spark.sparkContext.defaultParallelism))
+
+
 def _raw_pieces(spark: SparkSession, path: str) -> DataFrame:
     prepare_workers(spark)
     raw = spark.read.option("lineSep", MAGIC).text(path)
@@ -204,6 +211,7 @@ def chain_entries(pieces: DataFrame, exits: DataFrame) -> DataFrame:
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """Verified records: file, offset, record_type, id, url, refers_to, payload_bytes, payload_digest (of a response
     computed from what was read; of a revisit as stated) and digest_ok."""
+    _pin_splits(spark)
     pieces = scan_pieces(spark, path)
     sizes = pieces.groupBy("file", "block").agg(F.sum(F.col("length") + len(MAGIC)).alias("size"))
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)

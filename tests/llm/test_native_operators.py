@@ -208,6 +208,25 @@ def test_warc_round_trip(spark, tmp_path, split):
     assert {r.url for r in got} == {None, "http://a/", "http://b/%0D%0AWARC/1.1%0D%0A"}
 
 
+def test_both_scans_split_alike_when_cores_change(spark, tmp_path):
+    html = [*payloads(random.Random(8)), "WARC/1.1\r\n".join("x" * 900 for _ in range(60))]
+    ids = list(range(len(html)))
+    pages = spark.createDataFrame([(i, "u", h) for i, h in zip(ids, html)], "page_id long, url string, html string")
+    warc.write_archives(pages.coalesce(1), str(tmp_path / "w"))
+    names = ("spark.sql.files.openCostInBytes", "spark.sql.leafNodeDefaultParallelism", "spark.sql.files.minPartitionNum")
+    old = {n: spark.conf.get(n, None) for n in names}
+    spark.conf.unset(names[2])
+    spark.conf.set(names[0], "1000")
+    try:
+        records = warc.read_archives(spark, str(tmp_path / "w"))
+        spark.conf.set(names[1], "61")  # as if executors had come between the scans
+        got = records.collect()
+    finally:
+        for n, v in old.items():
+            spark.conf.unset(n) if v is None else spark.conf.set(n, v)
+    assert Counter((r.id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in got) == Counter(brute_warc(ids, html))
+
+
 def test_warc_cut_short_and_empty(spark, tmp_path):
     pages = spark.createDataFrame([(k, "u", f"page {k} " * 30) for k in range(20)], "page_id long, url string, html string")
     warc.write_archives(pages.coalesce(1), str(tmp_path / "w"))

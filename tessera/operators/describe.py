@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tessera import contract as K
 from tessera.functions.flags import pct
 from tessera.operators.ranks import exact_quantiles, rank_correlations
-from tessera.operators.slices import require_levels
+from tessera.operators.slices import require_levels, sliced
 from tessera.session import bounded_broadcast
 
 MAX_SLICES = 10_000
@@ -44,7 +44,7 @@ def iqr_flags(df: DataFrame, value: str, by: list[str], k: float = 1.5) -> DataF
 
 def share_of_slice(df: DataFrame, value: str, by: list[str], name: str) -> DataFrame:
     """100*value/sum(value) within the slice identified by ``by``."""
-    if value in K.MEASURES:
+    if sliced(df, value):
         require_levels(df, value, by)
     tot = bounded_broadcast(df.groupBy(*by).agg(F.sum(value).alias("__slice_sum")), MAX_SLICES)
     return df.join(tot, by, "inner").withColumn(name, pct(value, "__slice_sum")).drop("__slice_sum")
@@ -52,7 +52,7 @@ def share_of_slice(df: DataFrame, value: str, by: list[str], name: str) -> DataF
 
 def min_count_sum(df: DataFrame, value: str, by: list[str], min_count: int, name: str) -> DataFrame:
     """Sum that is null unless at least ``min_count`` values are present."""
-    if value in K.MEASURES:
+    if sliced(df, value):
         require_levels(df, value, by)
     return df.groupBy(*by).agg(
         F.when(F.count(value) >= min_count, F.sum(value)).alias(name),

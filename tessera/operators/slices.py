@@ -33,6 +33,11 @@ def _with_levels(df: DataFrame, dim: str, values: list) -> DataFrame:
     return df.select(*[noted(c) if c in K.MEASURES else F.col(f"`{c}`") for c in df.columns])
 
 
+def sliced(df: DataFrame, measure: str) -> bool:
+    """Whether ``measure`` is a column that came through a slice; frames made elsewhere carry no levels to judge."""
+    return measure in df.columns and "levels" in df.schema[measure].metadata
+
+
 def mixed_levels(df: DataFrame, measure: str, by=()) -> dict[str, object]:
     """The dimensions outside ``by`` over which a sum of ``measure`` would mix levels: name -> levels (None: never sliced)."""
     levels = df.schema[measure].metadata.get("levels", {})

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.session import scratch_path, ship_package
+from tessera.session import delete_path, scratch_path, ship_package
 
 #: A word is a run of characters other than space, tab, newline, vertical tab, form feed and return.
 WORD_RE = r"[^\x20\x09-\x0D]+"
@@ -17,17 +19,38 @@ UPPER_AZ = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER_AZ = UPPER_AZ.lower()
 #: Bytes of text that Spark hands to a Python worker at once; bounds its memory for texts of any length.
 ARROW_BATCH_BYTES = 8 << 20
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def stash(df: DataFrame, name: str) -> DataFrame:
+def stash(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
     """Write ``df`` as Parquet below the cluster's shared checkpoint folder and
     read it back: cuts the lineage, survives lost executors, and is computed once."""
     spark = df.sparkSession
     path = scratch_path(spark, "llm", f"{name}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_stash(df: DataFrame) -> None:
+    """Delete a stash that a later one replaces; ``df`` must be what ``stash`` returned, and nothing may read it afterwards."""
+    for folder in {os.path.dirname(f) for f in df.inputFiles()}:
+        if "/tessera/llm/" not in folder:
+            raise ValueError(f"{folder} is no stash")
+        delete_path(df.sparkSession, folder)
+
+
+@contextmanager
+def shuffles_freed(spark: SparkSession):
+    """Spark removes the shuffle files of each query once it has ended. For jobs whose results are written: a frame that is
+    run again shuffles again."""
+    before = spark.conf.get(FREE_SHUFFLES, None)
+    spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(FREE_SHUFFLES) if before is None else spark.conf.set(FREE_SHUFFLES, before)
+
+
 def prepare_workers(spark: SparkSession) -> None:
     """For tasks in Python: the package on every executor, and Arrow batches limited by bytes, not only by rows."""
     ship_package(spark)

@@ -1,26 +1,31 @@
-"""LM scoring: stupid-backoff scores from n-gram counts of a whole corpus.
+"""LM scoring: stupid-backoff scores from n-gram counts of a whole corpus, order by order.
 
 Words are lower-cased (A-Z) runs of non-whitespace; n-grams of 1 to ``order`` words are told apart by 64-bit hashes.
-The relations are kept in packed columns, because a row of its own for every n-gram of every document costs several times the input on disk:
 
-1. blocks: an Arrow batch of documents as one row - ids, lengths, the batch's word hashes, and word numbers (written once);
-2. grams: each block's distinct n-grams with their counts, one row per block and hash range (map-side combined: however
-   frequent an n-gram is, a block sends it once, so no range is hot);
-3. counts: the rows of a hash range meet in one task, which sums the n-gram counts and joins them back to each block's n-grams;
-4. scores: the counts of a block's n-grams return to the block, and logarithms are summed per document.
+1. blocks: an Arrow batch of documents as one row - ids, lengths, word hashes and word numbers (written once);
+2. exploded n-grams of one order: a row for each n-gram of a block, with its occurrences there, partitioned by hash (a block sends
+   an n-gram once, however frequent it is, so no hash is hot);
+3. the count table of the order, ``groupBy(hash)``, joined back to the exploded n-grams in the same partitioning;
+4. the joined counts return to their blocks, and logarithms are summed per document.
 
 The score of word i is count(n-gram) / count(its first n - 1 words) for the longest n whose n-gram was seen, times ``alpha`` for every
 order given up; an unseen word counts as alpha times one occurrence. With ``leave_one_out`` a document's own occurrences are subtracted
 everywhere, so that no document vouches for itself.
 
-All n-grams of all documents are counted: nothing is pruned, capped or sampled. Edge cases: null or empty texts have no words, score 0
-and a null mean; a text of any length stays in one block, whose n-grams are spread over the ranges; repeated rows are copies of each other; an empty corpus leaves only unseen words; an empty table gives an empty
+An n-gram that one document alone holds counts 0 for that document once its own occurrences are left out, and so does every longer
+n-gram around it. So an order explodes only n-grams both of whose shorter parts are kept, and keeps those that two documents hold: an
+exact cut, like the one of n-grams that the corpus does not hold where nothing is left out. Each order runs in ``PASSES`` ranges of
+hashes, and what a pass shuffled is freed before the next.
+
+All n-grams of all documents are counted: nothing is pruned otherwise, capped or sampled. Edge cases: null or empty texts have no words, score 0
+and a null mean; a text of any length stays in one block, whose n-grams are spread over the partitions; repeated rows are copies of each other; an empty corpus leaves only unseen words; an empty table gives an empty
 result; other columns are ignored.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -29,35 +34,19 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import prepare_workers, stash, text_bytes
+from tessera.llm.common import drop_stash, prepare_workers, shuffles_freed, stash, text_bytes
 
 ORDER = 3
 ALPHA = 0.4
-#: N-grams, repeated ones included, per hash range.
+#: Words asked or counted for each partition of a pass.
 RANGE_GRAMS = 2_000_000
+#: Ranges of hashes that are counted one after the other; bounds the disk that an order takes.
+PASSES = 3
 _MIX = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
-BLOCKS = "block long, ids array<long>, lengths array<long>, word_hashes binary, word_numbers binary, n_words long"
-GRAMS = "part int, block long, hashes binary, counts binary"
-
-
-def pack(values: np.ndarray) -> bytes:
-    """64-bit numbers as compressed byte planes; small numbers and small steps cost little."""
-    planes = np.ascontiguousarray(values.astype(np.uint64).view(np.uint8).reshape(-1, 8).T).tobytes()
-    return len(values).to_bytes(8, "little") + pa.compress(planes, codec="zstd", asbytes=True)
-
-
-def unpack(packed: bytes) -> np.ndarray:
-    n = int.from_bytes(packed[:8], "little")
-    planes = pa.decompress(packed[8:], decompressed_size=8 * n, codec="zstd", asbytes=True)
-    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(8, n).T).view(np.uint64).ravel()
-
-
-def pack_sorted(values: np.ndarray) -> bytes:
-    return pack(np.diff(values, prepend=np.uint64(0)))
-
-
-def unpack_sorted(packed: bytes) -> np.ndarray:
-    return np.cumsum(unpack(packed), dtype=np.uint64)
+BLOCKS = "block long, ids array<long>, lengths array<long>, word_hashes array<long>, word_numbers array<int>, n_words long"
+#: cell: place << 33 | (two or more documents of the block hold it) << 32 | occurrences. Count table and exploded n-grams read the same three columns, so they share one shuffle.
+GRAMS = "hash long, block long, cell long"
+TOTALS = "block long, n int, pass int, totals array<long>"
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -70,125 +59,210 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, lengths = [], []
         for text in batch.column("text").to_pylist():
             own = (text or b"").lower().split()
-            words.append(np.fromiter((numbers.setdefault(w, len(numbers)) for w in own), np.int64, len(own)))
+            words.append(np.fromiter((numbers.setdefault(w, len(numbers)) for w in own), np.int32, len(own)))
             lengths.append(len(own))
         hashes = np.fromiter((xxhash.xxh64_intdigest(w) for w in numbers), np.uint64, len(numbers))
-        stream = np.concatenate(words) if words else np.zeros(0, np.int64)
-        columns = [pa.array([first + k], pa.int64()), pa.array([batch.column("id").to_pylist()], pa.list_(pa.int64())), pa.array([lengths], pa.list_(pa.int64())),
-                   pa.array([pack(hashes)], pa.binary()), pa.array([pack(stream)], pa.binary()), pa.array([len(stream)], pa.int64())]
-        yield pa.RecordBatch.from_arrays(columns, names=["block", "ids", "lengths", "word_hashes", "word_numbers", "n_words"])
+        stream = np.concatenate(words) if words else np.zeros(0, np.int32)
+        values = ([first + k], [batch.column("id").to_pylist()], [lengths], [hashes.view(np.int64)], [stream], [len(stream)])
+        types = (pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.int64())
+        yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(values, types)], names=["block", "ids", "lengths", "word_hashes", "word_numbers", "n_words"])
 
 
 def to_blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     prepare_workers(docs.sparkSession)
     rows = docs.select(docs[id_col].cast("long").alias("id"), text_bytes(docs[text_col]).alias("text"))
-    return stash(rows.mapInArrow(_blocks, BLOCKS), "lm-blocks")
-
-
-def block_grams(word_hashes: bytes, word_numbers: bytes, lengths: np.ndarray, order: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For each n: the positions in the block where an n-gram ends, and their hashes."""
-    words = unpack(word_hashes)[unpack(word_numbers).astype(np.int64)]
-    inside = np.arange(len(words)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    out, hashes = [], words
-    for n in range(1, order + 1):
-        if n > 1:
-            hashes = np.concatenate((np.zeros(1, np.uint64), (hashes[:-1] * _MIX[0]) ^ (words[1:] * _MIX[1]) ^ np.uint64(n)))[:len(words)]
-            hashes = (hashes ^ (hashes >> np.uint64(31))) * _MIX[2]
-        at = np.flatnonzero(inside >= n - 1)
-        out.append((at, hashes[at]))
-    return out
+    return stash(rows.mapInArrow(_blocks, BLOCKS), "lm-blocks", "zstd")
 
 
-def _ranges(hashes: np.ndarray, parts: int) -> np.ndarray:
-    """Where each of ``parts`` equal ranges of hashes begins in the sorted hashes, and the end."""
-    cuts = np.array([(k << 64) // parts for k in range(1, parts)], np.uint64)
-    return np.concatenate(([0], np.searchsorted(hashes, cuts), [len(hashes)]))
+class Block:
+    """One row of blocks as arrays: the document of every word and its place in it, and n-grams by where they end."""
 
+    def __init__(self, batch: pa.RecordBatch, k: int):
+        column = lambda name: batch.column(name)[k].values.to_numpy(zero_copy_only=False)
+        self.number = batch.column("block")[k].as_py()
+        self.ids, self.lengths = batch.column("ids")[k].values, column("lengths").astype(np.int64)
+        self.words = column("word_hashes").view(np.uint64)[column("word_numbers")]
+        self.doc = np.repeat(np.arange(len(self.lengths)), self.lengths)
+        self.inside = np.arange(len(self.words)) - np.repeat(np.cumsum(self.lengths) - self.lengths, self.lengths)
 
-def _distinct(grams: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    return np.unique(np.concatenate([h for _, h in grams]), return_counts=True)
+    def hashes(self, n: int) -> np.ndarray:
+        """Hash of the n-gram that ends at every word; without meaning where a document has no n words so far."""
+        out = self.words
+        for size in range(2, n + 1):
+            out = np.concatenate((np.zeros(1, np.uint64), (out[:-1] * _MIX[0]) ^ (self.words[1:] * _MIX[1]) ^ np.uint64(size)))[:len(self.words)]
+            out = (out ^ (out >> np.uint64(31))) * _MIX[2]
+        return out
 
+    def candidates(self, n: int, kept: np.ndarray | None) -> np.ndarray:
+        """Where n-grams end both of whose shorter parts are kept; ``kept``: words where a kept (n - 1)-gram ends."""
+        whole = self.inside >= n - 1
+        if n > 1 and kept is not None:
+            whole[1:] &= kept[1:] & kept[:-1]
+        return np.flatnonzero(whole)
 
-def _send(frames: Iterator[pd.DataFrame], order: int, parts: int, counted: bool) -> Iterator[pd.DataFrame]:
-    """The grams of every block; a block that is not counted asks only."""
-    for frame in frames:
-        for b in frame.itertuples(index=False):
-            hashes, counts = _distinct(block_grams(b.word_hashes, b.word_numbers, np.asarray(b.lengths, np.int64), order))
-            cuts = _ranges(hashes, parts)
-            rows = [(k, b.block, pack_sorted(hashes[i:j]), pack(counts[i:j] if counted else counts[i:j] * 0)) for k, (i, j) in enumerate(zip(cuts[:-1], cuts[1:])) if j > i]
-            yield pd.DataFrame(rows, columns=["part", "block", "hashes", "counts"]).astype({"part": "int32", "block": "int64"})
 
+def _pass_of(hashes: np.ndarray, passes: int) -> np.ndarray:
+    return ((hashes >> np.uint64(32)) * np.uint64(passes)) >> np.uint64(32)
 
-def _answer(frame: pd.DataFrame) -> pd.DataFrame:
-    """Sums the counts of one hash range and joins them to each block's n-grams of the range."""
-    own = [unpack_sorted(h) for h in frame["hashes"]]
-    every = np.concatenate(own)
-    order = np.argsort(every)
-    every, counts = every[order], np.concatenate([unpack(c) for c in frame["counts"]]).astype(np.int64)[order]
-    heads = np.flatnonzero(np.concatenate(([True], every[1:] != every[:-1])))
-    table, totals = every[heads], np.add.reduceat(counts, heads)
-    answers = [pack(totals[np.searchsorted(table, h)]) for h in own]
-    return pd.DataFrame({"block": frame["block"], "part": frame["part"], "totals": answers})
 
+def _each_pass(block: Block, n: int, kept: np.ndarray | None, passes: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(pass, where its n-grams end, their hashes)."""
+    at, hashes = block.candidates(n, kept), block.hashes(n)
+    hashes = hashes[at]
+    of = _pass_of(hashes, passes)
+    for p in range(passes):
+        mine = of == p
+        yield p, at[mine], hashes[mine]
 
-def document_scores(grams: list[tuple[np.ndarray, np.ndarray]], totals: np.ndarray, lengths: np.ndarray, corpus_words: int, alpha: float, leave_one_out: bool) -> np.ndarray:
-    """Sum of log scores of every document of a block; ``totals`` belong to the block's sorted distinct n-grams."""
-    distinct = _distinct(grams)[0]
-    n_words = int(lengths.sum())
-    doc = np.repeat(np.arange(len(lengths)), lengths)
-    known = np.maximum(corpus_words - lengths[doc] * leave_one_out, 1).astype(float)
+
+def _explode(batches: Iterator[pa.RecordBatch], n: int, number: int, passes: int, counted: bool) -> Iterator[pa.RecordBatch]:
+    """The distinct n-grams of each block in one pass: place among them by hash, whether two documents hold it, occurrences."""
+    for batch in batches:
+        for k in range(batch.num_rows):
+            block = Block(batch, k)
+            kept = _kept(batch, k, len(block.words))
+            at, hashes = block.candidates(n, kept), block.hashes(n)
+            mine = at[_pass_of(hashes[at], passes) == number]
+            hashes = hashes[mine]
+            by = np.argsort(hashes, kind="stable")
+            hashes, docs = hashes[by], block.doc[mine[by]]
+            heads = np.flatnonzero(np.concatenate((np.ones(min(1, len(by)), bool), hashes[1:] != hashes[:-1])))
+            ends = np.append(heads[1:], len(by))[:len(heads)]
+            several = docs[heads] != docs[ends - 1]
+            cells = np.arange(len(heads)) << 33 | several.astype(np.int64) << 32 | (ends - heads) * counted
+            hashes = hashes[heads].view(np.int64)
+            for a in range(0, len(heads), 1 << 17):
+                b = min(a + (1 << 17), len(heads))
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (hashes[a:b], np.full(b - a, block.number), cells[a:b])], names=["hash", "block", "cell"])
+
+
+def _kept(batch: pa.RecordBatch, k: int, n_words: int) -> np.ndarray | None:
+    if "kept" not in batch.schema.names:
+        return None
+    return np.unpackbits(np.frombuffer(batch.column("kept")[k].as_py(), np.uint8), count=n_words).astype(bool)
+
+
+def _lists(frame: pd.DataFrame, n: int, number: int) -> pd.DataFrame:
+    """The counts of a block's n-grams of a pass by place, up to the last kept one; 0: not kept."""
+    totals = np.zeros(frame["place"].max() + 1, np.int64)
+    totals[frame["place"].to_numpy()] = frame["total"].to_numpy()
+    return pd.DataFrame({"block": frame["block"].iloc[:1], "n": np.int32(n), "pass": np.int32(number), "totals": [totals]})
+
+
+def _by_word(block: Block, n: int, kept: np.ndarray | None, passes: int, answers: dict[tuple[int, int], np.ndarray]) -> np.ndarray:
+    """Count of the n-gram that ends at every word; 0: not kept."""
+    out = np.zeros(len(block.words), np.int64)
+    for p, at, hashes in _each_pass(block, n, kept, passes):
+        totals = answers.get((n, p))
+        if totals is not None:
+            place = np.unique(hashes, return_inverse=True)[1]
+            known = place < len(totals)
+            out[at[known]] = totals[place[known]]
+    return out
+
+
+def _answers(batch: pa.RecordBatch, k: int) -> dict[tuple[int, int], np.ndarray]:
+    listed = batch.column("answers")[k]
+    if not listed.is_valid:
+        return {}
+    return {(a["n"].as_py(), a["pass"].as_py()): a["totals"].values.to_numpy(zero_copy_only=False) for a in listed}
+
+
+def _keep(batches: Iterator[pa.RecordBatch], n: int, passes: int) -> Iterator[pa.RecordBatch]:
+    """Blocks with one bit for every word: whether the n-gram that ends there is kept."""
+    for batch in batches:
+        for k in range(batch.num_rows):
+            block = Block(batch, k)
+            counts = _by_word(block, n, _kept(batch, k, len(block.words)), passes, _answers(batch, k))
+            row = batch.slice(k, 1).select(["block", "ids", "lengths", "word_hashes", "word_numbers", "n_words"])
+            yield row.append_column("kept", pa.array([np.packbits(counts > 0).tobytes()], pa.binary()))
+
+
+def document_scores(block: Block, seen: list[np.ndarray], hashes: list[np.ndarray], corpus_words: int, alpha: float, leave_one_out: bool) -> np.ndarray:
+    """Sum of log scores of every document of a block; ``seen``: for each order the count of the n-gram that ends at every word."""
+    n_words = len(block.words)
+    if not n_words:
+        return np.zeros(len(block.lengths))
+    known = np.maximum(corpus_words - block.lengths[block.doc] * leave_one_out, 1).astype(float)
+    if leave_one_out:
+        for counts, own in zip(seen, hashes):
+            at = np.flatnonzero(counts > 0)
+            counts[at] -= _own(block.doc[at], own[at])
     score, given_up, open_ = np.zeros(n_words), np.zeros(n_words), np.ones(n_words, bool)
-    seen: list[np.ndarray] = []
-    for at, hashes in grams:
-        index = np.searchsorted(distinct, hashes)
-        counts = np.zeros(n_words, np.int64)
-        counts[at] = totals[index]
-        if leave_one_out:
-            pairs = doc[at] * len(distinct) + index
-            _, of, own = np.unique(pairs, return_inverse=True, return_counts=True)
-            counts[at] -= own[of]
-        seen.append(counts)
-    inside = np.arange(n_words) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    for n in range(len(grams), 0, -1):
+    for n in range(len(seen), 0, -1):
         counts = seen[n - 1]
         below = known if n == 1 else np.concatenate(([1.0], seen[n - 2][:-1]))[:n_words]
-        found = open_ & (counts > 0) & (inside >= n - 1)
+        found = open_ & (counts > 0) & (block.inside >= n - 1)
         score[found] = counts[found] / below[found]
         open_ &= ~found
-        given_up += open_ & (inside >= n - 1)
+        given_up += open_ & (block.inside >= n - 1)
     score[open_] = 1 / known[open_]
-    return np.bincount(doc, np.log(score) + given_up * np.log(alpha), len(lengths)) if n_words else np.zeros(len(lengths))
+    return np.bincount(block.doc, np.log(score) + given_up * np.log(alpha), len(block.lengths))
+
+
+def _own(doc: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """For every n-gram its occurrences in its own document."""
+    by = np.lexsort((hashes, doc))
+    heads = np.ones(len(by), bool)
+    heads[1:] = (hashes[by][1:] != hashes[by][:-1]) | (doc[by][1:] != doc[by][:-1])
+    group = np.cumsum(heads) - 1
+    out = np.zeros(len(by), np.int64)
+    out[by] = np.bincount(group)[group] if len(by) else 0
+    return out
 
 
-def _score(batches: Iterator[pa.RecordBatch], order: int, corpus_words: int, alpha: float, leave_one_out: bool) -> Iterator[pa.RecordBatch]:
+def _score(batches: Iterator[pa.RecordBatch], order: int, passes: int, corpus_words: int, alpha: float, leave_one_out: bool) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        ids, lists = batch.column("ids"), batch.column("lengths")
-        packed = [batch.column(c).to_pylist() for c in ("word_hashes", "word_numbers", "answers")]
-        for k, (hashes, numbers, answers) in enumerate(zip(*packed)):
-            lengths = lists[k].values.to_numpy()
-            parts = [unpack(a["totals"]) for a in sorted(answers or [], key=lambda a: a["part"])]
-            totals = np.concatenate(parts).astype(np.int64) if parts else np.zeros(0, np.int64)
-            sums = document_scores(block_grams(hashes, numbers, lengths, order), totals, lengths, corpus_words, alpha, leave_one_out)
-            yield pa.RecordBatch.from_arrays([ids[k].values, pa.array(lengths), pa.array(sums)], names=["id", "n_words", "log_score"])
+        for k in range(batch.num_rows):
+            block, answers = Block(batch, k), _answers(batch, k)
+            seen: list[np.ndarray] = []
+            for n in range(1, order + 1):
+                seen.append(_by_word(block, n, seen[-1] > 0 if seen else None, passes, answers))
+            sums = document_scores(block, seen, [block.hashes(n) for n in range(1, order + 1)], corpus_words, alpha, leave_one_out)
+            yield pa.RecordBatch.from_arrays([block.ids, pa.array(block.lengths), pa.array(sums)], names=["id", "n_words", "log_score"])
+
+
+def count_pass(asking: DataFrame, corpus: DataFrame | None, n: int, number: int, passes: int, parts: int, alone: bool) -> DataFrame:
+    """block, n, pass, totals: the counts of the kept n-grams of every block in one pass; ``alone``: those that one document holds count nothing."""
+    counted = corpus is None
+    exploded = asking.mapInArrow(lambda b: _explode(b, n, number, passes, counted), GRAMS)
+    if corpus is not None:
+        exploded = exploded.unionByName(corpus.mapInArrow(lambda b: _explode(b, n, number, passes, True), GRAMS).withColumn("block", F.lit(-1).cast("long")))
+    grams = exploded.repartition(parts, "hash")  # counted and joined in one partitioning
+    own, several = F.col("cell").bitwiseAND(F.lit((1 << 32) - 1)), F.shiftright("cell", 32).bitwiseAND(F.lit(1))
+    held = (F.min("block") < F.max("block")) | (F.max(several) == 1) if alone else F.sum(own) > 0
+    counts = grams.groupBy(F.col("hash").alias("of")).agg(F.sum(own).alias("total"), held.alias("held")).where("held").select("of", "total")
+    joined = grams.join(counts.hint("shuffle_hash"), F.col("hash") == F.col("of")).select("block", F.shiftright("cell", 33).cast("int").alias("place"), "total")
+    if not counted:
+        joined = joined.where("block >= 0")
+    return joined.groupBy("block").applyInPandas(lambda f: _lists(f, n, number), TOTALS)
+
+
+def _with_answers(blocks: DataFrame, totals: DataFrame) -> DataFrame:
+    per_block = totals.groupBy(F.col("block").alias("of")).agg(F.collect_list(F.struct("n", "pass", "totals")).alias("answers"))
+    return blocks.join(per_block, F.col("block") == F.col("of"), "left").drop("of")
 
 
 def score_documents(docs: DataFrame, corpus: DataFrame | None = None, order: int = ORDER, alpha: float = ALPHA, leave_one_out: bool | None = None,
-                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                    id_col: str = "doc_id", text_col: str = "text", passes: int = PASSES) -> DataFrame:
     """id, n_words, log_score (sum of natural logs) and mean_log_score of every row of ``docs``, by the n-grams of ``corpus`` (default: the
     documents themselves, leaving each document's own occurrences out)."""
     leave_one_out = corpus is None if leave_one_out is None else leave_one_out
-    asking = to_blocks(docs, id_col, text_col)
-    counted = asking if corpus is None else to_blocks(corpus, id_col, text_col)
-    corpus_words = counted.agg(F.sum("n_words")).first()[0] or 0
-    asked = asking.agg(F.sum("n_words")).first()[0] or 0
-    parts = max(1, -(-(corpus_words + asked) * order // (2 * RANGE_GRAMS)))
-    columns = ("block", "lengths", "word_hashes", "word_numbers")
-    grams = counted.select(*columns).mapInPandas(lambda f: _send(f, order, parts, True), GRAMS)
-    if corpus is not None:
-        asks = asking.select(*columns).mapInPandas(lambda f: _send(f, order, parts, False), GRAMS)
-        grams = grams.withColumn("block", F.lit(-1).cast("long")).unionByName(asks)
-    answers = grams.groupBy("part").applyInPandas(_answer, "block long, part int, totals binary")
-    per_block = answers.where("block >= 0").groupBy("block").agg(F.collect_list(F.struct("part", "totals")).alias("answers"))
-    joined = asking.join(per_block, "block", "left").select("ids", "lengths", "word_hashes", "word_numbers", "answers")
-    scored = joined.mapInArrow(lambda f: _score(f, order, corpus_words, alpha, leave_one_out), "id long, n_words long, log_score double")
+    alone = corpus is None and leave_one_out
+    with shuffles_freed(docs.sparkSession):
+        asking = to_blocks(docs, id_col, text_col)
+        counted = None if corpus is None else to_blocks(corpus, id_col, text_col)
+        asked = asking.agg(F.sum("n_words")).first()[0] or 0
+        corpus_words = asked if counted is None else counted.agg(F.sum("n_words")).first()[0] or 0
+        parts = max(1, -(-(corpus_words + asked) // (2 * RANGE_GRAMS)))
+        totals: list[DataFrame] = []
+        for n in range(1, order + 1):
+            mine = [stash(count_pass(asking, counted, n, p, passes, parts, alone), "lm-totals", "zstd") for p in range(passes)]
+            totals += mine
+            if n < order:
+                kept = _with_answers(asking, reduce(DataFrame.unionByName, mine)).mapInArrow(lambda b, n=n: _keep(b, n, passes), BLOCKS + ", kept binary")
+                before, asking = asking, stash(kept, "lm-kept", "zstd")
+                drop_stash(before)
+    joined = _with_answers(asking.drop("kept"), reduce(DataFrame.unionByName, totals))
+    scored = joined.mapInArrow(lambda b: _score(b, order, passes, corpus_words, alpha, leave_one_out), "id long, n_words long, log_score double")
     return scored.withColumn("mean_log_score", F.when(F.col("n_words") > 0, F.col("log_score") / F.col("n_words")))

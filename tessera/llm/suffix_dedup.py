@@ -35,6 +35,8 @@ from tessera.llm.common import prepare_workers, stash, text_bytes
 
 MIN_BYTES = 200
 GRAM = 48
+#: Windows up to this length name an anchor at most 1023 bytes behind their first byte, which ``place`` holds in 10 bits.
+MOST_BYTES = 1023 + GRAM
 #: Text that is hashed at once, in bytes; longer documents go in overlapping pieces.
 PIECE = 1 << 20
 #: Bytes of contexts in a shard, about.
@@ -355,6 +357,8 @@ def repeated_windows(rows: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
 
 def remove_repeats(docs: DataFrame, min_bytes: int = MIN_BYTES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, n_bytes, n_removed, spans (removed byte ranges) and kept (the remaining bytes) of every row."""
+    if not GRAM <= min_bytes <= MOST_BYTES:
+        raise ValueError(f"min_bytes must lie between {GRAM} and {MOST_BYTES}")
     prepare_workers(docs.sparkSession)
     text = F.coalesce(text_bytes(docs[text_col]), F.lit(b""))
     rows = docs.select(docs[id_col].cast("long").alias("id"), F.xxhash64(docs[id_col], docs[text_col]).alias("row"), text.alias("text"))

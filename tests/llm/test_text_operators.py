@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 from hashlib import sha256
 from itertools import combinations
 
+import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -547,3 +548,35 @@ def test_long_documents_go_in_pieces(monkeypatch):
         for f, l, p in zip(first.tolist(), last.tolist(), part.tolist()):
             covered += [(int(number[p]), f - int(starts[p]) + int(offset[p]) + k) for k in range(l - f + 1)]
     assert sorted(covered) == [(0, i) for i in range(len(text) - 199)] + [(2, i) for i in range(101)]
+
+
+def test_own_occurrences_by_document():
+    from tessera.llm.lm_scoring import _own
+
+    rng = np.random.default_rng(3)
+    doc, hashes = np.sort(rng.integers(0, 9, 700)), rng.integers(0, 12, 700).astype(np.uint64)
+    want = Counter(zip(doc.tolist(), hashes.tolist()))
+    assert _own(doc, hashes).tolist() == [want[x] for x in zip(doc.tolist(), hashes.tolist())]
+    assert _own(doc[:0], hashes[:0]).tolist() == []
+
+
+@pytest.mark.parametrize("min_bytes", [47, 1072])
+def test_suffix_dedup_refuses_lengths_its_places_cannot_hold(spark, min_bytes):
+    from tessera.llm.suffix_dedup import remove_repeats
+
+    with pytest.raises(ValueError):
+        remove_repeats(frame(spark, ["a"]), min_bytes=min_bytes)
+
+
+def test_dropping_anything_but_a_stash_is_refused(spark, tmp_path):
+    from tessera.llm.common import drop_stash, stash
+
+    spark.range(3).write.parquet(f"{tmp_path}/kept")
+    with pytest.raises(ValueError):
+        drop_stash(spark.read.parquet(f"{tmp_path}/kept"))
+    assert spark.read.parquet(f"{tmp_path}/kept").count() == 3
+    stashed = stash(spark.range(5), "dropped")
+    folder = stashed.inputFiles()[0].rsplit("/", 1)[0]
+    drop_stash(stashed)
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    assert not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)

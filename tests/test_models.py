@@ -117,3 +117,41 @@ def test_gbt_early_stopping_stops(spark):
     model, (scored,) = M.fit_gbt_early_stopping(fit, val, [test], ["x", "z"], "geo", "y", max_iter=200, tol=0.01)
     assert model.getNumTrees < 200
     assert scored.filter(F.col("prediction").isNull()).count() == 0
+
+
+def test_fits_read_as_many_partitions_as_their_rows_need(spark):
+    df = spark.range(200).repartition(64)
+    with M.kept(df) as rows:
+        assert rows.rdd.getNumPartitions() == 1 and rows.count() == 200
+    assert not rows.is_cached
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(M, "FIT_ROWS", 50)
+        with M.kept(df) as rows:
+            assert rows.rdd.getNumPartitions() == 4
+    with M.kept(df.where("id < 0")) as rows:
+        assert rows.count() == 0
+
+
+def test_a_query_waits_for_the_boosted_trees_it_reports(spark, monkeypatch):
+    from tessera.plans import modelling as MQ
+
+    rows = [(f"g{g}", f"{1996 + m // 12}-{1 + m % 12:02d}-01", float(10 * g + m), float(m), float(10 * g + m + 1)) for g in range(3) for m in range(84)]
+    panel = spark.createDataFrame(rows, "geo string, start_date string, a double, lag1_a double, prediction double").withColumn("start_date", F.to_date("start_date"))
+    kept, called = {}, []
+    monkeypatch.setattr(MQ, "once", lambda spark, d, name, make: kept[name] if name in kept else kept.setdefault(name, make()))
+    monkeypatch.setattr(MQ, "load_clean", lambda spark, d: panel)
+    monkeypatch.setattr(MQ.P, "lag_panel", lambda clean, measure: clean)
+
+    class Model:
+        getNumTrees = 7
+
+    def fake(name):
+        return lambda fit, *more: (called.append(name), (Model(), [f for part in more if isinstance(part, list) for f in part if not isinstance(f, str)]))[1]
+
+    monkeypatch.setattr(MQ.M, "fit_gbt_early_stopping", fake("early"))
+    monkeypatch.setattr(MQ.M, "fit_gbt_forecast", fake("forecast"))
+    assert MQ.q_gbt_early_stopping(spark, "x").first()["trees_used"] == 7 and called == ["early"]
+    assert MQ.q_gbt_forecast(spark, "x").count() > 0 and called == ["early", "forecast"]
+    assert sorted(MQ._gbt_fits(spark, "x")) == ["cv", "early", "test"] and called == ["early"] + ["forecast"] * 4
+    MQ.q_gbt_early_stopping(spark, "x"), MQ._gbt_fits(spark, "x", "cv")
+    assert len(called) == 5

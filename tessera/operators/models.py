@@ -111,10 +111,11 @@ def parallel_fits(fns, max_workers: int = 8) -> list:
 
 
 def kmeans_fits(df: DataFrame, features_col: str, ks, restarts: int, first_seed: int = K.SEED) -> dict[int, list]:
-    """M9: all (k, restart) fits, run concurrently: k -> [(training cost, seed, model)], one entry per seed."""
+    """M9: all (k, restart) fits, run concurrently: k -> [(training cost, seed, model)], one entry per seed. The solver is named: the
+    default one makes a pass in every fit to choose it."""
     grid = [(k, first_seed + r) for k in ks for r in range(restarts)]
     fitted = parallel_fits(
-        lambda k=k, s=s: KMeans(k=k, seed=s, featuresCol=features_col, maxIter=300, tol=1e-6).fit(df)
+        lambda k=k, s=s: KMeans(k=k, seed=s, featuresCol=features_col, maxIter=300, tol=1e-6, solver="row").fit(df)
         for k, s in grid)
     out: dict[int, list] = {}
     for (k, s), m in zip(grid, fitted):
@@ -156,10 +157,15 @@ def bisecting_hierarchy(df: DataFrame, features_col: str, k: int, seed: int = 42
 # Forecasting models
 # --------------------------------------------------------------------------
 
+#: Rows that one task of an iterative fit reads.
+FIT_ROWS = 50_000
+
+
 @contextmanager
 def kept(df: DataFrame):
-    """Cache ``df`` for the many passes of an iterative fit and let it go afterwards."""
-    df = df.cache()
+    """Cache ``df`` for the many passes of an iterative fit and let it go afterwards. Its partitions follow its rows, not
+    the session's shuffle partitions: a fit is thousands of jobs, each with a task for every partition."""
+    df = df.coalesce(max(1, -(-df.count() // FIT_ROWS))).cache()
     try:
         yield df
     finally:

@@ -180,7 +180,8 @@ class WordIds(dict):
             if plain != word:
                 ids = self[plain] + (self[word[len(core):]] if len(core) < len(word) else b"")
             else:
-                ids = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+                found = self.tokenizer.encode(word, add_special_tokens=False).ids
+                ids = struct.pack(f"<{len(found)}I", *found)
         if len(word) <= _MAX_CHARS:
             if len(self) >= _MAX_WORDS:
                 self.old = self.copy()

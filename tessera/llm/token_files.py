@@ -19,7 +19,9 @@ text; repeated rows are kept; a stretch without a space is never cut; an empty t
 
 from __future__ import annotations
 
+import re
 import struct
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -46,6 +48,8 @@ _INDEX = np.dtype([("offset", "<u4"), ("least", "<u4"), ("exceptions", "<u2"), (
 _HAS_ID, _BEGINS, _ENDS = 1, 2, 4
 _MAX_WORDS, _MAX_CHARS = 5 << 17, 48
 _CLOSING = ".,;:!?&%#$*)"
+#: Letters below this code point may go to the model without the steps before it.
+_LATIN = 0x250
 _MAX_FILES = 100_000
 PARTS = "part int, segment int, at long, id long, row long, whole boolean, n long, crc long"
 
@@ -167,20 +171,22 @@ class WordIds(dict):
 
     def __init__(self, tokenizer):
         super().__init__()
-        self.tokenizer = tokenizer
+        self.tokenizer, self.model = tokenizer, tokenizer.model
+        self.letters = plain_letters(tokenizer)
+        self.of_letters = re.compile("[" + "".join(map(chr, self.letters)) + "]+" if self.letters else "(?!)").fullmatch
         self.old: dict[str, bytes] = {}
 
     def __missing__(self, word: str) -> bytes:
         ids = self.old.get(word)
         if ids is None:
-            core = word.rstrip(_CLOSING)
-            if not core or not core[-1].isalpha():
-                core = word
-            plain = core.lower() if core.isascii() and core.isalpha() else core
+            plain, closing = _plain(word)
             if plain != word:
-                ids = self[plain] + (self[word[len(core):]] if len(core) < len(word) else b"")
+                ids = self[plain] + (self[closing] if closing else b"")
             else:
-                found = self.tokenizer.encode(word, add_special_tokens=False).ids
+                if self.of_letters(word):
+                    found = [token.id for token in self.model.tokenize(word.translate(self.letters))]
+                else:
+                    found = self.tokenizer.encode(word, add_special_tokens=False).ids
                 ids = struct.pack(f"<{len(found)}I", *found)
         if len(word) <= _MAX_CHARS:
             if len(self) >= _MAX_WORDS:
@@ -190,6 +196,28 @@ class WordIds(dict):
         return ids
 
 
+def plain_letters(tokenizer) -> dict[int, str]:
+    """Latin letters to what the tokenizer hands to its model for them, where any run of them stays one piece; empty where they do not, or
+    where a special token is made of letters."""
+    if tokenizer.normalizer is None or tokenizer.pre_tokenizer is None or any(t.content.isalpha() for t in tokenizer.get_added_tokens_decoder().values()):
+        return {}
+    pieces = lambda text: [piece for piece, _ in tokenizer.pre_tokenizer.pre_tokenize_str(tokenizer.normalizer.normalize_str(text))]
+    letters = [c for c in map(chr, range(_LATIN)) if c.isalpha() and len(tokenizer.normalizer.normalize_str(c)) == 1 and len(pieces(c)) == 1]
+    found = {ord(c): pieces(c)[0] for c in letters}
+    for run in ("".join(letters), "".join(reversed(letters))):
+        if pieces(run) != [run.translate(found)]:
+            return {}
+    return found
+
+
+def _plain(word: str) -> tuple[str, str]:
+    """A word in lower case without its closing punctuation, and that; a letter that the tokenizer turns into a letter and a mark keeps it."""
+    core = word.rstrip(_CLOSING)
+    if len(core) < len(word) and (not core or not unicodedata.normalize("NFC", core[-1]).lower()[-1].isalpha()):
+        core = word
+    return core.lower() if core.isascii() and core.isalpha() else core, word[len(core):]
+
+
 def encode_text(text: str, words: WordIds, by_word: bool = True) -> np.ndarray:
     """The ids of a text."""
     if not by_word:

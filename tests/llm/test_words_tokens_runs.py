@@ -157,6 +157,43 @@ def test_special_strings_and_words_by_parts(tokenizer, monkeypatch):
     assert token_files.encode_text("a b  c", words, by_word=False).tolist() == whole_ids(tokenizer, "a b  c")
 
 
+def test_words_of_letters_go_to_the_model(tokenizer):
+    class Refusing:
+        def __getattr__(self, name):
+            assert name != "encode"
+            return getattr(tokenizer, name)
+
+    rng = random.Random(23)
+    text = " ".join("".join(rng.choice("aeiounrstAEéèçßÑøſ") for _ in range(rng.randint(1, 12))) for _ in range(1000))
+    assert token_files.encode_text(text, token_files.WordIds(Refusing())).tolist() == whole_ids(tokenizer, text)
+
+
+def test_letters_of_other_tokenizers(tokenizer):
+    from tokenizers import Tokenizer, normalizers, pre_tokenizers
+
+    assert {*map(ord, "azAZéßø")} <= token_files.plain_letters(tokenizer).keys() and ord("İ") not in token_files.plain_letters(tokenizer)
+    for change in ("normalizer", "pre_tokenizer", "added"):
+        other = Tokenizer.from_str(tokenizer.to_str())
+        if change == "normalizer":
+            other.normalizer = normalizers.Replace("ab", "c")
+        elif change == "pre_tokenizer":
+            other.pre_tokenizer = pre_tokenizers.Split("z", "isolated")
+        else:
+            other.add_special_tokens(["PAD"])
+        assert token_files.plain_letters(other) == {}
+
+
+@pytest.mark.parametrize("word", ["İ,", "aİ.", "\u0958,", "x\u0958!?"])
+def test_letters_that_become_a_letter_and_a_mark(tokenizer, word):
+    assert token_files.encode_text(word, token_files.WordIds(tokenizer)).tolist() == whole_ids(tokenizer, word)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(st.characters(categories=["L"], max_codepoint=0x24F), min_size=1, max_size=8))
+def test_words_of_any_latin_letters(tokenizer, word):
+    assert token_files.encode_text(word, token_files.WordIds(tokenizer)).tolist() == whole_ids(tokenizer, word)
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.integers(0, 3000), st.integers(0, 32), st.integers(0, 40), st.integers(0, 2**32 - 1))
 def test_blocks_round_trip(n, bits, outliers, seed):

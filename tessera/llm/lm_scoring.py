@@ -2,11 +2,11 @@
 
 Words are lower-cased (A-Z) runs of non-whitespace; n-grams of 1 to ``order`` words are told apart by 64-bit hashes.
 
-1. blocks: an Arrow batch of documents as one row - ids, lengths, word hashes and word numbers (written once);
+1. blocks: an Arrow batch of documents as one row - ids, lengths, and as bytes, which Spark copies whole, word hashes and word numbers (written once);
 2. exploded n-grams of one order: a row for each n-gram of a block, with its occurrences there, partitioned by hash (a block sends
    an n-gram once, however frequent it is, so no hash is hot);
 3. the count table of the order, ``groupBy(hash)``, joined back to the exploded n-grams in the same partitioning;
-4. the joined counts return to their blocks, and logarithms are summed per document.
+4. the joined counts of a partition return to their blocks as one row for each block, and logarithms are summed per document.
 
 The score of word i is count(n-gram) / count(its first n - 1 words) for the longest n whose n-gram was seen, times ``alpha`` for every
 order given up; an unseen word counts as alpha times one occurrence. With ``leave_one_out`` a document's own occurrences are subtracted
@@ -14,8 +14,8 @@ everywhere, so that no document vouches for itself.
 
 An n-gram that one document alone holds counts 0 for that document once its own occurrences are left out, and so does every longer
 n-gram around it. So an order explodes only n-grams both of whose shorter parts are kept, and keeps those that two documents hold: an
-exact cut, like the one of n-grams that the corpus does not hold where nothing is left out. Each order runs in ``PASSES`` ranges of
-hashes, and what a pass shuffled is freed before the next.
+exact cut, like the one of n-grams that the corpus does not hold where nothing is left out. Each order but the first runs in ``PASSES``
+ranges of hashes, and what a pass shuffled is freed before the next.
 
 All n-grams of all documents are counted: nothing is pruned otherwise, capped or sampled. Edge cases: null or empty texts have no words, score 0
 and a null mean; a text of any length stays in one block, whose n-grams are spread over the partitions; repeated rows are copies of each other; an empty corpus leaves only unseen words; an empty table gives an empty
@@ -24,11 +24,12 @@ result; other columns are ignored.
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterator
 from functools import reduce
+from itertools import count
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -43,10 +44,15 @@ RANGE_GRAMS = 2_000_000
 #: Ranges of hashes that are counted one after the other; bounds the disk that an order takes.
 PASSES = 3
 _MIX = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
-BLOCKS = "block long, ids array<long>, lengths array<long>, word_hashes array<long>, word_numbers array<int>, n_words long"
+BLOCKS = "block long, ids array<long>, lengths array<long>, word_hashes binary, word_numbers binary, n_words long"
 #: cell: place << 33 | (two or more documents of the block hold it) << 32 | occurrences. Count table and exploded n-grams read the same three columns, so they share one shuffle.
 GRAMS = "hash long, block long, cell long"
-TOTALS = "block long, n int, pass int, totals array<long>"
+#: places: differences of 32-bit places; totals: 32-bit counts, 64-bit ones where a count needs it.
+TOTALS = "block long, n int, pass int, places binary, totals binary"
+#: A sum of a count table: documents that hold the n-gram (2 stands for more in a block) above this bit, occurrences below.
+_HOLDERS = 40
+#: Joined counts that are sorted by block at once.
+_TOTALS_ROWS = 1 << 20
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -55,16 +61,16 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     task = TaskContext.get()
     first = (task.partitionId() if task else 0) << 32
     for k, batch in enumerate(batches):
-        numbers: dict[bytes, int] = {}
+        numbers: defaultdict[bytes, int] = defaultdict(count().__next__)
         words, lengths = [], []
         for text in batch.column("text").to_pylist():
             own = (text or b"").lower().split()
-            words.append(np.fromiter((numbers.setdefault(w, len(numbers)) for w in own), np.int32, len(own)))
+            words.append(np.fromiter(map(numbers.__getitem__, own), np.int32, len(own)))
             lengths.append(len(own))
         hashes = np.fromiter((xxhash.xxh64_intdigest(w) for w in numbers), np.uint64, len(numbers))
         stream = np.concatenate(words) if words else np.zeros(0, np.int32)
-        values = ([first + k], [batch.column("id").to_pylist()], [lengths], [hashes.view(np.int64)], [stream], [len(stream)])
-        types = (pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.int64())
+        values = ([first + k], [batch.column("id").to_pylist()], [lengths], [hashes.tobytes()], [stream.tobytes()], [len(stream)])
+        types = (pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.int64())
         yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(values, types)], names=["block", "ids", "lengths", "word_hashes", "word_numbers", "n_words"])
 
 
@@ -78,10 +84,11 @@ class Block:
     """One row of blocks as arrays: the document of every word and its place in it, and n-grams by where they end."""
 
     def __init__(self, batch: pa.RecordBatch, k: int):
-        column = lambda name: batch.column(name)[k].values.to_numpy(zero_copy_only=False)
         self.number = batch.column("block")[k].as_py()
-        self.ids, self.lengths = batch.column("ids")[k].values, column("lengths").astype(np.int64)
-        self.words = column("word_hashes").view(np.uint64)[column("word_numbers")]
+        self.ids, self.lengths = batch.column("ids")[k].values, batch.column("lengths")[k].values.to_numpy(zero_copy_only=False).astype(np.int64)
+        self.word_hashes = np.frombuffer(batch.column("word_hashes")[k].as_py(), np.uint64)
+        self.word_numbers = np.frombuffer(batch.column("word_numbers")[k].as_py(), np.int32)
+        self.words = self.word_hashes[self.word_numbers]
         self.doc = np.repeat(np.arange(len(self.lengths)), self.lengths)
         self.inside = np.arange(len(self.words)) - np.repeat(np.cumsum(self.lengths) - self.lengths, self.lengths)
 
@@ -105,35 +112,57 @@ def _pass_of(hashes: np.ndarray, passes: int) -> np.ndarray:
     return ((hashes >> np.uint64(32)) * np.uint64(passes)) >> np.uint64(32)
 
 
-def _each_pass(block: Block, n: int, kept: np.ndarray | None, passes: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(pass, where its n-grams end, their hashes)."""
+def _passes(n: int, passes: int) -> int:
+    """Single words are few beside n-grams: one pass."""
+    return 1 if n == 1 else passes
+
+
+def _groups(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(place of every hash among the distinct ones, these in ascending order); sorts plain numbers, hashes with their index in the low bits."""
+    size = len(hashes)
+    low = np.uint64((1 << size.bit_length()) - 1)
+    keyed = (hashes & ~low) | np.arange(size, dtype=np.uint64)
+    keyed.sort()
+    by = (keyed & low).astype(np.int64)
+    ordered = hashes[by]
+    new = ordered[1:] != ordered[:-1]
+    if (new & ((keyed[1:] ^ keyed[:-1]) <= low)).any():  # two hashes differ in the low bits only
+        by = np.argsort(hashes, kind="stable")
+        ordered = hashes[by]
+        new = ordered[1:] != ordered[:-1]
+    heads = np.concatenate((np.ones(min(1, size), bool), new))
+    place = np.empty(size, np.int64)
+    place[by] = np.cumsum(heads) - 1
+    return place, ordered[heads]
+
+
+def _each_pass(block: Block, n: int, kept: np.ndarray | None, numbers: list[int], passes: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(pass, where its n-grams end, their places among the distinct ones of the pass, the hashes of these)."""
+    if n == 1:
+        yield 0, np.arange(len(block.words)), block.word_numbers, block.word_hashes
+        return
     at, hashes = block.candidates(n, kept), block.hashes(n)
     hashes = hashes[at]
     of = _pass_of(hashes, passes)
-    for p in range(passes):
-        mine = of == p
-        yield p, at[mine], hashes[mine]
+    for p in numbers:
+        mine = np.flatnonzero(of == p)
+        yield p, at[mine], *_groups(hashes[mine])
 
 
 def _explode(batches: Iterator[pa.RecordBatch], n: int, number: int, passes: int, counted: bool) -> Iterator[pa.RecordBatch]:
-    """The distinct n-grams of each block in one pass: place among them by hash, whether two documents hold it, occurrences."""
+    """The distinct n-grams of each block in one pass: place among them, whether two documents hold it, occurrences."""
     for batch in batches:
         for k in range(batch.num_rows):
             block = Block(batch, k)
-            kept = _kept(batch, k, len(block.words))
-            at, hashes = block.candidates(n, kept), block.hashes(n)
-            mine = at[_pass_of(hashes[at], passes) == number]
-            hashes = hashes[mine]
-            by = np.argsort(hashes, kind="stable")
-            hashes, docs = hashes[by], block.doc[mine[by]]
-            heads = np.flatnonzero(np.concatenate((np.ones(min(1, len(by)), bool), hashes[1:] != hashes[:-1])))
-            ends = np.append(heads[1:], len(by))[:len(heads)]
-            several = docs[heads] != docs[ends - 1]
-            cells = np.arange(len(heads)) << 33 | several.astype(np.int64) << 32 | (ends - heads) * counted
-            hashes = hashes[heads].view(np.int64)
-            for a in range(0, len(heads), 1 << 17):
-                b = min(a + (1 << 17), len(heads))
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (hashes[a:b], np.full(b - a, block.number), cells[a:b])], names=["hash", "block", "cell"])
+            for _, at, place, hashes in _each_pass(block, n, _kept(batch, k, len(block.words)), [number], passes):
+                first, last = np.zeros(len(hashes), np.int64), np.zeros(len(hashes), np.int64)
+                docs = block.doc[at]
+                first[place[::-1]], last[place] = docs[::-1], docs
+                cells = np.arange(len(hashes)) << 33 | (first != last).astype(np.int64) << 32 | np.bincount(place, minlength=len(hashes)) * counted
+                hashes = hashes.view(np.int64)
+                for a in range(0, len(hashes), 1 << 17):
+                    b = min(a + (1 << 17), len(hashes))
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in (hashes[a:b], np.full(b - a, block.number), cells[a:b])], names=["hash", "block", "cell"])
 
 
 def _kept(batch: pa.RecordBatch, k: int, n_words: int) -> np.ndarray | None:
@@ -142,30 +171,55 @@ def _kept(batch: pa.RecordBatch, k: int, n_words: int) -> np.ndarray | None:
     return np.unpackbits(np.frombuffer(batch.column("kept")[k].as_py(), np.uint8), count=n_words).astype(bool)
 
 
-def _lists(frame: pd.DataFrame, n: int, number: int) -> pd.DataFrame:
-    """The counts of a block's n-grams of a pass by place, up to the last kept one; 0: not kept."""
-    totals = np.zeros(frame["place"].max() + 1, np.int64)
-    totals[frame["place"].to_numpy()] = frame["total"].to_numpy()
-    return pd.DataFrame({"block": frame["block"].iloc[:1], "n": np.int32(n), "pass": np.int32(number), "totals": [totals]})
+def _totals(batches: Iterator[pa.RecordBatch], n: int, number: int) -> Iterator[pa.RecordBatch]:
+    """The joined counts of a partition as a row for each block and some ``_TOTALS_ROWS`` of them."""
+    def rows(some: list[pa.RecordBatch]) -> pa.RecordBatch:
+        block, place, total = (np.concatenate([b.column(c).to_numpy() for b in some]) for c in ("block", "place", "total"))
+        by = np.argsort(block, kind="stable")
+        block, place, total = block[by], place[by], total[by]
+        edges = [0, *(np.flatnonzero(block[1:] != block[:-1]) + 1).tolist(), len(block)]
+        parts = list(zip(edges, edges[1:]))
+        places = [np.diff(place[a:b], prepend=np.int32(0)).astype("<i4").tobytes() for a, b in parts]
+        totals = [total[a:b].astype("<i4" if total[a:b].max() < 1 << 31 else "<i8").tobytes() for a, b in parts]
+        columns = (block[edges[:-1]], np.full(len(parts), n, np.int32), np.full(len(parts), number, np.int32))
+        return pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.array(places, pa.binary()), pa.array(totals, pa.binary())],
+                                          names=["block", "n", "pass", "places", "totals"])
+
+    some, size = [], 0
+    for batch in batches:
+        if batch.num_rows:
+            some.append(batch)
+            size += batch.num_rows
+        if size >= _TOTALS_ROWS:
+            yield rows(some)
+            some, size = [], 0
+    if size:
+        yield rows(some)
+
 
+Answers = dict[tuple[int, int], list[tuple[np.ndarray, np.ndarray]]]
 
-def _by_word(block: Block, n: int, kept: np.ndarray | None, passes: int, answers: dict[tuple[int, int], np.ndarray]) -> np.ndarray:
+
+def _by_word(block: Block, n: int, kept: np.ndarray | None, passes: int, answers: Answers) -> np.ndarray:
     """Count of the n-gram that ends at every word; 0: not kept."""
     out = np.zeros(len(block.words), np.int64)
-    for p, at, hashes in _each_pass(block, n, kept, passes):
-        totals = answers.get((n, p))
-        if totals is not None:
-            place = np.unique(hashes, return_inverse=True)[1]
-            known = place < len(totals)
-            out[at[known]] = totals[place[known]]
+    for p, at, place, hashes in _each_pass(block, n, kept, [p for p in range(passes) if (n, p) in answers], passes):
+        totals = np.zeros(len(hashes), np.int64)
+        for places, some in answers.get((n, p), ()):
+            totals[places] = some
+        out[at] = totals[place]
     return out
 
 
-def _answers(batch: pa.RecordBatch, k: int) -> dict[tuple[int, int], np.ndarray]:
+def _answers(batch: pa.RecordBatch, k: int) -> Answers:
+    """(places, counts) of each order and pass."""
+    out: Answers = defaultdict(list)
     listed = batch.column("answers")[k]
-    if not listed.is_valid:
-        return {}
-    return {(a["n"].as_py(), a["pass"].as_py()): a["totals"].values.to_numpy(zero_copy_only=False) for a in listed}
+    if listed.is_valid:
+        for n, p, places, totals in zip(*(listed.values.field(c).to_pylist() for c in ("n", "pass", "places", "totals"))):
+            width = "<i4" if len(totals) == len(places) else "<i8"
+            out[n, p].append((np.cumsum(np.frombuffer(places, "<i4")), np.frombuffer(totals, width)))
+    return out
 
 
 def _keep(batches: Iterator[pa.RecordBatch], n: int, passes: int) -> Iterator[pa.RecordBatch]:
@@ -173,7 +227,7 @@ def _keep(batches: Iterator[pa.RecordBatch], n: int, passes: int) -> Iterator[pa
     for batch in batches:
         for k in range(batch.num_rows):
             block = Block(batch, k)
-            counts = _by_word(block, n, _kept(batch, k, len(block.words)), passes, _answers(batch, k))
+            counts = _by_word(block, n, _kept(batch, k, len(block.words)), _passes(n, passes), _answers(batch, k))
             row = batch.slice(k, 1).select(["block", "ids", "lengths", "word_hashes", "word_numbers", "n_words"])
             yield row.append_column("kept", pa.array([np.packbits(counts > 0).tobytes()], pa.binary()))
 
@@ -204,8 +258,8 @@ def _own(doc: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     """For every n-gram its occurrences in its own document; both are told apart by one 64-bit hash."""
     mixed = hashes ^ (doc.astype(np.uint64) + np.uint64(1)) * _MIX[0]
     mixed = (mixed ^ (mixed >> np.uint64(31))) * _MIX[2]
-    _, group, own = np.unique(mixed, return_inverse=True, return_counts=True)
-    return own[group]
+    group, _ = _groups(mixed)
+    return np.bincount(group)[group]
 
 
 def _score(batches: Iterator[pa.RecordBatch], order: int, passes: int, corpus_words: int, alpha: float, leave_one_out: bool) -> Iterator[pa.RecordBatch]:
@@ -214,29 +268,31 @@ def _score(batches: Iterator[pa.RecordBatch], order: int, passes: int, corpus_wo
             block, answers = Block(batch, k), _answers(batch, k)
             seen: list[np.ndarray] = []
             for n in range(1, order + 1):
-                seen.append(_by_word(block, n, seen[-1] > 0 if seen else None, passes, answers))
+                seen.append(_by_word(block, n, seen[-1] > 0 if seen else None, _passes(n, passes), answers))
             sums = document_scores(block, seen, [block.hashes(n) for n in range(1, order + 1)], corpus_words, alpha, leave_one_out)
             yield pa.RecordBatch.from_arrays([block.ids, pa.array(block.lengths), pa.array(sums)], names=["id", "n_words", "log_score"])
 
 
 def count_pass(asking: DataFrame, corpus: DataFrame | None, n: int, number: int, passes: int, parts: int, alone: bool) -> DataFrame:
-    """block, n, pass, totals: the counts of the kept n-grams of every block in one pass; ``alone``: those that one document holds count nothing."""
+    """block, n, pass, places, totals: the counts of the kept n-grams of every block in one pass; ``alone``: those that one document holds count nothing."""
     counted = corpus is None
     exploded = asking.mapInArrow(lambda b: _explode(b, n, number, passes, counted), GRAMS)
     if corpus is not None:
         exploded = exploded.unionByName(corpus.mapInArrow(lambda b: _explode(b, n, number, passes, True), GRAMS).withColumn("block", F.lit(-1).cast("long")))
     grams = exploded.repartition(parts, "hash")  # counted and joined in one partitioning
     own, several = F.col("cell").bitwiseAND(F.lit((1 << 32) - 1)), F.shiftright("cell", 32).bitwiseAND(F.lit(1))
-    held = (F.min("block") < F.max("block")) | (F.max(several) == 1) if alone else F.sum(own) > 0
-    counts = grams.groupBy(F.col("hash").alias("of")).agg(F.sum(own).alias("total"), held.alias("held")).where("held").select("of", "total")
+    summed = F.sum(own + F.shiftleft(several + F.lit(1).cast("long"), _HOLDERS)).alias("summed")
+    total = F.col("summed").bitwiseAND(F.lit((1 << _HOLDERS) - 1))
+    held = F.shiftright("summed", _HOLDERS) > 1 if alone else total > 0
+    counts = grams.groupBy(F.col("hash").alias("of")).agg(summed).where(held).select("of", total.alias("total"))
     joined = grams.join(counts.hint("shuffle_hash"), F.col("hash") == F.col("of")).select("block", F.shiftright("cell", 33).cast("int").alias("place"), "total")
     if not counted:
         joined = joined.where("block >= 0")
-    return joined.groupBy("block").applyInPandas(lambda f: _lists(f, n, number), TOTALS)
+    return joined.mapInArrow(lambda b: _totals(b, n, number), TOTALS)
 
 
 def _with_answers(blocks: DataFrame, totals: DataFrame) -> DataFrame:
-    per_block = totals.groupBy(F.col("block").alias("of")).agg(F.collect_list(F.struct("n", "pass", "totals")).alias("answers"))
+    per_block = totals.groupBy(F.col("block").alias("of")).agg(F.collect_list(F.struct("n", "pass", "places", "totals")).alias("answers"))
     return blocks.join(per_block, F.col("block") == F.col("of"), "left").drop("of")
 
 
@@ -254,7 +310,7 @@ def score_documents(docs: DataFrame, corpus: DataFrame | None = None, order: int
         parts = max(1, -(-(corpus_words + asked) // (2 * RANGE_GRAMS)))
         totals: list[DataFrame] = []
         for n in range(1, order + 1):
-            mine = [stash(count_pass(asking, counted, n, p, passes, parts, alone), "lm-totals", "zstd") for p in range(passes)]
+            mine = [stash(count_pass(asking, counted, n, p, _passes(n, passes), parts, alone), "lm-totals", "zstd") for p in range(_passes(n, passes))]
             totals += mine
             if n < order:
                 kept = _with_answers(asking, reduce(DataFrame.unionByName, mine)).mapInArrow(lambda b, n=n: _keep(b, n, passes), BLOCKS + ", kept binary")

@@ -560,6 +560,39 @@ def test_own_occurrences_by_document():
     assert _own(doc[:0], hashes[:0]).tolist() == []
 
 
+@pytest.mark.parametrize("spread", [3, 1 << 20, 1 << 64])
+def test_places_among_distinct_hashes(spread):
+    from tessera.llm.lm_scoring import _groups
+
+    rng = random.Random(spread)
+    few = [rng.randrange(spread) for _ in range(50)]
+    for size in (0, 1, 2, 700):
+        hashes = np.array([rng.choice(few) for _ in range(size)], np.uint64)
+        place, distinct = _groups(hashes)
+        assert distinct.tolist() == sorted({*hashes.tolist()}) and distinct[place].tolist() == hashes.tolist()
+
+
+def test_counts_return_to_blocks_in_one_row_for_each(monkeypatch):
+    import pyarrow as pa
+
+    from tessera.llm import lm_scoring
+
+    rng = random.Random(5)
+    rows = [(rng.choice([3, 1 << 33, 9]), place, rng.choice([1, 7, 1 << 35] if place % 3 else [2])) for place in rng.sample(range(1 << 20), 400)]
+    batch = pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows]), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows])], names=["block", "place", "total"])
+    for limit, n_rows in ((1 << 20, 3), (100, 12)):
+        monkeypatch.setattr(lm_scoring, "_TOTALS_ROWS", limit)
+        packed = pa.Table.from_batches([*lm_scoring._totals(iter([batch.slice(i, 50) for i in range(0, 400, 50)]), 2, 1)])
+        assert packed.num_rows == n_rows
+        got = []
+        for row in packed.to_pylist():
+            listed = pa.array([[{c: row[c] for c in ("n", "pass", "places", "totals")}]])
+            (key, [(places, totals)]), = lm_scoring._answers(pa.RecordBatch.from_arrays([listed], names=["answers"]), 0).items()
+            assert key == (2, 1)
+            got += [(row["block"], *x) for x in zip(places.tolist(), totals.tolist())]
+        assert sorted(got) == sorted(rows)
+
+
 @pytest.mark.parametrize("min_bytes", [47, 1072])
 def test_suffix_dedup_refuses_lengths_its_places_cannot_hold(spark, min_bytes):
     from tessera.llm.suffix_dedup import remove_repeats

@@ -49,8 +49,8 @@ BLOCKS = "block long, ids array<long>, lengths array<long>, word_hashes binary,
 GRAMS = "hash long, block long, cell long"
 #: places: differences of 32-bit places; totals: 32-bit counts, 64-bit ones where a count needs it.
 TOTALS = "block long, n int, pass int, places binary, totals binary"
-#: A sum of a count table: documents that hold the n-gram (2 stands for more in a block) above this bit, occurrences below.
-_HOLDERS = 40
+#: A sum of a count table: blocks where two documents hold the n-gram above this bit, occurrences below.
+_SEVERAL = 40
 #: Joined counts that are sorted by block at once.
 _TOTALS_ROWS = 1 << 20
 
@@ -281,10 +281,10 @@ def count_pass(asking: DataFrame, corpus: DataFrame | None, n: int, number: int,
         exploded = exploded.unionByName(corpus.mapInArrow(lambda b: _explode(b, n, number, passes, True), GRAMS).withColumn("block", F.lit(-1).cast("long")))
     grams = exploded.repartition(parts, "hash")  # counted and joined in one partitioning
     own, several = F.col("cell").bitwiseAND(F.lit((1 << 32) - 1)), F.shiftright("cell", 32).bitwiseAND(F.lit(1))
-    summed = F.sum(own + F.shiftleft(several + F.lit(1).cast("long"), _HOLDERS)).alias("summed")
-    total = F.col("summed").bitwiseAND(F.lit((1 << _HOLDERS) - 1))
-    held = F.shiftright("summed", _HOLDERS) > 1 if alone else total > 0
-    counts = grams.groupBy(F.col("hash").alias("of")).agg(summed).where(held).select("of", total.alias("total"))
+    summed = F.sum(own + F.shiftleft(several, _SEVERAL)).alias("summed")
+    total = F.col("summed").bitwiseAND(F.lit((1 << _SEVERAL) - 1))
+    held = (F.col("blocks") > 1) | (F.shiftright("summed", _SEVERAL) > 0) if alone else (F.col("blocks") > 0) & (total > 0)
+    counts = grams.groupBy(F.col("hash").alias("of")).agg(summed, F.count("block").alias("blocks")).where(held).select("of", total.alias("total"))
     joined = grams.join(counts.hint("shuffle_hash"), F.col("hash") == F.col("of")).select("block", F.shiftright("cell", 33).cast("int").alias("place"), "total")
     if not counted:
         joined = joined.where("block >= 0")

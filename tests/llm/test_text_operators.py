@@ -439,6 +439,17 @@ def test_lm_scores_against_brute_force(spark, monkeypatch, order):
     assert lm_scoring.score_documents(docs.limit(0), order=order).count() == 0
 
 
+@pytest.mark.parametrize("alone", [True, False])
+def test_exploded_ngrams_are_shuffled_once(spark, alone):
+    from tessera.llm import lm_scoring
+
+    blocks = lm_scoring.to_blocks(frame(spark, ["a b c", "a b d"] * 20))
+    totals = lm_scoring.count_pass(blocks, None, 2, 0, 1, 3, alone)
+    totals.collect()
+    plan = totals._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("ReusedExchange") == 1
+
+
 def test_registered_lm_scores_use_trigrams(spark, tmp_path):
     from tessera.llm import queries
 

@@ -450,6 +450,52 @@ def test_exploded_ngrams_are_shuffled_once(spark, alone):
     assert plan.count("ReusedExchange") == 1
 
 
+def test_counts_join_blocks_that_stay_where_they_are(spark):
+    """Blocks are the largest table; only counts are shuffled to them."""
+    from tessera.llm import lm_scoring
+    from tessera.llm.common import stash
+
+    blocks = lm_scoring.to_blocks(frame(spark, ["a b c", "a b d"] * 20).repartition(4), buckets=3)
+    totals = stash(lm_scoring.count_pass(blocks, None, 2, 0, 1, 3, True), "lm-totals")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        answered = lm_scoring._with_answers(blocks, totals, 3)
+        assert answered.count() == blocks.count() == 4
+        plan = answered._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in plan
+
+
+def test_small_rows_are_not_weighed(spark):
+    """Spark weighs each row for Python where a batch is limited by bytes; texts need that, counts do not."""
+    from tessera.llm.common import ARROW_BYTES, prepare_workers, rows_of_numbers
+
+    prepare_workers(spark)
+    limit = spark.conf.get(ARROW_BYTES)
+    with rows_of_numbers(spark):
+        assert spark.conf.get(ARROW_BYTES) == str((1 << 31) - 1)
+    assert spark.conf.get(ARROW_BYTES) == limit != str((1 << 31) - 1)
+
+
+def test_words_of_blocks_against_split():
+    import pyarrow as pa
+
+    from tessera.llm.lm_scoring import _words
+
+    rng = random.Random(1)
+    texts = [None, b"", b" ", b"A\0b \x1f\x85 x\x0b\x0cy\t\n\r", "ÉA\u00a0é".encode(), b"a", b"b", b"a\0", b"a\0\0"]
+    texts += [bytes(rng.choice(b" \t\nabAB\0\xff") for _ in range(rng.randint(0, 300))) for _ in range(200)]
+    texts += [b"Q" * n for n in (7, 8, 9, 16, 17, 63, 64, 65, 72, 73, 200)] + [b"q" * 65 + b" " + b"q" * 200]
+    for some in (pa.array(texts, pa.binary()), pa.array(texts * 2, pa.binary()).slice(13, 190), pa.array(texts[:1], pa.binary()), pa.array([], pa.binary())):
+        want = [(t or b"").lower().split() for t in some.to_pylist()]
+        lengths, hashes, numbers = _words(some.fill_null(b""))
+        first: dict[bytes, int] = {}
+        assert numbers.tolist() == [first.setdefault(w, len(first)) for own in want for w in own]
+        assert lengths.tolist() == [len(own) for own in want] and len({*hashes.tolist()}) == len(hashes) == len(first)
+
+
 def test_registered_lm_scores_use_trigrams(spark, tmp_path):
     from tessera.llm import queries
 

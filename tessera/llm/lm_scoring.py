@@ -43,7 +43,7 @@ ALPHA = 0.4
 #: Words asked or counted for each partition of a pass.
 RANGE_GRAMS = 2_000_000
 #: Bytes of text for each bucket of blocks.
-BUCKET_BYTES = 2 * ARROW_BATCH_BYTES
+BUCKET_BYTES = ARROW_BATCH_BYTES
 #: Ranges of hashes that are counted one after the other; bounds the disk that an order takes.
 PASSES = 3
 _MIX = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
@@ -393,7 +393,7 @@ def score_documents(docs: DataFrame, corpus: DataFrame | None = None, order: int
                 kept = stash_buckets(answered.mapInArrow(lambda b, n=n: _keep(b, n, passes, leave_one_out), KEPT.format(n=n)), "lm-kept", "block", buckets, "zstd")
                 for old in totals:
                     drop_stash(old)
-                asking = words.join(kept.select("block", "kept"), "block")
+                asking = words.join(kept.select("block", "kept").hint("shuffle_hash"), "block")  # bits are small: no sort of the blocks
                 whole = whole.join(kept if n == order - 1 else kept.drop("kept"), "block")
     answered = _with_answers(whole, reduce(DataFrame.unionByName, totals), buckets)
     scored = answered.mapInArrow(lambda b: _score(b, order, passes, corpus_words, alpha, leave_one_out), "id long, n_words long, log_score double")
